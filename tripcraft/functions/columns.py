@@ -96,9 +96,9 @@ def unlabel(c: str | Column, mapping: Mapping[int, str]) -> Column:
     return F.create_map(*pairs)[col(c)]
 
 
-def flag_label(flags: Sequence[str], sep: str = ", ") -> Column:
+def flag_label(flags: Sequence[str], sep: str = ", ", names: Sequence[str] | None = None) -> Column:
     """Composite label such as 'neg_fee=1, no_meter=0' from integer flag columns."""
-    fmt = sep.join(f"{name}=%d" for name in flags)
+    fmt = sep.join(f"{name}=%d" for name in (names or flags))
     return F.format_string(fmt, *[F.col(f).cast("int") for f in flags])
 
 
