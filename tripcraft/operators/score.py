@@ -47,17 +47,26 @@ def linear_model(weights: list[float], intercept: float) -> ModelFn:
     return fn
 
 
-def score_requests(df: DataFrame, models: Mapping[str, ModelFn], scaler_params: list[tuple[str, float, float]],
-                   default: str = S.DEFAULT_VARIANT, variant_col: str = "model_type") -> DataFrame:
+def score_requests(df: DataFrame, models: Mapping[str, ModelFn] | None, scaler_params: list[tuple[str, float, float]],
+                   default: str = S.DEFAULT_VARIANT, variant_col: str = "model_type",
+                   dispatch: Callable[[Column, list[Column]], Column] | None = None,
+                   variants: tuple[str, ...] = ()) -> DataFrame:
     """Score validated requests. Output adds model_used, trip_duration_seconds, trip_duration_minutes
-    and error (null when scored). A variant that is unknown or not loaded yields an error row."""
+    and error (null when scored). A variant that is unknown or not loaded yields an error row.
+
+    Models are either native column functions per variant (`models`), or one batched `dispatch`
+    (e.g. a pandas UDF running several networks) serving the names in `variants`."""
     params = {f: (m, s) for f, m, s in scaler_params}
     xs = [(F.col(f).cast("double") - F.lit(params[f][0])) / F.lit(params[f][1]) for f in S.REDUCED_FEATURES]
     variant = F.coalesce(F.col(variant_col), F.lit(default))
-    log_pred = F.lit(None).cast("double")
-    for name, fn in models.items():
-        log_pred = F.when(variant == name, fn(xs)).otherwise(log_pred)
-    known = variant.isin(*models.keys()) if models else F.lit(False)
+    names = tuple(models or ()) + tuple(variants)
+    known = variant.isin(*names) if names else F.lit(False)
+    if dispatch is not None:
+        log_pred = dispatch(variant, xs)
+    else:
+        log_pred = F.lit(None).cast("double")
+        for name, fn in (models or {}).items():
+            log_pred = F.when(variant == name, fn(xs)).otherwise(log_pred)
     secs = F.greatest(F.lit(0.0), F.expm1(log_pred))
     out = df.withColumns({"model_used": variant, "_secs": secs})
     return out.select(
