@@ -34,7 +34,12 @@ def _mod(k: int) -> Column:
 
 def trips_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trips (20 columns, raw trip schema) with planted nulls, negatives, zeros and sentinels."""
-    li = table(spark, sf_dir, "lineitem").select(*_LINEITEM_COLS).withColumn("h", _row_hash())
+    return trips_from_lineitem(table(spark, sf_dir, "lineitem"))
+
+
+def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """The trip recipe on any lineitem frame, batch or streaming (a pure projection)."""
+    li = lineitem.select(*_LINEITEM_COLS).withColumn("h", _row_hash())
     null_row = _mod(29) == 0
     duration = (F.when(_mod(53) == 0, F.lit(-300))
                 .when(_mod(47) == 0, F.lit(20000))
@@ -75,8 +80,11 @@ def trips_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requests_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prediction requests (7 features + model_type); about a quarter pass the range rules."""
-    li = (table(spark, sf_dir, "lineitem")
-          .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+    return requests_from_lineitem(table(spark, sf_dir, "lineitem"))
+
+
+def requests_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    li = (lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
           .withColumn("h", _row_hash()))
     return li.select(
         F.when(_mod(29) == 0, F.lit(None)).otherwise(_mod(11)).cast("bigint").alias("passenger_count"),
