@@ -85,20 +85,25 @@ def threshold_shares(df: DataFrame, rules: Mapping[str, tuple[str, Column, Colum
 
 
 def correlation(df: DataFrame, cols: Sequence[str], places: int = 6) -> DataFrame:
-    """Pearson r for every pair (lower triangle), pairwise-complete, in ONE aggregate.
+    """Pearson r for every pair (lower triangle), pairwise-complete.
 
-    r = covar_pop / (stddev_pop * stddev_pop) over rows where both are non-null; a constant column
-    gives null (try_divide), not an ANSI divide-by-zero error.
+    A `stack` generator turns each row into one (pair, a, b) record per column pair inside the
+    scan stage (nothing materialised); records with a null side drop out, and three aggregates
+    per pair run with map-side partial aggregation (one group per pair).
+    r = covar_pop / (stddev_pop * stddev_pop); a constant column gives null (try_divide), not an
+    ANSI divide-by-zero error.
     """
-    structs = []
-    for i, a in enumerate(cols):
-        for b in cols[:i]:
-            xa, xb = F.col(a).cast("double"), F.col(b).cast("double")
-            ma = F.when(xb.isNotNull(), xa)
-            mb = F.when(xa.isNotNull(), xb)
-            r = F.try_divide(F.covar_pop(ma, mb), F.stddev_pop(ma) * F.stddev_pop(mb))
-            structs.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.round(r, places).alias("r")))
-    return df.agg(F.array(*structs).alias("a")).select(F.explode("a").alias("r")).select("r.*")
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[:i]]
+    body = ", ".join(f"{k}, CAST(`{a}` AS DOUBLE), CAST(`{b}` AS DOUBLE)" for k, (a, b) in enumerate(pairs))
+    long = df.selectExpr(f"stack({len(pairs)}, {body}) AS (k, a, b)").filter(F.col("a").isNotNull() & F.col("b").isNotNull())
+    g = long.groupBy("k").agg(F.covar_pop("a", "b").alias("cov"), F.stddev_pop("a").alias("sa"), F.stddev_pop("b").alias("sb"))
+    xs = F.array(*[F.lit(a) for a, _ in pairs])
+    ys = F.array(*[F.lit(b) for _, b in pairs])
+    # Pairs with no complete row at all still get a (null) row.
+    spine = df.sparkSession.range(len(pairs)).select(F.col("id").cast("int").alias("k"))
+    return spine.join(g, "k", "left").select(
+        F.element_at(xs, F.col("k") + 1).alias("x"), F.element_at(ys, F.col("k") + 1).alias("y"),
+        F.round(F.try_divide(F.col("cov"), F.col("sa") * F.col("sb")), places).alias("r"))
 
 
 def trend_line(df: DataFrame, x: str, y: str, points: int = 200) -> DataFrame:

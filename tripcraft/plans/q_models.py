@@ -90,12 +90,30 @@ def q_boosted_trees(spark, sf):
     return metrics_row(M.predict(model, test, "reduced"), "boosted_trees")
 
 
+_TRAINED: dict[tuple, str] = {}
+
+
 def train_mlp(spark, sf, epochs=5):
+    """Fit scaler + network on the training split once per application; both are saved as Parquet
+    tables in the shared folder and loaded back (as the serving side loads its saved model)."""
+    import os
+    import uuid
+
+    from tripcraft.session import checkpoint_dir
     train, test = train_test(spark, sf, "reduced")
-    scaler = M.Scaler.fit(train, RED)
-    prep = lambda d: M.log_target(scaler.transform(d))
-    model = NN.fit_mlp(prep(train), RED, "label_log", epochs=epochs, batch=512, validation=0.2, patience=5)
-    return model, scaler, prep(test)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf), epochs)
+    path = _TRAINED.get(key)
+    if path is None:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/models/mlp-{uuid.uuid4().hex[:12]}"
+        scaler = M.Scaler.fit(train, RED)
+        prep = lambda d: M.log_target(scaler.transform(d))
+        model = NN.fit_mlp(prep(train), RED, "label_log", epochs=epochs, batch=512, validation=0.2, patience=5)
+        scaler.save(f"{path}/scaler")
+        model.save(spark, f"{path}/weights")
+        _TRAINED[key] = path
+    scaler = M.Scaler.load(spark, f"{path}/scaler")
+    model = NN.MLPModel.load(spark, f"{path}/weights")
+    return model, scaler, M.log_target(scaler.transform(test))
 
 
 def seconds_metrics(pred, name, col="prediction"):

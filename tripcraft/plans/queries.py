@@ -41,11 +41,17 @@ def bounds(spark, sf) -> P.Bounds:
     return P.learn_bounds(trips(spark, sf), quantiles="exact")
 
 
-def cleaned(spark, sf) -> DataFrame:
+def clean_pipeline(spark, sf) -> DataFrame:
+    """The full cleaning plan (bounds learnt with exact quantiles so DuckDB can repeat them)."""
     raw = trips(spark, sf)
     return P.clean_trips(raw, P.learn_bounds(raw, quantiles="exact"))
 
 
+def cleaned(spark, sf) -> DataFrame:
+    """The cleaned table as downstream jobs see it: written once by the cleaning job, then scanned."""
+    return X.derived_table(spark, sf, "cleaned", clean_pipeline)
+
+
 def raw_features(spark, sf) -> DataFrame:
     return P.raw_features(trips(spark, sf))
 
@@ -59,7 +65,7 @@ CLEAN_COLS = ", ".join(S.CLEAN_COLUMNS)
 
 @query("clean_trips", W(*CLEAN_CTES, body=f"SELECT {CLEAN_COLS} FROM cleaned"))
 def q_clean_trips(spark, sf):
-    return cleaned(spark, sf)
+    return clean_pipeline(spark, sf)
 
 
 @query("flag_negative_fee", W(O.TRIPS, body=f"""

@@ -7,6 +7,9 @@ no shuffle, scan columns pruned, so the derived tables scale with `lineitem` / `
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,7 +19,20 @@ _LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores (e.g. one small file
+    with a single row group) evenly over all cores. A large many-file input is left untouched.
+
+    The always-true filter on `spark_partition_id()` is nondeterministic, so the optimizer keeps
+    later (deterministic) filters above it instead of pushing them below the exchange into the
+    single scan task."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target).filter(F.spark_partition_id() >= 0)
+    return df
 
 
 def _row_hash() -> Column:
@@ -32,9 +48,29 @@ def _mod(k: int) -> Column:
     return F.col("h") % k
 
 
+_DERIVED: dict[tuple, str] = {}
+
+
+def derived_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Write a table derived from the driver tables once per application into the shared
+    checkpoint folder (Parquet, one file per task), then scan it like any raw input table.
+
+    Queries then read real columns: their filters reach the Parquet scan as pushed filters instead
+    of re-deriving (and inlining) the recipe per predicate, and the written table survives the
+    loss of an executor."""
+    from tripcraft.session import checkpoint_dir
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    path = _DERIVED.get(key)
+    if path is None:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/derived/{name}-{uuid.uuid4().hex[:12]}"
+        build(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _DERIVED[key] = path
+    return spark.read.parquet(path)
+
+
 def trips_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trips (20 columns, raw trip schema) with planted nulls, negatives, zeros and sentinels."""
-    return trips_from_lineitem(table(spark, sf_dir, "lineitem"))
+    return derived_table(spark, sf_dir, "trips", lambda s, d: trips_from_lineitem(table(s, d, "lineitem")))
 
 
 def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
@@ -80,7 +116,7 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
 def requests_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prediction requests (7 features + model_type); about a quarter pass the range rules."""
-    return requests_from_lineitem(table(spark, sf_dir, "lineitem"))
+    return derived_table(spark, sf_dir, "requests", lambda s, d: requests_from_lineitem(table(s, d, "lineitem")))
 
 
 def requests_from_lineitem(lineitem: DataFrame) -> DataFrame:
@@ -105,8 +141,13 @@ def micros(ts: Column) -> Column:
 
 
 def request_log_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Request log without the per-run sequence columns (6 columns); narrow, no shuffle."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    """Request log without the per-run sequence columns (6 columns)."""
+    return derived_table(spark, sf_dir, "request_log", lambda s, d: log_from_events(table(s, d, "events")))
+
+
+def log_from_events(events: DataFrame) -> DataFrame:
+    """The request-log recipe on any events frame: a narrow projection, no shuffle."""
+    ev = events.select("event_id", "ts", "user_id", "event_type", "value")
     return ev.select(
         F.when(F.col("user_id") % 2 == 0, "A").otherwise("B").alias("run_id"),
         F.col("event_id"),
