@@ -129,14 +129,17 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None, dens
     Pass 1: min/max (per group). Pass 2: bin each row against its group's range, count per
     (group, bin) with map-side partial aggregation. Bins with no rows come from a spine made by
     exploding sequence(0, bins-1) on the statistics table (no join with the data).
-    min = max is widened by +-0.5 as numpy does.
+    min = max is widened by +-0.5 and an empty input spans [0, 1], as numpy does.
     """
     keys = [by] if by else []
     data = df.select(*keys, F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
     stats = data.groupBy(*keys).agg(F.min("x").alias("mn"), F.max("x").alias("mx"), F.count(F.lit(1)).alias("total"))
+    # numpy: min = max widens by 0.5 each side; an empty input spans [0, 1].
     stats = stats.select(*keys, "total",
-                         F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
-                         F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi"))
+                         F.coalesce(F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")),
+                                    F.lit(0.0)).alias("lo"),
+                         F.coalesce(F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")),
+                                    F.lit(1.0)).alias("hi"))
     binned = join_small(data, stats, keys).select(*keys, bin_index(F.col("x"), F.col("lo"), F.col("hi"), bins).alias("bin"))
     counts = binned.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("count"))
     width = (F.col("hi") - F.col("lo")) / F.lit(bins)
@@ -146,7 +149,8 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None, dens
         F.round(F.col("lo") + width * F.col("bin"), 6).alias("bin_lo"),
         F.round(F.col("lo") + width * (F.col("bin") + 1), 6).alias("bin_hi"),
         F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
-        *([F.round(F.coalesce(F.col("count"), F.lit(0)) / (F.col("total") * width), 9).alias("density")] if density else []))
+        *([F.round(F.try_divide(F.coalesce(F.col("count"), F.lit(0)).cast("double"), F.col("total") * width), 9)
+            .alias("density")] if density else []))
     return out.orderBy(*keys, "bin")
 
 

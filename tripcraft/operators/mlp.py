@@ -179,7 +179,12 @@ def fit_mlp(train: DataFrame, features: Sequence[str], label: str, hidden: Seque
     fit_df = data.filter(~is_val).persist(StorageLevel.MEMORY_AND_DISK)
     val_df = data.filter(is_val).persist(StorageLevel.MEMORY_AND_DISK)
     n_in = len(features)
-    model = MLPModel(init_weights(n_in, tuple(hidden), seed), n_in, tuple(hidden))
+    w0 = init_weights(n_in, tuple(hidden), seed)
+    # Start the output bias at the label mean (one aggregate), so few local steps are not spent
+    # just shifting the output to the label's scale.
+    mean = fit_df.agg(F.avg(label)).first()[0]
+    w0[-1] = float(mean) if mean is not None else 0.0
+    model = MLPModel(w0, n_in, tuple(hidden))
     best, best_loss, wait, step = model.weights, float("inf"), 0, 0
     try:
         for epoch in range(epochs):
