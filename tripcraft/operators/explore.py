@@ -15,18 +15,23 @@ from pyspark.sql import functions as F
 
 from tripcraft.functions import columns as C
 
-# Broadcast a per-group statistics table only up to this many rows; beyond it, a shuffle join.
+# Broadcast a dimension table only up to this many rows (checked); beyond it, a shuffle join.
 BROADCAST_ROW_LIMIT = 100_000
 
 
-def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
-               limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Join a per-group statistics table. No keys: the side is one row, broadcast.
-    With keys: broadcast only after checking its row count; otherwise a normal shuffle join."""
+def quantiles_by(df: DataFrame, column: str, probs: Sequence[float], by: Sequence[str], names: Sequence[str]) -> DataFrame:
+    from tripcraft.operators.quality import exact_quantiles
+    return exact_quantiles(df, column, probs, by, names)
+
+
+def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join a statistics table back to the data.
+
+    No keys: the side is a one-row global aggregate (proven size), broadcast. With keys: a plain
+    join; the statistics side is an aggregation stage, so adaptive execution sees its real size at
+    run time and broadcasts it only when it is small, keeping a shuffle join otherwise."""
     if not on:
         return big.crossJoin(F.broadcast(small))
-    if small.count() <= limit:
-        small = F.broadcast(small)
     return big.join(small, list(on), how)
 
 
@@ -59,14 +64,17 @@ def temporal_profile(df: DataFrame, value: str = "trip_duration_min") -> DataFra
 
 
 def medians(df: DataFrame, specs: Mapping[str, tuple[str, Column | None]]) -> DataFrame:
-    """Exact interpolated medians: {name: (column, row filter or None)} -> (name, median), one scan."""
-    aggs = []
-    for name, (c, cond) in specs.items():
-        x = F.col(c) if cond is None else F.when(cond, F.col(c))
-        aggs.append(F.percentile(x, F.lit(0.5)).alias(name))
-    wide = df.agg(*aggs)
-    rows = [F.struct(F.lit(n).alias("name"), F.round(F.col(n), 6).alias("median")) for n in specs]
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    """Exact interpolated medians: {name: (column, row filter or None)} -> (name, median), one scan.
+
+    Each row becomes one (name, value) record per spec; (name, value) counts are aggregated
+    first, then `percentile(value, 0.5, count)` runs per name over the distinct values."""
+    recs = F.array(*[F.struct(F.lit(n).alias("name"),
+                              (F.col(c) if cond is None else F.when(cond, F.col(c))).cast("double").alias("v"))
+                     for n, (c, cond) in specs.items()])
+    long = df.select(F.explode(recs).alias("r")).select("r.*")
+    q = quantiles_by(long, "v", [0.5], ["name"], ["median"])
+    names = df.sparkSession.createDataFrame([(n,) for n in specs], "name string")
+    return names.join(q, "name", "left").select("name", F.round("median", 6).alias("median"))
 
 
 def threshold_shares(df: DataFrame, rules: Mapping[str, tuple[str, Column, Column | None]]) -> DataFrame:
@@ -229,13 +237,16 @@ def box_stats(df: DataFrame, column: str, by: str, whis: float = 1.5) -> DataFra
     the furthest points inside q1 - whis*IQR / q3 + whis*IQR, outlier count, notch median +-
     1.57*IQR/sqrt(n), mean.
 
-    Pass 1 aggregates quartiles per group (state per group = value->count map, combined map-side).
-    Pass 2 joins those few rows back (size-checked broadcast) to find whiskers and outliers.
+    Pass 1 counts (group, value) pairs, then takes quartiles per group from the distinct values
+    (`percentile` with frequencies). Pass 2 joins those few rows back (broadcast when small) to
+    find whiskers and outliers.
     """
     data = df.select(F.col(by).alias("grp"), F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    q = data.groupBy("grp").agg(
-        F.percentile("x", F.lit(0.25)).alias("q1"), F.percentile("x", F.lit(0.5)).alias("median"),
-        F.percentile("x", F.lit(0.75)).alias("q3"), F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"))
+    vc = data.groupBy("grp", "x").agg(F.count(F.lit(1)).alias("_w"))
+    q = vc.groupBy("grp").agg(
+        F.percentile("x", F.lit(0.25), F.col("_w")).alias("q1"), F.percentile("x", F.lit(0.5), F.col("_w")).alias("median"),
+        F.percentile("x", F.lit(0.75), F.col("_w")).alias("q3"), F.sum("_w").alias("n"),
+        (F.sum(F.col("x") * F.col("_w")) / F.sum("_w")).alias("mean"))
     q = q.withColumns({"iqr": F.col("q3") - F.col("q1")})
     q = q.withColumns({"lo_f": F.col("q1") - whis * F.col("iqr"), "hi_f": F.col("q3") + whis * F.col("iqr")})
     j = join_small(data, q, ["grp"])

@@ -71,7 +71,7 @@ def _numbered_ranges(log: DataFrame, run: str, partitions: int | None) -> DataFr
     }).drop("_mid", "_pid", "_loc", "_first", "_off", "_lat_off")
 
 
-def _sequenced(log: DataFrame, run: str = "run_id", method: str = "window", partitions: int | None = None) -> DataFrame:
+def _sequenced(log: DataFrame, run: str = "run_id", method: str = "ranges", partitions: int | None = None) -> DataFrame:
     """Log + request_num + elapsed + `_cum` (exact running latency sum in request order)."""
     if method == "window":
         df = _numbered_window(log, run)
@@ -82,7 +82,7 @@ def _sequenced(log: DataFrame, run: str = "run_id", method: str = "window", part
     return _elapsed(df, run)
 
 
-def with_sequence(log: DataFrame, run: str = "run_id", method: str = "window", partitions: int | None = None) -> DataFrame:
+def with_sequence(log: DataFrame, run: str = "run_id", method: str = "ranges", partitions: int | None = None) -> DataFrame:
     """Request log with completion number and elapsed seconds (8 columns)."""
     return _sequenced(log, run, method, partitions).drop("_cum")
 
@@ -92,12 +92,13 @@ def summarize_log(log: DataFrame, run: str = "run_id") -> DataFrame:
     latency mean / median / p95 / p99 / min / max in ms (linear-interpolated percentiles), rounded 2.
 
     Wall time is the run's last elapsed value (log time, not a stopwatch)."""
+    from tripcraft.operators.quality import exact_quantiles
     lat = F.col("latency")
-    g = log.groupBy(run).agg(
+    basic = log.groupBy(run).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("success")).alias("ok"),
-        F.max("elapsed").alias("wall"), F.avg(lat).alias("mean"),
-        F.percentile(lat, F.lit(0.5)).alias("p50"), F.percentile(lat, F.lit(0.95)).alias("p95"),
-        F.percentile(lat, F.lit(0.99)).alias("p99"), F.min(lat).alias("mn"), F.max(lat).alias("mx"))
+        F.max("elapsed").alias("wall"), F.avg(lat).alias("mean"), F.min(lat).alias("mn"), F.max(lat).alias("mx"))
+    pct = exact_quantiles(log, "latency", [0.5, 0.95, 0.99], [run], ["p50", "p95", "p99"])
+    g = basic.join(pct, run, "left")
     ms = lambda c: F.round(F.col(c) * 1000.0, 2)
     return g.select(
         run,
@@ -122,7 +123,7 @@ def latency_histogram(log: DataFrame, bins: int = 50, run: str = "run_id") -> Da
     return histogram(log.withColumn("latency_ms", F.col("latency") * 1000.0), "latency_ms", bins, by=run)
 
 
-def rolling_latency(log: DataFrame, run: str = "run_id", method: str = "window", min_requests: int = 5) -> DataFrame:
+def rolling_latency(log: DataFrame, run: str = "run_id", method: str = "ranges", min_requests: int = 5) -> DataFrame:
     """Rolling mean latency (ms) over the last w = max(5, n // 20) requests of each run, computed
     only for runs with at least 5 requests (min_periods 1: the first rows average what exists).
 
@@ -140,7 +141,7 @@ def rolling_latency(log: DataFrame, run: str = "run_id", method: str = "window",
 
 
 def progress(log: DataFrame, parts: int = 20, include_last: bool = True, run: str = "run_id",
-             method: str = "window") -> DataFrame:
+             method: str = "ranges") -> DataFrame:
     """Progress snapshots every max(1, n // parts) completed requests (plus the last one when
     `include_last`, as the UI does; the CLI uses parts=10 without it): completed count, percent,
     elapsed seconds and the running mean latency in ms at that point."""

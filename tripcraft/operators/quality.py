@@ -11,22 +11,38 @@ from tripcraft import schema as S
 from tripcraft.functions import columns as C
 
 
+def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], by: Sequence[str] = (),
+                    names: Sequence[str] | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles (per group when `by`), nulls ignored.
+
+    Rows are first collapsed to (value, count) by a hash aggregate spread over all shuffle
+    partitions; `percentile(value, p, count)` then runs on the distinct values, so each task's
+    partial map holds a disjoint slice and the final merge touches every distinct value once
+    (instead of once per task that saw it)."""
+    names = list(names or [f"q{i}" for i in range(len(probs))])
+    vc = df.filter(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("_w"))
+    return vc.groupBy(*by).agg(*[F.percentile(F.col(column), F.lit(float(p)), F.col("_w")).alias(n)
+                                 for p, n in zip(probs, names)])
+
+
 def quantiles(df: DataFrame, column: str, probs: Sequence[float], method: str = "approx",
               error: float = S.QUANTILE_ERROR) -> list[float]:
     """Quantiles of a column, nulls ignored.
 
     approx: Greenwald-Khanna sketches per partition merged on the driver (`approxQuantile`),
             state O(1/error) per task, result is an existing value within rank error.
-    exact:  `percentile` (linear interpolation, as pandas / numpy). Its partial aggregate is a
-            value->count map combined map-side, so state and shuffle grow with the number of
-            distinct values (bounded by the cent/mile resolution of these columns), not rows.
+    exact:  linear interpolation (as pandas / numpy) via `exact_quantiles`: state grows with the
+            number of distinct values (bounded by the cent/mile resolution of these columns),
+            not with rows.
     """
     probs = [float(p) for p in probs]
     if method == "approx":
         return [float(v) for v in df.approxQuantile(column, probs, error)]
     if method != "exact":
         raise ValueError(f"method must be 'approx' or 'exact', not {method!r}")
-    row = df.agg(*[F.percentile(F.col(column), F.lit(p)).alias(f"q{i}") for i, p in enumerate(probs)]).first()
+    row = exact_quantiles(df, column, probs).first()
+    if row is None:
+        return [None] * len(probs)
     return [None if row[i] is None else float(row[i]) for i in range(len(probs))]
 
 

@@ -120,15 +120,15 @@ def bounds_frame(raw: DataFrame, quantiles: str = "approx", error: float = S.QUA
     Two global aggregates (raw q75; q1/q3 after the money filters), each a single-row result,
     joined as a cross join of two one-row relations.
     """
-    def q(c, p):
-        if quantiles == "exact":
-            return F.percentile(F.col(c), F.lit(p))
-        return F.percentile_approx(F.col(c), F.lit(p), F.lit(int(round(1 / error))))
-
     money = raw.select("trip_distance", "fare_amount", "total_amount", *S.NEG_FEE_COLUMNS).filter(Q.money_ok())
-    a = raw.agg(q("total_amount", 0.75).cast("double").alias("q75_total"))
-    b = money.agg(q("trip_distance", 0.25).cast("double").alias("q1_distance"),
-                  q("trip_distance", 0.75).cast("double").alias("q3_distance"))
+    if quantiles == "exact":
+        a = Q.exact_quantiles(raw, "total_amount", [0.75], names=["q75_total"])
+        b = Q.exact_quantiles(money, "trip_distance", [0.25, 0.75], names=["q1_distance", "q3_distance"])
+    else:
+        acc = F.lit(int(round(1 / error)))
+        a = raw.agg(F.percentile_approx("total_amount", F.lit(0.75), acc).cast("double").alias("q75_total"))
+        b = money.agg(F.percentile_approx("trip_distance", F.lit(0.25), acc).cast("double").alias("q1_distance"),
+                      F.percentile_approx("trip_distance", F.lit(0.75), acc).cast("double").alias("q3_distance"))
     upper = F.greatest(F.col("q3_distance") + S.DISTANCE_IQR_K * (F.col("q3_distance") - F.col("q1_distance")),
                        F.lit(S.DISTANCE_FLOOR))
     return a.crossJoin(b).select("q75_total", "q1_distance", "q3_distance", upper.alias("distance_upper"))

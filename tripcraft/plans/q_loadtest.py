@@ -123,6 +123,12 @@ def q_request_sequence_ranges(spark, sf):
     return L.with_sequence(X.request_log_base(spark, sf), method="ranges")
 
 
+@query("request_sequence_window", W(O.LOG, body="SELECT * FROM log"))
+def q_request_sequence_window(spark, sf):
+    """Same result, numbered with one window partition per run (fine for bounded runs)."""
+    return L.with_sequence(X.request_log_base(spark, sf), method="window")
+
+
 @query("latency_rolling_ranges")
 def q_latency_rolling_ranges(spark, sf):
     return L.rolling_latency(X.request_log_base(spark, sf), method="ranges")
