@@ -252,13 +252,16 @@ def box_stats(df: DataFrame, column: str, by: str, whis: float = 1.5) -> DataFra
     j = join_small(data, q, ["grp"])
     # matplotlib: whiskers at the furthest points not beyond each fence (the quartile when there is
     # none); every point beyond a fence is an outlier. One pass over the data.
-    w = j.groupBy("grp").agg(
+    stat_cols = ["grp", "q1", "median", "q3", "n", "mean", "iqr"]
+    # The per-group statistics ride along as grouping keys (one value per group), so the
+    # statistics table is joined to the data once.
+    out = j.groupBy(*stat_cols).agg(
         F.min(F.when(F.col("x") >= F.col("lo_f"), F.col("x"))).alias("whislo0"),
         F.max(F.when(F.col("x") <= F.col("hi_f"), F.col("x"))).alias("whishi0"),
         F.count_if((F.col("x") < F.col("lo_f")) | (F.col("x") > F.col("hi_f"))).alias("outliers"),
         F.min("x").alias("mn"), F.max("x").alias("mx"))
-    out = q.join(w, "grp").withColumns({"whislo": F.coalesce(F.least(F.col("whislo0"), F.col("q1")), F.col("q1")),
-                                       "whishi": F.coalesce(F.greatest(F.col("whishi0"), F.col("q3")), F.col("q3"))})
+    out = out.withColumns({"whislo": F.coalesce(F.least(F.col("whislo0"), F.col("q1")), F.col("q1")),
+                           "whishi": F.coalesce(F.greatest(F.col("whishi0"), F.col("q3")), F.col("q3"))})
     notch = 1.57 * F.col("iqr") / F.sqrt(F.col("n").cast("double"))
     r6 = lambda c: F.round(c, 6)
     return out.select(
