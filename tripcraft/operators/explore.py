@@ -24,14 +24,23 @@ def quantiles_by(df: DataFrame, column: str, probs: Sequence[float], by: Sequenc
     return exact_quantiles(df, column, probs, by, names)
 
 
-def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join a statistics table back to the data.
+def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row statistics table (a global aggregate) to every row.
+
+    The row is one struct-valued scalar subquery: it runs once, later references reuse it, the
+    data side stays in its codegen stage, and no join is planned. More than one row is an error,
+    so the size bound is enforced, not assumed."""
+    cols = one_row.columns
+    s = one_row.select(F.struct(*cols).alias("_s")).scalar()
+    return df.withColumns({c: s[c] for c in cols})
 
-    No keys: the side is a one-row global aggregate (proven size), broadcast. With keys: a plain
-    join; the statistics side is an aggregation stage, so adaptive execution sees its real size at
-    run time and broadcasts it only when it is small, keeping a shuffle join otherwise."""
+
+def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join a per-key statistics table back to the data. The statistics side is an aggregation
+    stage, so adaptive execution sees its real size at run time and broadcasts it only when it is
+    small, keeping a shuffle join otherwise. Keyless (one-row) statistics go through `with_scalars`."""
     if not on:
-        return big.crossJoin(F.broadcast(small))
+        return with_scalars(big, small)
     return big.join(small, list(on), how)
 
 
@@ -177,7 +186,7 @@ def kde(df: DataFrame, column: str, grid: int = 200, cut: float = 0.0) -> DataFr
     stats = stats.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
     stats = stats.withColumns({"g_lo": F.col("mn") - F.lit(cut) * F.col("bw"), "g_hi": F.col("mx") + F.lit(cut) * F.col("bw")})
     values = data.groupBy("x").agg(F.count(F.lit(1)).alias("w"))
-    terms = (join_small(values, stats, [])
+    terms = (with_scalars(values, stats)
              .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
              .withColumn("gx", F.col("g_lo") + (F.col("g_hi") - F.col("g_lo")) * F.col("k") / F.lit(grid - 1))
              .withColumn("t", F.col("w") * F.exp(-0.5 * F.pow((F.col("gx") - F.col("x")) / F.col("bw"), 2))))
@@ -211,7 +220,7 @@ def hexbin(df: DataFrame, x: str, y: str, gridsize: int = 60, mincnt: int = 1) -
     pad = (F.col("xh") - F.col("xl")) * 1e-9
     s = s.select((F.col("xl") - pad).alias("xmin"), (F.col("xh") + pad).alias("xmax"), "ymin", "ymax")
     s = s.withColumns({"sx": (F.col("xmax") - F.col("xmin")) / nx, "sy": (F.col("ymax") - F.col("ymin")) / ny})
-    p = join_small(data, s, [])
+    p = with_scalars(data, s)
     p = p.withColumns({"fx": (F.col("x") - F.col("xmin")) / F.col("sx"), "fy": (F.col("y") - F.col("ymin")) / F.col("sy")})
     p = p.withColumns({"ix1": F.rint("fx"), "iy1": F.rint("fy"), "ix2": F.floor("fx"), "iy2": F.floor("fy")})
     d1 = F.pow(F.col("fx") - F.col("ix1"), 2) + 3.0 * F.pow(F.col("fy") - F.col("iy1"), 2)

@@ -117,8 +117,8 @@ def raw_features(raw: DataFrame) -> DataFrame:
 def bounds_frame(raw: DataFrame, quantiles: str = "approx", error: float = S.QUANTILE_ERROR) -> DataFrame:
     """The cleaning bounds as a lazy one-row DataFrame (no driver round trip).
 
-    Two global aggregates (raw q75; q1/q3 after the money filters), each a single-row result,
-    joined as a cross join of two one-row relations.
+    Two global aggregates (raw q75; q1/q3 after the money filters), each a single row; the second
+    is attached to the first as a scalar subquery.
     """
     money = raw.select("trip_distance", "fare_amount", "total_amount", *S.NEG_FEE_COLUMNS).filter(Q.money_ok())
     if quantiles == "exact":
@@ -131,4 +131,5 @@ def bounds_frame(raw: DataFrame, quantiles: str = "approx", error: float = S.QUA
                       F.percentile_approx("trip_distance", F.lit(0.75), acc).cast("double").alias("q3_distance"))
     upper = F.greatest(F.col("q3_distance") + S.DISTANCE_IQR_K * (F.col("q3_distance") - F.col("q1_distance")),
                        F.lit(S.DISTANCE_FLOOR))
-    return a.crossJoin(b).select("q75_total", "q1_distance", "q3_distance", upper.alias("distance_upper"))
+    from tripcraft.operators.explore import with_scalars
+    return with_scalars(a, b).select("q75_total", "q1_distance", "q3_distance", upper.alias("distance_upper"))

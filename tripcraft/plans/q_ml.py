@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tripcraft import schema as S
 from tripcraft.operators import features as FE
 from tripcraft.operators import ml as M
+from tripcraft.operators.explore import with_scalars
 from tripcraft.operators import score as SC
 from tripcraft.plans import oracle_sql as O
 from tripcraft.plans.queries import CLEAN_CTES, W, cleaned, query
@@ -93,10 +94,10 @@ def q_ols_single(spark, sf):
     """Least squares duration ~ distance fitted on train; R^2 on all rows (train + test)."""
     train, test = train_test(spark, sf)
     fit = ols_fit(train)
-    pred = train.unionByName(test).crossJoin(F.broadcast(fit)).withColumn(
+    pred = with_scalars(train.unionByName(test), fit).withColumn(
         "p", F.col("intercept") + F.col("slope") * F.col("trip_distance"))
     m = M.regression_metrics(pred, S.TARGET, "p")
-    return m.crossJoin(F.broadcast(fit)).select(F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"),
+    return with_scalars(m, fit).select(F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"),
                                                 F.col("r2").alias("r2_all"))
 
 
@@ -106,7 +107,7 @@ SELECT count(*) AS n, round(avg(abs(y - p)), 6) AS mae, round(avg(pow(y - p, 2))
   round(sqrt(avg(pow(y - p, 2))), 6) AS rmse, round(1 - avg(pow(y - p, 2)) / var_pop(y), 6) AS r2 FROM ev"""))
 def q_regression_metrics(spark, sf):
     train, test = train_test(spark, sf)
-    pred = test.crossJoin(F.broadcast(ols_fit(train))).withColumn(
+    pred = with_scalars(test, ols_fit(train)).withColumn(
         "p", F.col("intercept") + F.col("slope") * F.col("trip_distance"))
     return M.regression_metrics(pred, S.TARGET, "p")
 

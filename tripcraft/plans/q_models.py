@@ -9,6 +9,7 @@ from tripcraft.operators import features as FE
 from tripcraft.operators import ml as M
 from tripcraft.operators import mlp as NN
 from tripcraft.operators import score as SC
+from tripcraft.operators.explore import with_scalars
 from tripcraft.operators.zones import enrich_zones
 from tripcraft.plans import oracle_sql as O
 from tripcraft.plans.q_ml import RED, split_key, train_test
@@ -55,7 +56,7 @@ def q_linear_regression(spark, sf):
     model = M.fit_linear(train, "full")
     coef = M.linear_coefficients(model, "full", spark)
     m = M.regression_metrics(M.predict(model, test, "full"), S.TARGET, "prediction")
-    return coef.crossJoin(F.broadcast(m.select("mae", "mse", "rmse", "r2")))
+    return with_scalars(coef, m.select("mae", "mse", "rmse", "r2"))
 
 
 @query("pruning_comparison")
