@@ -133,3 +133,13 @@ def linear_coefficients(model, features: str | Sequence[str], spark) -> DataFram
     names = feature_list(features) + ["(intercept)"]
     vals = [float(v) for v in model.coefficients.toArray()] + [float(model.intercept)]
     return spark.createDataFrame(list(zip(names, vals)), "feature string, coefficient double")
+
+
+def pruning_comparison(train: DataFrame, test: DataFrame, label: str = S.TARGET) -> DataFrame:
+    """The same learner (OLS) on the full (13) and reduced (7) feature lists: one metrics row each."""
+    rows = []
+    for name in ("full", "reduced"):
+        model = fit_linear(train, name, label)
+        rows.append(regression_metrics(predict(model, test, name), label, "prediction")
+                    .select(F.lit(f"linear_{name}").alias("model"), "*"))
+    return rows[0].unionByName(rows[1])

@@ -252,3 +252,21 @@ def predictor(models: Mapping[str, MLPModel], float32: Mapping[str, bool] | None
     def apply(variant: Column, xs: list[Column]) -> Column:
         return fn(variant, *xs)
     return apply
+
+
+def compare_variants(df: DataFrame, models: Mapping[str, MLPModel], features: Sequence[str], label: str,
+                     reference: str = "full", float32: Mapping[str, bool] | None = None) -> DataFrame:
+    """Per variant: rows, MAE in seconds (predictions are log1p seconds, inverted with expm1 and
+    clamped at 0) and mean absolute drift from the reference variant, in one aggregate."""
+    fn = predictor(models, float32)
+    xs = [F.col(c) for c in features]
+    secs = {k: F.greatest(F.lit(0.0), F.expm1(fn(F.lit(k), xs))) for k in models}
+    scored = df.select(F.col(label).cast("double").alias("_y"), *[v.alias(f"_p_{k}") for k, v in secs.items()])
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for k in models:
+        aggs += [F.avg(F.abs(F.col("_y") - F.col(f"_p_{k}"))).alias(f"mae_{k}"),
+                 F.avg(F.abs(F.col(f"_p_{k}") - F.col(f"_p_{reference}"))).alias(f"drift_{k}")]
+    wide = scored.agg(*aggs)
+    rows = [F.struct(F.lit(k).alias("variant"), F.col("n").alias("n"), F.round(f"mae_{k}", 6).alias("mae_seconds"),
+                     F.round(f"drift_{k}", 6).alias("mean_abs_drift")) for k in models]
+    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")

@@ -63,11 +63,7 @@ def q_linear_regression(spark, sf):
 def q_pruning_comparison(spark, sf):
     """Same learner on the full (13) and reduced (7) feature lists, one metrics row each."""
     train, test = train_test(spark, sf, "full")
-    rows = []
-    for name in ("full", "reduced"):
-        model = M.fit_linear(train, name)
-        rows.append(metrics_row(M.predict(model, test, name), f"linear_{name}"))
-    return rows[0].unionByName(rows[1])
+    return M.pruning_comparison(train, test)
 
 
 @query("random_forest")
@@ -132,17 +128,9 @@ def q_mlp_regression(spark, sf):
 def q_compare_variants(spark, sf):
     """Full vs int8-quantised network on a 5% sample: MAE in seconds and mean drift from full."""
     model, _, test = train_mlp(spark, sf)
-    small = NN.quantize_model(model)
     sample = IO.eval_sample(test, 0.05, seed=42)
-    fn = NN.predictor({"full": model, "compressed": small}, float32={"compressed": True})
-    xs = [F.col(c) for c in RED]
-    scored = sample.select(S.TARGET, F.greatest(F.lit(0.0), F.expm1(fn(F.lit("full"), xs))).alias("p_full"),
-                           F.greatest(F.lit(0.0), F.expm1(fn(F.lit("compressed"), xs))).alias("p_small"))
-    return scored.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.round(F.avg(F.abs(F.col(S.TARGET) - F.col("p_full"))), 6).alias("mae_full"),
-        F.round(F.avg(F.abs(F.col(S.TARGET) - F.col("p_small"))), 6).alias("mae_compressed"),
-        F.round(F.avg(F.abs(F.col("p_full") - F.col("p_small"))), 6).alias("mean_abs_drift"))
+    return NN.compare_variants(sample, {"full": model, "compressed": NN.quantize_model(model)}, RED, S.TARGET,
+                               float32={"compressed": True})
 
 
 @query("score_requests_mlp")

@@ -79,10 +79,15 @@ def stream_score(requests: DataFrame, models, scaler_params, scored_path: str, r
     spark = requests.sparkSession
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        scored, rejected = score_batch(batch.withColumn("_batch_id", F.lit(batch_id)), models, scaler_params, **kw)
-        # Per-batch partitions make a retried batch overwrite itself instead of appending twice.
-        scored.write.mode("overwrite").parquet(f"{scored_path}/batch_id={batch_id}")
-        rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch_id={batch_id}")
+        # The micro-batch feeds two sinks: keep it once instead of re-reading the source twice.
+        batch = batch.persist()
+        try:
+            scored, rejected = score_batch(batch.withColumn("_batch_id", F.lit(batch_id)), models, scaler_params, **kw)
+            # Per-batch partitions make a retried batch overwrite itself instead of appending twice.
+            scored.write.mode("overwrite").parquet(f"{scored_path}/batch_id={batch_id}")
+            rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     w = requests.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint or checkpoint_location(spark, "score"))
     return w.trigger(**(trigger or {"availableNow": True})).start()
