@@ -192,10 +192,11 @@ def q_stage_audit(spark, sf):
 
 
 @query("quantile_bounds", W(O.TRIPS, O.BOUNDS, body="""
-SELECT (SELECT q75 FROM q75) AS q75_total, q1 AS q1_distance, q3 AS q3_distance,
-  (SELECT upper FROM fence) AS distance_upper FROM dq"""))
+SELECT round((SELECT q75 FROM q75), 9) AS q75_total, round(q1, 9) AS q1_distance, round(q3, 9) AS q3_distance,
+  round((SELECT upper FROM fence), 9) AS distance_upper FROM dq"""))
 def q_quantile_bounds(spark, sf):
-    return P.bounds_frame(trips(spark, sf), "exact")
+    b = P.bounds_frame(trips(spark, sf), "exact")
+    return b.select(*[F.round(c, 9).alias(c) for c in b.columns])
 
 
 DESCRIBE_SQL = " UNION ALL ".join(
