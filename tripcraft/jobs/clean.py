@@ -19,6 +19,7 @@ from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripcraft import schema as S
+from tripcraft.session import ship_package
 from tripcraft.functions import columns as C
 from tripcraft.operators import quality as Q
 from tripcraft.plans import pipeline as P
@@ -63,6 +64,7 @@ def run(spark: SparkSession, raw, output: str, quantiles: str = "approx", partit
 def main(argv=None) -> int:
     args = parse_args(argv)
     spark = SparkSession.builder.appName("tripcraft-clean").getOrCreate()
+    ship_package(spark)
     raw = IO.read_trips(spark, args.input)
     parts = [p for p in args.partition_by.split(",") if p]
     report = run(spark, raw, args.output, args.quantiles, parts)

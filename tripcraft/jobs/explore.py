@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tripcraft import schema as S
+from tripcraft.session import ship_package
 from tripcraft.functions import columns as C
 from tripcraft.operators import explore as E
 from tripcraft.operators import features as FE
@@ -77,6 +78,7 @@ def main(argv=None) -> int:
     ap.add_argument("--output", required=True)
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("tripcraft-explore").getOrCreate()
+    ship_package(spark)
     tables = chart_tables(IO.read_trips(spark, args.raw), IO.read_cleaned(spark, args.cleaned))
     for name, df in tables.items():
         df.coalesce(1).write.mode("overwrite").parquet(f"{args.output.rstrip('/')}/{name}")

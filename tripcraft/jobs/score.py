@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tripcraft import schema as S
+from tripcraft.session import ship_package
 from tripcraft.operators import ml as M
 from tripcraft.operators import mlp as NN
 from tripcraft.operators import score as SC
@@ -38,6 +39,7 @@ def main(argv=None) -> int:
     ap.add_argument("--default", default=S.DEFAULT_VARIANT)
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("tripcraft-score").getOrCreate()
+    ship_package(spark)
     params, nets = load(spark, args.models)
     kw = dict(dispatch=NN.predictor(nets, {"compressed": True}), variants=tuple(nets), default=args.default)
     out = args.output.rstrip("/")

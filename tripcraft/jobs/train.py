@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tripcraft import schema as S
+from tripcraft.session import ship_package
 from tripcraft.operators import features as FE
 from tripcraft.operators import ml as M
 from tripcraft.operators import mlp as NN
@@ -75,6 +76,7 @@ def main(argv=None) -> int:
     ap.add_argument("--epochs", type=int, default=5)
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("tripcraft-train").getOrCreate()
+    ship_package(spark)
     run(spark, IO.read_cleaned(spark, args.cleaned), args.output.rstrip("/"), tuple(args.models.split(",")),
         trees=args.trees, rounds=args.rounds, epochs=args.epochs).show(truncate=False)
     return 0

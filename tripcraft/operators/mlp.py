@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripcraft.session import ship_package
+
 HIDDEN = (32, 64, 128, 128, 64, 32)
 
 
@@ -119,6 +121,7 @@ def _train_partitions(df: DataFrame, weights: np.ndarray, n_in: int, hidden, fea
                       step0: int) -> tuple[np.ndarray, float]:
     """One epoch: local Adam on every partition from the same start, then a row-weighted average."""
     spark = df.sparkSession
+    ship_package(spark)
     bw = spark.sparkContext.broadcast(weights)
     b1, b2, eps = 0.9, 0.999, 1e-7
 
@@ -221,6 +224,7 @@ def quantize_model(model: MLPModel, bits: int = 8) -> MLPModel:
 
 def _udf(models: Mapping[str, MLPModel], float32: Mapping[str, bool] | None = None):
     """Arrow-batched UDF: (variant, *features) -> prediction, each batch split by variant."""
+    ship_package()
     prepared = {k: (m.layers(), (float32 or {}).get(k, False)) for k, m in models.items()}
 
     @F.pandas_udf(T.DoubleType())

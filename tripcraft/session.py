@@ -24,6 +24,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "tri
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -45,3 +46,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="tripcraft-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+_SHIPPED: set[str] = set()
+_ZIP: list[str] = []
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make `tripcraft` importable in executor Python workers (pandas UDFs, mapInPandas).
+
+    Zips the package once per process and adds it with `SparkContext.addPyFile` (what
+    `spark-submit --py-files` does), once per application."""
+    import os
+    import zipfile
+
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    if not _ZIP:
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        out = os.path.join(tempfile.mkdtemp(prefix="tripcraft-pyfiles-"), "tripcraft.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for root, _, files in os.walk(pkg):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(root, f)
+                        z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+        _ZIP.append(out)
+    sc.addPyFile(_ZIP[0])
+    _SHIPPED.add(sc.applicationId)
