@@ -14,6 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+# Scans smaller than this are not spread over cores.
+SPREAD_MIN_BYTES = 1 << 20
+
 _LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                   "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"]
 
@@ -30,9 +33,13 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
     later (deterministic) filters above it instead of pushing them below the exchange into the
     single scan task."""
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target).filter(F.spark_partition_id() >= 0)
-    return df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    # Tiny tables (dimensions) stay as they are: spreading them costs more than it saves.
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(size if isinstance(size, int) else size.toString()) < SPREAD_MIN_BYTES:
+        return df
+    return df.repartition(target).filter(F.spark_partition_id() >= 0)
 
 
 def _row_hash() -> Column:
