@@ -11,9 +11,8 @@ from tripcraft.operators import mlp as NN
 from tripcraft.operators import score as SC
 from tripcraft.operators.explore import with_scalars
 from tripcraft.operators.zones import enrich_zones
-from tripcraft.plans import oracle_sql as O
-from tripcraft.plans.q_ml import RED, split_key, train_test
-from tripcraft.plans.queries import CLEAN_CTES, W, cleaned, query, trips
+from tripcraft.plans.q_ml import RED, train_test
+from tripcraft.plans.queries import CLEAN_CTES, W, cleaned, query
 from tripcraft.sources import fixtures as X
 from tripcraft.sources import io as IO
 

@@ -5,11 +5,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
 
-from tripcraft.plans import oracle_sql as O
 from tripcraft.plans.q_ml import linear_variants, train_test
-from tripcraft.plans.queries import ORACLE, W, query, trips
+from tripcraft.plans.queries import ORACLE, query, trips
 from tripcraft.plans import pipeline as P
 from tripcraft.sources import fixtures as X
 from tripcraft.streaming import stream as ST

@@ -12,7 +12,6 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 # Scans smaller than this are not spread over cores.
 SPREAD_MIN_BYTES = 1 << 20
