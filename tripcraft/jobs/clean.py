@@ -35,7 +35,7 @@ def parse_args(argv=None):
                     help="Raw Parquet path (or env TAXI_RAW_PATH).")
     ap.add_argument("--output", default=os.getenv("TAXI_CLEANED_PATH", DEFAULT_OUTPUT_PATH),
                     help="Cleaned Parquet path (or env TAXI_CLEANED_PATH).")
-    ap.add_argument("--quantiles", choices=["approx", "exact"], default="approx")
+    ap.add_argument("--quantiles", choices=["approx", "exact", "exact_large"], default="approx")
     ap.add_argument("--partition-by", default="", help="Optional comma-separated partition columns, e.g. pickup_month.")
     return ap.parse_args(argv)
 
