@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 from tripcraft import schema as S
 
 
-def read_trips(spark: SparkSession, path: str) -> DataFrame:
+def read_trips(spark: SparkSession, path: str, nan_as_null: bool = False) -> DataFrame:
     """Raw trip Parquet directory with the declared schema (no footer inference across files).
 
-    Doubles go through `nanvl` so NaN counts as missing, as in pandas.
+    Columns are read as they are, so the cleaning predicates reach the scan as pushed filters
+    (Spark semantics: NaN compares greater than any number). `nan_as_null=True` turns NaN doubles
+    into nulls first, as pandas treats them, at the cost of that pushdown.
     """
     df = spark.read.schema(S.RAW_TRIP_SCHEMA).parquet(path)
+    if not nan_as_null:
+        return df
     return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in S.MONEY_COLUMNS})
 
 
