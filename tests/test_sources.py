@@ -64,3 +64,15 @@ def test_early_stopping_restores_best(spark):
     is_val = F.pmod(F.xxhash64(F.lit(42), F.col("a"), F.col("b"), F.col("y")), F.lit(100)) < 30
     assert abs(NN.mse_frame(df.filter(is_val), model, ["a", "b"], "y") - best) < 1e-9
     assert len(model.history) <= 6
+
+
+def test_summary_csv_roundtrip(spark, tmp_path):
+    from tripcraft.operators import loadtest as L
+    log = spark.createDataFrame([("A", 1, 0.1, True, 0.0), ("A", 2, 0.3, False, 1.5)],
+                                "run_id string, event_id long, latency double, success boolean, elapsed double")
+    tall = IO.summary_to_tall(L.summarize_log(log), ["run_id"]).select("metric", "value")
+    out = str(tmp_path / "csv")
+    IO.write_summary_csv(tall, out)
+    back = {r.metric: r.value for r in IO.read_summary_csv(spark, out).collect()}
+    assert back["Total Requests"] == 2.0 and back["Failed"] == 1.0 and back["Error Rate (%)"] == 50.0
+    assert back["Median Latency (ms)"] == 200.0 and back["Total Time (s)"] == 1.5
