@@ -88,3 +88,18 @@ def test_mlp_weights_roundtrip(spark, tmp_path):
     m.save(spark, str(tmp_path / "w"))
     back = NN.MLPModel.load(spark, str(tmp_path / "w"))
     assert back.hidden == NN.HIDDEN and np.array_equal(back.weights, m.weights)
+
+
+def test_mlp_resumes_from_saved_epochs(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(800, 2))
+    y = 1.0 + x[:, 0]
+    df = spark.createDataFrame([(float(a), float(b), float(c)) for (a, b), c in zip(x, y)], "a double, b double, y double")
+    d = str(tmp_path / "resume")
+    first = NN.fit_mlp(df, ["a", "b"], "y", hidden=(8,), epochs=2, batch=64, resume_dir=d)
+    again = NN.fit_mlp(df, ["a", "b"], "y", hidden=(8,), epochs=4, batch=64, resume_dir=d)
+    assert [h["epoch"] for h in first.history] == [1, 2]
+    assert [h["epoch"] for h in again.history] == [1, 2, 3, 4]
+    assert again.history[:2] == first.history
+    straight = NN.fit_mlp(df, ["a", "b"], "y", hidden=(8,), epochs=4, batch=64)
+    assert np.allclose(straight.weights, again.weights)

@@ -50,7 +50,9 @@ def run(spark, cleaned, output: str, models=("linear", "forest", "boosted", "mlp
         scaler = M.Scaler.fit(red_tr, S.REDUCED_FEATURES)
         scaler.save(f"{output}/scaler")
         prep = lambda d: M.log_target(scaler.transform(d))
-        net = NN.fit_mlp(prep(red_tr), S.REDUCED_FEATURES, "label_log", epochs=epochs, seed=seed)
+        # Per-epoch state in the output folder: a re-submitted job resumes instead of restarting.
+        net = NN.fit_mlp(prep(red_tr), S.REDUCED_FEATURES, "label_log", epochs=epochs, seed=seed,
+                         resume_dir=f"{output}/mlp_state")
         small = NN.quantize_model(net)
         net.save(spark, f"{output}/mlp_full")
         small.save(spark, f"{output}/mlp_compressed")

@@ -170,30 +170,66 @@ def mse_frame(df: DataFrame, model: MLPModel, features: Sequence[str], label: st
     return float(row["mse"]) if row["mse"] is not None else float("nan")
 
 
+def _load_state(spark, resume_dir: str | None):
+    """Last finished epoch saved under `resume_dir` (shared folder), or None."""
+    if not resume_dir:
+        return None
+    import json
+    try:
+        row = spark.read.parquet(f"{resume_dir}/state").first()
+    except Exception:  # noqa: BLE001 - no state written yet
+        return None
+    if row is None:
+        return None
+    return (row["epoch"], row["best_loss"], row["wait"], json.loads(row["history"]),
+            MLPModel.load(spark, f"{resume_dir}/current"), MLPModel.load(spark, f"{resume_dir}/best"))
+
+
+def _save_state(spark, resume_dir: str, epoch: int, best_loss: float, wait: int, history: list,
+                current: MLPModel, best: MLPModel) -> None:
+    import json
+    current.save(spark, f"{resume_dir}/current")
+    best.save(spark, f"{resume_dir}/best")
+    spark.createDataFrame([(epoch, float(best_loss), wait, json.dumps(history))],
+                          "epoch int, best_loss double, wait int, history string") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{resume_dir}/state")
+
+
 def fit_mlp(train: DataFrame, features: Sequence[str], label: str, hidden: Sequence[int] = HIDDEN, epochs: int = 5,
-            batch: int = 512, validation: float = 0.2, patience: int = 5, lr: float = 1e-3, seed: int = 42) -> MLPModel:
+            batch: int = 512, validation: float = 0.2, patience: int = 5, lr: float = 1e-3, seed: int = 42,
+            resume_dir: str | None = None) -> MLPModel:
     """Train on `label` (already transformed, e.g. log1p seconds) from standardised `features`.
 
     A hash-chosen `validation` share of rows is held out; after each epoch its MSE is measured and
-    the best weights are kept (early stop after `patience` epochs without improvement)."""
+    the best weights are kept (early stop after `patience` epochs without improvement). With
+    `resume_dir` (a shared folder), the state after every epoch is written there and a restarted
+    call continues from the last finished epoch instead of from scratch."""
     from pyspark import StorageLevel
+    spark = train.sparkSession
     data = train.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("double").alias(label))
     is_val = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in data.columns]), F.lit(100)) < int(round(validation * 100))
     fit_df = data.filter(~is_val).persist(StorageLevel.MEMORY_AND_DISK)
     val_df = data.filter(is_val).persist(StorageLevel.MEMORY_AND_DISK)
     n_in = len(features)
-    w0 = init_weights(n_in, tuple(hidden), seed)
-    # Start the output bias at the label mean (one aggregate), so few local steps are not spent
-    # just shifting the output to the label's scale.
-    mean = fit_df.agg(F.avg(label)).first()[0]
-    w0[-1] = float(mean) if mean is not None else 0.0
-    model = MLPModel(w0, n_in, tuple(hidden))
-    best, best_loss, wait, step = model.weights, float("inf"), 0, 0
+    state = _load_state(spark, resume_dir)
+    if state is not None:
+        start, best_loss, wait, history, model, best_model = state
+        model.history = history
+        best = best_model.weights
+    else:
+        w0 = init_weights(n_in, tuple(hidden), seed)
+        # Start the output bias at the label mean (one aggregate), so few local steps are not spent
+        # just shifting the output to the label's scale.
+        mean = fit_df.agg(F.avg(label)).first()[0]
+        w0[-1] = float(mean) if mean is not None else 0.0
+        model = MLPModel(w0, n_in, tuple(hidden))
+        start, best, best_loss, wait = 0, model.weights, float("inf"), 0
     try:
-        for epoch in range(epochs):
+        for epoch in range(start, epochs):
+            if wait >= patience:
+                break
             w, train_loss = _train_partitions(fit_df, model.weights, n_in, tuple(hidden), features, label, batch, lr,
-                                              seed, epoch, step)
-            step += 1
+                                              seed, epoch, 0)
             model = MLPModel(w, n_in, tuple(hidden), model.history)
             val_loss = mse_frame(val_df, model, features, label) if validation > 0 else train_loss
             model.history.append({"epoch": epoch + 1, "loss": train_loss, "val_loss": val_loss})
@@ -201,8 +237,9 @@ def fit_mlp(train: DataFrame, features: Sequence[str], label: str, hidden: Seque
                 best, best_loss, wait = model.weights, val_loss, 0
             else:
                 wait += 1
-                if wait >= patience:
-                    break
+            if resume_dir:
+                _save_state(spark, resume_dir, epoch + 1, best_loss, wait, model.history, model,
+                            MLPModel(best, n_in, tuple(hidden)))
     finally:
         fit_df.unpersist()
         val_df.unpersist()
