@@ -49,3 +49,28 @@ def test_stream_score_two_sinks(spark, sf001):
     rejected = spark.read.parquet(f"{base}/rejected")
     valid, rej = SC.validate_requests(X.requests_from_star(spark, sf001))
     assert scored.count() == valid.count() and rejected.count() == rej.count()
+
+
+def test_late_rows_beyond_watermark_are_dropped(spark, tmp_path):
+    """A row older than the watermark is dropped once the late-event threshold has caught up
+    (Spark applies the previous batch's watermark to late input, so an on-time batch comes first)."""
+    import datetime as dt
+    import time
+    schema = "run_id string, event_id long, ts timestamp_ntz, latency double, success boolean"
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    batches = [
+        [("A", i, t0 + dt.timedelta(seconds=i), 0.1, True) for i in range(6)]
+        + [("A", 99, t0 + dt.timedelta(seconds=60), 0.1, True)],                    # watermark -> 10:00:50
+        [("A", 100, t0 + dt.timedelta(seconds=61), 0.1, True)],                     # on time
+        [("A", 101, t0 + dt.timedelta(seconds=2, milliseconds=500), 5.0, False)],   # late: window 10:00:02 closed
+    ]
+    src = tmp_path / "log"
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(src / f"b{i}"))
+        time.sleep(1.1)  # distinct modification times fix the order in which files are picked up
+    stream = ST.read_stream(spark, f"{src}/b*/*.parquet", spark.createDataFrame([], schema).schema, max_files=1)
+    got = ST.run_to_table(ST.stream_metrics(stream, window="1 second", delay="10 seconds"),
+                          f"late_{uuid.uuid4().hex[:6]}")
+    rows = [r for r in got.collect() if r.window_start.second == 2]
+    assert len(rows) == 1 and rows[0].requests == 1 and rows[0].max_latency_ms == 100.0
+    assert {r.window_start.second for r in got.collect()} == {0, 1, 2, 3, 4, 5}

@@ -1,8 +1,8 @@
 """Structured Streaming jobs (inventory I1-I3), each with a batch twin.
 
 I1 `stream_metrics`: live request metrics per tumbling event-time window; late rows beyond the
-   watermark are dropped, windows are emitted once closed (append mode), state is bounded by the
-   watermark.
+   watermark are dropped (Spark filters late input with the previous batch's watermark), windows
+   are emitted once closed (append mode), state is bounded by the watermark.
 I2 `stream_score`: validates and scores a request stream; `foreachBatch` writes accepted and
    rejected rows to two sinks (idempotent per batch id, so a retried batch does not duplicate).
 I3 `stream_clean`: stateless cleaning of a trip stream with bounds learnt by the batch job.
