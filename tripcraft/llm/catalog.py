@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripcraft.llm.decontaminate import OP4_SQL, op4_decontaminate
+from tripcraft.llm.langid import op10_langid
 from tripcraft.llm.simhash import op1_simhash
+from tripcraft.llm.tokens import op5_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op4_decontaminate": op4_decontaminate,
+    "op5_token_files": op5_token_files,
+    "op10_langid": op10_langid,
 }
 
 ORACLE: dict[str, str] = {
