@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripcraft.llm.decontaminate import OP4_SQL, op4_decontaminate
 from tripcraft.llm.langid import op10_langid
+from tripcraft.llm.mixing import OP7_SQL, op7_mixing
 from tripcraft.llm.simhash import op1_simhash
 from tripcraft.llm.tokens import op5_token_files
 
@@ -15,9 +16,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op4_decontaminate": op4_decontaminate,
     "op5_token_files": op5_token_files,
+    "op7_mixing": op7_mixing,
     "op10_langid": op10_langid,
 }
 
 ORACLE: dict[str, str] = {
     "op4_decontaminate": OP4_SQL,
+    "op7_mixing": OP7_SQL,
 }
