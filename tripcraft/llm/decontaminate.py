@@ -155,13 +155,14 @@ def search(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
-           item_text: str = "text", window: int = WINDOW) -> DataFrame:
+           item_text: str = "text", window: int = WINDOW, length: str | None = None) -> DataFrame:
     """``docs`` with the hit spans cut out of the text (from the first to the last hit word of each span), again
-    until no window occurs; rows of which no word is left are dropped. Clean rows are unchanged."""
+    until no window occurs; rows of which no word is left are dropped. Clean rows are unchanged. ``length`` names
+    a column with the text's code points that follows the cut, where the table has it."""
     spark = docs.sparkSession
-    out = docs
     blocks = [spark.sparkContext.broadcast(Windows(b, window)) for b in _blocks(benchmark, item, item_text)]
     at = docs.columns.index(text)
+    size = docs.columns.index(length) if length in docs.columns else None
 
     def cut(body: bytes, spans: list[tuple[int, int]]) -> bytes:
         places = [m.span() for m in _WORD.finditer(body)]
@@ -185,13 +186,18 @@ def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str
                 todo = sorted(hit)
             if changed:
                 columns = list(b.columns)
-                columns[at] = pa.array([None if r is None else r.decode() for r in raw], b.schema.field(at).type)
+                bodies = [None if r is None else r.decode() for r in raw]
+                columns[at] = pa.array(bodies, b.schema.field(at).type)
+                if size is not None:
+                    sizes = b.column(size).to_pylist()
+                    columns[size] = pa.array([len(bodies[d]) if d in changed else n for d, n in enumerate(sizes)],
+                                             b.schema.field(size).type)
                 b = pa.RecordBatch.from_arrays(columns, schema=b.schema)
                 gone = {d for d in changed if not words_of(raw[d])}
                 b = b.filter(pa.array([d not in gone for d in range(len(raw))]))
             yield b
 
-    return out.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
