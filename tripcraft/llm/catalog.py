@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripcraft.llm.decontaminate import OP4_SQL, op4_decontaminate
+from tripcraft.llm.embeddings import OP9_SQL, op9_embeddings
 from tripcraft.llm.langid import op10_langid
 from tripcraft.llm.mixing import OP7_SQL, op7_mixing
 from tripcraft.llm.simhash import op1_simhash
@@ -17,10 +18,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontaminate": op4_decontaminate,
     "op5_token_files": op5_token_files,
     "op7_mixing": op7_mixing,
+    "op9_embeddings": op9_embeddings,
     "op10_langid": op10_langid,
 }
 
 ORACLE: dict[str, str] = {
     "op4_decontaminate": OP4_SQL,
     "op7_mixing": OP7_SQL,
+    "op9_embeddings": OP9_SQL,
 }
