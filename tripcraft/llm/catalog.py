@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripcraft.llm.decontaminate import OP4_SQL, op4_decontaminate
 from tripcraft.llm.embeddings import OP9_SQL, op9_embeddings
+from tripcraft.llm.html import op3_html
 from tripcraft.llm.langid import op10_langid
 from tripcraft.llm.mixing import OP7_SQL, op7_mixing
 from tripcraft.llm.simhash import op1_simhash
@@ -15,6 +16,7 @@ from tripcraft.llm.tokens import op5_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_html": op3_html,
     "op4_decontaminate": op4_decontaminate,
     "op5_token_files": op5_token_files,
     "op7_mixing": op7_mixing,
