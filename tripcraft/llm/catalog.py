@@ -11,6 +11,7 @@ from tripcraft.llm.embeddings import OP9_SQL, op9_embeddings
 from tripcraft.llm.html import op3_html
 from tripcraft.llm.langid import op10_langid
 from tripcraft.llm.mixing import OP7_SQL, op7_mixing
+from tripcraft.llm.pii import op6_pii
 from tripcraft.llm.simhash import op1_simhash
 from tripcraft.llm.tokens import op5_token_files
 
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html": op3_html,
     "op4_decontaminate": op4_decontaminate,
     "op5_token_files": op5_token_files,
+    "op6_pii": op6_pii,
     "op7_mixing": op7_mixing,
     "op9_embeddings": op9_embeddings,
     "op10_langid": op10_langid,
