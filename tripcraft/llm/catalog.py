@@ -13,10 +13,12 @@ from tripcraft.llm.langid import op10_langid
 from tripcraft.llm.mixing import OP7_SQL, op7_mixing
 from tripcraft.llm.pii import op6_pii
 from tripcraft.llm.simhash import op1_simhash
+from tripcraft.llm.tokencount import op2_token_counts
 from tripcraft.llm.tokens import op5_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_token_counts": op2_token_counts,
     "op3_html": op3_html,
     "op4_decontaminate": op4_decontaminate,
     "op5_token_files": op5_token_files,
