@@ -12,6 +12,7 @@ from tripcraft.llm.html import op3_html
 from tripcraft.llm.langid import op10_langid
 from tripcraft.llm.mixing import OP7_SQL, op7_mixing
 from tripcraft.llm.pii import op6_pii
+from tripcraft.llm.quality import op8_quality
 from tripcraft.llm.simhash import op1_simhash
 from tripcraft.llm.tokencount import op2_token_counts
 from tripcraft.llm.tokens import op5_token_files
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_files": op5_token_files,
     "op6_pii": op6_pii,
     "op7_mixing": op7_mixing,
+    "op8_quality": op8_quality,
     "op9_embeddings": op9_embeddings,
     "op10_langid": op10_langid,
 }
