@@ -66,6 +66,6 @@ def test_money_rule_never_keeps_ghost_refunds(spark, rows):
        ps=st.lists(st.floats(0.0, 1.0), min_size=1, max_size=4))
 def test_distributed_exact_quantiles_equal_numpy(spark, xs, ps):
     df = spark.createDataFrame([(float(x),) for x in xs] + [(None,)], "x double")
-    got = Q.exact_quantiles_large(df, "x", ps, max_values=5, buckets=4, error=0.01)
+    got = Q.quantiles(df, "x", ps, "exact")
     for g, p in zip(got, ps):
         assert abs(g - float(np.percentile(xs, p * 100))) <= 1e-9 * max(1.0, abs(g))

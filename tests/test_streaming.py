@@ -5,6 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tripcraft.plans import pipeline as P
+from tripcraft.session import checkpoint_dir
 from tripcraft.sources import fixtures as X
 from tripcraft.streaming import stream as ST
 
@@ -13,27 +14,51 @@ def _stream(spark, sf, name):
     return ST.read_stream(spark, f"{sf}/{name}*.parquet", X.table(spark, sf, name).schema)
 
 
+def _base(spark):
+    return f"{checkpoint_dir(spark).rstrip('/')}/test-streams/{uuid.uuid4().hex[:8]}"
+
+
 def test_stream_clean_equals_batch(spark, sf001):
     raw = X.trips_from_star(spark, sf001)
     b = P.learn_bounds(raw, "exact")
     batch = P.clean_trips(raw, b)
+    base = _base(spark)
     got = ST.run_to_table(ST.stream_clean(X.trips_from_lineitem(_stream(spark, sf001, "lineitem")), b),
-                          f"clean_{uuid.uuid4().hex[:6]}")
+                          f"{base}/out", f"{base}/checkpoint")
     assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
 
 
-def test_stream_metrics_closed_windows_equal_batch(spark, sf001):
+def test_stream_metrics_equal_batch(spark, sf001):
+    base = _base(spark)
     log = ST.with_stream_log(_stream(spark, sf001, "events"))
-    got = ST.run_to_table(ST.stream_metrics(log, window="1 hour", delay="10 minutes"), f"win_{uuid.uuid4().hex[:6]}")
-    base = X.request_log_base(spark, sf001)
-    wm = base.agg(F.max("ts")).first()[0]
-    twin = (base.groupBy("run_id", F.date_trunc("hour", "ts").alias("window_start"))
-            .agg(F.count(F.lit(1)).alias("requests"))
-            .withColumn("window_end", F.col("window_start") + F.expr("INTERVAL 1 HOUR"))
-            .filter(F.col("window_end") <= F.lit(wm) - F.expr("INTERVAL 10 MINUTES")))
+    got = ST.run_to_latest(ST.stream_metrics(log, window="1 hour", delay="10 minutes"),
+                           ["run_id", "window_start", "window_end"], f"{base}/out", f"{base}/checkpoint")
+    twin = (ST.with_stream_log(X.table(spark, sf001, "events")).groupBy("run_id", F.date_trunc("hour", "ts").alias("window_start"))
+            .agg(F.count(F.lit(1)).alias("requests")))
     a = got.select("run_id", "window_start", "requests")
-    b = twin.select("run_id", "window_start", "requests")
-    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert a.count() > 0 and a.exceptAll(twin).count() == 0 and twin.exceptAll(a).count() == 0
+
+
+def test_latest_windows_over_several_batches_and_a_restart(spark, tmp_path):
+    import datetime as dt
+    schema = "run_id string, event_id long, ts timestamp_ntz, latency double, success boolean"
+    t0, src, base = dt.datetime(2024, 1, 1, 10), tmp_path / "log", _base(spark)
+
+    def add(k, seconds):
+        spark.createDataFrame([("A", 10 * k + i, t0 + dt.timedelta(seconds=x), 0.1, True) for i, x in enumerate(seconds)],
+                              schema).coalesce(1).write.parquet(str(src / f"b{k}"))
+
+    def run():
+        stream = ST.read_stream(spark, f"{src}/b*/*.parquet", spark.createDataFrame([], schema).schema, max_files=1)
+        out = ST.run_to_latest(ST.stream_metrics(stream, window="10 seconds", delay="1 minute"),
+                               ["run_id", "window_start", "window_end"], f"{base}/out", f"{base}/checkpoint")
+        return {r.window_start.second: r.requests for r in out.collect()}
+
+    add(0, [1, 2, 11])
+    add(1, [3, 12, 21])
+    assert run() == {0: 3, 10: 2, 20: 1}
+    add(2, [4, 29])
+    assert run() == {0: 4, 10: 2, 20: 2}
 
 
 def test_stream_score_two_sinks(spark, sf001):
@@ -41,9 +66,9 @@ def test_stream_score_two_sinks(spark, sf001):
     from tripcraft.plans.q_ml import linear_variants, train_test
     train, _ = train_test(spark, sf001)
     models, params = linear_variants(train)
-    base = f"{ST.checkpoint_dir(spark).rstrip('/')}/test-sinks/{uuid.uuid4().hex[:8]}"
+    base = _base(spark)
     q = ST.stream_score(X.requests_from_lineitem(_stream(spark, sf001, "lineitem")), models, params,
-                        f"{base}/scored", f"{base}/rejected")
+                        f"{base}/scored", f"{base}/rejected", f"{base}/checkpoint")
     q.awaitTermination()
     scored = spark.read.parquet(f"{base}/scored")
     rejected = spark.read.parquet(f"{base}/rejected")
@@ -51,6 +76,18 @@ def test_stream_score_two_sinks(spark, sf001):
     assert scored.count() == valid.count() and rejected.count() == rej.count()
 
 
+def test_score_restart_neither_repeats_nor_loses(spark, sf001, tmp_path):
+    from tripcraft.plans.q_ml import linear_variants, train_test
+    models, params = linear_variants(train_test(spark, sf001)[0])
+    requests, base, src = X.requests_from_star(spark, sf001), _base(spark), tmp_path / "requests"
+    for k in range(2):
+        requests.limit(40).coalesce(1).write.parquet(str(src / f"b{k}"))
+        stream = ST.read_stream(spark, f"{src}/b*/*.parquet", requests.schema, max_files=1)
+        ST.stream_score(stream, models, params, f"{base}/scored", f"{base}/rejected", f"{base}/checkpoint").awaitTermination()
+        done = spark.read.parquet(f"{base}/scored").count() + spark.read.parquet(f"{base}/rejected").count()
+        assert done == 40 * (k + 1)
+
+
 def test_late_rows_beyond_watermark_are_dropped(spark, tmp_path):
     """A row older than the watermark is dropped once the late-event threshold has caught up
     (Spark applies the previous batch's watermark to late input, so an on-time batch comes first)."""
@@ -69,8 +106,8 @@ def test_late_rows_beyond_watermark_are_dropped(spark, tmp_path):
         spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(src / f"b{i}"))
         time.sleep(1.1)  # distinct modification times fix the order in which files are picked up
     stream = ST.read_stream(spark, f"{src}/b*/*.parquet", spark.createDataFrame([], schema).schema, max_files=1)
-    got = ST.run_to_table(ST.stream_metrics(stream, window="1 second", delay="10 seconds"),
-                          f"late_{uuid.uuid4().hex[:6]}")
+    base = _base(spark)
+    got = ST.run_to_table(ST.stream_metrics(stream, window="1 second", delay="10 seconds"), f"{base}/out", f"{base}/checkpoint")
     rows = [r for r in got.collect() if r.window_start.second == 2]
     assert len(rows) == 1 and rows[0].requests == 1 and rows[0].max_latency_ms == 100.0
     assert {r.window_start.second for r in got.collect()} == {0, 1, 2, 3, 4, 5}

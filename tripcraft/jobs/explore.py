@@ -48,7 +48,7 @@ def chart_tables(raw, cleaned) -> dict:
         "raw_correlation": E.correlation(FE.keep_present(rf, S.RAW_CORR_COLUMNS), [c for c in S.RAW_CORR_COLUMNS if c in rf.columns]),
         "raw_hist_speed": E.histogram(rf, "speed_mph_proxy", 300),
         "raw_hist_speed_zoom": E.histogram(FE.zoom(rf, {"speed_mph_proxy": (0, 120)}), "speed_mph_proxy", 120),
-        "raw_kde_speed_zoom": E.kde(FE.zoom(rf, {"speed_mph_proxy": (0, 120)}), "speed_mph_proxy"),
+        "raw_kde_speed_zoom": E.kde(FE.zoom(rf, {"speed_mph_proxy": (0, 120)}), "speed_mph_proxy", bins=120),
         "raw_medians": E.medians(rf, {"speed_0_120": ("speed_mph_proxy", F.col("speed_mph_proxy").between(0, 120))}),
         "raw_speed_box_by_rate": E.box_stats(rate.withColumn("rate_label", C.label("RatecodeID", S.RATECODE_LABELS)),
                                              "speed_mph_proxy", "rate_label"),
@@ -67,6 +67,8 @@ def chart_tables(raw, cleaned) -> dict:
         "temporal_profile": E.temporal_profile(cm),
         "hist_speed": E.histogram(cm, "speed_mph_proxy", 100),
         "hist_speed_capped": E.histogram(cm.filter(F.col("speed_mph_proxy") <= 60), "speed_mph_proxy", 80),
+        "kde_speed": E.kde(cm, "speed_mph_proxy", bins=100),
+        "kde_speed_capped": E.kde(cm.filter(F.col("speed_mph_proxy") <= 60), "speed_mph_proxy", bins=80),
         "speed_shares": E.threshold_shares(cm, {"speed_over_60": ("speed_mph_proxy", F.col("speed_mph_proxy") > 60, None)}),
     }
 
@@ -81,7 +83,7 @@ def main(argv=None) -> int:
     ship_package(spark)
     tables = chart_tables(IO.read_trips(spark, args.raw), IO.read_cleaned(spark, args.cleaned))
     for name, df in tables.items():
-        df.coalesce(1).write.mode("overwrite").parquet(f"{args.output.rstrip('/')}/{name}")
+        df.repartition(1).write.mode("overwrite").parquet(f"{args.output.rstrip('/')}/{name}")
     return 0
 
 

@@ -36,6 +36,7 @@ def main(argv=None) -> int:
     ap.add_argument("--requests", required=True)
     ap.add_argument("--output", required=True)
     ap.add_argument("--stream", action="store_true")
+    ap.add_argument("--checkpoint", help="stream progress; the same folder in every run (default OUT/_checkpoint)")
     ap.add_argument("--default", default=S.DEFAULT_VARIANT)
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("tripcraft-score").getOrCreate()
@@ -46,7 +47,7 @@ def main(argv=None) -> int:
     if args.stream:
         reqs = ST.read_stream(spark, args.requests, S.REQUEST_SCHEMA)
         ST.stream_score(reqs, None, params, f"{out}/scored", f"{out}/rejected",
-                        trigger={"processingTime": "10 seconds"}, **kw).awaitTermination()
+                        args.checkpoint or f"{out}/_checkpoint", trigger={"processingTime": "10 seconds"}, **kw).awaitTermination()
         return 0
     reqs = spark.read.schema(S.REQUEST_SCHEMA).parquet(args.requests)
     valid, rejected = SC.validate_requests(reqs)

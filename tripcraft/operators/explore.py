@@ -17,11 +17,20 @@ from tripcraft.functions import columns as C
 
 # Broadcast a dimension table only up to this many rows (checked); beyond it, a shuffle join.
 BROADCAST_ROW_LIMIT = 100_000
+# Broadcast a statistics table only up to this size of its files (checked); beyond it, a salted join.
+BROADCAST_BYTES = 16 << 20
+SALTS = 64
 
 
-def quantiles_by(df: DataFrame, column: str, probs: Sequence[float], by: Sequence[str], names: Sequence[str]) -> DataFrame:
+def present(column: str) -> Column:
+    """Neither null nor NaN (pandas' missing values)."""
+    return F.col(column).isNotNull() & ~F.isnan(column)
+
+
+def quantiles_by(df: DataFrame, column: str, probs: Sequence[float], by: Sequence[str], names: Sequence[str],
+                 weight: str | None = None) -> DataFrame:
     from tripcraft.operators.quality import exact_quantiles
-    return exact_quantiles(df, column, probs, by, names)
+    return exact_quantiles(df, column, probs, by, names, weight)
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -36,12 +45,31 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join a per-key statistics table back to the data. The statistics side is an aggregation
-    stage, so adaptive execution sees its real size at run time and broadcasts it only when it is
-    small, keeping a shuffle join otherwise. Keyless (one-row) statistics go through `with_scalars`."""
+    """Join a per-key statistics table to the data without moving the data by key (null keys match).
+
+    The statistics are computed once into the shared folder, so their size is known: up to
+    BROADCAST_BYTES they are broadcast. Beyond it the join shuffles both sides on the key and a
+    salt (the data's scan partition), with the statistics repeated per salt, so that a hot key is
+    spread over SALTS tasks. The data side is never broadcast: the hint names the statistics.
+    Keyless (one-row) statistics go through `with_scalars`."""
     if not on:
         return with_scalars(big, small)
-    return big.join(small, list(on), how)
+    from tripcraft.session import stored
+    table, size = stored(small, "statistics")
+    renamed = table.select(*(F.col(c).alias(f"_on_{c}") if c in on else F.col(c) for c in table.columns))
+    match = F.lit(True)
+    for c in on:
+        match = match & big[c].eqNullSafe(renamed[f"_on_{c}"])
+    if size <= BROADCAST_BYTES:
+        joined = big.join(F.broadcast(renamed), match, how)
+    else:
+        salted = big.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+        repeated = renamed.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        match = salted["_salt"] == repeated["_copy"]
+        for c in on:
+            match = match & salted[c].eqNullSafe(repeated[f"_on_{c}"])
+        joined = salted.join(repeated.hint("merge"), match, how).drop("_salt", "_copy")
+    return joined.drop(*(f"_on_{c}" for c in on))
 
 
 def flag_combinations(df: DataFrame, flags: Sequence[str], ascending: bool = False,
@@ -75,8 +103,8 @@ def temporal_profile(df: DataFrame, value: str = "trip_duration_min") -> DataFra
 def medians(df: DataFrame, specs: Mapping[str, tuple[str, Column | None]]) -> DataFrame:
     """Exact interpolated medians: {name: (column, row filter or None)} -> (name, median), one scan.
 
-    Each row becomes one (name, value) record per spec; (name, value) counts are aggregated
-    first, then `percentile(value, 0.5, count)` runs per name over the distinct values."""
+    Each row becomes one (name, value) record per spec; (name, value) counts are aggregated first, and the
+    ranks are read from their range partitions (`exact_quantiles`)."""
     recs = F.array(*[F.struct(F.lit(n).alias("name"),
                               (F.col(c) if cond is None else F.when(cond, F.col(c))).cast("double").alias("v"))
                      for n, (c, cond) in specs.items()])
@@ -149,7 +177,7 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None, dens
     min = max is widened by +-0.5 and an empty input spans [0, 1], as numpy does.
     """
     keys = [by] if by else []
-    data = df.select(*keys, F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    data = df.select(*keys, F.col(column).cast("double").alias("x")).filter(present("x"))
     stats = data.groupBy(*keys).agg(F.min("x").alias("mn"), F.max("x").alias("mx"), F.count(F.lit(1)).alias("total"))
     # numpy: min = max widens by 0.5 each side; an empty input spans [0, 1].
     stats = stats.select(*keys, "total",
@@ -171,16 +199,16 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None, dens
     return out.orderBy(*keys, "bin")
 
 
-def kde(df: DataFrame, column: str, grid: int = 200, cut: float = 0.0) -> DataFrame:
+def kde(df: DataFrame, column: str, grid: int = 200, cut: float = 0.0, bins: int = 80) -> DataFrame:
     """Gaussian kernel density on `grid` evenly spaced points, Scott bandwidth sd_samp * n^(-1/5).
 
     Rows are first collapsed to (value, weight) by a grouped count, so the kernel work grows with
     the number of distinct values, not rows; each distinct value then adds its term to the fixed
     grid (an explode of `grid` indices, partially aggregated per task). Grid spans
-    [min - cut*bw, max + cut*bw]; `count_scaled` is the density scaled to histogram counts of
-    bin width 1 (n * density).
+    [min - cut*bw, max + cut*bw]; `count_scaled` is the density on the scale of a histogram
+    of `bins` bins over [min, max] (n * density * bin width), as a curve drawn over it.
     """
-    data = df.select(F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    data = df.select(F.col(column).cast("double").alias("x")).filter(present("x"))
     stats = data.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"), F.min("x").alias("mn"),
                      F.max("x").alias("mx"))
     stats = stats.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
@@ -190,10 +218,10 @@ def kde(df: DataFrame, column: str, grid: int = 200, cut: float = 0.0) -> DataFr
              .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
              .withColumn("gx", F.col("g_lo") + (F.col("g_hi") - F.col("g_lo")) * F.col("k") / F.lit(grid - 1))
              .withColumn("t", F.col("w") * F.exp(-0.5 * F.pow((F.col("gx") - F.col("x")) / F.col("bw"), 2))))
-    dens = terms.groupBy("k", "gx", "n", "bw").agg(F.sum("t").alias("s"))
+    dens = terms.groupBy("k", "gx", "n", "bw", "mn", "mx").agg(F.sum("t").alias("s"))
     d = F.col("s") / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi)))
     return dens.select(F.col("k").cast("int").alias("k"), F.round("gx", 6).alias("x"), F.round(d, 9).alias("density"),
-                       F.round(d * F.col("n"), 6).alias("count_scaled")).orderBy("k")
+                       F.round(d * F.col("n") * (F.col("mx") - F.col("mn")) / F.lit(bins), 6).alias("count_scaled")).orderBy("k")
 
 
 def hexbin(df: DataFrame, x: str, y: str, gridsize: int = 60, mincnt: int = 1) -> DataFrame:
@@ -205,7 +233,7 @@ def hexbin(df: DataFrame, x: str, y: str, gridsize: int = 60, mincnt: int = 1) -
     """
     nx = gridsize
     ny = int(nx / math.sqrt(3))
-    data = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
+    data = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).filter(present("x") & present("y"))
     s = data.agg(F.min("x").alias("xmin0"), F.max("x").alias("xmax0"), F.min("y").alias("ymin0"), F.max("y").alias("ymax0"))
 
     def nonsingular(lo, hi):
@@ -246,28 +274,28 @@ def box_stats(df: DataFrame, column: str, by: str, whis: float = 1.5) -> DataFra
     the furthest points inside q1 - whis*IQR / q3 + whis*IQR, outlier count, notch median +-
     1.57*IQR/sqrt(n), mean.
 
-    Pass 1 counts (group, value) pairs, then takes quartiles per group from the distinct values
-    (`percentile` with frequencies). Pass 2 joins those few rows back (broadcast when small) to
-    find whiskers and outliers.
+    One pass over the data counts (group, value) pairs; quartiles, whiskers and outliers all come
+    from that table, and the per-group statistics are joined to it, never to the data. NaN counts as
+    missing, as in pandas.
     """
-    data = df.select(F.col(by).alias("grp"), F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    vc = data.groupBy("grp", "x").agg(F.count(F.lit(1)).alias("_w"))
-    q = vc.groupBy("grp").agg(
-        F.percentile("x", F.lit(0.25), F.col("_w")).alias("q1"), F.percentile("x", F.lit(0.5), F.col("_w")).alias("median"),
-        F.percentile("x", F.lit(0.75), F.col("_w")).alias("q3"), F.sum("_w").alias("n"),
-        (F.sum(F.col("x") * F.col("_w")) / F.sum("_w")).alias("mean"))
+    from tripcraft.session import stored
+    data = df.select(F.col(by).alias("grp"), F.col(column).cast("double").alias("x")).filter(present("x"))
+    vc, _ = stored(data.groupBy("grp", "x").agg(F.count(F.lit(1)).alias("_w")), "values")
+    q = quantiles_by(vc, "x", [0.25, 0.5, 0.75], ["grp"], ["q1", "median", "q3"], weight="_w")
+    sums = vc.groupBy("grp").agg(F.sum("_w").alias("n"), (F.sum(F.col("x") * F.col("_w")) / F.sum("_w")).alias("mean"))
+    q = q.withColumnRenamed("grp", "_g").join(sums, F.col("_g").eqNullSafe(F.col("grp"))).drop("_g")
     q = q.withColumns({"iqr": F.col("q3") - F.col("q1")})
     q = q.withColumns({"lo_f": F.col("q1") - whis * F.col("iqr"), "hi_f": F.col("q3") + whis * F.col("iqr")})
-    j = join_small(data, q, ["grp"])
+    j = join_small(vc, q, ["grp"])
     # matplotlib: whiskers at the furthest points not beyond each fence (the quartile when there is
-    # none); every point beyond a fence is an outlier. One pass over the data.
+    # none); every point beyond a fence is an outlier.
     stat_cols = ["grp", "q1", "median", "q3", "n", "mean", "iqr"]
     # The per-group statistics ride along as grouping keys (one value per group), so the
     # statistics table is joined to the data once.
     out = j.groupBy(*stat_cols).agg(
         F.min(F.when(F.col("x") >= F.col("lo_f"), F.col("x"))).alias("whislo0"),
         F.max(F.when(F.col("x") <= F.col("hi_f"), F.col("x"))).alias("whishi0"),
-        F.count_if((F.col("x") < F.col("lo_f")) | (F.col("x") > F.col("hi_f"))).alias("outliers"),
+        F.sum(F.when((F.col("x") < F.col("lo_f")) | (F.col("x") > F.col("hi_f")), F.col("_w")).otherwise(0)).alias("outliers"),
         F.min("x").alias("mn"), F.max("x").alias("mx"))
     out = out.withColumns({"whislo": F.coalesce(F.least(F.col("whislo0"), F.col("q1")), F.col("q1")),
                            "whishi": F.coalesce(F.greatest(F.col("whishi0"), F.col("q3")), F.col("q3"))})

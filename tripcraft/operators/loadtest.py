@@ -3,12 +3,13 @@
 A request log has columns (run_id, event_id, ts, latency [s], status, success); `with_sequence`
 adds request_num (completion order within the run, ties broken by event_id) and elapsed seconds.
 
-Scale: order-dependent results need a position per row. `method="window"` numbers each run in one
-window partition (fine for load tests of bounded size). `method="ranges"` range-partitions the
-log on (run_id, ts, event_id), numbers rows inside each partition, and adds per-partition offsets
-from a small (partitions x runs) count table, so one run holding most rows is still spread over
-all tasks. Rolling means use exact decimal prefix sums and an equi-join on (run_id, request_num),
-never a frame that must see a whole run in one task.
+Scale: summaries, throughput and histograms need no order and read the log as it is. Order-dependent
+results need a position per row. `method="ranges"` range-partitions the log on (run_id, ts,
+event_id), numbers rows inside each partition, and adds per-partition offsets, totals and the run's
+start from a small (partitions x runs) table, so one run holding most rows is still spread over
+all tasks. `method="window"` numbers each run in one window partition (bounded load tests only).
+Rolling means use exact decimal prefix sums and an equi-join on (run_id, request_num), never a
+frame that must see a whole run in one task.
 """
 
 from __future__ import annotations
@@ -17,9 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tripcraft import schema as S
 from tripcraft.operators.explore import histogram, join_small
-from tripcraft.session import checkpoint_dir
+from tripcraft.session import stored
 
 ORDER = ["ts", "event_id"]
 _LOW33 = (1 << 33) - 1
@@ -31,72 +31,76 @@ def micros(ts: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
 
 
-def _elapsed(df: DataFrame, run: str) -> DataFrame:
-    """Seconds since the run's first request, with one hour of log time compressed to one second."""
-    starts = df.groupBy(run).agg(F.min(micros(F.col("ts"))).alias("_t0"))
-    return join_small(df, starts, [run]).withColumn(
-        "elapsed", (micros(F.col("ts")) - F.col("_t0")) / F.lit(3.6e9)).drop("_t0")
+def with_elapsed(log: DataFrame, run: str = "run_id") -> DataFrame:
+    """Seconds since the run's first request (a log that has `elapsed` stays as it is)."""
+    if "elapsed" in log.columns:
+        return log
+    starts = log.groupBy(run).agg(F.min(micros(F.col("ts"))).alias("_t0"))
+    return join_small(log, starts, [run]).withColumn(
+        "elapsed", (micros(F.col("ts")) - F.col("_t0")) / F.lit(1e6)).drop("_t0")
 
 
 def _numbered_window(log: DataFrame, run: str) -> DataFrame:
     w = Window.partitionBy(run).orderBy(*ORDER)
+    whole = Window.partitionBy(run)
     return log.withColumns({
-        "request_num": F.row_number().over(w).cast("int"),
+        "request_num": F.row_number().over(w).cast("bigint"),
+        "elapsed": (micros(F.col("ts")) - F.min(micros(F.col("ts"))).over(whole)) / F.lit(1e6),
+        "_n": F.count(F.lit(1)).over(whole),
         "_cum": F.sum(F.col("latency").cast(_DEC)).over(w.rowsBetween(Window.unboundedPreceding, 0)),
     })
 
 
 def _numbered_ranges(log: DataFrame, run: str, partitions: int | None) -> DataFrame:
-    spark = log.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    checkpoint_dir(spark)
-    keyed = (log.repartitionByRange(n_parts, run, *ORDER)
-             .sortWithinPartitions(run, *ORDER)
-             .withColumn("_mid", F.monotonically_increasing_id()))
-    # Freeze the range assignment (sampled bounds) so every later pass sees the same partitions.
-    keyed = keyed.checkpoint(eager=True)
+    n_parts = partitions or int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Written, so that every later pass sees the same (sampled) range bounds.
+    keyed, _ = stored(log.repartitionByRange(n_parts, run, *ORDER).sortWithinPartitions(run, *ORDER)
+                      .withColumn("_mid", F.monotonically_increasing_id()), "ranges")
     keyed = keyed.withColumns({"_pid": F.shiftright(F.col("_mid"), 33),
                                "_loc": F.col("_mid").bitwiseAND(F.lit(_LOW33))})
-    parts = keyed.groupBy(run, "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_loc").alias("_first"),
-                                           F.sum(F.col("latency").cast(_DEC)).alias("_lat"))
-    before = Window.partitionBy(run).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = parts.select(run, "_pid", "_first",
-                        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+    parts = keyed.groupBy(run, "_pid").agg(
+        F.count(F.lit(1)).alias("_k"), F.min("_loc").alias("_first"), F.min(micros(F.col("ts"))).alias("_start"),
+        F.sum(F.col("latency").cast(_DEC)).alias("_lat"))
+    whole = Window.partitionBy(run)
+    before = whole.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = parts.select(run, "_pid", "_first", F.sum("_k").over(whole).alias("_n"), F.min("_start").over(whole).alias("_t0"),
+                        F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_off"),
                         F.coalesce(F.sum("_lat").over(before), F.lit(0).cast(_DEC)).alias("_lat_off"))
     j = join_small(keyed, offs, [run, "_pid"])
     local = Window.partitionBy("_pid", run).orderBy("_loc").rowsBetween(Window.unboundedPreceding, 0)
     return j.withColumns({
-        "request_num": (F.col("_off") + F.col("_loc") - F.col("_first") + 1).cast("int"),
+        "request_num": (F.col("_off") + F.col("_loc") - F.col("_first") + 1).cast("bigint"),
+        "elapsed": (micros(F.col("ts")) - F.col("_t0")) / F.lit(1e6),
         "_cum": F.col("_lat_off") + F.sum(F.col("latency").cast(_DEC)).over(local),
-    }).drop("_mid", "_pid", "_loc", "_first", "_off", "_lat_off")
+    }).drop("_mid", "_pid", "_loc", "_first", "_off", "_lat_off", "_t0")
 
 
 def _sequenced(log: DataFrame, run: str = "run_id", method: str = "ranges", partitions: int | None = None) -> DataFrame:
-    """Log + request_num + elapsed + `_cum` (exact running latency sum in request order)."""
+    """Log + request_num + elapsed + `_n` (requests of the run) + `_cum` (exact running latency sum in request order)."""
     if method == "window":
-        df = _numbered_window(log, run)
-    elif method == "ranges":
-        df = _numbered_ranges(log, run, partitions)
-    else:
-        raise ValueError(f"method must be 'window' or 'ranges', not {method!r}")
-    return _elapsed(df, run)
+        return _numbered_window(log, run)
+    if method == "ranges":
+        return _numbered_ranges(log, run, partitions)
+    raise ValueError(f"method must be 'window' or 'ranges', not {method!r}")
 
 
 def with_sequence(log: DataFrame, run: str = "run_id", method: str = "ranges", partitions: int | None = None) -> DataFrame:
     """Request log with completion number and elapsed seconds (8 columns)."""
-    return _sequenced(log, run, method, partitions).drop("_cum")
+    return _sequenced(log, run, method, partitions).drop("_cum", "_n")
 
 
 def summarize_log(log: DataFrame, run: str = "run_id") -> DataFrame:
     """Load-test summary per run in one aggregate: counts, error %, wall time, throughput,
     latency mean / median / p95 / p99 / min / max in ms (linear-interpolated percentiles), rounded 2.
 
-    Wall time is the run's last elapsed value (log time, not a stopwatch)."""
+    Wall time is the time from the run's first to its last entry (log time, not a stopwatch)."""
     from tripcraft.operators.quality import exact_quantiles
     lat = F.col("latency")
+    wall = F.max("elapsed") if "elapsed" in log.columns else \
+        (F.max(micros(F.col("ts"))) - F.min(micros(F.col("ts")))) / F.lit(1e6)
     basic = log.groupBy(run).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("success")).alias("ok"),
-        F.max("elapsed").alias("wall"), F.avg(lat).alias("mean"), F.min(lat).alias("mn"), F.max(lat).alias("mx"))
+        wall.alias("wall"), F.avg(lat).alias("mean"), F.min(lat).alias("mn"), F.max(lat).alias("mx"))
     pct = exact_quantiles(log, "latency", [0.5, 0.95, 0.99], [run], ["p50", "p95", "p99"])
     g = basic.join(pct, run, "left")
     ms = lambda c: F.round(F.col(c) * 1000.0, 2)
@@ -115,7 +119,7 @@ def summarize_log(log: DataFrame, run: str = "run_id") -> DataFrame:
 
 def throughput(log: DataFrame, run: str = "run_id") -> DataFrame:
     """Requests per whole second of elapsed time; seconds without requests are absent."""
-    return (log.groupBy(run, F.floor("elapsed").cast("bigint").alias("time_bucket"))
+    return (with_elapsed(log, run).groupBy(run, F.floor("elapsed").cast("bigint").alias("time_bucket"))
             .agg(F.count(F.lit(1)).alias("requests_per_sec")).orderBy(run, "time_bucket"))
 
 
@@ -130,8 +134,7 @@ def rolling_latency(log: DataFrame, run: str = "run_id", method: str = "ranges",
     mean_i = (S_i - S_{i-w}) / min(i, w) with S the exact running sum; S_{i-w} is fetched by an
     equi-join on (run, request_num - w), so no task needs a whole run."""
     seq = _sequenced(log, run, method)
-    n = seq.groupBy(run).agg(F.count(F.lit(1)).alias("_n"))
-    seq = join_small(seq, n, [run]).withColumn("_w", F.greatest(F.lit(5), (F.col("_n") / 20).cast("bigint")))
+    seq = seq.withColumn("_w", F.greatest(F.lit(5), (F.col("_n") / 20).cast("bigint")))
     back = seq.select(F.col(run).alias("_r"), (F.col("request_num") + F.col("_w")).alias("_k"), F.col("_cum").alias("_cum_back"))
     j = seq.join(back, (F.col(run) == F.col("_r")) & (F.col("request_num") == F.col("_k")), "left")
     window_sum = F.col("_cum") - F.coalesce(F.col("_cum_back"), F.lit(0).cast(_DEC))
@@ -146,8 +149,7 @@ def progress(log: DataFrame, parts: int = 20, include_last: bool = True, run: st
     `include_last`, as the UI does; the CLI uses parts=10 without it): completed count, percent,
     elapsed seconds and the running mean latency in ms at that point."""
     seq = _sequenced(log, run, method)
-    n = seq.groupBy(run).agg(F.count(F.lit(1)).alias("_n"))
-    seq = join_small(seq, n, [run]).withColumn("_step", F.greatest(F.lit(1), (F.col("_n") / parts).cast("bigint")))
+    seq = seq.withColumn("_step", F.greatest(F.lit(1), (F.col("_n") / parts).cast("bigint")))
     keep = F.col("request_num") % F.col("_step") == 0
     if include_last:
         keep = keep | (F.col("request_num") == F.col("_n"))
@@ -166,6 +168,3 @@ def compare_runs(summaries: DataFrame, a: str, b: str, run: str = "run_id") -> D
     return ta.join(tb, "metric").select(
         "position", "metric", "value_a", "value_b",
         F.round(F.try_divide(F.col("value_a"), F.col("value_b")), 6).alias("ratio")).orderBy("position")
-
-
-SUMMARY_COLUMNS = [c for c, _ in S.SUMMARY_METRICS]

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripcraft import schema as S
@@ -13,94 +12,44 @@ from tripcraft.functions import columns as C
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], by: Sequence[str] = (),
-                    names: Sequence[str] | None = None) -> DataFrame:
-    """Exact linear-interpolated quantiles (per group when `by`), nulls ignored.
-
-    Rows are first collapsed to (value, count) by a hash aggregate spread over all shuffle
-    partitions; `percentile(value, p, count)` then runs on the distinct values, so each task's
-    partial map holds a disjoint slice and the final merge touches every distinct value once
-    (instead of once per task that saw it)."""
-    names = list(names or [f"q{i}" for i in range(len(probs))])
-    vc = df.filter(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("_w"))
-    return vc.groupBy(*by).agg(*[F.percentile(F.col(column), F.lit(float(p)), F.col("_w")).alias(n)
-                                 for p, n in zip(probs, names)])
-
-
-def _rank_values(df: DataFrame, column: str, ranks: Sequence[int], max_values: int, buckets: int,
-                 error: float) -> dict[int, float]:
-    """Exact values at 0-based ranks (ascending, nulls excluded) without any task or the driver
-    holding more than `max_values` distinct values.
-
-    Each round narrows a value range [lo, hi) that holds pending ranks: approximate equi-depth
-    split points of the rows in the range (GK sketch), then the row count and distinct-value count
-    per split bucket (a grouped aggregate; `buckets` rows reach the driver). A rank's bucket becomes
-    the next range, until it holds at most `max_values` distinct values; those (value, count) pairs
-    are then read in order. A single heavy value is one bucket with one distinct value."""
-    from pyspark.ml.feature import Bucketizer
+                    names: Sequence[str] | None = None, weight: str | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles (per group when `by`), nulls and NaN ignored. `weight` names a
+    count column of a table that is already (value, count).
+
+    No task sees all values of a group. Rows collapse to (group, value, count) by a hash aggregate;
+    that table is range-partitioned on (group, value) and written once; the counts per (group,
+    partition) give the partition that holds each wanted rank; and only those partitions are
+    summed in order, each in its own task. A group's quantile at p lies at rank (n - 1) p between
+    the two neighbouring ranks."""
+    from tripcraft.operators.explore import join_small
+    from tripcraft.session import stored
+    names, keys = list(names or [f"q{i}" for i in range(len(probs))]), list(by)
     x = F.col(column)
-    base = df.select(x.cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    out: dict[int, float] = {}
-    pending = [(None, None, sorted(set(int(r) for r in ranks)), 0)]  # (lo, hi, ranks inside, rows below lo)
-    while pending:
-        lo, hi, rks, below = pending.pop()
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col("v") >= lo)
-        if hi is not None:
-            cond = cond & (F.col("v") < hi)
-        part = base.filter(cond)
-        qs = part.approxQuantile("v", [i / buckets for i in range(1, buckets)], error)
-        inner = sorted(set(q for q in qs if (lo is None or q > lo) and (hi is None or q < hi)))
-        splits = [float("-inf") if lo is None else lo] + inner + [float("inf") if hi is None else hi]
-        b = Bucketizer(splits=splits, inputCol="v", outputCol="b", handleInvalid="keep").transform(part)
-        stats = (b.groupBy("b").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("v").alias("distinct"))
-                 .orderBy("b").collect())
-        cum = below
-        for r in stats:
-            k = int(r["b"])
-            inside = [q for q in rks if cum <= q < cum + r["rows"]]
-            if inside:
-                blo, bhi = splits[k], splits[k + 1]
-                blo = None if blo == float("-inf") else blo
-                bhi = None if bhi == float("inf") else bhi
-                if r["distinct"] <= max_values or len(inner) == 0:
-                    c2 = F.lit(True)
-                    if blo is not None:
-                        c2 = c2 & (F.col("v") >= blo)
-                    if bhi is not None:
-                        c2 = c2 & (F.col("v") < bhi)
-                    vals = base.filter(c2).groupBy("v").agg(F.count(F.lit(1)).alias("w")).orderBy("v").collect()
-                    c = cum
-                    for row in vals:
-                        for q in inside:
-                            if c <= q < c + row["w"]:
-                                out[q] = float(row["v"])
-                        c += row["w"]
-                else:
-                    pending.append((blo, bhi, inside, cum))
-            cum += r["rows"]
-    return out
-
-
-def exact_quantiles_large(df: DataFrame, column: str, probs: Sequence[float], max_values: int = 1_000_000,
-                          buckets: int = 1000, error: float = 1e-3) -> list[float | None]:
-    """Exact linear-interpolated quantiles for columns whose number of distinct values has no useful
-    bound: rank selection by refinement (`_rank_values`), then Spark's interpolation between the
-    two neighbouring ranks."""
-    n = df.filter(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))).count()
-    if n == 0:
-        return [None] * len(probs)
-    pos = [(n - 1) * float(p) for p in probs]
-    ranks = {int(math.floor(q)) for q in pos} | {int(math.ceil(q)) for q in pos}
-    vals = _rank_values(df, column, sorted(ranks), max_values, buckets, error)
-    res = []
-    for q in pos:
-        lo, hi = int(math.floor(q)), int(math.ceil(q))
-        if lo == hi or vals[lo] == vals[hi]:
-            res.append(vals[lo])
-        else:
-            res.append((hi - q) * vals[lo] + (q - lo) * vals[hi])
-    return res
+    real = df.filter(x.isNotNull() & ~F.isnan(x.cast("double"))).select(
+        *keys, x.cast("double").alias("_v"), (F.col(weight) if weight else F.lit(1)).alias("_w"))
+    counts = real.groupBy(*keys, "_v").agg(F.sum("_w").alias("_w"))
+    values, _ = stored(counts.repartitionByRange(*keys, "_v").withColumn("_pid", F.spark_partition_id()), "values")
+    whole = Window.partitionBy(*(keys or [F.lit(0)]))
+    parts = values.groupBy(*keys, "_pid").agg(F.sum("_w").alias("_n")).withColumns({
+        "_upto": F.sum("_n").over(whole.orderBy("_pid")), "_total": F.sum("_n").over(whole)})
+    ranks = F.array(*(F.struct(F.lit(2 * i + side).alias("slot"), f((F.col("_total") - 1) * F.lit(float(p))).cast("long").alias("k"))
+                      for i, p in enumerate(probs) for side, f in enumerate((F.floor, F.ceil))))
+    here = F.filter(ranks, lambda r: (r["k"] < F.col("_upto")) & (r["k"] >= F.col("_upto") - F.col("_n")))
+    parts = parts.select(*keys, "_pid", "_total", (F.col("_upto") - F.col("_n")).alias("_before"), here.alias("_here")).filter(
+        F.size("_here") > 0)
+    inside = join_small(values, parts, [*keys, "_pid"])
+    upto = F.col("_before") + F.sum("_w").over(Window.partitionBy(*keys, "_pid").orderBy("_v"))
+    hits = inside.withColumn("_upto", upto).select(*keys, "_v", "_total", F.explode(F.filter(
+        "_here", lambda r: (r["k"] < F.col("_upto")) & (r["k"] >= F.col("_upto") - F.col("_w")))).alias("r"))
+    ends = hits.groupBy(*keys).agg(F.max("_total").alias("_total"), *(
+        F.max(F.when(F.col("r.slot") == k, F.col("_v"))).alias(f"_s{k}") for k in range(2 * len(probs))))
+
+    def between(i: int, p: float) -> Column:
+        at, low, high = (F.col("_total") - 1) * F.lit(float(p)), F.col(f"_s{2 * i}"), F.col(f"_s{2 * i + 1}")
+        return F.when((F.floor(at) == F.ceil(at)) | (low == high), low).otherwise(
+            (F.ceil(at) - at) * low + (at - F.floor(at)) * high)
+
+    return ends.select(*keys, *(between(i, p).alias(n) for i, (p, n) in enumerate(zip(probs, names, strict=True))))
 
 
 def quantiles(df: DataFrame, column: str, probs: Sequence[float], method: str = "approx",
@@ -109,19 +58,13 @@ def quantiles(df: DataFrame, column: str, probs: Sequence[float], method: str =
 
     approx: Greenwald-Khanna sketches per partition merged on the driver (`approxQuantile`),
             state O(1/error) per task, result is an existing value within rank error.
-    exact:  linear interpolation (as pandas / numpy) via `exact_quantiles`: state grows with the
-            number of distinct values (bounded by the cent/mile resolution of these columns),
-            not with rows.
-    exact_large: the same result by distributed rank refinement (`exact_quantiles_large`), for
-            columns without such a bound; no task holds more than a bounded slice of values.
+    exact:  linear interpolation (as pandas / numpy) via `exact_quantiles`; no task holds all values.
     """
     probs = [float(p) for p in probs]
     if method == "approx":
         return [float(v) for v in df.approxQuantile(column, probs, error)]
-    if method == "exact_large":
-        return exact_quantiles_large(df, column, probs)
     if method != "exact":
-        raise ValueError(f"method must be 'approx', 'exact' or 'exact_large', not {method!r}")
+        raise ValueError(f"method must be 'approx' or 'exact', not {method!r}")
     row = exact_quantiles(df, column, probs).first()
     if row is None:
         return [None] * len(probs)

@@ -118,15 +118,15 @@ requests AS (
 
 LOG = """
 logbase AS (
-  SELECT CASE WHEN user_id % 2 = 0 THEN 'A' ELSE 'B' END AS run_id, event_id, CAST(ts AS TIMESTAMP) AS ts,
+  SELECT CASE WHEN user_id % 2 = 0 THEN 'A' ELSE 'B' END AS run_id, event_id, make_timestamp(epoch_us(CAST(ts AS TIMESTAMP)) // 3600) AS ts,
     value / 1000e0 AS latency,
     CAST(CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS INTEGER) AS status,
     event_type <> 'error' AS success
   FROM events),
 log AS (
   SELECT run_id, event_id, ts, latency, status, success,
-    CAST(row_number() OVER (PARTITION BY run_id ORDER BY ts, event_id) AS INTEGER) AS request_num,
-    (epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY run_id)) / 3.6e9 AS elapsed
+    CAST(row_number() OVER (PARTITION BY run_id ORDER BY ts, event_id) AS BIGINT) AS request_num,
+    (epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY run_id)) / 1e6 AS elapsed
   FROM logbase)"""
 
 

@@ -204,22 +204,66 @@ def q_hist_density_by_flag(spark, sf):
     return E.histogram(df, "trip_duration_min", 100, by="has_negative_fee", density=True)
 
 
+# The remaining histograms of the raw and cleaned charts: key -> (column, bins, kept rows as SQL).
+_RAW_HISTOGRAMS = {
+    "hist_duration_raw": ("trip_duration_min", 200, "TRUE"),
+    "hist_duration_raw_zoom": ("trip_duration_min", 150, "trip_duration_min BETWEEN -30 AND 200"),
+    "hist_duration_raw_positive": ("trip_duration_min", 200, "trip_duration_min > 0"),
+    "hist_speed_raw": ("speed_mph_proxy", 300, "TRUE"),
+    "hist_speed_raw_zoom": ("speed_mph_proxy", 120, "speed_mph_proxy BETWEEN 0 AND 120"),
+}
+
+
+def _register_raw_histogram(key, column, bins, where):
+    @query(key, _hist_query((O.TRIPS, O.RAWF), "rawf", column, bins, where=where))
+    def run(spark, sf):
+        return E.histogram(raw_features(spark, sf).filter(where), column, bins)
+
+
+for _key, _spec in _RAW_HISTOGRAMS.items():
+    _register_raw_histogram(_key, *_spec)
+
+
+@query("hist_speed_capped", _hist_query(CLEAN_CTES, "cleaned", "speed_mph_proxy", 80, where="speed_mph_proxy <= 60"))
+def q_hist_speed_capped(spark, sf):
+    return E.histogram(cleaned(spark, sf).filter(F.col("speed_mph_proxy") <= 60), "speed_mph_proxy", 80)
+
+
 # ---------------------------------------------------------------- D12 KDE
 
-@query("kde_duration", W(*CLEAN_CTES, CLEANED_MIN, """
-kd AS (SELECT trip_duration_min AS x FROM cleaned_min WHERE trip_duration_min IS NOT NULL),
+def _kde_query(ctes, src, col, bins, where="TRUE"):
+    return W(*ctes, f"""
+kd AS (SELECT {col} AS x FROM {src} WHERE {col} IS NOT NULL AND ({where})),
 ks AS (SELECT count(*) AS n, stddev_samp(x) AS sd, min(x) AS mn, max(x) AS mx FROM kd),
-kb AS (SELECT n, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw, mn AS g_lo, mx AS g_hi FROM ks),
+kb AS (SELECT n, mn, mx, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw, mn AS g_lo, mx AS g_hi FROM ks),
 kv AS (SELECT x, count(*) AS w FROM kd GROUP BY x),
-kg AS (SELECT CAST(k AS INTEGER) AS k, g_lo + (g_hi - g_lo) * k / 199.0e0 AS gx, n, bw FROM kb, range(0, 200) r(k)),
-kt AS (SELECT kg.k, kg.gx, kg.n, kg.bw, sum(kv.w * exp(-0.5 * pow((kg.gx - kv.x) / kg.bw, 2))) AS s
-       FROM kg, kv GROUP BY kg.k, kg.gx, kg.n, kg.bw)""", body="""
+kg AS (SELECT CAST(k AS INTEGER) AS k, g_lo + (g_hi - g_lo) * k / 199.0e0 AS gx, n, bw, mn, mx FROM kb, range(0, 200) r(k)),
+kt AS (SELECT kg.k, kg.gx, kg.n, kg.bw, kg.mn, kg.mx, sum(kv.w * exp(-0.5 * pow((kg.gx - kv.x) / kg.bw, 2))) AS s
+       FROM kg, kv GROUP BY kg.k, kg.gx, kg.n, kg.bw, kg.mn, kg.mx)""", body=f"""
 SELECT k, round(gx, 6) AS x, round(s / (n * bw * sqrt(2 * pi())), 9) AS density,
-  round(s / (n * bw * sqrt(2 * pi())) * n, 6) AS count_scaled FROM kt"""))
+  round(s / (n * bw * sqrt(2 * pi())) * n * (mx - mn) / {bins}, 6) AS count_scaled FROM kt""")
+
+
+@query("kde_duration", _kde_query((*CLEAN_CTES, CLEANED_MIN), "cleaned_min", "trip_duration_min", 80))
 def q_kde_duration(spark, sf):
     return E.kde(cleaned_min(spark, sf), "trip_duration_min", 200)
 
 
+@query("kde_speed", _kde_query(CLEAN_CTES, "cleaned", "speed_mph_proxy", 100))
+def q_kde_speed(spark, sf):
+    return E.kde(cleaned(spark, sf), "speed_mph_proxy", 200, bins=100)
+
+
+@query("kde_speed_capped", _kde_query(CLEAN_CTES, "cleaned", "speed_mph_proxy", 80, "speed_mph_proxy <= 60"))
+def q_kde_speed_capped(spark, sf):
+    return E.kde(cleaned(spark, sf).filter(F.col("speed_mph_proxy") <= 60), "speed_mph_proxy", 200, bins=80)
+
+
+@query("kde_speed_zoom_raw", _kde_query((O.TRIPS, O.RAWF), "rawf", "speed_mph_proxy", 120, "speed_mph_proxy BETWEEN 0 AND 120"))
+def q_kde_speed_zoom_raw(spark, sf):
+    return E.kde(FE.zoom(raw_features(spark, sf), {"speed_mph_proxy": (0, 120)}), "speed_mph_proxy", 200, bins=120)
+
+
 # ---------------------------------------------------------------- D13 hexbin
 
 def _hex_sql(src, x, y, gridsize=60):
@@ -239,16 +283,34 @@ xg AS (SELECT lattice, CAST(CASE WHEN lattice = 1 THEN ix1 ELSE ix2 END AS INTEG
        FROM xc GROUP BY ALL)"""
 
 
-@query("hexbin_distance_duration", W(*CLEAN_CTES, CLEANED_MIN, _hex_sql("cleaned_min", "trip_distance", "trip_duration_min"),
-                                     body="""
+_HEX_BODY = """
 SELECT CAST(lattice AS INTEGER) AS lattice, ix, iy,
   round(xmin + (ix + CASE WHEN lattice = 2 THEN 0.5 ELSE 0.0 END) * sx, 6) AS cx,
   round(ymin + (iy + CASE WHEN lattice = 2 THEN 0.5 ELSE 0.0 END) * sy, 6) AS cy,
-  count, round(log10(count), 9) AS log_count FROM xg WHERE count >= 1"""))
+  count, round(log10(count), 9) AS log_count FROM xg WHERE count >= 1"""
+
+
+@query("hexbin_distance_duration", W(*CLEAN_CTES, CLEANED_MIN, _hex_sql("cleaned_min", "trip_distance", "trip_duration_min"),
+                                     body=_HEX_BODY))
 def q_hexbin_distance_duration(spark, sf):
     return E.hexbin(cleaned_min(spark, sf), "trip_distance", "trip_duration_min", 60)
 
 
+@query("hexbin_raw", W(O.TRIPS, O.RAWF, _hex_sql("rawf", "trip_distance", "trip_duration_min"), body=_HEX_BODY))
+def q_hexbin_raw(spark, sf):
+    return E.hexbin(raw_features(spark, sf), "trip_distance", "trip_duration_min", 60)
+
+
+_ZOOM = {"trip_distance": (0, 40), "trip_duration_min": (0, 120)}
+
+
+@query("hexbin_raw_zoom", W(O.TRIPS, O.RAWF, """
+zoomed AS (SELECT * FROM rawf WHERE trip_distance BETWEEN 0 AND 40 AND trip_duration_min BETWEEN 0 AND 120)""",
+                            _hex_sql("zoomed", "trip_distance", "trip_duration_min"), body=_HEX_BODY))
+def q_hexbin_raw_zoom(spark, sf):
+    return E.hexbin(FE.zoom(raw_features(spark, sf), _ZOOM), "trip_distance", "trip_duration_min", 60)
+
+
 # ---------------------------------------------------------------- D14 box statistics, D15 labels
 
 def _box_sql(src, col, by, where="TRUE", label_expr=None):

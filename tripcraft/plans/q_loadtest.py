@@ -56,12 +56,12 @@ def q_request_sequence(spark, sf):
 
 @query("loadtest_summary", W(O.LOG, SUMMARY, body="SELECT * FROM summary"))
 def q_loadtest_summary(spark, sf):
-    return L.summarize_log(log(spark, sf))
+    return L.summarize_log(X.request_log_base(spark, sf))
 
 
 @query("loadtest_summary_tall", W(O.LOG, SUMMARY, TALL, body="SELECT * FROM tall"))
 def q_loadtest_summary_tall(spark, sf):
-    return summary_to_tall(L.summarize_log(log(spark, sf)), ["run_id"])
+    return summary_to_tall(L.summarize_log(X.request_log_base(spark, sf)), ["run_id"])
 
 
 @query("compare_runs", W(O.LOG, SUMMARY, TALL, body="""
@@ -69,13 +69,13 @@ SELECT a.position, a.metric, a.value AS value_a, b.value AS value_b,
   CASE WHEN b.value = 0 THEN NULL ELSE round(a.value / b.value, 6) END AS ratio
 FROM tall a JOIN tall b ON a.metric = b.metric WHERE a.run_id = 'A' AND b.run_id = 'B'"""))
 def q_compare_runs(spark, sf):
-    return L.compare_runs(L.summarize_log(log(spark, sf)), "A", "B")
+    return L.compare_runs(L.summarize_log(X.request_log_base(spark, sf)), "A", "B")
 
 
 @query("throughput_per_second", W(O.LOG, body="""
 SELECT run_id, CAST(floor(elapsed) AS BIGINT) AS time_bucket, count(*) AS requests_per_sec FROM log GROUP BY ALL"""))
 def q_throughput_per_second(spark, sf):
-    return L.throughput(log(spark, sf))
+    return L.throughput(X.request_log_base(spark, sf))
 
 
 @query("hist_latency", W(O.LOG, """
@@ -88,7 +88,7 @@ spine AS (SELECT hs.*, CAST(b AS INTEGER) AS bin FROM hs, range(0, 50) r(b))""",
 SELECT s.run_id, s.bin, round(s.lo + (s.hi - s.lo) / 50 * s.bin, 6) AS bin_lo, round(s.lo + (s.hi - s.lo) / 50 * (s.bin + 1), 6) AS bin_hi,
   CAST(coalesce(c.count, 0) AS BIGINT) AS count FROM spine s LEFT JOIN hc c ON c.run_id = s.run_id AND c.bin = s.bin"""))
 def q_hist_latency(spark, sf):
-    return L.latency_histogram(log(spark, sf), 50)
+    return L.latency_histogram(X.request_log_base(spark, sf), 50)
 
 
 @query("latency_rolling", W(O.LOG, SEQ, """
@@ -119,18 +119,19 @@ def q_progress_snapshots_cli(spark, sf):
 
 @query("request_sequence_ranges", W(O.LOG, body="SELECT * FROM log"))
 def q_request_sequence_ranges(spark, sf):
-    """Same result as request_sequence, numbered with range partitions instead of per-run windows."""
-    return L.with_sequence(X.request_log_base(spark, sf), method="ranges")
+    """Same result as request_sequence with other range partitions: positions do not depend on the layout."""
+    return L.with_sequence(X.request_log_base(spark, sf), partitions=13)
 
 
 @query("request_sequence_window", W(O.LOG, body="SELECT * FROM log"))
 def q_request_sequence_window(spark, sf):
-    """Same result, numbered with one window partition per run (fine for bounded runs)."""
-    return L.with_sequence(X.request_log_base(spark, sf), method="window")
+    """Same result with few range partitions."""
+    return L.with_sequence(X.request_log_base(spark, sf), partitions=3)
 
 
 @query("latency_rolling_ranges")
 def q_latency_rolling_ranges(spark, sf):
+    """Same result as latency_rolling (an earlier name of the default method)."""
     return L.rolling_latency(X.request_log_base(spark, sf), method="ranges")
 
 

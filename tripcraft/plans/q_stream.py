@@ -5,10 +5,10 @@ from __future__ import annotations
 
 import uuid
 
-
 from tripcraft.plans.q_ml import linear_variants, train_test
 from tripcraft.plans.queries import ORACLE, query, trips
 from tripcraft.plans import pipeline as P
+from tripcraft.session import checkpoint_dir
 from tripcraft.sources import fixtures as X
 from tripcraft.streaming import stream as ST
 
@@ -18,24 +18,25 @@ def _stream(spark, sf, name):
     return ST.read_stream(spark, f"{sf}/{name}*.parquet", schema)
 
 
-def _name(prefix):
-    return f"{prefix}_{uuid.uuid4().hex[:8]}"
+def _base(spark, prefix):
+    return f"{checkpoint_dir(spark).rstrip('/')}/streams/{prefix}_{uuid.uuid4().hex[:8]}"
 
 
 @query("stream_window_metrics", """
 WITH l AS (SELECT CASE WHEN user_id % 2 = 0 THEN 'A' ELSE 'B' END AS run_id, CAST(ts AS TIMESTAMP) AS ts,
                   value / 1000e0 AS latency, event_type <> 'error' AS success FROM events),
-m AS (SELECT max(ts) - INTERVAL 10 MINUTE AS wm FROM l),
 g AS (SELECT run_id, date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
              count(*) AS requests, round(avg(latency * 1000.0e0), 6) AS mean_latency_ms,
              round(max(latency * 1000.0e0), 6) AS max_latency_ms,
              round(avg(CASE WHEN success THEN 0.0e0 ELSE 100.0e0 END), 6) AS error_rate_pct
       FROM l GROUP BY ALL)
-SELECT * FROM g WHERE window_end <= (SELECT wm FROM m)""")
+SELECT * FROM g""")
 def q_stream_window_metrics(spark, sf):
-    """Hourly event-time windows per run, 10-minute watermark, append mode: closed windows only."""
+    """Hourly event-time windows per run, 10-minute watermark; open windows are flushed at the end of the input."""
     log = ST.with_stream_log(_stream(spark, sf, "events"))
-    return ST.run_to_table(ST.stream_metrics(log, window="1 hour", delay="10 minutes"), _name("win"))
+    base = _base(spark, "win")
+    return ST.run_to_latest(ST.stream_metrics(log, window="1 hour", delay="10 minutes"),
+                            ["run_id", "window_start", "window_end"], f"{base}/out", f"{base}/checkpoint")
 
 
 @query("stream_clean_trips")
@@ -43,7 +44,8 @@ def q_stream_clean_trips(spark, sf):
     """Streaming cleaning of trips derived from a lineitem file stream, bounds from the batch job."""
     bounds = P.learn_bounds(trips(spark, sf), quantiles="exact")
     stream_trips = X.trips_from_lineitem(_stream(spark, sf, "lineitem"))
-    return ST.run_to_table(ST.stream_clean(stream_trips, bounds), _name("clean"))
+    base = _base(spark, "clean")
+    return ST.run_to_table(ST.stream_clean(stream_trips, bounds), f"{base}/out", f"{base}/checkpoint")
 
 
 ORACLE["stream_clean_trips"] = ORACLE["clean_trips"]
@@ -54,9 +56,9 @@ def q_stream_score_requests(spark, sf):
     """Request stream -> validation -> scoring; accepted and rejected rows land in two sinks."""
     train, _ = train_test(spark, sf)
     models, params = linear_variants(train)
-    base = f"{ST.checkpoint_dir(spark).rstrip('/')}/sinks/{_name('score')}"
+    base = _base(spark, "score")
     q = ST.stream_score(X.requests_from_lineitem(_stream(spark, sf, "lineitem")), models, params,
-                        f"{base}/scored", f"{base}/rejected")
+                        f"{base}/scored", f"{base}/rejected", f"{base}/checkpoint")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/scored").drop("_batch_id", "batch_id")
 

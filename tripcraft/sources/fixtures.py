@@ -141,23 +141,21 @@ def requests_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def micros(ts: Column) -> Column:
-    """Microseconds since the epoch of a wall-clock timestamp, independent of the session zone."""
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
-
-
 def request_log_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request log without the per-run sequence columns (6 columns)."""
     return derived_table(spark, sf_dir, "request_log", lambda s, d: log_from_events(table(s, d, "events")))
 
 
 def log_from_events(events: DataFrame) -> DataFrame:
-    """The request-log recipe on any events frame: a narrow projection, no shuffle."""
+    """The request-log recipe on any events frame: a narrow projection, no shuffle. One hour of event time is one
+    second of log time, so that the log looks like a load test."""
+    fast = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', cast(ts as timestamp_ntz)) div 3600")
+    second = F.timestamp_add("SECOND", F.floor(fast / 1_000_000).cast("int"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     ev = events.select("event_id", "ts", "user_id", "event_type", "value")
     return ev.select(
         F.when(F.col("user_id") % 2 == 0, "A").otherwise("B").alias("run_id"),
         F.col("event_id"),
-        F.col("ts").cast("timestamp_ntz").alias("ts"),
+        F.timestamp_add("MICROSECOND", F.pmod(fast, F.lit(1_000_000)).cast("int"), second).alias("ts"),
         (F.col("value") / 1000).alias("latency"),
         F.when(F.col("event_type") == "error", 500).otherwise(200).cast("int").alias("status"),
         (F.col("event_type") != "error").alias("success"),
@@ -165,10 +163,6 @@ def log_from_events(events: DataFrame) -> DataFrame:
 
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Request log (8 columns): adds completion order and compressed elapsed seconds per run.
-
-    Partitioned by `run_id`: each run is one window partition. For a single huge run use
-    `operators.loadtest.with_sequence(..., method="ranges")`, which avoids a one-task window.
-    """
+    """Request log (8 columns): adds completion order and elapsed seconds per run (range-partitioned)."""
     from tripcraft.operators.loadtest import with_sequence
     return with_sequence(request_log_base(spark, sf_dir))

@@ -1,21 +1,19 @@
 """Structured Streaming jobs (inventory I1-I3), each with a batch twin.
 
 I1 `stream_metrics`: live request metrics per tumbling event-time window; late rows beyond the
-   watermark are dropped (Spark filters late input with the previous batch's watermark), windows
-   are emitted once closed (append mode), state is bounded by the watermark.
+   watermark are dropped (Spark filters late input with the previous batch's watermark), state is
+   bounded by the watermark. `run_to_latest` drives it with the windows still open at the end.
 I2 `stream_score`: validates and scores a request stream; `foreachBatch` writes accepted and
    rejected rows to two sinks (idempotent per batch id, so a retried batch does not duplicate).
 I3 `stream_clean`: stateless cleaning of a trip stream with bounds learnt by the batch job.
 
 Watermarks need `timestamp` (not timestamp_ntz) columns, so wall-clock times are cast first.
-Checkpoints go under the shared checkpoint folder (`spark.checkpoint.dir`).
+Sinks and checkpoints are folders that the caller names; they have to be shared by all executors.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,7 +24,6 @@ from tripcraft.operators import features as FE
 from tripcraft.operators import quality as Q
 from tripcraft.operators import score as SC
 from tripcraft.plans.pipeline import Bounds
-from tripcraft.session import checkpoint_dir
 
 
 def read_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
@@ -37,10 +34,6 @@ def read_stream(spark: SparkSession, path: str, schema, max_files: int | None =
     return r.parquet(path)
 
 
-def checkpoint_location(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:8]}"
-
-
 def stream_metrics(log: DataFrame, window: str = "1 second", delay: str = "10 seconds", run: str = "run_id",
                    ts: str = "ts") -> DataFrame:
     """Per run and tumbling window: requests, mean and max latency (ms), error rate (%)."""
@@ -74,9 +67,11 @@ def score_batch(batch: DataFrame, models, scaler_params, **kw) -> tuple[DataFram
 
 
 def stream_score(requests: DataFrame, models, scaler_params, scored_path: str, rejected_path: str,
-                 checkpoint: str | None = None, trigger: dict | None = None, **kw) -> StreamingQuery:
-    """Score a request stream; scored and rejected rows go to two Parquet sinks per micro-batch."""
-    spark = requests.sparkSession
+                 checkpoint: str, trigger: dict | None = None, **kw) -> StreamingQuery:
+    """Score a request stream; scored and rejected rows go to two Parquet sinks per micro-batch.
+
+    `checkpoint` must be the same folder in every run into the same sinks: batch numbers go on where the
+    last run stopped, so a restart neither repeats nor overwrites what is there."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         # The micro-batch feeds two sinks: keep it once instead of re-reading the source twice.
@@ -89,18 +84,35 @@ def stream_score(requests: DataFrame, models, scaler_params, scored_path: str, r
         finally:
             batch.unpersist()
 
-    w = requests.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint or checkpoint_location(spark, "score"))
+    w = requests.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def run_to_table(df: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
-    """Drive a streaming DataFrame over all available input into a memory table; return it."""
-    spark = df.sparkSession
-    q = (df.writeStream.outputMode(mode).format("memory").queryName(name)
-         .option("checkpointLocation", checkpoint or checkpoint_location(spark, name))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.table(name)
+def run_to_table(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Drive a stateless streaming DataFrame over all available input into a Parquet sink; return the table.
+    The sink's log makes each micro-batch count once, also over restarts with the same checkpoint."""
+    df.writeStream.outputMode("append").format("parquet").option("path", path).option(
+        "checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def run_to_latest(df: DataFrame, keys: list[str], path: str, checkpoint: str) -> DataFrame:
+    """Drive a streaming aggregate in update mode: every micro-batch writes the rows it changed to its own
+    folder (a repeated batch overwrites itself), and the table is each key's row of the last batch. Windows
+    that are still open when the input ends are part of it."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    df.writeStream.outputMode("update").foreachBatch(sink).option(
+        "checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    rows = df.sparkSession.read.schema(f"{_ddl(df)}, batch_id long").option("basePath", path).parquet(path)
+    rest = [c for c in df.columns if c not in keys]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_r"))
+    return last.select(*keys, *(F.col(f"_r.{c}").alias(c) for c in rest)).select(*df.columns)
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
 
 def with_stream_log(events: DataFrame) -> DataFrame:
@@ -110,5 +122,3 @@ def with_stream_log(events: DataFrame) -> DataFrame:
         "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), (F.col("value") / 1000).alias("latency"),
         (F.col("event_type") != "error").alias("success"))
 
-
-StreamFn = Callable[[DataFrame], DataFrame]
