@@ -1,5 +1,6 @@
 """Cleaning pipeline against the figures published in FIXTURES.md (sf0.01, exact quantiles)."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tripcraft import schema as S

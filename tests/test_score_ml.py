@@ -103,3 +103,27 @@ def test_mlp_resumes_from_saved_epochs(spark, tmp_path):
     assert again.history[:2] == first.history
     straight = NN.fit_mlp(df, ["a", "b"], "y", hidden=(8,), epochs=4, batch=64)
     assert np.allclose(straight.weights, again.weights)
+
+
+def test_training_ignores_the_partitioning_and_other_data_trains_anew(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    rows = [(float(a), float(b), float(1 + a)) for a, b in rng.normal(size=(600, 2))]
+    df = spark.createDataFrame(rows, "a double, b double, y double")
+    fit = lambda d, **k: NN.fit_mlp(d, ["a", "b"], "y", hidden=(8,), epochs=2, batch=64, replicas=4, **k).weights
+    one, two, eight = (fit(df.repartition(n)) for n in (1, 2, 8))
+    assert np.allclose(one, two) and np.allclose(one, eight)
+    folder = str(tmp_path / "state")
+    assert np.allclose(fit(df, resume_dir=folder), one)
+    other = df.withColumn("y", F.col("y") * 2)
+    assert np.allclose(fit(other, resume_dir=folder), fit(other)) and not np.allclose(fit(other), one)
+
+
+def test_compressed_artefact_is_small_and_equals_the_quantised_model(spark, tmp_path):
+    import os
+    m = NN.MLPModel(NN.init_weights(7), 7)
+    m.save(spark, str(tmp_path / "full"))
+    m.save(spark, str(tmp_path / "small"), compressed=True)
+    size = lambda d: sum(f.stat().st_size for f in os.scandir(tmp_path / d) if f.name.endswith(".parquet"))
+    assert size("small") < size("full") / 4
+    back = NN.MLPModel.load(spark, str(tmp_path / "small"))
+    assert np.allclose(back.weights, NN.quantize_model(m).weights, rtol=1e-6, atol=1e-7)

@@ -22,8 +22,8 @@ from tripcraft.operators import mlp as NN
 from tripcraft.sources import io as IO
 
 
-def run(spark, cleaned, output: str, models=("linear", "forest", "boosted", "mlp"), trees=100, depth=12,
-        rounds=200, epochs=5, seed=42):
+def run(spark, cleaned, output: str, models=("linear", "forest", "boosted", "mlp"), trees=100, depth=20,
+        forest_rows=S.FOREST_ROWS, rounds=200, epochs=5, seed=42):
     train_c, test_c = M.split(cleaned, seed=seed)
     metrics = []
 
@@ -38,7 +38,7 @@ def run(spark, cleaned, output: str, models=("linear", "forest", "boosted", "mlp
             m.write().overwrite().save(f"{output}/linear_{feats}")
             record(f"linear_{feats}", M.predict(m, te, feats))
     if "forest" in models:
-        m = M.fit_forest(M.bootstrap(full_tr, 100_000, seed), "full", trees=trees, depth=depth, seed=seed)
+        m = M.fit_forest(M.bootstrap(full_tr, forest_rows, seed), "full", trees=trees, depth=depth, seed=seed)
         m.write().overwrite().save(f"{output}/forest")
         M.importances(m, "full", spark).write.mode("overwrite").parquet(f"{output}/forest_importances")
         record("forest", M.predict(m, full_te, "full"))
@@ -55,7 +55,7 @@ def run(spark, cleaned, output: str, models=("linear", "forest", "boosted", "mlp
                          resume_dir=f"{output}/mlp_state")
         small = NN.quantize_model(net)
         net.save(spark, f"{output}/mlp_full")
-        small.save(spark, f"{output}/mlp_compressed")
+        net.save(spark, f"{output}/mlp_compressed", compressed=True)
         te = prep(red_te)
         for name, m in (("mlp_full", net), ("mlp_compressed", small)):
             p = NN.predict(te, m, S.REDUCED_FEATURES, "p_log").withColumn(
@@ -74,13 +74,15 @@ def main(argv=None) -> int:
     ap.add_argument("--output", required=True)
     ap.add_argument("--models", default="linear,forest,boosted,mlp")
     ap.add_argument("--trees", type=int, default=100)
+    ap.add_argument("--depth", type=int, default=20, help="tree depth of the forest (Spark allows 30)")
+    ap.add_argument("--forest-rows", type=int, default=S.FOREST_ROWS, help="rows the forest is fitted on (resampled)")
     ap.add_argument("--rounds", type=int, default=200)
     ap.add_argument("--epochs", type=int, default=5)
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("tripcraft-train").getOrCreate()
     ship_package(spark)
     run(spark, IO.read_cleaned(spark, args.cleaned), args.output.rstrip("/"), tuple(args.models.split(",")),
-        trees=args.trees, rounds=args.rounds, epochs=args.epochs).show(truncate=False)
+        trees=args.trees, depth=args.depth, forest_rows=args.forest_rows, rounds=args.rounds, epochs=args.epochs).show(truncate=False)
     return 0
 
 

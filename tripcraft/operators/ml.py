@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
@@ -104,7 +104,7 @@ def fit_linear(train: DataFrame, features: str | Sequence[str] = "full", label:
 
 
 def fit_forest(train: DataFrame, features: str | Sequence[str] = "full", label: str = S.TARGET, trees: int = 100,
-               depth: int = 12, seed: int = 42):
+               depth: int = 20, seed: int = 42):
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed,
                                featureSubsetStrategy="all", maxBins=64)
     return rf.fit(assemble(train, features))
@@ -135,11 +135,14 @@ def linear_coefficients(model, features: str | Sequence[str], spark) -> DataFram
     return spark.createDataFrame(list(zip(names, vals)), "feature string, coefficient double")
 
 
-def pruning_comparison(train: DataFrame, test: DataFrame, label: str = S.TARGET) -> DataFrame:
-    """The same learner (OLS) on the full (13) and reduced (7) feature lists: one metrics row each."""
-    rows = []
+def pruning_comparison(train: DataFrame, test: DataFrame, learners: Mapping[str, Callable], label: str = S.TARGET) -> DataFrame:
+    """Each learner on the full (13) and the reduced (7) feature list, every list on its own population (rows
+    without nulls in its columns): one metrics row each. A learner maps (train, test, features) to predictions."""
+    out = None
     for name in ("full", "reduced"):
-        model = fit_linear(train, name, label)
-        rows.append(regression_metrics(predict(model, test, name), label, "prediction")
-                    .select(F.lit(f"linear_{name}").alias("model"), "*"))
-    return rows[0].unionByName(rows[1])
+        keep = [*feature_list(name), label]
+        a, b = train.select(*keep).dropna("any"), test.select(*keep).dropna("any")
+        for kind, learner in learners.items():
+            row = regression_metrics(learner(a, b, name), label, "prediction").select(F.lit(f"{kind}_{name}").alias("model"), "*")
+            out = row if out is None else out.unionByName(row)
+    return out

@@ -92,33 +92,43 @@ class MLPModel:
     def layers(self):
         return unflatten(self.weights, self.n_in, self.hidden)
 
-    def to_frame(self, spark) -> DataFrame:
-        """Weights as a table (layer, kind, rows, cols, values) for Parquet storage."""
+    def to_frame(self, spark, compressed: bool = False) -> DataFrame:
+        """Weights as a table for Parquet storage: (layer, kind, rows, cols, values), or compressed with int8
+        kernels, (layer, kind, rows, cols, codes, scale, values): a kernel is codes * scale, a bias its values."""
+        from tripcraft.operators.score import quantize
         rows, i = [], 0
         for k, (fi, fo) in enumerate(layer_shapes(self.n_in, self.hidden)):
-            rows.append((k, "kernel", fi, fo, self.weights[i:i + fi * fo].tolist()))
-            i += fi * fo
-            rows.append((k, "bias", 1, fo, self.weights[i:i + fo].tolist()))
-            i += fo
-        return spark.createDataFrame(rows, "layer int, kind string, rows int, cols int, values array<double>")
+            kernel, bias = self.weights[i:i + fi * fo], self.weights[i + fi * fo:i + fi * fo + fo]
+            i += fi * fo + fo
+            if compressed:
+                scale = quantize(kernel.tolist(), 8)[1]
+                codes = np.rint(kernel / scale).astype(int) if scale else np.zeros(len(kernel), dtype=int)
+                rows += [(k, "kernel", fi, fo, codes.tolist(), float(scale), None),
+                         (k, "bias", 1, fo, None, None, bias.astype(np.float32).tolist())]
+            else:
+                rows += [(k, "kernel", fi, fo, kernel.tolist()), (k, "bias", 1, fo, bias.tolist())]
+        extra = "codes array<tinyint>, scale double, values array<float>" if compressed else "values array<double>"
+        return spark.createDataFrame(rows, f"layer int, kind string, rows int, cols int, {extra}").coalesce(1)
 
     @classmethod
     def from_frame(cls, df: DataFrame) -> MLPModel:
         rows = sorted(df.collect(), key=lambda r: (r["layer"], r["kind"] != "kernel"))
         n_in = rows[0]["rows"]
         hidden = tuple(r["cols"] for r in rows if r["kind"] == "bias")[:-1]
-        return cls(np.concatenate([np.asarray(r["values"]) for r in rows]), n_in, hidden)
+        parts = [np.asarray(r["codes"], dtype=np.float64) * r["scale"] if r.asDict().get("codes") is not None
+                 else np.asarray(r["values"], dtype=np.float64) for r in rows]
+        return cls(np.concatenate(parts), n_in, hidden)
 
-    def save(self, spark, path: str) -> None:
-        self.to_frame(spark).write.mode("overwrite").parquet(path)
+    def save(self, spark, path: str, compressed: bool = False) -> None:
+        self.to_frame(spark, compressed).write.mode("overwrite").parquet(path)
 
     @classmethod
     def load(cls, spark, path: str) -> MLPModel:
         return cls.from_frame(spark.read.parquet(path))
 
 
-def _train_partitions(df: DataFrame, weights: np.ndarray, n_in: int, hidden, features, label, batch, lr, seed, epoch,
-                      step0: int) -> tuple[np.ndarray, float]:
+def _train_partitions(df: DataFrame, weights: np.ndarray, n_in: int, hidden, features, label, batch, lr, seed,
+                      epoch) -> tuple[np.ndarray, float]:
     """One epoch: local Adam on every partition from the same start, then a row-weighted average."""
     spark = df.sparkSession
     ship_package(spark)
@@ -170,48 +180,64 @@ def mse_frame(df: DataFrame, model: MLPModel, features: Sequence[str], label: st
     return float(row["mse"]) if row["mse"] is not None else float("nan")
 
 
-def _load_state(spark, resume_dir: str | None):
-    """Last finished epoch saved under `resume_dir` (shared folder), or None."""
-    if not resume_dir:
-        return None
+def _exists(spark, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def _load_state(spark, folder: str, epochs: int):
+    """The last epoch whose state row (written last) is complete, or None."""
     import json
-    try:
-        row = spark.read.parquet(f"{resume_dir}/state").first()
-    except Exception:  # noqa: BLE001 - no state written yet
-        return None
-    if row is None:
-        return None
-    return (row["epoch"], row["best_loss"], row["wait"], json.loads(row["history"]),
-            MLPModel.load(spark, f"{resume_dir}/current"), MLPModel.load(spark, f"{resume_dir}/best"))
+    for epoch in range(epochs, 0, -1):
+        at = f"{folder}/epoch-{epoch}"
+        if _exists(spark, f"{at}/state/_SUCCESS"):
+            row = spark.read.parquet(f"{at}/state").first()
+            return (row["epoch"], row["best_loss"], row["wait"], json.loads(row["history"]),
+                    MLPModel.load(spark, f"{at}/current"), MLPModel.load(spark, f"{at}/best"))
+    return None
 
 
-def _save_state(spark, resume_dir: str, epoch: int, best_loss: float, wait: int, history: list,
+def _save_state(spark, folder: str, epoch: int, best_loss: float, wait: int, history: list,
                 current: MLPModel, best: MLPModel) -> None:
+    """A folder per epoch; its state row comes last, so a half-written epoch does not count."""
     import json
-    current.save(spark, f"{resume_dir}/current")
-    best.save(spark, f"{resume_dir}/best")
+    at = f"{folder}/epoch-{epoch}"
+    current.save(spark, f"{at}/current")
+    best.save(spark, f"{at}/best")
     spark.createDataFrame([(epoch, float(best_loss), wait, json.dumps(history))],
                           "epoch int, best_loss double, wait int, history string") \
-        .coalesce(1).write.mode("overwrite").parquet(f"{resume_dir}/state")
+        .coalesce(1).write.mode("overwrite").parquet(f"{at}/state")
+
+
+def _fingerprint(data: DataFrame, settings: object) -> str:
+    """Identifies training rows (as a multiset) and settings."""
+    import hashlib
+    row = data.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*data.columns).cast("decimal(38,0)"))).first()
+    return hashlib.sha256(repr((tuple(row), data.columns, settings)).encode()).hexdigest()[:24]
 
 
 def fit_mlp(train: DataFrame, features: Sequence[str], label: str, hidden: Sequence[int] = HIDDEN, epochs: int = 5,
             batch: int = 512, validation: float = 0.2, patience: int = 5, lr: float = 1e-3, seed: int = 42,
-            resume_dir: str | None = None) -> MLPModel:
+            resume_dir: str | None = None, replicas: int = 8) -> MLPModel:
     """Train on `label` (already transformed, e.g. log1p seconds) from standardised `features`.
 
     A hash-chosen `validation` share of rows is held out; after each epoch its MSE is measured and
-    the best weights are kept (early stop after `patience` epochs without improvement). With
-    `resume_dir` (a shared folder), the state after every epoch is written there and a restarted
-    call continues from the last finished epoch instead of from scratch."""
+    the best weights are kept (early stop after `patience` epochs without improvement). Rows are dealt to
+    `replicas` local models by hash and sorted, so the result depends on that number, not on how the input
+    is partitioned. With `resume_dir` (a shared folder), the state after every epoch is written there under
+    a fingerprint of the rows and settings: a restarted call continues from the last finished epoch, and
+    other data or settings train anew."""
     from pyspark import StorageLevel
     spark = train.sparkSession
     data = train.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("double").alias(label))
     is_val = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in data.columns]), F.lit(100)) < int(round(validation * 100))
-    fit_df = data.filter(~is_val).persist(StorageLevel.MEMORY_AND_DISK)
+    fit_df = data.filter(~is_val).repartition(replicas, *data.columns).sortWithinPartitions(*data.columns) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     val_df = data.filter(is_val).persist(StorageLevel.MEMORY_AND_DISK)
     n_in = len(features)
-    state = _load_state(spark, resume_dir)
+    folder = resume_dir and f"{resume_dir}/" + _fingerprint(
+        data, (tuple(features), label, tuple(hidden), batch, validation, patience, lr, seed, replicas))
+    state = _load_state(spark, folder, epochs) if folder else None
     if state is not None:
         start, best_loss, wait, history, model, best_model = state
         model.history = history
@@ -229,7 +255,7 @@ def fit_mlp(train: DataFrame, features: Sequence[str], label: str, hidden: Seque
             if wait >= patience:
                 break
             w, train_loss = _train_partitions(fit_df, model.weights, n_in, tuple(hidden), features, label, batch, lr,
-                                              seed, epoch, 0)
+                                              seed, epoch)
             model = MLPModel(w, n_in, tuple(hidden), model.history)
             val_loss = mse_frame(val_df, model, features, label) if validation > 0 else train_loss
             model.history.append({"epoch": epoch + 1, "loss": train_loss, "val_loss": val_loss})
@@ -237,8 +263,8 @@ def fit_mlp(train: DataFrame, features: Sequence[str], label: str, hidden: Seque
                 best, best_loss, wait = model.weights, val_loss, 0
             else:
                 wait += 1
-            if resume_dir:
-                _save_state(spark, resume_dir, epoch + 1, best_loss, wait, model.history, model,
+            if folder:
+                _save_state(spark, folder, epoch + 1, best_loss, wait, model.history, model,
                             MLPModel(best, n_in, tuple(hidden)))
     finally:
         fit_df.unpersist()
@@ -262,13 +288,15 @@ def quantize_model(model: MLPModel, bits: int = 8) -> MLPModel:
 def _udf(models: Mapping[str, MLPModel], float32: Mapping[str, bool] | None = None):
     """Arrow-batched UDF: (variant, *features) -> prediction, each batch split by variant."""
     ship_package()
-    prepared = {k: (m.layers(), (float32 or {}).get(k, False)) for k, m in models.items()}
+    from pyspark.sql import SparkSession
+    shared = SparkSession.getActiveSession().sparkContext.broadcast(
+        {k: (m.layers(), (float32 or {}).get(k, False)) for k, m in models.items()})
 
     @F.pandas_udf(T.DoubleType())
     def score(variant: pd.Series, *xs: pd.Series) -> pd.Series:
         x = np.column_stack([s.to_numpy(dtype=np.float64) for s in xs])
         out = np.full(len(x), np.nan)
-        for name, (layers, f32) in prepared.items():
+        for name, (layers, f32) in shared.value.items():
             mask = (variant == name).to_numpy()
             if mask.any():
                 if f32:

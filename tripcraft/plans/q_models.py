@@ -11,72 +11,131 @@ from tripcraft.operators import mlp as NN
 from tripcraft.operators import score as SC
 from tripcraft.operators.explore import with_scalars
 from tripcraft.operators.zones import enrich_zones
-from tripcraft.plans.q_ml import RED, train_test
+from tripcraft.plans.q_ml import RED, split_key, train_test
 from tripcraft.plans.queries import CLEAN_CTES, W, cleaned, query
+from tripcraft.session import checkpoint_dir
 from tripcraft.sources import fixtures as X
 from tripcraft.sources import io as IO
 
-# Registered-query sizes: the library defaults are the reference's (100 trees, 200 boosting
-# rounds); the registered twins use smaller ensembles so the whole catalogue runs in minutes.
-FOREST_TREES, FOREST_DEPTH = 20, 10
-BOOST_ROUNDS = 20
+FOREST_TREES, FOREST_DEPTH = 100, 20
+BOOST_ROUNDS = 200
+# Integer sampling key that DuckDB repeats.
+SAMPLE_KEY_SQL = "((PULocationID*7919 + DOLocationID*104729 + trip_duration_seconds*1299709 + pickup_hour*15485863) % 1000000)"
+
+
+def sample_key():
+    return (F.col("PULocationID") * 7919 + F.col("DOLocationID") * 104729
+            + F.col("trip_duration_seconds").cast("bigint") * 1299709 + F.col("pickup_hour").cast("bigint") * 15485863)
 
 
 def metrics_row(pred, name):
     return M.regression_metrics(pred, S.TARGET, "prediction").select(F.lit(name).alias("model"), "*")
 
 
-@query("bounded_sample")
+@query("bounded_sample", W(*CLEAN_CTES, body=f"""
+SELECT {', '.join(S.CLEAN_COLUMNS)} FROM cleaned, (SELECT count(*) AS total FROM cleaned)
+WHERE total <= {S.SAMPLE_ROWS} OR {SAMPLE_KEY_SQL} < CAST(floor(least(1.0e0, {S.SAMPLE_ROWS}.0e0 / total) * 1000000) AS BIGINT)"""))
 def q_bounded_sample(spark, sf):
-    return IO.bounded_sample(cleaned(spark, sf), n=20_000, seed=42)
+    return IO.bounded_sample(cleaned(spark, sf), key=sample_key())
 
 
-@query("eval_sample")
+@query("eval_sample", W(*CLEAN_CTES, body=f"""
+SELECT {', '.join(RED + [S.TARGET])} FROM cleaned WHERE {SAMPLE_KEY_SQL} < 50000
+  AND {' AND '.join(f'{c} IS NOT NULL' for c in RED + [S.TARGET])}"""))
 def q_eval_sample(spark, sf):
-    return IO.eval_sample(FE.training_frame(cleaned(spark, sf), "reduced"), 0.05, seed=42)
-
-
-@query("synthetic_requests")
-def q_synthetic_requests(spark, sf):
-    # As many synthetic requests as there are lineitem rows, so the work grows with the tables.
-    n = X.table(spark, sf, "lineitem").count()
-    return IO.synthetic_requests(spark, n, seed=42)
+    """5 % of all rows, reduced population."""
+    return FE.training_frame(IO.eval_sample(cleaned(spark, sf), 0.05, key=sample_key()), "reduced")
 
 
 @query("bootstrap_resample")
 def q_bootstrap_resample(spark, sf):
     train, _ = train_test(spark, sf, "full")
-    return M.bootstrap(train, 100_000, seed=42)
+    return M.bootstrap(train, S.FOREST_ROWS, seed=42)
 
 
 @query("linear_regression")
 def q_linear_regression(spark, sf):
+    """OLS on the 13 features: coefficients, metrics on the test rows, and R2 on all rows."""
     train, test = train_test(spark, sf, "full")
     model = M.fit_linear(train, "full")
     coef = M.linear_coefficients(model, "full", spark)
     m = M.regression_metrics(M.predict(model, test, "full"), S.TARGET, "prediction")
-    return with_scalars(coef, m.select("mae", "mse", "rmse", "r2"))
+    every = M.regression_metrics(M.predict(model, train.unionByName(test), "full"), S.TARGET, "prediction")
+    return with_scalars(with_scalars(coef, m.select("mae", "mse", "rmse", "r2")), every.select(F.col("r2").alias("r2_all")))
+
+
+# Normal equations of the least-squares fit: residuals sum to zero, alone and against each feature.
+_RESIDUALS = [("(intercept)", "1")] + [(c, f"CAST({c} AS DOUBLE)") for c in RED]
+
+
+@query("ols_residuals", " UNION ALL ".join(f"SELECT '{c}' AS feature, 0.0 AS residual_product" for c, _ in _RESIDUALS))
+def q_ols_residuals(spark, sf):
+    """Mean product of the residuals of the 7-feature OLS with each feature, on the scale of their spreads."""
+    train, _ = train_test(spark, sf, "reduced")
+    pred = M.predict(M.fit_linear(train, "reduced"), train, "reduced").withColumn("e", F.col(S.TARGET) - F.col("prediction"))
+    sums = [(F.avg(F.col("e") * F.expr(x)) / F.greatest(F.lit(1.0), F.avg(F.abs(F.col("e")))
+                                                       * F.avg(F.abs(F.expr(x))))).alias(c) for c, x in _RESIDUALS]
+    wide = pred.agg(*sums)
+    rows = F.array(*(F.struct(F.lit(c).alias("feature"), (F.round(F.col(f"`{c}`"), 4) + 0.0).alias("residual_product"))
+                     for c, _ in _RESIDUALS))
+    return wide.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def _learners(spark):
+    def linear(train, test, features):
+        return M.predict(M.fit_linear(train, features), test, features)
+
+    def boosted(train, test, features):
+        return M.predict(M.fit_boosted(train, features, rounds=PRUNING_ROUNDS, depth=6, rate=0.1), test, features)
+
+    def network(train, test, features):
+        names = M.feature_list(features)
+        scaler = M.Scaler.fit(train, names)
+        model = NN.fit_mlp(M.log_target(scaler.transform(train)), names, "label_log", epochs=5)
+        return NN.predict(scaler.transform(test), model, names, "p_log").withColumn(
+            "prediction", F.greatest(F.lit(0.0), F.expm1("p_log")))
+
+    return {"linear": linear, "boosted": boosted, "network": network}
+
+
+# Rounds of the boosted trees in the comparison of feature lists (both lists alike).
+PRUNING_ROUNDS = 50
 
 
 @query("pruning_comparison")
 def q_pruning_comparison(spark, sf):
-    """Same learner on the full (13) and reduced (7) feature lists, one metrics row each."""
-    train, test = train_test(spark, sf, "full")
-    return M.pruning_comparison(train, test)
+    """Linear model, boosted trees and network on the full (13) and reduced (7) feature lists."""
+    train, test = M.split(cleaned(spark, sf), key=split_key())
+    return M.pruning_comparison(train, test, _learners(spark))
+
+
+_FITTED: dict[tuple, str] = {}
+
+
+def fitted_forest(spark, sf):
+    """The forest, fitted once per application and loaded from the shared folder."""
+    import os
+    import uuid
+
+    from pyspark.ml.regression import RandomForestRegressionModel
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf))
+    if key not in _FITTED:
+        train, _ = train_test(spark, sf, "full")
+        path = f"{checkpoint_dir(spark).rstrip('/')}/models/forest-{uuid.uuid4().hex[:12]}"
+        M.fit_forest(M.bootstrap(train, S.FOREST_ROWS, seed=42), "full", trees=FOREST_TREES, depth=FOREST_DEPTH).save(path)
+        _FITTED[key] = path
+    return RandomForestRegressionModel.load(_FITTED[key])
 
 
 @query("random_forest")
 def q_random_forest(spark, sf):
-    train, test = train_test(spark, sf, "full")
-    model = M.fit_forest(M.bootstrap(train, 100_000, seed=42), "full", trees=FOREST_TREES, depth=FOREST_DEPTH)
-    return metrics_row(M.predict(model, test, "full"), "random_forest")
+    _, test = train_test(spark, sf, "full")
+    return metrics_row(M.predict(fitted_forest(spark, sf), test, "full"), "random_forest")
 
 
 @query("feature_importance")
 def q_feature_importance(spark, sf):
-    train, _ = train_test(spark, sf, "full")
-    model = M.fit_forest(M.bootstrap(train, 100_000, seed=42), "full", trees=FOREST_TREES, depth=FOREST_DEPTH)
-    return M.importances(model, "full", spark)
+    return M.importances(fitted_forest(spark, sf), "full", spark)
 
 
 @query("boosted_trees")
@@ -94,8 +153,6 @@ def train_mlp(spark, sf, epochs=5):
     tables in the shared folder and loaded back (as the serving side loads its saved model)."""
     import os
     import uuid
-
-    from tripcraft.session import checkpoint_dir
     train, test = train_test(spark, sf, "reduced")
     key = (spark.sparkContext.applicationId, os.path.abspath(sf), epochs)
     path = _TRAINED.get(key)
@@ -125,9 +182,10 @@ def q_mlp_regression(spark, sf):
 
 @query("compare_variants")
 def q_compare_variants(spark, sf):
-    """Full vs int8-quantised network on a 5% sample: MAE in seconds and mean drift from full."""
-    model, _, test = train_mlp(spark, sf)
-    sample = IO.eval_sample(test, 0.05, seed=42)
+    """Full vs int8-quantised network on 5% of all rows: MAE in seconds and mean drift from full."""
+    model, scaler, _ = train_mlp(spark, sf)
+    rows = FE.training_frame(IO.eval_sample(cleaned(spark, sf), 0.05, key=sample_key()), "reduced")
+    sample = M.log_target(scaler.transform(rows))
     return NN.compare_variants(sample, {"full": model, "compressed": NN.quantize_model(model)}, RED, S.TARGET,
                                float32={"compressed": True})
 

@@ -151,3 +151,7 @@ ZONE_SCHEMA = T.StructType([
     T.StructField("Zone", T.StringType()),
     T.StructField("service_zone", T.StringType()),
 ])
+
+# Sizes the models are fitted at.
+FOREST_ROWS = 100_000
+SAMPLE_ROWS = 200_000

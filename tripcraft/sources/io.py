@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripcraft import schema as S
@@ -35,14 +35,20 @@ def write_cleaned(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     w.parquet(path)
 
 
-def bounded_sample(df: DataFrame, n: int = 200_000, seed: int = 42, total: int | None = None) -> DataFrame:
-    """Seeded Bernoulli sample of about n rows: fraction min(1, n / count)."""
+def bounded_sample(df: DataFrame, n: int = S.SAMPLE_ROWS, seed: int = 42, total: int | None = None,
+                   key: Column | None = None) -> DataFrame:
+    """Seeded Bernoulli sample of about n rows: fraction min(1, n / count). With an integer `key`, the sample is
+    repeatable in any engine: rows whose key modulo 1,000,000 is below the fraction."""
     total = df.count() if total is None else total
     frac = 1.0 if total == 0 else min(1.0, n / total)
-    return df if frac >= 1.0 else df.sample(fraction=frac, seed=seed)
+    if frac >= 1.0:
+        return df
+    return df.sample(fraction=frac, seed=seed) if key is None else df.filter(F.pmod(key, F.lit(1_000_000)) < int(frac * 1_000_000))
 
 
-def eval_sample(df: DataFrame, fraction: float = 0.05, seed: int = 42) -> DataFrame:
+def eval_sample(df: DataFrame, fraction: float = 0.05, seed: int = 42, key: Column | None = None) -> DataFrame:
+    if key is not None:
+        return df.filter(F.pmod(key, F.lit(1_000_000)) < int(fraction * 1_000_000))
     return df.sample(fraction=fraction, seed=seed)
 
 
