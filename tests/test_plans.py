@@ -76,3 +76,29 @@ def test_scalar_attach_enforces_one_row(spark):
     two = spark.createDataFrame([(1.0,), (2.0,)], "a double")
     with pytest.raises((PySparkException, Py4JJavaError)):
         X.with_scalars(spark.range(3), two).collect()
+
+
+@pytest.mark.parametrize("key", ["hist_density_by_flag", "box_by_overcharge", "hist_latency", "request_sequence"])
+def test_statistics_joins_move_no_data_by_key(spark, key):
+    """With the threshold of automatic broadcasts forced low, statistics are still what is broadcast: no data
+    side is broadcast, and none is shuffled on the group key."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        df = E.queries()[key](spark, SF)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    joins = [line for line in plan.splitlines() if "Join" in line and "LeftOuter" not in line]
+    assert joins and all("BroadcastHashJoin" in line and "BuildRight" in line for line in joins), plan
+
+
+def test_large_statistics_are_salted(spark, monkeypatch):
+    monkeypatch.setattr(X, "BROADCAST_BYTES", 0)
+    big = spark.createDataFrame([(k % 2 if k % 7 else None, k) for k in range(200)], "g long, x long").repartition(5)
+    small = big.groupBy("g").agg({"x": "max"}).withColumnRenamed("max(x)", "top")
+    out = X.join_small(big, small, ["g"])
+    assert "SortMergeJoin" in plan_of(out) and out.columns == ["g", "x", "top"]
+    want = {r.g: r.top for r in small.collect()}
+    rows = out.collect()
+    assert len(rows) == 200 and all(r.top == want[r.g] for r in rows)

@@ -20,7 +20,8 @@ from tripcraft.sources import io as IO
 FOREST_TREES, FOREST_DEPTH = 100, 20
 BOOST_ROUNDS = 200
 # Integer sampling key that DuckDB repeats.
-SAMPLE_KEY_SQL = "((PULocationID*7919 + DOLocationID*104729 + trip_duration_seconds*1299709 + pickup_hour*15485863) % 1000000)"
+SAMPLE_KEY_SQL = ("((CAST(PULocationID AS BIGINT)*7919 + CAST(DOLocationID AS BIGINT)*104729"
+                  " + CAST(trip_duration_seconds AS BIGINT)*1299709 + CAST(pickup_hour AS BIGINT)*15485863) % 1000000)")
 
 
 def sample_key():
