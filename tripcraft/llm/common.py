@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tripcraft.session import checkpoint_dir, ship_package
 
+T = TypeVar("T")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     """The named columns of an input table (extra columns never reach the operator)."""
@@ -42,6 +45,18 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, rows: int = 1000) ->
             yield batch.slice(at, rows)
 
 
+_HELD: dict[str, object] = {}
+
+
+def held(key: object, make: Callable[[], T]) -> T:
+    """State that a worker process keeps between tasks (remembered words and the like). A worker holds one at a
+    time: asking with another key drops the last, so operators that follow each other don't add up."""
+    if _HELD.get("key") != key:
+        _HELD.clear()
+        _HELD.update(key=key, value=make())
+    return _HELD["value"]  # type: ignore[return-value]
+
+
 def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """Connected components of ``edges(src, dst)`` (any orderable type): rows (node, component), where
     component is the smallest node reachable.

@@ -10,10 +10,10 @@ Order: range partitions of (key, hash of the text), sorted inside; null keys fir
 position of a file's first id is a running sum over the manifest (one row per file).
 
 Encoding: pieces between single spaces repeat a lot, so each worker keeps the ids of pieces it has seen
-(at most ``CACHE`` entries) and gives only new ones to the tokenizer. A space between two non-space
-characters always starts a pre-token of the byte-level pattern, so the pieces' ids concatenate to the
-whole text's ids; texts with adjacent white space are cut before white-space runs instead, and texts with
-the control characters U+001C to U+001F, or a tokenizer of another kind, are encoded whole.
+twice (at most ``CACHE`` entries) and gives only others to the tokenizer. A space between two non-space
+characters always starts a pre-token of the byte-level pattern, so the pieces' ids concatenate to the whole text's ids; texts with adjacent white space are cut before white-space runs instead, and texts with
+the control characters U+001C to U+001F or with a special token's string, and all texts of a tokenizer of
+another kind, are encoded whole.
 
 Defined results: a null or empty text has the end id alone; repeated rows are repeated documents.
 """
@@ -34,18 +34,19 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripcraft.llm.common import shared_path, sliced, stored, table
+from tripcraft.llm.common import held, shared_path, sliced, stored, table
 from tripcraft.llm.eliasfano import EliasFano
 
 FILE_IDS = 1 << 25  # ids per file: 64 MB of 16-bit ids
-CACHE = 1_000_000  # pieces a worker remembers
+CACHE = 400_000  # pieces a worker remembers
+ONCE = (1 << 22) - 1  # hash slots that note what has been seen once
+JOINED = 256  # new pieces given to the tokenizer as one text
 KEEP_LENGTH = 64  # longest piece that is remembered
 MAGIC = b"EFTOKENS"
 _HEAD = struct.Struct("<8sBQQQQqQ")  # magic, id bytes, ids, documents, null keys, boundary bytes, lowest key, key bytes
 _UNSAFE = re.compile(r"\s\s|[\x1c-\x1f]|^\s|\s$")
 _CONTROL = re.compile(r"[\x1c-\x1f]")
 _RUNS = re.compile(r"\s*\S+|\s+")
-_STATE: dict[str, object] = {}
 
 
 def default_vocabulary() -> str:
@@ -71,45 +72,89 @@ class Encoder:
         pre = parts.get("pre_tokenizer") or {}
         self.pieces = (parts.get("normalizer") is None and pre.get("type") == "ByteLevel"
                        and not pre.get("add_prefix_space", True) and pre.get("use_regex", True)
-                       and not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] or t["single_word"]
+                       and not any(t["lstrip"] or t["rstrip"] or t["single_word"]
                                    for t in parts.get("added_tokens", [])))
-        self.seen: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.special = [t["content"] for t in parts.get("added_tokens", [])]
+        # every byte of a token is one character of the byte-level alphabet
+        self.lengths = np.zeros(self.tokenizer.get_vocab_size(), dtype=np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.lengths[i] = len(token)
+        self.seen: dict[str, bytes] = {}  # pieces as they are
+        self.after: dict[str, bytes] = {}  # pieces that follow a space
+        self.once = bytearray(ONCE + 1)
 
     def _cut(self, text: str) -> tuple[list[str], list[str]]:
         """(pieces as they are, pieces that follow a space)."""
         if not text:
             return [], []
-        if not self.pieces:
+        if not self.pieces or any(x in text for x in self.special):
             return [text], []
-        if _UNSAFE.search(text):
-            return ([text] if _CONTROL.search(text) else _RUNS.findall(text)), []
+        if "  " in text or "\n\n" in text or "\n " in text or " \n" in text or text[0].isspace() or text[-1].isspace() \
+                or not text.replace("\n", " ").isprintable():
+            if _UNSAFE.search(text):
+                return ([text] if _CONTROL.search(text) else _RUNS.findall(text)), []
         first, *rest = text.split(" ")
         return [first], rest
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cuts = [self._cut(t or "") for t in texts]
-        new = {" " + p for p in set().union(*(c[1] for c in cuts)) if " " + p not in self.seen}
-        new.update(p for c in cuts for p in c[0] if p not in self.seen)
-        order = list(new)
-        own = dict(zip(order, self._ids(order), strict=True))
-        if len(self.seen) > CACHE:
+        if len(self.seen) + len(self.after) > CACHE:
             self.seen.clear()
-            return self.encode(texts)
-        long = {p: own.pop(p) for p in [p for p in own if len(p) > KEEP_LENGTH]}
-        self.seen.update(own)
-        look = self.seen.__getitem__ if not long else lambda p: self.seen[p] if p not in long else long[p]
-        return [b"".join([*map(look, head), *map(look, [" " + p for p in rest])]) for head, rest in cuts]
-
-
-def _encoder(spec: str) -> Encoder:
-    """One encoder per worker process and vocabulary (workers serve many tasks)."""
-    if _STATE.get("spec") != spec:
-        _STATE.update(spec=spec, encoder=Encoder(spec))
-    return _STATE["encoder"]  # type: ignore[return-value]
+            self.after.clear()
+            self.once = bytearray(ONCE + 1)
+        cuts = [self._cut(t or "") for t in texts]
+        known = [(list(map(self.seen.get, head)), list(map(self.after.get, rest))) for head, rest in cuts]
+        holes = [(_holes(first), _holes(then)) for first, then in known]
+        alone = {p for (head, _), (gaps, _) in zip(cuts, holes, strict=True) for p in map(head.__getitem__, gaps)}
+        joined = {p for (_, rest), (_, gaps) in zip(cuts, holes, strict=True) for p in map(rest.__getitem__, gaps)}
+        own, later = self._alone(list(alone)), self._joined(list(joined))
+        for (head, rest), (first, then), (a, b) in zip(cuts, known, holes, strict=True):
+            for k in a:
+                first[k] = own[head[k]]
+            for k in b:
+                then[k] = later[rest[k]]
+        self._remember(self.seen, own)
+        self._remember(self.after, later)
+        return [b"".join(first) + b"".join(then) for first, then in known]
+
+    def _remember(self, where: dict[str, bytes], new: dict[str, bytes]) -> None:
+        """A piece is remembered when it comes again; most never do. Long ones are not."""
+        for p, x in new.items():
+            slot = hash(p) & ONCE
+            if not self.once[slot]:
+                self.once[slot] = 1
+            elif len(p) <= KEEP_LENGTH:
+                where[p] = x
+
+    def _alone(self, pieces: list[str]) -> dict[str, bytes]:
+        return {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(
+            pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True)}
+
+    def _joined(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces that follow a space. They are given to the tokenizer JOINED at a time, with their spaces:
+        they do not change each other's ids, and the byte lengths of the tokens say where one ends."""
+        ids = {}
+        groups = [pieces[k:k + JOINED] for k in range(0, len(pieces), JOINED)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False),
+                            strict=True):
+            flat = np.array(e.ids, dtype="<u4")
+            sizes = np.cumsum([len(p.encode("utf-8", "surrogatepass")) + 1 for p in group])
+            ends = np.searchsorted(np.cumsum(self.lengths[flat]), sizes) + 1
+            raw, at = flat.tobytes(), 0
+            for p, end in zip(group, (4 * ends).tolist(), strict=True):
+                ids[p] = raw[at:end]
+                at = end
+        return ids
+
+
+def _holes(ids: list[bytes | None]) -> list[int]:
+    """Where the list has None."""
+    out, at = [], -1
+    try:
+        while True:
+            at = ids.index(None, at + 1)
+            out.append(at)
+    except ValueError:
+        return out
 
 
 def pack(keys: list[int | None], ids: list[bytes], width: int) -> bytes:
@@ -181,10 +226,10 @@ def write(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, seq = TaskContext.get().partitionId(), 0
-        encoder = _encoder(shared.value)
+        encoder = held(("tokens", shared.value), lambda: Encoder(shared.value))
         keys: list[int | None] = []
         ids: list[bytes] = []
-        held = 0
+        size = 0
 
         def flush() -> pa.RecordBatch:
             uri = f"{folder}/{part:06d}-{seq:05d}-{uuid.uuid4().hex}.tokens"
@@ -192,18 +237,18 @@ def write(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text",
             with out.open_output_stream(name) as f:
                 f.write(pack(keys, ids, width))
             return pa.RecordBatch.from_pylist([{"path": uri, "part": part, "seq": seq, "n_docs": len(keys),
-                                                "n_ids": held}], schema=arrow)
+                                                "n_ids": size}], schema=arrow)
 
         for b in sliced(batches, "t", 256):
             encoded = encoder.encode(b.column("t").to_pylist())
             for k, x in zip(b.column("k").to_pylist(), encoded, strict=True):
                 keys.append(k)
                 ids.append(x + end)
-                held += len(x) // 4 + 1
-                if held >= file_ids:
+                size += len(x) // 4 + 1
+                if size >= file_ids:
                     yield flush()
                     keys.clear(), ids.clear()
-                    held, seq = 0, seq + 1
+                    size, seq = 0, seq + 1
         if keys:
             yield flush()
 
