@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripcraft.llm.common import sliced, stored, table
+from tripcraft.llm.common import held, sliced, stored, table
 
 BUCKETS = 1 << 12
 TRAIN_ROWS = 10_000  # documents the scorer is fitted on, at most
@@ -32,7 +32,6 @@ FEW = 8  # texts of fewer words get no votes
 WORDS = 300_000  # words a worker remembers
 SEED = 7
 LABELLERS = ("capitals", "symbols", "repeats", "separators", "sentences", "length", "word_length", "digits")
-_STATE: dict[str, object] = {}
 
 
 def shape(word: str) -> str:
@@ -105,7 +104,7 @@ def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     schema = rows.select("row", "h", F.array().cast("array<int>").alias("votes"), F.lit(b"").alias("at"), F.lit(b"").alias("x")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _STATE.setdefault("words", Words())
+        words = held("quality", Words)
         for b in sliced(batches, "t", 500):
             found = [words.features(d) for d in words.numbers([t.split() if t else [] for t in b.column("t").to_pylist()])]
             yield pa.RecordBatch.from_arrays(

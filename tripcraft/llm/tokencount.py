@@ -23,14 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripcraft.llm.common import sliced, table
+from tripcraft.llm.common import held, sliced, table
 
 SPACE = "▁"
 UNKNOWN = 10.0  # below the lowest score
 CACHE = 600_000  # pieces a worker remembers
 KEEP_LENGTH = 64
 _PUNCTUATION = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
-_STATE: dict[str, object] = {}
 
 
 def default_vocabulary() -> str:
@@ -142,21 +141,14 @@ class Counter:
         return int(total.imag), total.real
 
 
-def counter(pieces: list[tuple[str, float]]) -> Counter:
-    """One counter per worker process and vocabulary."""
-    key = (len(pieces), hash(tuple(pieces)))
-    if _STATE.get("key") != key:
-        _STATE.update(key=key, counter=Counter(pieces))
-    return _STATE["counter"]  # type: ignore[return-value]
-
-
 def token_counts(docs: DataFrame, text: str = "text", vocabulary: str | None = None) -> DataFrame:
     """``docs`` as a column ``row`` (without the text) plus ``n_tokens`` and the path's ``score``."""
     shared = docs.sparkSession.sparkContext.broadcast(load(vocabulary or default_vocabulary()))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text)).alias("row"), F.col(f"`{text}`").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(shared.value).count
+        pieces = shared.value
+        count = held(("counts", len(pieces), hash(tuple(pieces))), lambda: Counter(pieces)).count
         for b in sliced(batches, "t"):
             found = [count(t) for t in b.column("t").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([x[0] for x in found], pa.int64()),
