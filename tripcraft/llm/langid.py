@@ -20,7 +20,6 @@ if nothing could be learned; a null key counts as held out from learning; rows w
 
 from __future__ import annotations
 
-import bisect
 import re
 import zlib
 from collections import Counter
@@ -31,15 +30,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripcraft.llm.common import sliced, table
+from tripcraft.llm.common import held, sliced, stored, table
 
-BUCKETS = 1 << 16
+BUCKET_BITS = 16
+BUCKETS = 1 << BUCKET_BITS
 PENALTY = 12.0  # nats per change of language
 UNSEEN = 0.01  # probability mass spread over all buckets
 SCRIPT_SHARE = 1e-4  # a language uses a script if it holds this share of its letters
 MIN_SCORE = 0.5  # the filter rejects below this
 MAX_LANGUAGES = 1024
 WORDS = 300_000  # words a worker remembers
+COUNTED = 200_000  # distinct words counted, over all languages, before they are turned into n-gram counts
 FOLDS = 5
 _WORD = re.compile(r"[^\W\d_]+")
 # First code points of script blocks (Unicode block chart) and the script from there on.
@@ -53,23 +54,38 @@ _SCRIPTS = [(0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530,
             (0xA000, "other"), (0xAC00, "hangul"), (0xD7B0, "han"), (0xFB00, "latin"), (0xFB1D, "hebrew"),
             (0xFB50, "arabic"), (0xFF00, "latin"), (0xFF66, "kana"), (0xFFA0, "hangul"), (0x10000, "other"),
             (0x20000, "han"), (0x323B0, "other")]
-_FIRST = [c for c, _ in _SCRIPTS]
+_FIRST = np.array([c for c, _ in _SCRIPTS])
 SCRIPTS = sorted({s for _, s in _SCRIPTS})
-_NUMBER = [SCRIPTS.index(s) for _, s in _SCRIPTS]
-_STATE: dict[str, object] = {}
-
-
-def script(word: str) -> int:
-    """Script number of a word: that of its last letter (a CJK word may start with another)."""
-    return _NUMBER[bisect.bisect_right(_FIRST, ord(word[-1])) - 1]
-
-
-def grams(word: str) -> list[int]:
-    """Bucket numbers of the word's character n-grams."""
-    marked = f"^{word.lower()}$"
-    n = len(marked)
-    return [zlib.crc32(marked[i:i + k].encode("utf-8", "replace")) % BUCKETS
-            for k in (1, 2, 3) for i in range(k == 1, n - k + 1 - (k == 1))]
+_NUMBER = np.array([SCRIPTS.index(s) for _, s in _SCRIPTS])
+
+
+def scripts(last: np.ndarray) -> np.ndarray:
+    """Script numbers of words by the code points of their last letters (a CJK word may start with another)."""
+    return _NUMBER[np.searchsorted(_FIRST, last, side="right") - 1]
+
+
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all words at once: the buckets of their n-grams, where each word's begin, and the script numbers.
+
+    The words stand in one string with U+0000 as boundary mark; a window of 1 to 3 characters is an n-gram
+    unless it is a mark alone or has one in the middle."""
+    text = ("\0" + "\0".join(words) + "\0").lower()
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    mark = c == 0
+    follow = np.concatenate([c[1:], [np.uint64(0)]])
+    then = np.concatenate([c[2:], [np.uint64(0)] * 2])[:len(c)]
+    inner, n = ~mark, len(c)
+    windows = []
+    for size, (x, ok) in enumerate([(c, inner), (c * np.uint64(0x110000) + follow, inner | np.append(inner[1:], False)),
+                                    ((c * np.uint64(0x110000) + follow) * np.uint64(0x110000) + then, np.append(inner[1:], False))]):
+        x = (x + np.uint64(size)) * np.uint64(0x9E3779B97F4A7C15)  # multiplicative hash, the top bits are the bucket
+        at = np.flatnonzero(ok & (np.arange(n) < n - size))
+        windows.append((at, (x[at] >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)))
+    at = np.concatenate([w[0] for w in windows])
+    order = np.argsort(at, kind="stable")
+    starts = np.flatnonzero(mark)
+    return (np.concatenate([w[1] for w in windows])[order], np.searchsorted(at[order], starts[:-1]),
+            scripts(c[starts[1:] - 1].astype(np.int64)))
 
 
 def _letters(word: str) -> int:
@@ -92,19 +108,21 @@ def counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
 
         def fold(lang: str) -> None:
             slots = sums.setdefault(lang, np.zeros(BUCKETS + len(SCRIPTS), dtype=np.int64))
-            at: list[int] = []
-            n: list[int] = []
-            for w, c in words.pop(lang).items():
-                g = grams(w)
-                at += g
-                n += [c] * len(g)
-                slots[BUCKETS + script(w)] += c * _letters(w)
-            slots += np.bincount(at, n, minlength=len(slots)).astype(np.int64)
-
-        for b in sliced(batches, "t", 500):
+            counted = words.pop(lang)
+            if not counted:
+                return
+            at, starts, script = grams(list(counted))
+            n = np.fromiter(counted.values(), dtype=np.int64)
+            each = np.repeat(n, np.diff(np.append(starts, len(at))))
+            slots[:BUCKETS] += np.bincount(at, each, minlength=BUCKETS).astype(np.int64)
+            letters = n * np.fromiter(map(_letters, counted), dtype=np.int64)
+            slots[BUCKETS:] += np.bincount(script, letters, minlength=len(SCRIPTS)).astype(np.int64)
+
+        for b in sliced(batches, "t", 100):
             for lang, t in zip(b.column("lang").to_pylist(), b.column("t").to_pylist(), strict=True):
                 words.setdefault(lang, Counter()).update(_WORD.findall(t))
-                if len(words[lang]) > WORDS:
+            if sum(map(len, words.values())) > COUNTED:
+                for lang in list(words):
                     fold(lang)
         for lang in list(words):
             fold(lang)
@@ -123,19 +141,21 @@ class Model:
         self.langs = langs
         c, letters = slots[:, :BUCKETS].astype(np.float64), slots[:, BUCKETS:].astype(np.float64)
         share = c / np.maximum(c.sum(1, keepdims=True), 1)
-        self.log = np.log((1 - UNSEEN) * share + UNSEEN / BUCKETS).T.astype(np.float32).copy()
+        self.log = np.log((1 - UNSEEN) * share + UNSEEN / BUCKETS).T.astype(np.float32)
         self.uses = letters >= SCRIPT_SHARE * np.maximum(letters.sum(1, keepdims=True), 1)
         self.token = zlib.crc32(self.log.tobytes())
 
-    def score(self, word: str) -> np.ndarray:
-        s = self.log[grams(word)].sum(0)
-        can = self.uses[:, script(word)]
-        return np.where(can, s, -1e4) if can.any() else s
+    def score(self, words: list[str]) -> np.ndarray:
+        """(word, language) scores; a language that never used the word's script is out."""
+        at, starts, script = grams(words)
+        total = np.stack([np.add.reduceat(self.log[:, k][at], starts) for k in range(len(self.langs))], axis=1)
+        can = self.uses.T[script]
+        return np.where(can | ~can.any(1, keepdims=True), total, -1e4)
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """Fit on all rows of ``docs``; the driver gets at most BUCKETS + number of scripts rows per language."""
-    table = counts(docs, text, lang)
+    table = stored(counts(docs, text, lang), "language-counts")
     langs = sorted(r.lang for r in table.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
     if len(langs) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages; the language column holds something else")
@@ -165,10 +185,12 @@ class Labeller:
             size = max(need, 2 * len(self.letters))
             self.scores = np.concatenate([self.scores, np.zeros((size - len(self.scores), self.scores.shape[1]), np.float32)])
             self.letters = np.concatenate([self.letters, np.zeros(size - len(self.letters), np.int64)])
-        for w in new:
-            k = self.number[w] = len(self.number)
-            self.letters[k] = _letters(w)
-            self.scores[k] = self.model.score(w) if self.letters[k] else 0
+        if new:
+            words, first = list(new), len(self.number)
+            self.number.update(zip(words, range(first, need), strict=True))
+            self.letters[first:need] = np.fromiter(map(_letters, words), dtype=np.int64, count=len(words))
+            if self.model.langs:
+                self.scores[first:need] = np.where(self.letters[first:need, None] > 0, self.model.score(words), 0)
         get = self.number.__getitem__
         return [np.fromiter(map(get, d), dtype=np.int64, count=len(d)) for d in docs]
 
@@ -177,7 +199,7 @@ class Labeller:
         out: list[np.ndarray | int] = [0] * len(docs)
         hard: list[int] = []
         for k, words in enumerate(docs):
-            if not len(words):
+            if not len(words) or not self.model.langs:
                 continue
             s = self.scores[words].astype(np.float64)
             best = int(s.sum(0).argmax())
@@ -252,12 +274,6 @@ class Labeller:
                 for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def _labeller(model: Model) -> Labeller:
-    if _STATE.get("token") != (model.token, tuple(model.langs)):
-        _STATE.update(token=(model.token, tuple(model.langs)), labeller=Labeller(model))
-    return _STATE["labeller"]  # type: ignore[return-value]
-
-
 def identify(docs: DataFrame, model: Model, text: str = "text", spans: bool = False) -> DataFrame:
     """``docs`` as a column ``row`` plus ``lang_pred``, ``score`` and, if asked, ``spans`` (start, end, lang)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -268,8 +284,9 @@ def identify(docs: DataFrame, model: Model, text: str = "text", spans: bool = Fa
                          *([F.array().cast(kind).alias("spans")] if spans else [])).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = _labeller(shared.value)
-        for b in sliced(batches, "t", 2000):
+        model = shared.value
+        labeller = held(("language", model.token, tuple(model.langs)), lambda: Labeller(model))
+        for b in sliced(batches, "t", 1000):
             texts = b.column("t").to_pylist()
             found = labeller.languages(texts)
             columns = [b.column("row"), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
