@@ -106,13 +106,15 @@ def fit_linear(train: DataFrame, features: str | Sequence[str] = "full", label:
 def fit_forest(train: DataFrame, features: str | Sequence[str] = "full", label: str = S.TARGET, trees: int = 100,
                depth: int = 20, seed: int = 42):
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed,
-                               featureSubsetStrategy="all", maxBins=64)
+                               featureSubsetStrategy="all", maxBins=64, maxMemoryInMB=1024,
+                               cacheNodeIds=True)
     return rf.fit(assemble(train, features))
 
 
 def fit_boosted(train: DataFrame, features: str | Sequence[str] = "reduced", label: str = S.TARGET, rounds: int = 200,
                 depth: int = 6, rate: float = 0.1, seed: int = 42):
-    gbt = GBTRegressor(featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed)
+    gbt = GBTRegressor(featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed,
+                       maxMemoryInMB=1024)
     return gbt.fit(assemble(train, features))
 
 
