@@ -20,6 +20,21 @@ def test_cases(page, text):
     assert html.extract(page) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<body><p class=ad>Buy<p>Article 1<p>Article 2</body>", "Article 1\nArticle 2"),
+    ("<body><ul><li class=ad>Buy<li>Article 1<li>Article 2</ul></body>", "Article 1\nArticle 2"),
+    ("<body><table><tr><td class=sidebar>Buy<td>Article 1<tr><td>Article 2</table></body>", "Article 1\nArticle 2"),
+    ("<body><div><nav><a href=x>Home</a></div><div><p>Article 1</p><p>Article 2</p></div></body>", "Article 1\nArticle 2"),
+    ("<body><div><p class=ad>Buy</div><ul><li class=promo>Buy</ul><div>Article 1</div></body>", "Article 1"),
+    ("<body><span class=ad><div>Buy</span>Article 1</body>", "Article 1"),
+    ("<body><p>Article 1 <button>Buy<div>now</div></button> goes on</body>", "Article 1 goes on"),
+    ("<head><title>T</title><meta name=x><body><p>Article 1", "Article 1"), ("<head><title>T</title>Article 1", "Article 1"),
+])
+def test_unclosed_unwanted_elements(page, text):
+    """Implied ends and ends of ancestors end what is skipped."""
+    assert html.extract(page) == text
+
+
 def test_query_equals_articles(spark, sf01):
     """On the pages of the data, the article's blocks by a plain split of the markup."""
     import html as standard

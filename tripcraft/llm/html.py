@@ -43,6 +43,8 @@ SIBLING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "
            "th": ("td", "th"), "option": ("option",), "tbody": ("tbody", "thead", "tr", "td", "th"),
            "tfoot": ("tbody", "thead", "tr", "td", "th")}
 SCOPE = frozenset("article aside body details div dl fieldset figure footer header html main nav ol section table ul".split())
+HOLDS = SCOPE | frozenset("applet button dialog form math menu object select svg template".split())  # no implied end from inside
+IN_HEAD = frozenset("base link meta noframes noscript script style template title".split())
 DROPPED = frozenset("""head script style noscript template iframe object embed applet svg math canvas audio video map nav aside
     footer form button select textarea input label fieldset datalist dialog menu""".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog toolbar".split())
@@ -60,10 +62,10 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "parent", "children", "unwanted", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, name: str, parent: Node | None):
-        self.name, self.parent = name, parent
+    def __init__(self, name: str, parent: Node | None, unwanted: bool = False):
+        self.name, self.parent, self.unwanted = name, parent, unwanted
         self.children: list[Node | str] = []
 
 
@@ -87,11 +89,13 @@ def _unwanted(name: str, attributes: str, parent: Node) -> bool:
 
 
 def parse(page: str) -> Node:
-    """The tree of wanted elements; text is in the children as decoded strings."""
+    """The tree of wanted elements; text is in the children as decoded strings.
+
+    Unwanted elements are parsed by the same rules, so that implied ends and the ends of their ancestors end them
+    too, and are cut from the whole tree."""
     root = node = Node("html", None)
     page = page.replace("\x00", "")
     at, size = 0, len(page)
-    skip: list[str] = []  # open elements inside an unwanted one
     while at < size:
         lt = page.find("<", at)
         m = None
@@ -101,7 +105,9 @@ def parse(page: str) -> Node:
                 break
             lt = page.find("<", lt + 1)
         text = page[at:lt if lt >= 0 else size]
-        if text and not skip:
+        if text:
+            if node.name == "head" and not text.isspace():
+                node = node.parent
             node.children.append(html.unescape(text))
         if lt < 0:
             break
@@ -110,20 +116,12 @@ def parse(page: str) -> Node:
         if not name:
             continue
         if m[1]:
-            if skip:
-                if name in skip:
-                    while skip.pop() != name:
-                        pass
-                elif name in ("body", "html", "article", "main"):
-                    skip.clear()  # an unwanted element was never closed
-                if skip:
-                    continue
-                if name not in ("body", "html", "article", "main"):
-                    continue
             up: Node | None = node
-            while up is not None and up.name != name and not (up.name in SCOPE and name not in BLOCK):
+            crossed = False
+            while up is not None and up.name != name:
+                crossed = crossed or up.name in SCOPE
                 up = up.parent
-            if up is not None and up.name == name and up.parent is not None:
+            if up is not None and up.parent is not None and (name in BLOCK or up.unwanted or not crossed):
                 node = up.parent
             elif name == "p" or name == "br":
                 node.children.append(Node(name, node))
@@ -132,38 +130,36 @@ def parse(page: str) -> Node:
         if raw:
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
             body, at = page[at:end.start() if end else size], end.end() if end else size
-            if not skip and name not in DROPPED and name != "title":
+            if name not in DROPPED and name != "title":
                 node.children.append(html.unescape(body))
             continue
         closed = name in VOID or m[3].endswith("/") and name not in BLOCK
-        if skip:
-            if not closed:
-                if name in SIBLING and skip[-1] in SIBLING[name]:
-                    skip.pop()
-                if name in ENDS_P and skip and skip[-1] == "p":
-                    skip.pop()
-                skip.append(name)
-            continue
         if name in ("html", "body") and any(x.name == name and x is not root for x in _path(node)) or name == "html":
             continue
+        if node.name == "head" and name not in IN_HEAD:
+            node = node.parent
         if name in ENDS_P or name in SIBLING:
             ends = SIBLING.get(name, ("p",))
             up = node
-            while up.parent is not None and up.name not in SCOPE:
+            while up.parent is not None and up.name not in HOLDS:
                 if up.name in ends:
                     node = up.parent
                 up = up.parent
-        if _unwanted(name, m[3], node):
-            if not closed:
-                skip.append(name)
-            continue
-        child = Node(name, node)
+        child = Node(name, node, _unwanted(name, m[3], node))
         node.children.append(child)
         if not closed:
             node = child
+    _cut(root)
     return root
 
 
+def _cut(root: Node) -> None:
+    """Leaves the unwanted subtrees out."""
+    for n in _nodes(root):
+        if not n.unwanted:
+            n.children = [c for c in n.children if isinstance(c, str) or not c.unwanted]
+
+
 def _path(node: Node) -> Iterator[Node]:
     up: Node | None = node
     while up is not None:
