@@ -35,6 +35,29 @@ def test_unclosed_unwanted_elements(page, text):
     assert html.extract(page) == text
 
 
+_LONG = "One two three four five six, seven eight nine ten."
+
+
+@pytest.mark.parametrize("wrapper", ["div class='content-sidebar-wrap'", "div class='page has-sidebar'", "div id='page-with-nav'",
+                                     "section class='post related'", "form action=x", "body class=x><form", "div hidden"])
+@pytest.mark.parametrize("inside", [f"<p>{_LONG}</p>", f"<main><p>{_LONG}</p></main>", f"<article><p>{_LONG}</p></article>"])
+def test_wrappers_stay(wrapper, inside):
+    """Marked elements and forms around the text; what is marked inside them still goes."""
+    end = "</form>" if "form" in wrapper else f"</{wrapper.split()[0]}>"
+    page = f"<{wrapper}>{inside}<div class=ad>Buy this</div>{end}<footer>{_LONG} {_LONG}</footer></body>"
+    assert html.extract(page) == _LONG
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    (f"<body><nav>Menu<article><p>{_LONG}</p></article></body>", _LONG),  # never closed
+    (f"<body><div class=promo><article>{_LONG}</article></div><div class=promo><article>{_LONG}!</article></div></body>", f"{_LONG}\n{_LONG}!"),
+    (f"<article><p>Post</p><section class=comments><article>{_LONG}</article><article>{_LONG}</article></section></article>", "Post"),
+    (f"<article><p>{_LONG}</p></article><aside><article>Other</article></aside>", _LONG),
+])
+def test_what_is_no_wrapper(page, text):
+    assert html.extract(page) == text
+
+
 def test_query_equals_articles(spark, sf01):
     """On the pages of the data, the article's blocks by a plain split of the markup."""
     import html as standard

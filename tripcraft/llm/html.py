@@ -9,9 +9,12 @@ largest sum up to the body. From the body down, the first node that reaches the
 descendant of the largest sum, and that whole subtree is the text: nothing inside is dropped for being
 short. If the subtree lies in an article element, or is around a single one, the article is taken.
 
-Elements that never hold article text are not part of the tree: scripts, styles, forms, menus, page
-headers and footers, sidebars, and elements whose role, class or id says so (``advert``, ``cookie``,
-``comments`` ... - fixed words below). A header inside an article with a heading stays.
+Elements that hold no article text are cut before: scripts, styles, menus, page headers and footers, sidebars,
+forms, and elements whose role, class or id says so (``advert``, ``cookie``, ``comments`` ... - fixed words
+below). A header inside an article with a heading stays. Wrappers are no such elements and stay, so that the
+density decides: a marked element or form that holds an article or main (and is not in an article itself) or
+the larger part of the body's unlinked text, and an element unwanted by its name that holds both. Articles
+inside articles (reader comments) do not count for this.
 
 Text: character references decoded, white space inside a block made one space, blocks joined by a line
 break in page order. Block elements and ``br``-free runs between them are blocks.
@@ -35,6 +38,8 @@ from tripcraft.llm.common import sliced, table
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript plaintext".split())
+WRAPS = frozenset("form fieldset".split())  # unwanted by their names, but pages are put into them
+INERT = frozenset("head template dialog svg math".split())
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
     figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option
     p pre section summary table tbody td tfoot th thead tr ul""".split())
@@ -62,7 +67,7 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "unwanted", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "parent", "children", "unwanted", "inner", "holds", "plain", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, name: str, parent: Node | None, unwanted: bool = False):
         self.name, self.parent, self.unwanted = name, parent, unwanted
@@ -154,10 +159,34 @@ def parse(page: str) -> Node:
 
 
 def _cut(root: Node) -> None:
-    """Leaves the unwanted subtrees out."""
-    for n in _nodes(root):
-        if not n.unwanted:
-            n.children = [c for c in n.children if isinstance(c, str) or not c.unwanted]
+    """Leaves the unwanted subtrees out, unless they are wrappers."""
+    nodes = _nodes(root)
+    body = next((n for n in nodes if n.name == "body"), root)
+    for n in nodes:  # inner: in an article
+        n.inner = n.parent is not None and (n.parent.inner or n.parent.name == "article" and not n.parent.unwanted)
+    for n in reversed(nodes):
+        n.holds, n.plain = n.name in ("article", "main") and not n.unwanted, 0
+        if n.name in INERT or n.name == "a" or n.name == "article" and n.inner:
+            continue
+        for c in n.children:
+            if isinstance(c, str):
+                n.plain += len(_SPACE.sub(" ", c).strip())
+            else:
+                n.plain += c.plain
+                n.holds = n.holds or c.holds
+        if _unwanted_name(n) and not n.holds:
+            n.plain = 0
+        n.holds = n.holds and n.plain > 0
+    for n in nodes:
+        if n.unwanted:
+            larger, holds = 2 * n.plain > body.plain, n.holds and not n.inner
+            n.unwanted = not (larger and holds if _unwanted_name(n) else larger or holds)
+    for n in nodes:
+        n.children = [c for c in n.children if isinstance(c, str) or not c.unwanted]
+
+
+def _unwanted_name(n: Node) -> bool:
+    return n.unwanted and (n.name == "header" or n.name in DROPPED and n.name not in WRAPS)
 
 
 def _path(node: Node) -> Iterator[Node]:
