@@ -64,6 +64,22 @@ def test_contexts_find_unseen_identifiers(spark):
     assert pii.personal_data(df.limit(0)).count() == 0
 
 
+def test_sentence_ends_and_series(spark):
+    """Punctuation after a mention makes no second instance; identifiers with spaces are candidates."""
+    ends = [".", "/", "-", "%", "", ", then"]
+    texts = [f"he was seen at address 10.1.{k}.3{ends[k % 6]}" for k in range(150)]  # seeds, most end a sentence
+    new = ["QX-77123", "020 7946 0958", "(020) 7946-0958", "1234 5678 9012 3456", "DE12 3704 0044 0532 0130 00", "07700 900123", "node-0815"]
+    texts += [f"he was seen at address {v}{ends[k % 4]}" for k, v in enumerate(new)]
+    texts += ["in 12 years 1 of 3rd class", "QX-77123 and 020 7946 0958. Then node-0815-1"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.row.doc_id: r for r in pii.personal_data(df).collect()}
+    found = {k: [(s.kind, texts[k][s.start:s.end]) for s in r.discovered] for k, r in rows.items()}
+    assert all(found[k] == [] and len(rows[k].ip) == 1 for k in range(150))
+    for k, v in enumerate(new, 150):
+        assert found[k] == [("ip", v)], texts[k]
+    assert found[157] == [] and sorted(found[158]) == [("ip", "020 7946 0958"), ("ip", "QX-77123")]
+
+
 def test_plan_is_native(spark, sf001):
     plan = pii.op6_pii(spark, sf001)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

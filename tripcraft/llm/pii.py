@@ -7,12 +7,14 @@ below say the same with possessive repeats and start anchors, so that no text ma
 overflow the matcher's stack. Positions come from the lengths of the pieces between matches.
 
 Bootstrapping: base values are seeds. The lexical pattern of a mention is the word (with its punctuation)
-that ends right before it, lower-cased. All tokens of six or more characters with a digit are candidate
-instances. The graph of distinct (pattern, instance) edges is scored in ``ROUNDS`` rounds, by aggregations
+that ends right before it, lower-cased. Candidate instances are all tokens of six or more characters with a
+digit (punctuation that ends them left out), and series: two to ten tokens with a digit and capitals at most,
+single spaces between, the first shorter than six characters (national phone numbers, spaced card and account
+numbers). What overlaps a base span is no candidate. The graph of distinct (pattern, instance) edges is scored in ``ROUNDS`` rounds, by aggregations
 only: a pattern's confidence for a kind is the mean score of its instances, and it is trusted from
 MIN_CONFIDENCE and MIN_SUPPORT instances; an instance's score is the noisy-or of its trusted patterns, and
-seeds stay at 1. Candidates that reach MIN_SCORE in a kind become spans of that kind, unless they overlap a
-base span. Found instances support patterns in the next round, so patterns without seeds can be learned.
+seeds stay at 1. Candidates that reach MIN_SCORE in a kind become spans of that kind, unless they lie in
+a longer one. Found instances support patterns in the next round, so patterns without seeds can be learned.
 
 Defined results: null and empty texts have no spans; repeated rows repeat (an instance counts once per
 pattern, however often it occurs, so copies add no evidence); a null doc_id is an ordinary row.
@@ -32,16 +34,20 @@ MIN_SUPPORT = 5
 MIN_SCORE = 0.9
 CONTEXT = 48  # characters before a mention that may hold its pattern
 BLOCK = 64  # positions are summed in blocks of this many matches
+_TOKEN = r"[A-Z]{0,4}+-?+[0-9][A-Z0-9./-]*+(?![A-Za-z0-9_@]|[%+][A-Za-z0-9])"
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "candidate": r"(?<![A-Za-z0-9._/+@%-])(?=[A-Za-z0-9._/+@%-]{6})[A-Za-z._/+@%-]*+[0-9][A-Za-z0-9._/+@%-]*+",
+    "series": rf"(?<![A-Za-z0-9._/+@%-])(?:\([0-9]{{1,5}}\)\x20?{_TOKEN}(?:\x20{_TOKEN}){{0,8}}+"
+              rf"|(?![A-Z0-9./-]{{6}}){_TOKEN}(?:\x20{_TOKEN}){{1,9}}+)",
 }
+CANDIDATES = ("candidate", "series")
 # what a text must contain for a pattern to be tried at all
 NEEDS = {"email": "text like '%@%'", "ip": "text rlike '[0-9][.][0-9]'", "card": "text rlike '[0-9]'",
-         "phone": "text like '%+%'", "candidate": "text rlike '[0-9]'"}
+         "phone": "text like '%+%'", "candidate": "text rlike '[0-9]'", "series": "text rlike '[0-9][)]? ?[A-Z-]*[0-9]'"}
 _BYTE = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{0,2})"
 _LUHN = """aggregate(sequence(1, length(d)), 0, (s, i) -> s + if(i % 2 = 1, cast(substring(d, length(d) - i + 1, 1) as int),
     if(substring(d, length(d) - i + 1, 1) >= '5', 2 * cast(substring(d, length(d) - i + 1, 1) as int) - 9,
@@ -51,16 +57,18 @@ VALID = {
     "ip": rf"s.value rlike r'^{_BYTE}\.{_BYTE}\.{_BYTE}\.{_BYTE}$'",
     "card": f"exists(array(regexp_replace(s.value, '[ -]', '')), d -> {_LUHN})",
     "phone": "length(regexp_replace(s.value, '[^0-9]', '')) between 9 and 15",
-    "candidate": "true",
+    "candidate": "length(s.value) >= 6",
+    "series": "length(regexp_replace(s.value, '[^A-Z0-9]', '')) >= 6",
 }
+_TRIMMED = "regexp_replace(m, '(?<![._/+@%-])[._/+@%-]++$', '')"
 _LEFT = r"(\\p{L}[\\p{L}_-]*+[^\\p{L}\\s]*+\\s*+[^\\p{L}\\s]*+)$"
 
 
 def spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` as a column ``row`` plus one array per kind (and ``candidate``) of (start, end, value, left)."""
+    """``docs`` as a column ``row`` plus one array per kind (and ``CANDIDATES``) of (start, end, value, left)."""
     out = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text)).alias("row"),
                       F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    kinds = (*KINDS, "candidate")
+    kinds = (*KINDS, *CANDIDATES)
     for k in kinds:  # matches, then the pieces between them
         out = out.withColumn(f"m_{k}", F.when(F.expr(NEEDS[k]), F.regexp_extract_all("text", F.lit(PATTERNS[k]), 0)))
         out = out.withColumn(f"m_{k}", F.coalesce(f"m_{k}", F.array().cast("array<string>")))
@@ -78,17 +86,19 @@ def spans(docs: DataFrame, text: str = "text") -> DataFrame:
     out = out.select("row", *(F.expr(f"""
         if(b_{k} is null, array(), transform(m_{k}, (m, i) -> struct(
             b_{k}[cast(i div {BLOCK} as int)] + aggregate(slice(l_{k}, cast(i div {BLOCK} as int) * {BLOCK} + 1, i % {BLOCK}), 0, (a, x) -> a + x)
-                + length(g_{k}[i]) as start, m as value,
+                + length(g_{k}[i]) as start, {_TRIMMED if k in CANDIDATES else "m"} as value,
             regexp_extract(lower(substring(g_{k}[i], -{CONTEXT}, {CONTEXT})), '{_LEFT}', 1) as left)))""").cast(
         "array<struct<start:int,value:string,left:string>>").alias(k) for k in kinds))
-    return out.select("row", *(F.expr(
+    out = out.select("row", *(F.expr(
         f"""transform(filter({k}, s -> {VALID[k]}), s -> struct(s.start as start, s.start + length(s.value) as end,
         s.value as value, regexp_replace(s.left, '\\\\s+', ' ') as left))""").alias(k) for k in kinds))
+    free = " and ".join(f"not exists({k}, s -> s.start < c.end and c.start < s.end)" for k in KINDS)
+    return out.select("row", *KINDS, *(F.expr(f"filter({k}, c -> {free})").alias(k) for k in CANDIDATES))
 
 
 def _edges(found: DataFrame) -> DataFrame:
     """Distinct (pattern, instance) edges of all mentions."""
-    mentions = found.select(F.explode(F.concat(*KINDS, "candidate")).alias("s"))
+    mentions = found.select(F.explode(F.concat(*KINDS, *CANDIDATES)).alias("s"))
     return mentions.select(F.col("s.left").alias("pattern"), F.col("s.value").alias("value")).where("pattern <> ''").distinct()
 
 
@@ -125,14 +135,14 @@ def personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     (kind, start, end) found by context."""
     found = stored(spans(docs, text).withColumn("rid", F.monotonically_increasing_id()), "pii-spans")
     learned = bootstrap(_edges(found), _seeds(found))
-    mentions = found.where(F.size("candidate") > 0).select("rid", F.explode("candidate").alias("s")).select(
+    mentions = found.select("rid", F.explode(F.concat(*CANDIDATES)).alias("s")).select(
         "rid", F.col("s.value").alias("value"), F.col("s.start").alias("start"), F.col("s.end").alias("end"))
     extra = mentions.join(learned, "value").groupBy("rid").agg(
         F.collect_list(F.struct("kind", "start", "end")).alias("discovered"))
-    joined = found.drop("candidate").join(extra, "rid", "left")
-    free = " and ".join(f"not exists({k}, s -> s.start < d.end and d.start < s.end)" for k in KINDS)
+    joined = found.drop(*CANDIDATES).join(extra, "rid", "left")
+    longest = "not exists(discovered, e -> e.start <= d.start and d.end <= e.end and e.end - e.start > d.end - d.start)"
     return joined.select("row", *KINDS, F.expr(
-        f"if(discovered is null, array(), filter(discovered, d -> {free}))").cast(
+        f"if(discovered is null, array(), filter(discovered, d -> {longest}))").cast(
         "array<struct<kind:string,start:int,end:int>>").alias("discovered"))
 
 
