@@ -1,0 +1,14 @@
+from tripcraft.plans import q_models as Q
+
+
+def test_registered_models_have_reference_size(monkeypatch):
+    """200 boosting rounds, also in the comparison of feature lists; 100 trees of depth 20."""
+    seen = []
+    monkeypatch.setattr(Q, "train_test", lambda *a: (None, None))
+    monkeypatch.setattr(Q.M, "fit_boosted", lambda train, features, **sizes: seen.append(sizes))
+    monkeypatch.setattr(Q.M, "predict", lambda *a: None)
+    monkeypatch.setattr(Q, "metrics_row", lambda *a: None)
+    Q.q_boosted_trees(None, "sf")
+    Q._learners(None)["boosted"](None, None, "full")
+    assert seen == [{"rounds": 200, "depth": 6, "rate": 0.1}] * 2
+    assert (Q.FOREST_TREES, Q.FOREST_DEPTH) == (100, 20)

@@ -17,10 +17,9 @@ from tripcraft.session import checkpoint_dir
 from tripcraft.sources import fixtures as X
 from tripcraft.sources import io as IO
 
-# Registered sizes: the reference's number of trees, at a depth and a number of rounds that let the whole
-# catalogue run in minutes; the library's and the training job's defaults are depth 20 and 200 rounds.
-FOREST_TREES, FOREST_DEPTH = 100, 10
-BOOST_ROUNDS = 50
+# Registered sizes: those of the library and of the training job.
+FOREST_TREES, FOREST_DEPTH = 100, 20
+BOOST_ROUNDS = 200
 # Integer sampling key that DuckDB repeats.
 SAMPLE_KEY_SQL = ("((CAST(PULocationID AS BIGINT)*7919 + CAST(DOLocationID AS BIGINT)*104729"
                   " + CAST(trip_duration_seconds AS BIGINT)*1299709 + CAST(pickup_hour AS BIGINT)*15485863) % 1000000)")
@@ -102,7 +101,7 @@ def _learners(spark):
 
 
 # Rounds of the boosted trees in the comparison of feature lists (both lists alike).
-PRUNING_ROUNDS = 10
+PRUNING_ROUNDS = 200
 
 
 @query("pruning_comparison")
