@@ -29,6 +29,17 @@ def test_against_labels(spark, sf01):
     assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.35 * len(bad)
 
 
+def test_texts_without_white_space_count_in_whole():
+    """What follows the first 256 characters is part of the features, and there is more than one feature."""
+    start = "这是一个句子，很长的句子。" * 30
+    words = quality.Words()
+    found = [words.features(d) for d in words.numbers([[start], [start + "||##12;;" * 200], [start]])]
+    (_, at, x), (_, at2, x2), (_, at3, x3) = found
+    assert len(at) > 2 and len(at2) > len(at) and len(np.setdiff1d(at, at2)) <= 1  # the end mark
+    assert np.array_equal(at, at3) and np.array_equal(x, x3) and abs(np.linalg.norm(x2) - 1) < 1e-5
+    assert quality.shape("x" * 300 + "9") == "x9"
+
+
 def test_edges(spark):
     rows = [(None, None, 1), (1, "", 1), (1, "", 1), (2, "one two", 1), (3, "word and then more words " * 5000, 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, votes int")

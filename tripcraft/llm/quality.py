@@ -4,7 +4,8 @@ Eight heuristic labellers vote good, bad or nothing on every document (capitals,
 separators, sentence ends, length, word length, digits). Expectation-maximisation over the counts of vote
 patterns (at most 3**8, aggregated by Spark over all documents) estimates each labeller's accuracy and the share of
 good documents, and gives every pattern a posterior. The posteriors are the labels of a linear scorer
-over hashed features of the words (their character shape; short words themselves), fitted by gradient
+over hashed features of the words (their character shape; short words themselves; of words longer than ``LONG``,
+as texts without white space are, all 3-grams of the shape), fitted by gradient
 descent on a bounded sample of ``TRAIN_ROWS`` documents: those of the smallest hash of the key.
 Statistics, votes, posteriors and scores cover all documents and whole texts.
 
@@ -15,6 +16,7 @@ the same result; with fewer than two vote patterns the posterior is the scorer's
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +32,8 @@ TRAIN_ROWS = 10_000  # documents the scorer is fitted on, at most
 EPOCHS = 200
 FEW = 8  # texts of fewer words get no votes
 WORDS = 300_000  # words a worker remembers
+LONG = 32  # longer words have features of their n-grams
+GRAMS = 2_000_000  # buckets of long words a worker remembers
 SEED = 7
 LABELLERS = ("capitals", "symbols", "repeats", "separators", "sentences", "length", "word_length", "digits")
 
@@ -37,13 +41,23 @@ LABELLERS = ("capitals", "symbols", "repeats", "separators", "sentences", "lengt
 def shape(word: str) -> str:
     """Character classes of a word, runs as one: ``X`` capitals, ``x`` letters, ``9`` digits, else the character."""
     out: list[str] = []
-    for c in word[:256]:
+    for c in word:
         k = "x" if c.isalpha() and not c.isupper() else "X" if c.isalpha() else "9" if c.isdigit() else c
         if not out or out[-1] != k:
             out.append(k)
     return "".join(out)
 
 
+def _grams(form: str) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets and counts of all 3-grams of a shape between boundary marks."""
+    form = f"\0{form}\0"
+    each = Counter(form[k:k + 3] for k in range(len(form) - 2))
+    at = np.fromiter((zlib.crc32(b"g " + g.encode("utf-8", "replace")) % BUCKETS for g in each), np.int64, len(each))
+    counts = np.bincount(at, np.fromiter(each.values(), np.int64, len(each)), BUCKETS).astype(np.int64)
+    used = np.flatnonzero(counts)
+    return used, counts[used]
+
+
 class Words:
     """Numbers of words with their statistics and features, bounded memory."""
 
@@ -51,11 +65,15 @@ class Words:
         self.number: dict[str, int] = {}
         self.stats = np.zeros((1024, 7))  # characters, letters, capitals, digits, symbols, separator, sentence end
         self.slots = np.zeros((1024, 2), dtype=np.int64)
+        self.grams: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # of long words: buckets and counts
+        self.held = 0
 
     def numbers(self, docs: list[list[str]]) -> list[np.ndarray]:
         new = set().union(*docs).difference(self.number) if docs else set()
-        if len(self.number) + len(new) > WORDS and self.number:
+        if (len(self.number) + len(new) > WORDS or self.held > GRAMS) and self.number:
             self.number.clear()
+            self.grams.clear()
+            self.held = 0
             new = set().union(*docs)
         need = len(self.number) + len(new)
         if need > len(self.stats):
@@ -69,6 +87,11 @@ class Words:
             self.stats[k] = (len(w), letters, sum(map(str.isupper, w)), digits, len(w) - letters - digits,
                              w in ("|", ",", ";", "\t"), w[-1] in ".!?…。！？" and w[0].isalpha())
             form = shape(w)
+            if len(w) > LONG:
+                self.slots[k] = -1
+                self.grams[k] = _grams(form)
+                self.held += len(self.grams[k][0])
+                continue
             self.slots[k, 0] = zlib.crc32(form.encode("utf-8", "replace")) % BUCKETS
             self.slots[k, 1] = zlib.crc32(b"w " + w.lower().encode("utf-8", "replace")) % BUCKETS if len(w) < 4 else -1
         get = self.number.__getitem__
@@ -92,6 +115,9 @@ class Words:
             votes = [0] * len(votes)
         both = self.slots[words].ravel()
         counts = np.bincount(both[both >= 0], minlength=BUCKETS)
+        for k in words[self.slots[words, 0] < 0].tolist():
+            at, c = self.grams[k]
+            counts[at] += c
         used = np.flatnonzero(counts)
         values = np.log1p(counts[used] * (100.0 / n))
         return votes, used.astype(np.int32), (values / np.linalg.norm(values)).astype(np.float32)
