@@ -58,6 +58,16 @@ def test_what_is_no_wrapper(page, text):
     assert html.extract(page) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    (f"<article><p>Post</p><p>More</p><article><p>{_LONG}</p><p>{_LONG}</p></article></article>", f"Post\nMore\n{_LONG}\n{_LONG}"),
+    (f"<body><div><a href=x>Home</a> <a href=y>News</a></div><div><p>{_LONG}</p><p>{_LONG}</p></div></body>", f"{_LONG}\n{_LONG}"),
+    (f"<body><ul><li><a href=x>One</a><li><a href=y>Two</a></ul><div><h2>Head</h2><p>{_LONG}</p></div></body>", f"Head\n{_LONG}"),
+])
+def test_choice_of_the_subtree(page, text):
+    """The outermost article; without articles, the density alone."""
+    assert html.extract(page) == text
+
+
 def test_query_equals_articles(spark, sf01):
     """On the pages of the data, the article's blocks by a plain split of the markup."""
     import html as standard

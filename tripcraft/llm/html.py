@@ -7,7 +7,8 @@ LC, LT, NC and T at least 1: characters per tag, lowered where links carry the t
 adds its children's densities. The threshold is the lowest density on the path from the node of the
 largest sum up to the body. From the body down, the first node that reaches the threshold gives up its
 descendant of the largest sum, and that whole subtree is the text: nothing inside is dropped for being
-short. If the subtree lies in an article element, or is around a single one, the article is taken.
+short. If the subtree lies in article elements, the outermost is taken; if it is around a single one that holds
+half of its characters, that one.
 
 Elements that hold no article text are cut before: scripts, styles, menus, page headers and footers, sidebars,
 forms, and elements whose role, class or id says so (``advert``, ``cookie``, ``comments`` ... - fixed words
@@ -245,9 +246,9 @@ def select(root: Node) -> Node:
             best = max((m for n in reach for m in _nodes(n)), key=lambda n: n.total)
             break
         level = [c for n in level for c in n.children if isinstance(c, Node)]
-    for n in _path(best):
-        if n.name == "article":
-            return n
+    within = [n for n in _path(best) if n.name == "article"]
+    if within:
+        return within[-1]  # the outermost: articles inside are its comments
     articles = [n for n in _nodes(best) if n.name == "article" and n.chars]
     return articles[0] if len(articles) == 1 and 2 * articles[0].chars >= best.chars else best
 
