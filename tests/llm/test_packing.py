@@ -59,7 +59,7 @@ def test_registered_query(spark, sf01):
 def test_neighbours_on_the_curve_are_alike(spark, sf01):
     texts = [r.text for r in spark.read.parquet(f"{sf01}/documents.parquet").orderBy("doc_id").collect()]
     vectors = packing.hashed([np.array(ids_of(t)) for t in texts])
-    order = np.argsort(packing.hilbert(packing.grid(vectors @ packing.signs())), kind="stable")
+    order = np.argsort(packing.hilbert(packing.grid(packing.projected(vectors, packing.signs()))), kind="stable")
     near = np.einsum("nd,nd->n", vectors[order[:-1]], vectors[order[1:]])
     apart = np.einsum("nd,nd->n", vectors[:-1], vectors[1:])
     assert np.median(near) > np.median(apart) + 0.1

@@ -53,6 +53,12 @@ def hashed(ids: list[np.ndarray], buckets: int = BUCKETS) -> np.ndarray:
     return counts / np.where(norm == 0, 1, norm)[:, None]
 
 
+def projected(vectors: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """The matrix product, summed in one order by one thread: threads of a BLAS library spin between small
+    products, and the result would depend on their number."""
+    return np.einsum("nd,dk->nk", vectors, matrix)
+
+
 def grid(points: np.ndarray, bits: int = BITS, limit: float = LIMIT) -> np.ndarray:
     """Coordinates cut to whole numbers of ``bits`` bits."""
     cell = np.floor((points + limit) * ((1 << bits) / (2 * limit)))
@@ -102,7 +108,7 @@ def encode(docs: DataFrame, key: str, text: str, vocabulary: str | None, end_id:
         row = TaskContext.get().partitionId() << 33
         for b in sliced(batches, "t", BATCH):
             ids = [np.frombuffer(x + end, "<u4") for x in encoder.encode(b.column("t").to_pylist())]
-            curve = hilbert(grid(hashed(ids) @ matrix))
+            curve = hilbert(grid(projected(hashed(ids), matrix)))
             yield pa.RecordBatch.from_arrays([
                 b.column("k"), pa.array(curve), pa.array(np.arange(row, row + len(ids))), pa.array([len(x) for x in ids], pa.int64()),
                 pa.array([x.astype(f"<u{width}").tobytes() for x in ids], pa.binary())], schema=arrow)
