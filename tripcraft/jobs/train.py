@@ -3,7 +3,7 @@
     spark-submit -m tripcraft.jobs.train --cleaned CLEANED --output DIR [--models linear,forest,boosted,mlp]
 
 Artefacts: DIR/scaler (feature, mean, scale), DIR/mlp_full and DIR/mlp_compressed (weight tables),
-DIR/linear, DIR/forest, DIR/boosted (Spark ML models), DIR/metrics (one row per model).
+DIR/linear_* (Spark ML models), DIR/forest and DIR/boosted (node tables), DIR/metrics (one row per model).
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from tripcraft.operators import mlp as NN
 from tripcraft.sources import io as IO
 
 
-def run(spark, cleaned, output: str, models=("linear", "forest", "boosted", "mlp"), trees=100, depth=20,
+def run(spark, cleaned, output: str, models=("linear", "forest", "boosted", "mlp"), trees=100, depth=None,
         forest_rows=S.FOREST_ROWS, rounds=200, epochs=5, seed=42):
     train_c, test_c = M.split(cleaned, seed=seed)
     metrics = []
@@ -39,12 +39,12 @@ def run(spark, cleaned, output: str, models=("linear", "forest", "boosted", "mlp
             record(f"linear_{feats}", M.predict(m, te, feats))
     if "forest" in models:
         m = M.fit_forest(M.bootstrap(full_tr, forest_rows, seed), "full", trees=trees, depth=depth, seed=seed)
-        m.write().overwrite().save(f"{output}/forest")
-        M.importances(m, "full", spark).write.mode("overwrite").parquet(f"{output}/forest_importances")
+        m.save(f"{output}/forest")
+        m.importances().write.mode("overwrite").parquet(f"{output}/forest_importances")
         record("forest", M.predict(m, full_te, "full"))
     if "boosted" in models:
-        m = M.fit_boosted(red_tr, "reduced", rounds=rounds, seed=seed)
-        m.write().overwrite().save(f"{output}/boosted")
+        m = M.fit_boosted(red_tr, "reduced", rounds=rounds)
+        m.nodes(spark).write.mode("overwrite").parquet(f"{output}/boosted")
         record("boosted", M.predict(m, red_te, "reduced"))
     if "mlp" in models:
         scaler = M.Scaler.fit(red_tr, S.REDUCED_FEATURES)
@@ -74,7 +74,7 @@ def main(argv=None) -> int:
     ap.add_argument("--output", required=True)
     ap.add_argument("--models", default="linear,forest,boosted,mlp")
     ap.add_argument("--trees", type=int, default=100)
-    ap.add_argument("--depth", type=int, default=20, help="tree depth of the forest (Spark allows 30)")
+    ap.add_argument("--depth", type=int, default=None, help="tree depth of the forest (default: until leaves are pure)")
     ap.add_argument("--forest-rows", type=int, default=S.FOREST_ROWS, help="rows the forest is fitted on (resampled)")
     ap.add_argument("--rounds", type=int, default=200)
     ap.add_argument("--epochs", type=int, default=5)

@@ -1,4 +1,4 @@
-"""Modelling operators (inventory J1-J8, J10, J15, D20) on Spark ML and DataFrame aggregates."""
+"""Modelling operators (inventory J1-J8, J10, J15, D20): Spark ML, DataFrame aggregates, `forest` and `boosting`."""
 
 from __future__ import annotations
 
@@ -6,11 +6,12 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripcraft import schema as S
+from tripcraft.operators import boosting, forest
 
 
 def feature_list(features: str | Sequence[str]) -> list[str]:
@@ -103,34 +104,24 @@ def fit_linear(train: DataFrame, features: str | Sequence[str] = "full", label:
     return lr.fit(assemble(train, features))
 
 
-def fit_forest(train: DataFrame, features: str | Sequence[str] = "full", label: str = S.TARGET, trees: int = 100,
-               depth: int = 20, seed: int = 42):
-    rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed,
-                               featureSubsetStrategy="all", maxBins=64, maxMemoryInMB=1024,
-                               cacheNodeIds=True)
-    return rf.fit(assemble(train, features))
+def fit_forest(sample: DataFrame, features: str | Sequence[str] = "full", label: str = S.TARGET, trees: int = 100,
+               depth: int | None = None, seed: int = 42) -> forest.Forest:
+    """A forest on a sample of bounded size (see `bootstrap`); depth None is unbounded."""
+    return forest.fit(sample, feature_list(features), label, trees, depth, seed)
 
 
 def fit_boosted(train: DataFrame, features: str | Sequence[str] = "reduced", label: str = S.TARGET, rounds: int = 200,
-                depth: int = 6, rate: float = 0.1, seed: int = 42):
-    gbt = GBTRegressor(featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed,
-                       maxMemoryInMB=1024)
-    return gbt.fit(assemble(train, features))
+                depth: int = 6, rate: float = 0.1) -> boosting.Boosted:
+    return boosting.fit(train, feature_list(features), label, rounds, depth, rate)
 
 
 def predict(model, df: DataFrame, features: str | Sequence[str], output: str = "prediction") -> DataFrame:
+    if isinstance(model, (forest.Forest, boosting.Boosted)):
+        return model.predict(df, output)
     out = model.transform(assemble(df, features)).drop("features")
     return out.withColumnRenamed("prediction", output) if output != "prediction" else out
 
 
-def importances(model, features: str | Sequence[str], spark) -> DataFrame:
-    """Feature importances of a tree ensemble, descending (one row per feature)."""
-    names = feature_list(features)
-    vals = model.featureImportances.toArray().tolist()
-    return spark.createDataFrame(list(zip(names, [float(v) for v in vals])), "feature string, importance double") \
-        .orderBy(F.col("importance").desc(), "feature")
-
-
 def linear_coefficients(model, features: str | Sequence[str], spark) -> DataFrame:
     names = feature_list(features) + ["(intercept)"]
     vals = [float(v) for v in model.coefficients.toArray()] + [float(model.intercept)]

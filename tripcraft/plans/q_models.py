@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tripcraft import schema as S
 from tripcraft.operators import features as FE
+from tripcraft.operators import forest
 from tripcraft.operators import ml as M
 from tripcraft.operators import mlp as NN
 from tripcraft.operators import score as SC
@@ -17,8 +18,8 @@ from tripcraft.session import checkpoint_dir
 from tripcraft.sources import fixtures as X
 from tripcraft.sources import io as IO
 
-# Registered sizes: those of the library and of the training job.
-FOREST_TREES, FOREST_DEPTH = 100, 20
+# Registered sizes: those of the library and of the training job. Trees of the forest grow until their leaves are pure.
+FOREST_TREES, FOREST_DEPTH = 100, None
 BOOST_ROUNDS = 200
 # Integer sampling key that DuckDB repeats.
 SAMPLE_KEY_SQL = ("((CAST(PULocationID AS BIGINT)*7919 + CAST(DOLocationID AS BIGINT)*104729"
@@ -115,18 +116,15 @@ _FITTED: dict[tuple, str] = {}
 
 
 def fitted_forest(spark, sf):
-    """The forest, fitted once per application and loaded from the shared folder."""
-    import os
+    """The forest, fitted once per application and input, and loaded from the shared folder."""
     import uuid
-
-    from pyspark.ml.regression import RandomForestRegressionModel
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf))
+    key = X.input_stamp(spark, sf, "lineitem")
     if key not in _FITTED:
         train, _ = train_test(spark, sf, "full")
         path = f"{checkpoint_dir(spark).rstrip('/')}/models/forest-{uuid.uuid4().hex[:12]}"
         M.fit_forest(M.bootstrap(train, S.FOREST_ROWS, seed=42), "full", trees=FOREST_TREES, depth=FOREST_DEPTH).save(path)
         _FITTED[key] = path
-    return RandomForestRegressionModel.load(_FITTED[key])
+    return forest.Forest.load(spark, _FITTED[key])
 
 
 @query("random_forest")
@@ -137,7 +135,7 @@ def q_random_forest(spark, sf):
 
 @query("feature_importance")
 def q_feature_importance(spark, sf):
-    return M.importances(fitted_forest(spark, sf), "full", spark)
+    return fitted_forest(spark, sf).importances()
 
 
 @query("boosted_trees")
@@ -153,10 +151,9 @@ _TRAINED: dict[tuple, str] = {}
 def train_mlp(spark, sf, epochs=5):
     """Fit scaler + network on the training split once per application; both are saved as Parquet
     tables in the shared folder and loaded back (as the serving side loads its saved model)."""
-    import os
     import uuid
     train, test = train_test(spark, sf, "reduced")
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf), epochs)
+    key = (*X.input_stamp(spark, sf, "lineitem"), epochs)
     path = _TRAINED.get(key)
     if path is None:
         path = f"{checkpoint_dir(spark).rstrip('/')}/models/mlp-{uuid.uuid4().hex[:12]}"

@@ -49,7 +49,7 @@ def clean_pipeline(spark, sf) -> DataFrame:
 
 def cleaned(spark, sf) -> DataFrame:
     """The cleaned table as downstream jobs see it: written once by the cleaning job, then scanned."""
-    return X.derived_table(spark, sf, "cleaned", clean_pipeline)
+    return X.derived_table(spark, sf, "cleaned", "lineitem", clean_pipeline)
 
 
 def raw_features(spark, sf) -> DataFrame:

@@ -7,7 +7,6 @@ no shuffle, scan columns pruned, so the derived tables scale with `lineitem` / `
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,7 +56,15 @@ def _mod(k: int) -> Column:
 _DERIVED: dict[tuple, str] = {}
 
 
-def derived_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def input_stamp(spark: SparkSession, sf_dir: str, source: str) -> tuple:
+    """What identifies an input table in this application: its path, and its files' names, lengths and times."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{source}.parquet")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return (spark.sparkContext.applicationId, path.toString(),
+            tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files)))
+
+
+def derived_table(spark: SparkSession, sf_dir: str, name: str, source: str, build) -> DataFrame:
     """Write a table derived from the driver tables once per application into the shared
     checkpoint folder (Parquet, one file per task), then scan it like any raw input table.
 
@@ -65,7 +72,7 @@ def derived_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFra
     of re-deriving (and inlining) the recipe per predicate, and the written table survives the
     loss of an executor."""
     from tripcraft.session import checkpoint_dir
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    key = (*input_stamp(spark, sf_dir, source), name)
     path = _DERIVED.get(key)
     if path is None:
         path = f"{checkpoint_dir(spark).rstrip('/')}/derived/{name}-{uuid.uuid4().hex[:12]}"
@@ -76,7 +83,7 @@ def derived_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFra
 
 def trips_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trips (20 columns, raw trip schema) with planted nulls, negatives, zeros and sentinels."""
-    return derived_table(spark, sf_dir, "trips", lambda s, d: trips_from_lineitem(table(s, d, "lineitem")))
+    return derived_table(spark, sf_dir, "trips", "lineitem", lambda s, d: trips_from_lineitem(table(s, d, "lineitem")))
 
 
 def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
@@ -122,7 +129,7 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
 def requests_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prediction requests (7 features + model_type); about a quarter pass the range rules."""
-    return derived_table(spark, sf_dir, "requests", lambda s, d: requests_from_lineitem(table(s, d, "lineitem")))
+    return derived_table(spark, sf_dir, "requests", "lineitem", lambda s, d: requests_from_lineitem(table(s, d, "lineitem")))
 
 
 def requests_from_lineitem(lineitem: DataFrame) -> DataFrame:
@@ -143,7 +150,7 @@ def requests_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
 def request_log_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request log without the per-run sequence columns (6 columns)."""
-    return derived_table(spark, sf_dir, "request_log", lambda s, d: log_from_events(table(s, d, "events")))
+    return derived_table(spark, sf_dir, "request_log", "events", lambda s, d: log_from_events(table(s, d, "events")))
 
 
 def log_from_events(events: DataFrame) -> DataFrame:
