@@ -33,7 +33,7 @@ def test_histogram_density_and_groups(xy):
     for k in range(3):
         rows = [r for r in h if r.g == k]
         dens, _ = np.histogram(x[g == k], bins=25, density=True)
-        assert np.allclose([r.density for r in rows], dens, atol=1e-8)
+        assert np.allclose([r.density for r in rows], dens, rtol=0, atol=1e-9)
         assert sum(r["count"] for r in rows) == int((g == k).sum())
 
 
@@ -47,15 +47,44 @@ def test_histogram_min_equals_max_and_empty(spark):
     assert len(e) == 10 and sum(r["count"] for r in e) == 0 and e[0].bin_lo == 0.0 and e[-1].bin_hi == 1.0
 
 
-def test_kde_matches_bruteforce(xy):
+@pytest.mark.parametrize("method", ["moments", "exact"])
+def test_kde_matches_bruteforce(xy, method):
     df, x, _, _ = xy
-    k = E.kde(df, "x", grid=50).collect()
+    k = E.kde(df, "x", grid=50, method=method).collect()
     bw = x.std(ddof=1) * len(x) ** (-0.2)
     grid = np.linspace(x.min(), x.max(), 50)
     dens = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / bw) ** 2).sum(axis=1) / (len(x) * bw * math.sqrt(2 * math.pi))
     assert np.allclose([r.density for r in k], dens, atol=1e-8)
 
 
+def test_kde_edges(spark):
+    """Far outliers (cells without a term in reach), a constant column and an empty one."""
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=300), [1e4, -3e3]])
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    a, b = ([r.density for r in E.kde(df, "x", grid=80, method=m).collect()] for m in ("moments", "exact"))
+    assert len(a) == 80 and np.allclose(a, b, rtol=0, atol=1e-9)
+    same = spark.createDataFrame([(2.0,), (2.0,)], "x double")
+    assert all(r.density is None for r in E.kde(same, "x", grid=5).collect())
+    assert [r.density for r in E.kde(df.limit(0), "x", grid=5).collect()] == []
+
+
+def test_correlation_large_offsets_and_nulls(spark):
+    """A mean far above the spread, NaN and null as missing, a pair without a complete row, an empty table."""
+    rng = np.random.default_rng(5)
+    a = rng.normal(size=500)
+    rows = [(1e9 + float(v), float(2 * v + rng.normal()), None if k % 3 else float(v), float("nan") if k % 3 == 0 else 1.0 * k)
+            for k, v in enumerate(a)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    r = {(x.x, x.y): x.r for x in E.correlation(df.repartition(3), ["a", "b", "c", "d"]).collect()}
+    cols = [np.array([np.nan if v is None else v for v in c]) for c in zip(*rows, strict=True)]
+    for (x, i), (y, j) in [(("b", 1), ("a", 0)), (("c", 2), ("a", 0)), (("c", 2), ("b", 1)), (("d", 3), ("b", 1))]:
+        both = ~np.isnan(cols[i]) & ~np.isnan(cols[j])
+        assert abs(r[(x, y)] - np.corrcoef(cols[i][both], cols[j][both])[0, 1]) < 2e-6
+    assert r[("d", "c")] is None
+    assert [x.r for x in E.correlation(df.limit(0), ["a", "b"]).collect()] == [None]
+
+
 def hexbin_bruteforce(x, y, gridsize=60):
     nx, ny = gridsize, int(gridsize / math.sqrt(3))
     xmin, xmax, ymin, ymax = x.min(), x.max(), y.min(), y.max()

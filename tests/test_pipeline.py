@@ -74,3 +74,20 @@ def test_distributed_exact_quantiles_on_trips(spark, sf01):
     exact = P.Q.quantiles(raw, "total_amount", [0.25, 0.75, 0.999], "exact")
     values = raw.select("total_amount").toPandas()["total_amount"].dropna()
     assert all(abs(a - b) < 1e-9 for a, b in zip(exact, np.quantile(values, [0.25, 0.75, 0.999])))
+
+
+def test_daily_sketches_need_no_rescan(spark):
+    """A new day is a new row; merged estimates hold the rank error, whichever way the days were collected."""
+    from tripcraft.operators import quality as Q
+    from tripcraft.sources import fixtures as X
+    raw = X.trips_from_star(spark, "/root/testdata/sf0.01")
+    early, late = raw.filter("day(tpep_pickup_datetime) <= 15"), raw.filter("day(tpep_pickup_datetime) > 15")
+    one = P.bounds_from_sketches(Q.day_sketches(raw))
+    two = P.bounds_from_sketches(Q.day_sketches(early).unionByName(Q.day_sketches(late)))
+    exact = P.learn_bounds(raw, "exact")
+    for b in (one, two):
+        for column, value, p, df in (("total_amount", b.q75_total, 0.75, raw), ("trip_distance", b.q3_distance, 0.75, raw.filter(Q.money_ok()))):
+            r = df.agg(F.avg((F.col(column) < value).cast("int")), F.avg((F.col(column) <= value).cast("int"))).first()
+            assert r[0] - 0.01 <= p <= r[1] + 0.01
+    assert one.distance_upper == exact.distance_upper
+    assert Q.sketch_quantiles(Q.day_sketches(raw.limit(0)), "total", [0.5]) == [None]

@@ -50,9 +50,17 @@ def test_no_cross_products(spark, key):
     assert not any(c in plan for c in CROSS), key
 
 
-def test_correlation_uses_stack_generator(spark):
+def test_correlation_adds_one_row_of_moments_per_task(spark):
     df = E.queries()["correlation"](spark, SF)
-    assert "stack(" in df._jdf.queryExecution().optimizedPlan().toString()
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "stack(" not in plan and plan.count("MapInArrow") == 1 and "Join" not in plan
+
+
+def test_rolling_mean_is_a_lag_not_a_join(spark):
+    from tripcraft.operators import loadtest as L
+    from tripcraft.sources import fixtures as X
+    plan = L.rolling_latency(X.request_log_base(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "_place" in plan
 
 
 def test_linear_scoring_stays_in_jvm_and_network_scoring_is_batched(spark):

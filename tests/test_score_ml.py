@@ -1,5 +1,8 @@
 """Validation, scoring, scaler, metrics, linear fit and the neural regressor."""
 
+import json
+import tempfile
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -127,3 +130,27 @@ def test_compressed_artefact_is_small_and_equals_the_quantised_model(spark, tmp_
     assert size("small") < size("full") / 4
     back = NN.MLPModel.load(spark, str(tmp_path / "small"))
     assert np.allclose(back.weights, NN.quantize_model(m).weights, rtol=1e-6, atol=1e-7)
+
+
+def test_request_bodies(spark):
+    """Coercion and reasons of single bodies; good and bad rows go to two tables."""
+    full = {"passenger_count": 2, "trip_distance": 3.5, "payment_type": 1, "pickup_hour": 8, "pickup_dayofweek": 3,
+            "pickup_month": 5, "is_weekend": 0}
+    def body(**change):
+        return json.dumps({k: v for k, v in {**full, **change}.items() if v != "absent"})
+    cases = {
+        body(): "", body(model_type="full", extra=[1]): "", body(passenger_count="3", trip_distance=" 4.25 ", is_weekend=True): "",
+        body(pickup_hour=8.0, pickup_month=1e1): "",
+        body(pickup_hour=8.5): "pickup_hour_not_whole", body(pickup_hour="absent"): "pickup_hour_missing",
+        body(pickup_hour=None, payment_type="x", trip_distance=[]): "trip_distance_not_a_number,payment_type_not_a_number,pickup_hour_not_a_number",
+        body(passenger_count=10, trip_distance=0): "passenger_count_out_of_range,trip_distance_out_of_range",
+        body(passenger_count=10 ** 30): "passenger_count_not_whole", body(trip_distance="1d"): "trip_distance_not_a_number",
+        "{": "invalid_json", "": "invalid_json", None: "invalid_json", "[]": "not_an_object", "3": "not_an_object", "null": "not_an_object"}
+    parsed = SC.parse_requests(spark.createDataFrame([(b,) for b in cases], "body string"))
+    rows = {r.body: r for r in parsed.collect()}
+    assert {b: ",".join(r.reasons) for b, r in rows.items()} == cases
+    r = rows[body(passenger_count="3", trip_distance=" 4.25 ", is_weekend=True)]
+    assert (r.passenger_count, r.trip_distance, r.is_weekend, r.model_type) == (3, 4.25, 1, None)
+    folder = tempfile.mkdtemp()
+    SC.quarantine(parsed, f"{folder}/valid", f"{folder}/bad")
+    assert spark.read.parquet(f"{folder}/valid").count() == 4 and spark.read.parquet(f"{folder}/bad").count() == len(cases) - 4

@@ -6,6 +6,7 @@ from tripcraft import schema as S
 from tripcraft.operators import ml as M
 from tripcraft.operators import mlp as NN
 from tripcraft.operators.zones import enrich_zones
+from tripcraft.sources import fixtures as X
 from tripcraft.sources import io as IO
 
 SUMMARY_CSV = "﻿,Value\nTotal Requests,1000\nSuccessful,742\nFailed,258\nError Rate (%),25.8\n"
@@ -76,3 +77,24 @@ def test_summary_csv_roundtrip(spark, tmp_path):
     back = {r.metric: r.value for r in IO.read_summary_csv(spark, out).collect()}
     assert back["Total Requests"] == 2.0 and back["Failed"] == 1.0 and back["Error Rate (%)"] == 50.0
     assert back["Median Latency (ms)"] == 200.0 and back["Total Time (s)"] == 1.5
+
+
+def test_mixed_physical_types(spark, tmp_path):
+    """Files that store a column as 32-bit, 64-bit or double, in another case or not at all, are read in full."""
+    whole = X.trips_from_star(spark, "/root/testdata/sf0.001").filter("PULocationID <= 40")
+    ints = [c.name for c in S.RAW_TRIP_SCHEMA if c.dataType.simpleString() == "bigint"]
+    variants = [lambda d: d, lambda d: d.withColumns({c: d[c].cast("int") for c in ints}),
+                lambda d: d.withColumns({c: d[c].cast("double") for c in ints}),
+                lambda d: d.withColumnRenamed("Airport_fee", "airport_fee")]
+    parts = [whole.filter(f"PULocationID % 4 = {k}") for k in range(4)]
+    for k, (part, change) in enumerate(zip(parts, variants, strict=True)):
+        change(part).coalesce(1).write.parquet(str(tmp_path / "raw" / f"month={k}"))
+    got, report = IO.read_trips_mixed(spark, str(tmp_path / "raw"))
+    assert got.schema.simpleString() == S.RAW_TRIP_SCHEMA.simpleString()
+    assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect()))
+    rows = {(r.column, r.found) for r in report.collect()}
+    assert rows == {(c, t) for c in ints for t in ("int", "double")}
+    parts[0].drop("cbd_congestion_fee").coalesce(1).write.parquet(str(tmp_path / "raw" / "month=9"))
+    again, report = IO.read_trips_mixed(spark, str(tmp_path / "raw"))
+    assert again.count() == whole.count() + parts[0].count()
+    assert ("cbd_congestion_fee", None) in {(r.column, r.found) for r in report.collect()}

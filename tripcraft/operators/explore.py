@@ -8,8 +8,10 @@ back (broadcast when their size has been checked).
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -130,25 +132,43 @@ def threshold_shares(df: DataFrame, rules: Mapping[str, tuple[str, Column, Colum
 
 
 def correlation(df: DataFrame, cols: Sequence[str], places: int = 6) -> DataFrame:
-    """Pearson r for every pair (lower triangle), pairwise-complete.
-
-    A `stack` generator turns each row into one (pair, a, b) record per column pair inside the
-    scan stage (nothing materialised); records with a null side drop out, and three aggregates
-    per pair run with map-side partial aggregation (one group per pair).
-    r = covar_pop / (stddev_pop * stddev_pop); a constant column gives null (try_divide), not an
-    ANSI divide-by-zero error.
-    """
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[:i]]
-    body = ", ".join(f"{k}, CAST(`{a}` AS DOUBLE), CAST(`{b}` AS DOUBLE)" for k, (a, b) in enumerate(pairs))
-    long = df.selectExpr(f"stack({len(pairs)}, {body}) AS (k, a, b)").filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-    g = long.groupBy("k").agg(F.covar_pop("a", "b").alias("cov"), F.stddev_pop("a").alias("sa"), F.stddev_pop("b").alias("sb"))
-    xs = F.array(*[F.lit(a) for a, _ in pairs])
-    ys = F.array(*[F.lit(b) for _, b in pairs])
-    # Pairs with no complete row at all still get a (null) row.
-    spine = df.sparkSession.range(len(pairs)).select(F.col("id").cast("int").alias("k"))
-    return spine.join(g, "k", "left").select(
-        F.element_at(xs, F.col("k") + 1).alias("x"), F.element_at(ys, F.col("k") + 1).alias("y"),
-        F.round(F.try_divide(F.col("cov"), F.col("sa") * F.col("sb")), places).alias("r"))
+    """Pearson r for every pair (lower triangle), pairwise-complete; null where a side is constant.
+
+    Block moment matrices: a task adds up, over its Arrow batches, X'X, X'M, (X^2)'M and M'M (M marks present
+    values, X holds them less a shift, 0 where missing), and gives one row. The rows are added by one aggregate of
+    4 x columns^2 numbers, so no row of the data becomes more than one row anywhere. The shift is the mean of the first
+    thousand rows: it keeps the sums small against the spread, any other gives the same result up to rounding."""
+    cols = list(cols)
+    d = len(cols)
+    data = df.select(*(F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(cols)))
+    first = data.limit(1000).agg(*(F.avg(F.when(~F.isnan(c), F.col(c))).alias(c) for c in data.columns)).first()
+    shift = np.array([first[k] if first[k] is not None and math.isfinite(first[k]) else 0.0 for k in range(d)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, d, d))
+        for b in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns])
+            m = ~np.isnan(x)
+            x, m = np.where(m, x - shift, 0.0), m.astype(np.float64)
+            for part, left, right in zip(total, (x, x, x * x, m), (x, m, m, m), strict=True):
+                part += np.einsum("ni,nj->ij", left, right)
+        yield pa.RecordBatch.from_arrays([pa.array([total.reshape(-1).tolist()], pa.list_(pa.float64()))], names=["s"])
+
+    parts = data.mapInArrow(run, "s array<double>")
+    sums = parts.select(F.posexplode("s").alias("k", "s")).groupBy("k").agg(F.sum("s").alias("s"))
+    s = F.col("s")
+    at = lambda part, i, j: F.try_element_at(s, F.lit(1) + (F.lit(part * d) + i) * d + j)
+    whole = sums.agg(F.array_sort(F.collect_list(F.struct("k", "s"))).alias("s")).select(F.transform("s", lambda e: e["s"]).alias("s"))
+    pairs = whole.select("s", F.explode(F.sequence(F.lit(0), F.lit(d - 1))).alias("i")).where("i > 0").select(
+        "s", "i", F.explode(F.sequence(F.lit(0), F.col("i") - 1)).alias("j"))
+    i, j = F.col("i"), F.col("j")
+    n, si, sj = at(3, i, j), at(1, i, j), at(1, j, i)  # rows of the pair, sums of either side over them
+    cov, vi, vj = at(0, i, j) - si * F.try_divide(sj, n), at(2, i, j) - si * F.try_divide(si, n), at(2, j, i) - sj * F.try_divide(sj, n)
+    # rounding of the sums is no spread
+    spread = lambda v, part: F.when(v > F.lit(1e-12) * part, v)
+    r = F.try_divide(cov, F.sqrt(spread(vi, at(2, i, j))) * F.sqrt(spread(vj, at(2, j, i))))
+    names = F.array(*(F.lit(c) for c in cols))
+    return pairs.select(F.element_at(names, i + 1).alias("x"), F.element_at(names, j + 1).alias("y"), F.round(r, places).alias("r"))
 
 
 def trend_line(df: DataFrame, x: str, y: str, points: int = 200) -> DataFrame:
@@ -199,25 +219,63 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None, dens
     return out.orderBy(*keys, "bin")
 
 
-def kde(df: DataFrame, column: str, grid: int = 200, cut: float = 0.0, bins: int = 80) -> DataFrame:
+KDE_CELLS = 4  # cells of a bandwidth
+KDE_TERMS = 10
+
+
+def _hermite(terms: int) -> list[list[int]]:
+    """Coefficients (ascending powers) of the Hermite polynomials He_0 ... of probability theory."""
+    rows = [[1], [0, 1]]
+    for p in range(1, terms - 1):
+        up = [0, *rows[p]]
+        rows.append([c - p * (rows[p - 1][m] if m < len(rows[p - 1]) else 0) for m, c in enumerate(up)])
+    return rows[:terms]
+
+
+def kde(df: DataFrame, column: str, grid: int = 200, cut: float = 0.0, bins: int = 80, method: str = "moments") -> DataFrame:
     """Gaussian kernel density on `grid` evenly spaced points, Scott bandwidth sd_samp * n^(-1/5).
 
-    Rows are first collapsed to (value, weight) by a grouped count, so the kernel work grows with
-    the number of distinct values, not rows; each distinct value then adds its term to the fixed
-    grid (an explode of `grid` indices, partially aggregated per task). Grid spans
-    [min - cut*bw, max + cut*bw]; `count_scaled` is the density on the scale of a histogram
+    moments: rows collapse to cells a quarter of a bandwidth wide, each with its first ten power sums of u = (x - centre)
+    / bandwidth, in one map-side aggregate; with t = (grid point - centre) / bandwidth a row's kernel is exp(-(t - u)^2 / 2)
+    = exp(-t^2 / 2) * sum of He_p(t) u^p / p!, so a cell adds a polynomial in t. Since |He_p(t)| exp(-t^2 / 4) <= 1.09
+    sqrt(p!) and |u| <= 1/8, what is left out is below 1.1 * 8^-10 / sqrt(10!) < 6e-13 of a kernel's peak. Kernel work
+    grows with the cells (range / bandwidth), not with rows or distinct values.
+    exact: every distinct value adds its own term to every grid point.
+    Grid spans [min - cut*bw, max + cut*bw]; `count_scaled` is the density on the scale of a histogram
     of `bins` bins over [min, max] (n * density * bin width), as a curve drawn over it.
     """
+    if method not in ("moments", "exact"):
+        raise ValueError(f"method must be 'moments' or 'exact', not {method!r}")
     data = df.select(F.col(column).cast("double").alias("x")).filter(present("x"))
     stats = data.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"), F.min("x").alias("mn"),
                      F.max("x").alias("mx"))
-    stats = stats.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
+    stats = stats.withColumn("bw", F.nullif(F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)), F.lit(0.0)))
     stats = stats.withColumns({"g_lo": F.col("mn") - F.lit(cut) * F.col("bw"), "g_hi": F.col("mx") + F.lit(cut) * F.col("bw")})
-    values = data.groupBy("x").agg(F.count(F.lit(1)).alias("w"))
-    terms = (with_scalars(values, stats)
-             .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
-             .withColumn("gx", F.col("g_lo") + (F.col("g_hi") - F.col("g_lo")) * F.col("k") / F.lit(grid - 1))
-             .withColumn("t", F.col("w") * F.exp(-0.5 * F.pow((F.col("gx") - F.col("x")) / F.col("bw"), 2))))
+    gx = F.col("g_lo") + (F.col("g_hi") - F.col("g_lo")) * F.col("k") / F.lit(grid - 1)
+    points = F.explode(F.sequence(F.lit(0), F.lit(grid - 1)))
+    if method == "exact":
+        values = data.groupBy("x").agg(F.count(F.lit(1)).alias("w"))
+        terms = with_scalars(values, stats).withColumn("k", points).withColumn("gx", gx).withColumn(
+            "t", F.col("w") * F.exp(-0.5 * F.pow((F.col("gx") - F.col("x")) / F.col("bw"), 2)))
+    else:
+        cell = F.floor((F.col("x") - F.col("mn")) / F.col("bw") * KDE_CELLS)
+        centre = F.col("mn") + (F.col("cell") + 0.5) / KDE_CELLS * F.col("bw")
+        placed = with_scalars(data, stats.select("mn", "bw")).withColumn("cell", cell).withColumn("u", (F.col("x") - centre) / F.col("bw"))
+        power, powers = F.lit(1.0), []
+        for _ in range(KDE_TERMS):
+            powers.append(power)
+            power = power * F.col("u")
+        sums = placed.groupBy("cell").agg(*(F.sum(p).alias(f"m{k}") for k, p in enumerate(powers)))
+        rows = _hermite(KDE_TERMS)
+        # the cell's polynomial in t
+        poly = {f"p{m}": sum((F.col(f"m{p}") * F.lit(rows[p][m] / math.factorial(p)) for p in range(m, KDE_TERMS)
+                              if m < len(rows[p]) and rows[p][m]), F.lit(0.0)) for m in range(KDE_TERMS)}
+        terms = with_scalars(sums.select("cell", *(c.alias(n) for n, c in poly.items())), stats).withColumn("k", points).withColumn(
+            "gx", gx).withColumn("u", (F.col("gx") - centre) / F.col("bw"))
+        value = F.col(f"p{KDE_TERMS - 1}")
+        for m in range(KDE_TERMS - 2, -1, -1):
+            value = value * F.col("u") + F.col(f"p{m}")
+        terms = terms.withColumn("t", value * F.exp(-0.5 * F.col("u") * F.col("u")))
     dens = terms.groupBy("k", "gx", "n", "bw", "mn", "mx").agg(F.sum("t").alias("s"))
     d = F.col("s") / (F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi)))
     return dens.select(F.col("k").cast("int").alias("k"), F.round("gx", 6).alias("x"), F.round(d, 9).alias("density"),

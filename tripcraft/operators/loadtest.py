@@ -8,7 +8,7 @@ results need a position per row. `method="ranges"` range-partitions the log on (
 event_id), numbers rows inside each partition, and adds per-partition offsets, totals and the run's
 start from a small (partitions x runs) table, so one run holding most rows is still spread over
 all tasks. `method="window"` numbers each run in one window partition (bounded load tests only).
-Rolling means use exact decimal prefix sums and an equi-join on (run_id, request_num), never a
+Rolling means use exact decimal prefix sums and a lag among the requests of a run that are a window apart, never a
 frame that must see a whole run in one task.
 """
 
@@ -131,16 +131,17 @@ def rolling_latency(log: DataFrame, run: str = "run_id", method: str = "ranges",
     """Rolling mean latency (ms) over the last w = max(5, n // 20) requests of each run, computed
     only for runs with at least 5 requests (min_periods 1: the first rows average what exists).
 
-    mean_i = (S_i - S_{i-w}) / min(i, w) with S the exact running sum; S_{i-w} is fetched by an
-    equi-join on (run, request_num - w), so no task needs a whole run."""
+    mean_i = (S_i - S_{i-w}) / min(i, w) with S the exact running sum. Requests i and i - w are neighbours among the
+    requests with the same number modulo w, some 20 of a run, so S_{i-w} is a lag over (run, number mod w): one exchange
+    in even, small groups, no join, and no task needs a whole run."""
     seq = _sequenced(log, run, method)
     seq = seq.withColumn("_w", F.greatest(F.lit(5), (F.col("_n") / 20).cast("bigint")))
-    back = seq.select(F.col(run).alias("_r"), (F.col("request_num") + F.col("_w")).alias("_k"), F.col("_cum").alias("_cum_back"))
-    j = seq.join(back, (F.col(run) == F.col("_r")) & (F.col("request_num") == F.col("_k")), "left")
-    window_sum = F.col("_cum") - F.coalesce(F.col("_cum_back"), F.lit(0).cast(_DEC))
+    same = Window.partitionBy(run, "_place").orderBy("request_num")
+    seq = seq.withColumn("_place", F.col("request_num") % F.col("_w"))
+    window_sum = F.col("_cum") - F.coalesce(F.lag("_cum").over(same), F.lit(0).cast(_DEC))
     mean = window_sum.cast("double") / F.least(F.col("request_num"), F.col("_w")).cast("double")
-    return j.select(run, "event_id", "request_num", F.round(F.col("latency") * 1000.0, 6).alias("latency_ms"),
-                    F.when(F.col("_n") >= min_requests, F.round(mean * 1000.0, 6)).alias("rolling_avg_ms"))
+    return seq.select(run, "event_id", "request_num", F.round(F.col("latency") * 1000.0, 6).alias("latency_ms"),
+                      F.when(F.col("_n") >= min_requests, F.round(mean * 1000.0, 6)).alias("rolling_avg_ms"))
 
 
 def progress(log: DataFrame, parts: int = 20, include_last: bool = True, run: str = "run_id",

@@ -12,6 +12,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripcraft import schema as S
 
@@ -44,6 +45,49 @@ def validate_requests(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, rejected
 
 
+# Text of a number, and of a whole number, that a body may carry in quotes.
+_NUMBER = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def parse_requests(bodies: DataFrame, body: str = "body") -> DataFrame:
+    """Request bodies (JSON text) to typed requests: adds the seven features, `model_type` and `reasons`.
+
+    A body that is null or no JSON gives 'invalid_json', one that is no object 'not_an_object'. Fields are coerced one by
+    one: numbers, numbers in quotes and booleans (1 or 0) are taken; a whole-number field takes them only without a
+    fraction. Otherwise the field is null and its reason '<field>_missing' (absent), '<field>_not_a_number' (null, other
+    text, list, object, beyond 64 bits) or '<field>_not_whole'. Coerced values are then held against the accepted
+    ranges ('<field>_out_of_range'). All reasons of a body are listed, in field order; none means the request is valid."""
+    out = bodies.withColumn("_v", F.try_parse_json(F.col(body)))
+    is_object = F.schema_of_variant("_v").startswith("OBJECT")
+    typed, reasons = {}, []
+    for c, (lo, hi) in S.REQUEST_RANGES.items():
+        field = F.try_variant_get("_v", f"$.{c}", "variant")
+        kind = F.schema_of_variant(field)
+        text = F.trim(F.try_variant_get("_v", f"$.{c}", "string"))
+        scalar = kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$") | ((kind == "STRING") & text.rlike(_NUMBER))
+        number = F.when(kind == "BOOLEAN", F.when(text == "true", 1.0).otherwise(0.0)).when(scalar, text.try_cast("double"))
+        whole = isinstance(S.REQUEST_SCHEMA[c].dataType, T.LongType)
+        if whole:
+            typed[c] = F.when(number == F.floor(number), number).try_cast("bigint")
+        else:
+            typed[c] = number
+        x = F.col(c)
+        ok = (x > lo) & (x <= hi) if c == "trip_distance" else x.between(lo, hi)
+        reasons.append(F.when(field.isNull(), F.lit(f"{c}_missing"))
+                       .when(number.isNull(), F.lit(f"{c}_not_a_number"))
+                       .when(x.isNull(), F.lit(f"{c}_not_whole"))
+                       .when(~ok, F.lit(f"{c}_out_of_range")))
+    out = out.withColumns({**typed, "model_type": F.try_variant_get("_v", "$.model_type", "string")})
+    return out.withColumn("reasons", F.when(F.col("_v").isNull(), F.array(F.lit("invalid_json")))
+                          .when(~is_object, F.array(F.lit("not_an_object"))).otherwise(F.array_compact(F.array(*reasons)))).drop("_v")
+
+
+def quarantine(parsed: DataFrame, valid_path: str, rejected_path: str, body: str = "body") -> None:
+    """Write valid requests (typed, without their text) and rejected bodies (text and reasons) to two tables."""
+    parsed.filter(F.size("reasons") == 0).drop("reasons", body).write.mode("append").parquet(valid_path)
+    parsed.filter(F.size("reasons") > 0).select(body, F.array_join("reasons", ",").alias("reasons")).write.mode("append").parquet(rejected_path)
+
+
 # A model maps standardised feature columns (in request feature order) to a log-seconds prediction.
 ModelFn = Callable[[list[Column]], Column]
 

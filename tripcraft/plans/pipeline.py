@@ -54,6 +54,13 @@ def learn_bounds(raw: DataFrame, quantiles: str = "approx", error: float = S.QUA
     return Bounds(q75, q1, q3)
 
 
+def bounds_from_sketches(sketches: DataFrame) -> Bounds:
+    """Bounds of all days in a table of `quality.day_sketches` rows, without the data (rank error below 1 %)."""
+    (q75,) = Q.sketch_quantiles(sketches, "total", [0.75])
+    q1, q3 = Q.sketch_quantiles(sketches, "distance", [0.25, 0.75])
+    return Bounds(q75, q1, q3)
+
+
 def clean_trips(raw: DataFrame, bounds: Bounds | None = None, quantiles: str = "approx") -> DataFrame:
     """Raw trips (20 columns) -> cleaned trips (17 columns), lazily."""
     b = bounds or learn_bounds(raw, quantiles)

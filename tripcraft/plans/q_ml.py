@@ -133,6 +133,37 @@ def q_validate_requests(spark, sf):
     return req.select(*RED, "model_type", (F.size("_r") == 0).alias("valid"), F.array_join("_r", ",").alias("reasons"))
 
 
+def _parsed_sql():
+    """DuckDB twin of `parse_requests` over the bodies: type, text and number of every field, then the reasons."""
+    kinds = ", ".join(f"json_type(j, '$.{c}') AS k_{c}, trim(json_extract_string(j, '$.{c}')) AS t_{c}" for c in RED)
+    numbers = ", ".join(f"""CASE WHEN k_{c} = 'BOOLEAN' THEN CASE WHEN t_{c} = 'true' THEN 1.0e0 ELSE 0.0e0 END
+      WHEN k_{c} IN ('UBIGINT', 'BIGINT', 'DOUBLE') OR (k_{c} = 'VARCHAR' AND regexp_full_match(t_{c}, '[+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]+)([eE][+-]?[0-9]+)?'))
+      THEN TRY_CAST(t_{c} AS DOUBLE) END AS n_{c}""" for c in RED)
+    typed, reasons = [], []
+    for c, (lo, hi) in S.REQUEST_RANGES.items():
+        x = f"n_{c}" if c == "trip_distance" else f"CASE WHEN n_{c} = floor(n_{c}) THEN TRY_CAST(n_{c} AS BIGINT) END"
+        ok = f"({x}) > {lo} AND ({x}) <= {hi}" if c == "trip_distance" else f"({x}) BETWEEN {lo} AND {hi}"
+        typed.append(f"{x} AS {c}")
+        reasons.append(f"CASE WHEN k_{c} IS NULL THEN '{c}_missing' WHEN n_{c} IS NULL THEN '{c}_not_a_number' "
+                       f"WHEN ({x}) IS NULL THEN '{c}_not_whole' WHEN NOT ({ok}) THEN '{c}_out_of_range' END")
+    return f"""
+WITH li AS (SELECT l_orderkey, l_linenumber, l_orderkey*31 + l_partkey*17 + l_suppkey*7 + l_linenumber AS h, CAST(l_quantity AS BIGINT) AS q FROM lineitem),
+bodies AS (SELECT l_orderkey, l_linenumber, {X.BODY_SQL} AS body FROM li),
+parsed AS (SELECT *, CASE WHEN json_valid(body) THEN CAST(body AS JSON) END AS j FROM bodies),
+kinds AS (SELECT *, json_type(j) AS kind, {kinds} FROM parsed),
+numbers AS (SELECT *, {numbers} FROM kinds)
+SELECT l_orderkey, l_linenumber, {', '.join(typed)},
+  CASE WHEN j IS NULL THEN 'invalid_json' WHEN kind <> 'OBJECT' THEN 'not_an_object' ELSE concat_ws(',', {', '.join(reasons)}) END AS reasons
+FROM numbers"""
+
+
+@query("parse_requests", _parsed_sql())
+def q_parse_requests(spark, sf):
+    """Request bodies (JSON text) to typed features and reasons."""
+    parsed = SC.parse_requests(X.bodies_from_star(spark, sf))
+    return parsed.select("l_orderkey", "l_linenumber", *RED, F.array_join("reasons", ",").alias("reasons"))
+
+
 def linear_variants(train):
     """Two variants of one log-duration model: 'full' = OLS of log1p(seconds) on standardised
     distance fitted on train; 'compressed' = the same weights quantised to int8 per tensor."""

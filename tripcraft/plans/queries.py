@@ -7,6 +7,7 @@ get a rows-only check (their pytest suites check them against brute force on sma
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,9 @@ from tripcraft.operators import features as FE
 from tripcraft.operators import quality as Q
 from tripcraft.plans import oracle_sql as O
 from tripcraft.plans import pipeline as P
+from tripcraft.session import checkpoint_dir, stored
 from tripcraft.sources import fixtures as X
+from tripcraft.sources import io as IO
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -199,6 +202,41 @@ def q_quantile_bounds(spark, sf):
     return b.select(*[F.round(c, 9).alias(c) for c in b.columns])
 
 
+@query("read_mixed_trips", W(O.TRIPS, body="SELECT * FROM trips"))
+def q_read_mixed_trips(spark, sf):
+    """The raw trips from a folder whose files store the whole-number columns as 64-bit, 32-bit or double."""
+    raw = trips(spark, sf)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/mixed/{uuid.uuid4().hex}"
+    whole = [f.name for f in S.RAW_TRIP_SCHEMA if f.dataType.simpleString() == "bigint"]
+    for k, kind in enumerate(("bigint", "int", "double")):
+        raw.filter(F.pmod("PULocationID", F.lit(3)) == k).withColumns({c: F.col(c).cast(kind) for c in whole}).write.parquet(f"{path}/part={k}")
+    return IO.read_trips_mixed(spark, path)[0]
+
+
+@query("sketch_bounds", W(O.TRIPS, O.BOUNDS, body="""
+SELECT 'total' AS name, 0.75e0 AS prob, count(total_amount) AS n, true AS within_error FROM trips
+UNION ALL SELECT 'distance', 0.25e0, count(trip_distance), true FROM money
+UNION ALL SELECT 'distance', 0.75e0, count(trip_distance), true FROM money"""))
+def q_sketch_bounds(spark, sf):
+    """Cleaning bounds from stored daily sketches: each estimate's true rank lies within 1 % of its probability."""
+    raw = trips(spark, sf)
+    days = Q.day_sketches(raw)
+    stored_days, _ = stored(days, "day-sketches")
+    b = P.bounds_from_sketches(stored_days)
+    money = raw.filter(Q.money_ok())
+    out = None
+    for name, column, df, prob, bound in (("total", "total_amount", raw, 0.75, b.q75_total), ("distance", "trip_distance", money, 0.25, b.q1_distance),
+                                          ("distance", "trip_distance", money, 0.75, b.q3_distance)):
+        x = F.col(column)
+        n = F.count(x)
+        # the ranks that hold the estimate reach into the allowed band
+        row = df.agg(n.cast("bigint").alias("n"), ((F.count_if(x < bound) <= (prob + S.QUANTILE_ERROR) * n)
+                                                   & (F.count_if(x <= bound) >= (prob - S.QUANTILE_ERROR) * n)).alias("within_error"))
+        row = row.select(F.lit(name).alias("name"), F.lit(prob).alias("prob"), "n", "within_error")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 DESCRIBE_SQL = " UNION ALL ".join(
     f"""SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev,
   CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value FROM cleaned"""

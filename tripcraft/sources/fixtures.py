@@ -132,6 +132,33 @@ def requests_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived_table(spark, sf_dir, "requests", "lineitem", lambda s, d: requests_from_lineitem(table(s, d, "lineitem")))
 
 
+def bodies_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request bodies as JSON text, with planted faults (quoted, fractional, absent and nested values, broken text)."""
+    return derived_table(spark, sf_dir, "bodies", "lineitem", lambda s, d: bodies_from_lineitem(table(s, d, "lineitem")))
+
+
+# Field -> its text by SQL that Spark and DuckDB read alike (h: the row hash, q: the quantity).
+BODY_FIELDS = {
+    "passenger_count": "CASE WHEN h % 29 = 0 THEN 'null' WHEN h % 13 = 0 THEN concat('\"', CAST(h % 11 AS STRING), '\"') "
+                       "WHEN h % 17 = 0 THEN concat(CAST(h % 11 AS STRING), '.0') ELSE CAST(h % 11 AS STRING) END",
+    "trip_distance": "CASE WHEN h % 23 = 0 THEN '\"far\"' WHEN h % 19 = 0 THEN concat('\" ', CAST(q AS STRING), '.25\"') "
+                     "ELSE concat(CAST(q % 15 AS STRING), '.', CAST(h % 10 AS STRING)) END",
+    "payment_type": "CASE WHEN h % 31 = 0 THEN '1.5' ELSE CAST(h % 7 AS STRING) END",
+    "pickup_hour": "CAST(h % 25 AS STRING)",
+    "pickup_dayofweek": "CASE WHEN h % 41 = 0 THEN '[1]' WHEN h % 7 = 0 THEN '1e0' ELSE CAST(h % 8 AS STRING) END",
+    "pickup_month": "CASE WHEN h % 61 = 0 THEN '{\"m\": 1}' ELSE CAST(h % 13 AS STRING) END",
+    "is_weekend": "CASE WHEN h % 5 = 0 THEN CASE WHEN h % 2 = 0 THEN 'true' ELSE 'false' END ELSE CAST(h % 3 AS STRING) END",
+}
+_PARTS = ", ".join(f"CASE WHEN h % 37 = 0 AND '{c}' = 'pickup_hour' THEN NULL ELSE concat('\"{c}\": ', {x}) END" for c, x in BODY_FIELDS.items())
+BODY_SQL = f"""CASE WHEN h % 59 = 0 THEN NULL WHEN h % 53 = 0 THEN '' WHEN h % 43 = 0 THEN concat('{{', concat_ws(', ', {_PARTS}))
+  WHEN h % 47 = 0 THEN concat('[{{', concat_ws(', ', {_PARTS}), '}}]') ELSE concat('{{', concat_ws(', ', {_PARTS}), '}}') END"""
+
+
+def bodies_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity").withColumn("h", _row_hash())
+    return li.withColumn("q", F.col("l_quantity").cast("bigint")).select("l_orderkey", "l_linenumber", F.expr(BODY_SQL).alias("body"))
+
+
 def requests_from_lineitem(lineitem: DataFrame) -> DataFrame:
     li = (lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
           .withColumn("h", _row_hash()))

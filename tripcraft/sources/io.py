@@ -23,6 +23,55 @@ def read_trips(spark: SparkSession, path: str, nan_as_null: bool = False) -> Dat
     return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in S.MONEY_COLUMNS})
 
 
+def file_schemas(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(file, its footer's schema as text) of every Parquet file below a folder or glob, in name order."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.parquet.hadoop
+    files = [r["path"] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", "*.parquet").load(path).select("path").collect()]
+    out = []
+    for name in sorted(files):
+        reader = hadoop.ParquetFileReader.open(hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(name), conf))
+        try:
+            out.append((name, reader.getFileMetaData().getSchema().toString()))
+        finally:
+            reader.close()
+    return out
+
+
+def read_trips_mixed(spark: SparkSession, path: str, schema=S.RAW_TRIP_SCHEMA) -> tuple[DataFrame, DataFrame]:
+    """Raw trips from files whose columns differ in physical type, name case or presence, and a report of it.
+
+    Monthly files store a column as 32-bit, as 64-bit or as double; one declared schema cannot read them all. Files are
+    grouped by the schema in their footer (one small read a file), each group is one scan with its own types, its
+    columns are cast to the declared ones, and the groups are united: as many scans as distinct schemas, so filters
+    and column pruning still reach Parquet. Values that the declared type cannot hold become null.
+
+    The report has one row per (schema group, column) that differs: files, column, found (null if absent), declared."""
+    groups: dict[str, list[str]] = {}
+    for name, text in file_schemas(spark, path):
+        groups.setdefault(text, []).append(name)
+    union, report = None, []
+    for files in groups.values():
+        part = spark.read.parquet(*files)
+        found = {f.name.lower(): f for f in part.schema}
+        columns = []
+        for want in schema:
+            have = found.get(want.name.lower())
+            if have is None:
+                columns.append(F.lit(None).cast(want.dataType).alias(want.name))
+            else:
+                same = have.dataType == want.dataType
+                columns.append((F.col(have.name) if same else F.col(have.name).try_cast(want.dataType)).alias(want.name))
+            if have is None or have.dataType != want.dataType:
+                report.append((len(files), want.name, have.dataType.simpleString() if have else None, want.dataType.simpleString()))
+        part = part.select(*columns)
+        union = part if union is None else union.unionByName(part)
+    if union is None:
+        union = spark.createDataFrame([], schema)
+    return union, spark.createDataFrame(report, "files int, column string, found string, declared string")
+
+
 def read_cleaned(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
