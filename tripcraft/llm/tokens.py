@@ -10,7 +10,7 @@ Order: range partitions of (key, hash of the text), sorted inside; null keys fir
 position of a file's first id is a running sum over the manifest (one row per file).
 
 Encoding: pieces between single spaces repeat a lot, so each worker keeps the ids of pieces it has seen
-twice (at most ``CACHE`` entries) and gives only others to the tokenizer. A space between two non-space
+(about ``CACHE`` entries, then it starts anew) and gives only others to the tokenizer, whose own memory of words is off. A space between two non-space
 characters always starts a pre-token of the byte-level pattern, so the pieces' ids concatenate to the whole text's ids; texts with adjacent white space are cut before white-space runs instead, and texts with
 the control characters U+001C to U+001F or with a special token's string, and all texts of a tokenizer of
 another kind, are encoded whole.
@@ -39,7 +39,6 @@ from tripcraft.llm.eliasfano import EliasFano
 
 FILE_IDS = 1 << 25  # ids per file: 64 MB of 16-bit ids
 CACHE = 400_000  # pieces a worker remembers
-ONCE = (1 << 22) - 1  # hash slots that note what has been seen once
 JOINED = 256  # new pieces given to the tokenizer as one text
 KEEP_LENGTH = 64  # longest piece that is remembered
 MAGIC = b"EFTOKENS"
@@ -68,6 +67,8 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(spec)
+        if hasattr(self.tokenizer.model, "_resize_cache"):
+            self.tokenizer.model._resize_cache(0)  # it is given new pieces only
         parts = json.loads(spec)
         pre = parts.get("pre_tokenizer") or {}
         self.pieces = (parts.get("normalizer") is None and pre.get("type") == "ByteLevel"
@@ -81,7 +82,6 @@ class Encoder:
             self.lengths[i] = len(token)
         self.seen: dict[str, bytes] = {}  # pieces as they are
         self.after: dict[str, bytes] = {}  # pieces that follow a space
-        self.once = bytearray(ONCE + 1)
 
     def _cut(self, text: str) -> tuple[list[str], list[str]]:
         """(pieces as they are, pieces that follow a space)."""
@@ -100,7 +100,6 @@ class Encoder:
         if len(self.seen) + len(self.after) > CACHE:
             self.seen.clear()
             self.after.clear()
-            self.once = bytearray(ONCE + 1)
         cuts = [self._cut(t or "") for t in texts]
         known = [(list(map(self.seen.get, head)), list(map(self.after.get, rest))) for head, rest in cuts]
         holes = [(_holes(first), _holes(then)) for first, then in known]
@@ -112,19 +111,10 @@ class Encoder:
                 first[k] = own[head[k]]
             for k in b:
                 then[k] = later[rest[k]]
-        self._remember(self.seen, own)
-        self._remember(self.after, later)
+        self.seen.update((p, x) for p, x in own.items() if len(p) <= KEEP_LENGTH)
+        self.after.update((p, x) for p, x in later.items() if len(p) <= KEEP_LENGTH)
         return [b"".join(first) + b"".join(then) for first, then in known]
 
-    def _remember(self, where: dict[str, bytes], new: dict[str, bytes]) -> None:
-        """A piece is remembered when it comes again; most never do. Long ones are not."""
-        for p, x in new.items():
-            slot = hash(p) & ONCE
-            if not self.once[slot]:
-                self.once[slot] = 1
-            elif len(p) <= KEEP_LENGTH:
-                where[p] = x
-
     def _alone(self, pieces: list[str]) -> dict[str, bytes]:
         return {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(
             pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True)}
