@@ -52,15 +52,15 @@ def test_edges_and_removal(spark, monkeypatch):
     docs = [(1, f"start {long.upper()} end"), (None, "a short; item b short item"), (2, None), (3, ""), (4, "clean text"),
             (4, "clean text"), (5, "some nameless passage here now"), (6, "x " * 30000 + long + " y" * 30000),
             (7, "short short item item"), (8, "short item")]
-    d = spark.createDataFrame([(*x, "keep", 9) for x in docs], "doc_id long, text string, items string, spans int").select("doc_id", "text")
+    d = spark.createDataFrame([(*x, "keep", 9) for x in docs], "doc_id long, text string, items string, spans int")
     b = spark.createDataFrame(items, "item_id long, text string")
     monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 40)  # several passes
     found = decontaminate.search(d, b).collect()
-    got = [(r.doc_id, r.n_words, sum(s.end - s.start for s in r.spans), len(r["items"]),
+    got = [(r.row.doc_id, r.n_words, sum(s.end - s.start for s in r.spans), len(r["items"]),
             hashlib.sha256(",".join(r["items"]).encode()).hexdigest(), bool(r.spans)) for r in found]
     key = lambda r: (r[0] is None, *map(str, r))
     assert sorted(got, key=key) == sorted(brute(docs, items), key=key)
-    out = {r.doc_id: r for r in decontaminate.remove(d.selectExpr("*", "length(text) as n"), b, length="n").collect()}
+    out = {r.doc_id: r for r in decontaminate.remove(d.selectExpr("*", "length(text) as n", "1 as n_words"), b, length="n").collect()}
     assert 8 not in out and 7 not in out  # nothing is left, the second after two cuts
     assert out[1].text == "start  end" and out[1].n == 10 and out[4].text == "clean text" and out[2].text is None
     assert not any(x[2] for x in brute([(k, r.text) for k, r in out.items()], items))

@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 
@@ -59,7 +60,13 @@ def test_what_is_no_wrapper(page, text):
 
 
 @pytest.mark.parametrize(("page", "text"), [
-    (f"<article><p>Post</p><p>More</p><article><p>{_LONG}</p><p>{_LONG}</p></article></article>", f"Post\nMore\n{_LONG}\n{_LONG}"),
+    # articles inside an article that has text of its own are reader comments; a heading alone makes it a wrapper
+    (f"<article><p>Post</p><p>More</p><article><p>{_LONG}</p><p>{_LONG}</p></article></article>", "Post\nMore"),
+    (f"<article>Post<article><p>{_LONG}</p></article></article>", "Post"),
+    (f"<article><h1>Head</h1><article><p>{_LONG}</p></article></article>", f"Head\n{_LONG}"),
+    ("<body><p>First part.</p><p class=x don't>Second part.</p><p>Third part.</p></body>", "First part.\nSecond part.\nThird part."),
+    ("<p title='a > b' alt=\"c'd\" e=f\"g>One</p><p x = 'y'>Two</p>", "One\nTwo"),
+    (f"<body><div><h1>Head</h1><p><b>a</b> <i>b</i> {_LONG}</p></div></body>", f"Head\na b {_LONG}"),
     (f"<body><div><a href=x>Home</a> <a href=y>News</a></div><div><p>{_LONG}</p><p>{_LONG}</p></div></body>", f"{_LONG}\n{_LONG}"),
     (f"<body><ul><li><a href=x>One</a><li><a href=y>Two</a></ul><div><h2>Head</h2><p>{_LONG}</p></div></body>", f"Head\n{_LONG}"),
 ])
@@ -68,6 +75,20 @@ def test_choice_of_the_subtree(page, text):
     assert html.extract(page) == text
 
 
+def test_pages_without_article_tags(spark, sf01):
+    """The density finds the same text with every article turned into a div."""
+    for r in spark.read.parquet(f"{sf01}/pages.parquet").collect():
+        assert html.extract(re.sub("<(/?)article", r"<\1div", r.html)) == html.extract(r.html)
+
+
+@pytest.mark.parametrize("name", ["span", "div", "b"])
+def test_deep_pages_take_linear_time(name):
+    page = "<body>" + f"<{name}>" * 20_000 + "".join(f"<p>part {k}</i></p>" for k in range(3000))
+    start = time.process_time()
+    assert html.extract(page) == "\n".join(f"part {k}" for k in range(3000))
+    assert time.process_time() - start < 3
+
+
 def test_query_equals_articles(spark, sf01):
     """On the pages of the data, the article's blocks by a plain split of the markup."""
     import html as standard

@@ -52,3 +52,10 @@ def test_spans_scripts_and_edges(spark):
     empty = langid.learn(docs.limit(0))
     assert {r.lang_pred for r in langid.identify(docs, empty).collect()} == {"und"}
     assert langid.identify(docs.limit(0), model).count() == 0
+
+
+def test_null_keys_are_not_learned_from(spark):
+    rows = [(None, "only here", "xx"), *((k, "the dog and the cat", "en") for k in range(20))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert langid.learn(docs.where(langid.learnable("doc_id"))).langs == ["en"]
+    assert docs.where(langid.learnable("doc_id")).count() + docs.where(langid.held_out("doc_id")).count() == 20

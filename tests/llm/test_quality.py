@@ -40,6 +40,15 @@ def test_texts_without_white_space_count_in_whole():
     assert quality.shape("x" * 300 + "9") == "x9"
 
 
+def test_sample_holds_null_and_repeated_keys(spark, monkeypatch):
+    """Rows are told apart by key and text: null keys, and a row that makes up most of the table, leave a sample."""
+    monkeypatch.setattr(quality, "TRAIN_ROWS", 50)
+    texts = [" ".join(f"word{(k * 7 + j) % 90}" for j in range(30)) + "." for k in range(200)]
+    rows = [(None, t) for t in texts] + [(5, "@@ ## !! 12 " * 20)] * 1000
+    scores = [r.score for r in quality.classify(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(scores) == 1200 and not any(abs(s - 0.5) < 1e-6 for s in scores)
+
+
 def test_edges(spark):
     rows = [(None, None, 1), (1, "", 1), (1, "", 1), (2, "one two", 1), (3, "word and then more words " * 5000, 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, votes int")

@@ -92,3 +92,9 @@ def test_edges(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(df).count() == 0 and simhash.keep_one(df).count() == 0
+
+
+def test_keep_one_with_a_map_column(spark):
+    docs = spark.createDataFrame([(2, "a b c d", {"x": 1}), (1, "a b c d", {"y": 2}), (1, "a b c d", {"y": 2}), (3, "other words stand here", None)],
+                                 "doc_id long, text string, tags map<string,int>")
+    assert sorted((r.doc_id, r.tags) for r in simhash.keep_one(docs).collect()) == [(1, {"y": 2}), (3, None)]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripcraft.llm.common import sliced, table, utf8
+from tripcraft.llm.common import sliced, stored, table, utf8
 from tripcraft.llm.fmindex import FMIndex
 
 WINDOW = 10
@@ -125,20 +125,22 @@ def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[s
 
 def search(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
            item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``docs`` plus ``n_words`` (long), ``spans`` (merged word spans that are hit), ``items`` (ids found, sorted
-    as strings). Other columns are unchanged."""
+    """``docs`` as a column ``row`` plus ``n_words`` (long), ``spans`` (merged word spans that are hit) and ``items``
+    (ids found, sorted as strings). Each block of the benchmark is one pass over the documents; its result is
+    written, and its broadcast released, before the next."""
     spark = docs.sparkSession
-    extra = docs.select(F.lit(0).cast("long").alias("n_words"), F.array().cast(SPANS).alias("spans"),
-                        F.array().cast("array<string>").alias("items")).schema
-    out = docs.select("*", F.lit(0).cast("long").alias("n_words"), F.array().cast(SPANS).alias("spans"),
-                      F.array().cast("array<string>").alias("items"))
-    names = docs.columns
+    out = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{text}`").alias("t"),
+                      F.lit(0).cast("long").alias("n_words"), F.array().cast(SPANS).alias("spans"), F.array().cast("array<string>").alias("items"))
+    last = None
     for block in _blocks(benchmark, item, item_text):
-        shared = spark.sparkContext.broadcast(Windows(block, window))
+        if last is not None:
+            out = stored(out, "decontaminate-block")
+            last.unpersist()
+        shared = last = spark.sparkContext.broadcast(Windows(block, window))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for b in sliced(batches, text, 2000):
-                texts = [words_of(t) for t in utf8(b.column(text))]
+            for b in sliced(batches, "t", 2000):
+                texts = [words_of(t) for t in utf8(b.column("t"))]
                 spans, items = shared.value.search(texts)
                 before, named = b.column("spans").to_pylist(), b.column("items").to_pylist()
                 for d, found in spans.items():
@@ -146,12 +148,11 @@ def search(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str
                                  for x in merged(found + [(y["start"], y["end"]) for y in before[d]])]
                     named[d] = sorted({*named[d], *items[d]})
                 yield pa.RecordBatch.from_arrays(
-                    [*(b.column(c) for c in names), pa.array([len(t) for t in texts], pa.int64()),
-                     pa.array(before, b.schema.field("spans").type), pa.array(named, b.schema.field("items").type)],
-                    names=[*names, *extra.names])
+                    [b.column("row"), b.column("t"), pa.array([len(t) for t in texts], pa.int64()),
+                     pa.array(before, b.schema.field("spans").type), pa.array(named, b.schema.field("items").type)], names=b.schema.names)
 
         out = out.mapInArrow(run, out.schema)
-    return out
+    return out.drop("t")
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
@@ -204,7 +205,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = search(table(spark, sf_dir, "documents", "doc_id", "text"),
                    table(spark, sf_dir, "benchmark", "item_id", "text"))
     hits = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return found.select("doc_id", "n_words", hits.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+    return found.select("row.doc_id", "n_words", hits.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
                         (hits > 0).alias("contaminated"))
 

@@ -7,7 +7,7 @@ LC, LT, NC and T at least 1: characters per tag, lowered where links carry the t
 adds its children's densities. The threshold is the lowest density on the path from the node of the
 largest sum up to the body. From the body down, the first node that reaches the threshold gives up its
 descendant of the largest sum, and that whole subtree is the text: nothing inside is dropped for being
-short. If the subtree lies in article elements, the outermost is taken; if it is around a single one that holds
+short. A paragraph, heading, list or inline element stands for the container it is in. If the subtree lies in article elements, the outermost is taken; if it is around a single one that holds
 half of its characters, that one.
 
 Elements that hold no article text are cut before: scripts, styles, menus, page headers and footers, sidebars,
@@ -15,7 +15,8 @@ forms, and elements whose role, class or id says so (``advert``, ``cookie``, ``c
 below). A header inside an article with a heading stays. Wrappers are no such elements and stay, so that the
 density decides: a marked element or form that holds an article or main (and is not in an article itself) or
 the larger part of the body's unlinked text, and an element unwanted by its name that holds both. Articles
-inside articles (reader comments) do not count for this.
+inside articles do not count for this; they are reader comments, and cut, where the outermost article has text of
+its own beside headings (without, it is a wrapper around the article).
 
 Text: character references decoded, white space inside a block made one space, blocks joined by a line
 break in page order. Block elements and ``br``-free runs between them are blocks.
@@ -25,6 +26,7 @@ Defined results: null, empty and tag-free pages give their plain text ("" for nu
 
 from __future__ import annotations
 
+import bisect
 import html
 import math
 import re
@@ -50,6 +52,8 @@ SIBLING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "
            "tfoot": ("tbody", "thead", "tr", "td", "th")}
 SCOPE = frozenset("article aside body details div dl fieldset figure footer header html main nav ol section table ul".split())
 HOLDS = SCOPE | frozenset("applet button dialog form math menu object select svg template".split())  # no implied end from inside
+TITLES = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
+CONTAINERS = frozenset("article body center div html main section td th".split())
 IN_HEAD = frozenset("base link meta noframes noscript script style template title".split())
 DROPPED = frozenset("""head script style noscript template iframe object embed applet svg math canvas audio video map nav aside
     footer form button select textarea input label fieldset datalist dialog menu""".split())
@@ -60,23 +64,25 @@ MARKS = frozenset("""ad ads adv advert adverts advertisement advertising adsense
     comment comments commentlist respond disqus replies cookie cookies consent gdpr notice notices notification alert popup modal
     overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations
     pagination pager toolbar skip search""".split())
+# a quote opens a value only after "="; elsewhere it is part of an attribute's name
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|=)*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|itemprop)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "unwanted", "inner", "holds", "plain", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "parent", "children", "unwanted", "inner", "outer", "holds", "plain", "post", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, name: str, parent: Node | None, unwanted: bool = False):
         self.name, self.parent, self.unwanted = name, parent, unwanted
         self.children: list[Node | str] = []
 
 
-def _unwanted(name: str, attributes: str, parent: Node) -> bool:
-    if name in DROPPED or name == "header" and not any(x.name in ("article", "main") for x in _path(parent)):
+def _unwanted(name: str, attributes: str, inside: bool) -> bool:
+    """``inside``: in an article or main."""
+    if name in DROPPED or name == "header" and not inside:
         return True
     if not attributes:
         return False
@@ -94,12 +100,51 @@ def _unwanted(name: str, attributes: str, parent: Node) -> bool:
     return False
 
 
+class Open:
+    """The open elements, and where those of a name are among them, so that no rule walks through deep pages."""
+
+    def __init__(self, root: Node):
+        self.nodes: list[Node] = [root]
+        self.at: dict[str, list[int]] = {}  # places by name, ascending (the root is nobody's)
+        self.scope: list[int] = []
+        self.holds: list[int] = [0]
+
+    def push(self, node: Node) -> None:
+        place = len(self.nodes)
+        self.nodes.append(node)
+        self.at.setdefault(node.name, []).append(place)
+        if node.name in SCOPE:
+            self.scope.append(place)
+        if node.name in HOLDS:
+            self.holds.append(place)
+
+    def pop_to(self, place: int) -> None:
+        """End all elements from ``place`` on."""
+        while len(self.nodes) > max(place, 1):
+            name = self.nodes.pop().name
+            self.at[name].pop()
+            if name in SCOPE:
+                self.scope.pop()
+            if name in HOLDS:
+                self.holds.pop()
+
+    def last(self, name: str) -> int:
+        places = self.at.get(name)
+        return places[-1] if places else 0
+
+    def first_after(self, name: str, place: int) -> int | None:
+        places = self.at.get(name, [])
+        k = bisect.bisect_right(places, place)
+        return places[k] if k < len(places) else None
+
+
 def parse(page: str) -> Node:
     """The tree of wanted elements; text is in the children as decoded strings.
 
     Unwanted elements are parsed by the same rules, so that implied ends and the ends of their ancestors end them
     too, and are cut from the whole tree."""
-    root = node = Node("html", None)
+    root = Node("html", None)
+    stack = Open(root)
     page = page.replace("\x00", "")
     at, size = 0, len(page)
     while at < size:
@@ -112,9 +157,9 @@ def parse(page: str) -> Node:
             lt = page.find("<", lt + 1)
         text = page[at:lt if lt >= 0 else size]
         if text:
-            if node.name == "head" and not text.isspace():
-                node = node.parent
-            node.children.append(html.unescape(text))
+            if stack.nodes[-1].name == "head" and not text.isspace():
+                stack.pop_to(len(stack.nodes) - 1)
+            stack.nodes[-1].children.append(html.unescape(text))
         if lt < 0:
             break
         at = m.end()
@@ -122,39 +167,35 @@ def parse(page: str) -> Node:
         if not name:
             continue
         if m[1]:
-            up: Node | None = node
-            crossed = False
-            while up is not None and up.name != name:
-                crossed = crossed or up.name in SCOPE
-                up = up.parent
-            if up is not None and up.parent is not None and (name in BLOCK or up.unwanted or not crossed):
-                node = up.parent
-            elif name == "p" or name == "br":
-                node.children.append(Node(name, node))
+            place = stack.last(name)
+            crossed = bool(stack.scope) and stack.scope[-1] > place
+            if place and (name in BLOCK or stack.nodes[place].unwanted or not crossed):
+                stack.pop_to(place)
+            elif not place and name in ("p", "br") or place and name == "p":
+                stack.nodes[-1].children.append(Node(name, stack.nodes[-1]))
             continue
         raw = name in RAW and not m[3].endswith("/")
         if raw:
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
             body, at = page[at:end.start() if end else size], end.end() if end else size
             if name not in DROPPED and name != "title":
-                node.children.append(html.unescape(body))
+                stack.nodes[-1].children.append(html.unescape(body))
             continue
         closed = name in VOID or m[3].endswith("/") and name not in BLOCK
-        if name in ("html", "body") and any(x.name == name and x is not root for x in _path(node)) or name == "html":
+        if name == "html" or name == "body" and stack.last("body"):
             continue
-        if node.name == "head" and name not in IN_HEAD:
-            node = node.parent
+        if stack.nodes[-1].name == "head" and name not in IN_HEAD:
+            stack.pop_to(len(stack.nodes) - 1)
         if name in ENDS_P or name in SIBLING:
-            ends = SIBLING.get(name, ("p",))
-            up = node
-            while up.parent is not None and up.name not in HOLDS:
-                if up.name in ends:
-                    node = up.parent
-                up = up.parent
-        child = Node(name, node, _unwanted(name, m[3], node))
-        node.children.append(child)
+            ended = [stack.first_after(e, stack.holds[-1]) for e in SIBLING.get(name, ("p",))]
+            ended = [e for e in ended if e is not None]
+            if ended:
+                stack.pop_to(min(ended))
+        parent = stack.nodes[-1]
+        child = Node(name, parent, _unwanted(name, m[3], bool(stack.last("article") or stack.last("main"))))
+        parent.children.append(child)
         if not closed:
-            node = child
+            stack.push(child)
     _cut(root)
     return root
 
@@ -166,22 +207,30 @@ def _cut(root: Node) -> None:
     for n in nodes:  # inner: in an article
         n.inner = n.parent is not None and (n.parent.inner or n.parent.name == "article" and not n.parent.unwanted)
     for n in reversed(nodes):
-        n.holds, n.plain = n.name in ("article", "main") and not n.unwanted, 0
+        n.holds, n.plain, n.post = n.name in ("article", "main") and not n.unwanted, 0, 0
         if n.name in INERT or n.name == "a" or n.name == "article" and n.inner:
             continue
         for c in n.children:
             if isinstance(c, str):
-                n.plain += len(_SPACE.sub(" ", c).strip())
+                size = len(_SPACE.sub(" ", c).strip())
+                n.plain += size
+                n.post += size
             else:
                 n.plain += c.plain
+                n.post += c.post
                 n.holds = n.holds or c.holds
         if _unwanted_name(n) and not n.holds:
             n.plain = 0
+        if n.name in TITLES or n.unwanted:
+            n.post = 0
         n.holds = n.holds and n.plain > 0
     for n in nodes:
         if n.unwanted:
             larger, holds = 2 * n.plain > body.plain, n.holds and not n.inner
             n.unwanted = not (larger and holds if _unwanted_name(n) else larger or holds)
+    for n in nodes:  # outer: the outermost article; inner: an article beside text of that one, other than headings
+        n.outer = (n.parent.outer if n.parent is not None else None) or (n if n.name == "article" and not n.unwanted else None)
+        n.unwanted = n.unwanted or n.name == "article" and n.outer is not n and n.outer is not None and n.outer.post > 0
     for n in nodes:
         n.children = [c for c in n.children if isinstance(c, str) or not c.unwanted]
 
@@ -238,7 +287,8 @@ def select(root: Node) -> Node:
     nodes = measure(root)
     body = next((n for n in nodes if n.name == "body"), root)
     best = max(_nodes(body), key=lambda n: n.total)  # the first in page order among equals
-    threshold = min(n.density for n in _path(best) if n is best or any(x is body for x in _path(n)))
+    path = list(_path(best))
+    threshold = min(n.density for n in path[:path.index(body) + 1])
     level = [body]
     while level:
         reach = [n for n in level if n.density >= threshold]
@@ -246,9 +296,11 @@ def select(root: Node) -> Node:
             best = max((m for n in reach for m in _nodes(n)), key=lambda n: n.total)
             break
         level = [c for n in level for c in n.children if isinstance(c, Node)]
+    while best.name not in CONTAINERS and best is not body:  # a paragraph or list stands for what it is in
+        best = best.parent
     within = [n for n in _path(best) if n.name == "article"]
     if within:
-        return within[-1]  # the outermost: articles inside are its comments
+        return within[-1]  # the outermost
     articles = [n for n in _nodes(best) if n.name == "article" and n.chars]
     return articles[0] if len(articles) == 1 and 2 * articles[0].chars >= best.chars else best
 

@@ -97,6 +97,11 @@ def held_out(key: str):
     return F.coalesce(F.crc32(F.col(key).cast("string")) % FOLDS == 0, F.lit(False))
 
 
+def learnable(key: str):
+    """Rows that may be learned from: those whose remainder is known and not 0. A null key is neither held out nor learned from."""
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % FOLDS != 0, F.lit(False))
+
+
 def counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, slot, n) over all rows: n-gram counts in slots below BUCKETS, then letters by script."""
     pairs = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("t")).where("lang is not null and t is not null")
@@ -300,14 +305,14 @@ def identify(docs: DataFrame, model: Model, text: str = "text", spans: bool = Fa
 
 def keep_identified(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows of ``docs`` whose language is known: a learned language holds MIN_SCORE of the letters or more."""
-    model = learn(docs.where(~held_out(key)), text, lang)
+    model = learn(docs.where(learnable(key)), text, lang)
     found = identify(docs, model, text)
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)).select("row.*")
 
 
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
-    model = learn(docs.where(~held_out("doc_id")).select("text", "lang"))
+    model = learn(docs.where(learnable("doc_id")).select("text", "lang"))
     found = identify(docs.select("doc_id", "text"), model)
     return found.select("row.doc_id", "lang_pred", "score").select(
         "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")

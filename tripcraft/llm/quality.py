@@ -6,7 +6,8 @@ patterns (at most 3**8, aggregated by Spark over all documents) estimates each l
 good documents, and gives every pattern a posterior. The posteriors are the labels of a linear scorer
 over hashed features of the words (their character shape; short words themselves; of words longer than ``LONG``,
 as texts without white space are, all 3-grams of the shape), fitted by gradient
-descent on a bounded sample of ``TRAIN_ROWS`` documents: those of the smallest hash of the key.
+descent on a bounded sample of ``TRAIN_ROWS`` documents: of all different pairs of key and text, those
+of the smallest hashes.
 Statistics, votes, posteriors and scores cover all documents and whole texts.
 
 Defined results: a text without words (null, empty) gets bad votes from all and score 0; repeated rows get
@@ -124,9 +125,9 @@ class Words:
 
 
 def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``row`` (all columns but the text), ``h`` (hash of the key, the sampling order), ``votes``, ``at``, ``x``."""
+    """``row`` (all columns but the text), ``h`` (hash of key and text, the sampling order), ``votes``, ``at``, ``x``."""
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text)).alias("row"),
-                       F.xxhash64(F.lit(SEED), F.col(f"`{key}`")).alias("h"), F.col(f"`{text}`").alias("t"))
+                       F.xxhash64(F.lit(SEED), F.col(f"`{key}`"), F.col(f"`{text}`")).alias("h"), F.col(f"`{text}`").alias("t"))
     schema = rows.select("row", "h", F.array().cast("array<int>").alias("votes"), F.lit(b"").alias("at"), F.lit(b"").alias("x")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,10 +199,11 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     labels = spark.createDataFrame(pd.DataFrame({"votes": [v.tolist() for v in votes], "posterior": posterior.tolist()}),
                                    "votes array<int>, posterior double") if len(patterns) else spark.createDataFrame(
         [], "votes array<int>, posterior double")
-    total = int(patterns["count"].sum()) if len(patterns) else 0
-    # the smallest hashes: a threshold leaves about TRAIN_ROWS rows, of which the driver takes TRAIN_ROWS at most
+    # The smallest hashes. Hashes of different pairs of key and text are spread evenly, so a threshold leaves about
+    # TRAIN_ROWS of them, of which the driver takes TRAIN_ROWS at most; repeated rows and null keys change nothing.
+    total = found.select("h").distinct().count()
     cut = min((1 << 63) - 1, int((min(1.0, TRAIN_ROWS / max(total, 1)) - 0.5) * (1 << 64)))
-    sample = found.where(F.col("h") <= cut).orderBy("h").limit(TRAIN_ROWS).select("votes", "at", "x").collect()
+    sample = found.where(F.col("h") <= cut).select("h", "votes", "at", "x").dropDuplicates(["h"]).orderBy("h").limit(TRAIN_ROWS).collect()
     by = {tuple(v.tolist()): float(p) for v, p in zip(votes, posterior, strict=True)}
     weights = spark.sparkContext.broadcast(fit_scorer(
         [np.frombuffer(r["at"], np.int32).astype(np.int64) for r in sample], [np.frombuffer(r["x"], np.float32) for r in sample],

@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripcraft.llm.common import components, sliced, stored, table, utf8
 
@@ -121,6 +122,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     return found.select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _has_map(kind: T.DataType) -> bool:
+    parts = [f.dataType for f in kind.fields] if isinstance(kind, T.StructType) else [kind.elementType] if isinstance(kind, T.ArrayType) else []
+    return isinstance(kind, T.MapType) or any(map(_has_map, parts))
+
+
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
              max_distance: int = MAX_DISTANCE) -> DataFrame:
     """The rows of ``docs`` with one row per group of near-duplicates: the one of the smallest key (a null
@@ -128,7 +134,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     names = docs.columns
     row = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"))
     row = row.select("row", F.col(f"row.`{key}`").alias("id"), F.col(f"row.`{text}`").alias("body"),
-                     F.xxhash64("row").alias("h"))
+                     F.xxhash64(F.to_json("row") if _has_map(docs.schema) else F.col("row")).alias("h"))  # maps have no hash
     fps = stored(fingerprints(row.select("id", "h", "body"), "body", shingle).select("id", "h", "fp"), "simhash")
     rooted = fps.join(groups(fps, "id", max_distance).select("fp", "root"), "fp")
     order = F.struct(F.col("id").isNull().alias("last"), "id", "h")
@@ -138,7 +144,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     kept = row.join(picks, same, "left_semi").select("row.*")
     again = fps.join(picks, fps["id"].eqNullSafe(picks["pid"]) & (fps["h"] == picks["ph"]), "left_semi")
     repeated = not again.groupBy("id", "h").count().where("count > 1").isEmpty()
-    return kept.dropDuplicates() if repeated else kept
+    if not repeated:
+        return kept
+    if not _has_map(docs.schema):
+        return kept.dropDuplicates()
+    return kept.withColumn("same row", F.to_json(F.struct("*"))).dropDuplicates(["same row"]).drop("same row")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
