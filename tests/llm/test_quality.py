@@ -19,6 +19,15 @@ def test_label_model_finds_accuracies():
     assert right >= (best[inverse.ravel()] == (fault == 0)).mean() - 0.005
 
 
+def test_prior_does_not_grow_with_the_data():
+    """The same patterns a thousand times over are the same fit but for the imagined votes."""
+    rng = np.random.default_rng(1)
+    votes = np.where(rng.random((3000, 4)) < 0.1, -1, 1)
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    few, many, more = (quality.label_model(patterns, counts * float(f)) for f in (1, 1000, 1_000_000))
+    assert np.abs(many[0] - more[0]).max() < 1e-3 and np.abs(few[0] - more[0]).max() < 0.3
+
+
 def test_against_labels(spark, sf01):
     """No label is used in the fit; the scorer has to agree with them."""
     truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf01}/labels.parquet").collect()}

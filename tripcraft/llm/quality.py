@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from tripcraft.llm.common import held, sliced, stored, table
 
 BUCKETS = 1 << 12
+PSEUDO = (50.0, 5.0)  # imagined votes per labeller: in the good class, in each class of a fault
 TRAIN_ROWS = 10_000  # documents the scorer is fitted on, at most
 EPOCHS = 200
 FEW = 8  # texts of fewer words get no votes
@@ -148,15 +149,16 @@ def label_model(votes: np.ndarray, n: np.ndarray, rounds: int = 300) -> tuple[np
 
     A heuristic is written for one kind of fault, which the others do not see. So the hidden class of a
     document is good, or bad by the fault of one labeller; each class has its own rate of bad votes per
-    labeller, and all rates and shares are estimated. Weak priors keep the classes what they are named
-    after (a labeller is mostly silent on good text and mostly right on its own fault)."""
+    labeller, and all rates and shares are estimated. The start and a fixed number of imagined votes keep the classes
+    what they are named after (a labeller is mostly silent on good text and mostly right on its own fault): against
+    more documents than PSEUDO they count for nothing."""
     k = votes.shape[1]
     good, bad = (votes == 1).astype(float), (votes == -1).astype(float)
     prior = np.full((k + 1, k), 0.02)
     prior[0] = 0.005
     prior[np.arange(1, k + 1), np.arange(k)] = 0.9
     total = n.sum()
-    strength = np.where(np.arange(k + 1) == 0, 0.2, 0.01)[:, None] * total
+    strength = np.array([PSEUDO[0]] + [PSEUDO[1]] * k)[:, None]
     faults = bad.sum(1)
     p = np.concatenate([np.where(faults == 0, 0.95, 0.1)[:, None],
                         np.where(faults[:, None] > 0, 0.9 * bad / np.maximum(faults, 1)[:, None], 0.05 / k)], axis=1)
