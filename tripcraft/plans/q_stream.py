@@ -5,11 +5,15 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
+
+from tripcraft.plans import oracle_sql as O
 from tripcraft.plans.q_ml import linear_variants, train_test
-from tripcraft.plans.queries import ORACLE, query, trips
+from tripcraft.plans.queries import ORACLE, W, query, trips
 from tripcraft.plans import pipeline as P
 from tripcraft.session import checkpoint_dir
 from tripcraft.sources import fixtures as X
+from tripcraft.streaming import live as LV
 from tripcraft.streaming import stream as ST
 
 
@@ -64,3 +68,28 @@ def q_stream_score_requests(spark, sf):
 
 
 ORACLE["stream_score_requests"] = ORACLE["score_requests"]
+
+
+@query("live_latency", W(O.LOG, body="""
+SELECT run_id, event_id, request_num, round(elapsed, 6) AS elapsed, round(latency * 1000.0e0, 6) AS latency_ms,
+  round(CAST(sum(CAST(latency AS DECIMAL(38, 9))) OVER w AS DOUBLE) / least(request_num, 100) * 1000.0e0, 6) AS rolling_avg_ms,
+  round(CAST(sum(CAST(latency AS DECIMAL(38, 9))) OVER a AS DOUBLE) / request_num * 1000.0e0, 6) AS mean_latency_ms,
+  CAST(sum(CASE WHEN success THEN 0 ELSE 1 END) OVER a AS BIGINT) AS failed, CAST(0 AS BIGINT) AS late
+FROM log WINDOW w AS (PARTITION BY run_id ORDER BY request_num ROWS BETWEEN 99 PRECEDING AND CURRENT ROW),
+  a AS (PARTITION BY run_id ORDER BY request_num ROWS UNBOUNDED PRECEDING)"""))
+def q_live_latency(spark, sf, files=4):
+    """The whole request log as a stream of files in order of arrival, up to 8 seconds (hash of the request) after
+    their time, so that files overlap: live number, rolling mean of 100, running mean, failures; late requests."""
+    log = X.request_log_base(spark, sf)
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    log = log.withColumn("arrival", micros + F.pmod(F.xxhash64("event_id"), F.lit(8_000_000)))
+    ends = log.agg(F.min("arrival"), F.max("arrival")).first()
+    base, first = _base(spark, "live"), ends[0] or 0
+    step = ((ends[1] or 0) - first) // files + 1
+    tasks = max(1, log.sparkSession.sparkContext.defaultParallelism)
+    for k in range(files):  # one after the other: a file stream goes by modification time
+        log.where(F.floor((F.col("arrival") - first) / step) == k).drop("arrival").coalesce(tasks).write.parquet(f"{base}/log/{k}")
+    live = LV.live_requests(ST.read_stream(spark, f"{base}/log/*/*.parquet", log.drop("arrival").schema, max_files=tasks))
+    out, late = LV.run_live(live, f"{base}/out", f"{base}/checkpoint")
+    numbers = ("elapsed", "latency_ms", "rolling_avg_ms", "mean_latency_ms")
+    return out.withColumns({c: F.round(c, 6) for c in numbers}).withColumn("late", F.lit(late).cast("long"))
