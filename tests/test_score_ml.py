@@ -154,3 +154,39 @@ def test_request_bodies(spark):
     folder = tempfile.mkdtemp()
     SC.quarantine(parsed, f"{folder}/valid", f"{folder}/bad")
     assert spark.read.parquet(f"{folder}/valid").count() == 4 and spark.read.parquet(f"{folder}/bad").count() == len(cases) - 4
+
+
+def test_global_batches_equal_one_process_for_any_number_of_tasks(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(900, 2))
+    y = x[:, 0] - 2 * x[:, 1] + rng.normal(scale=0.1, size=900)
+    df = spark.createDataFrame([(float(a), float(b), float(c)) for (a, b), c in zip(x, y, strict=True)], "a double, b double, y double")
+    one = NN.init_weights(2, (8,), 42)
+    loss, want = NN._grad(NN.unflatten(one, 2, (8,)), x, y)
+    for tasks in (1, 3, 7):
+        got, got_loss, n = NN.global_gradient(df.repartition(tasks), one, 2, (8,), ["a", "b"], "y")
+        assert n == 900 and abs(got_loss - loss) < 1e-9 and np.abs(got - want).max() < 1e-9
+    # whole training: the same batches, in the same order, by plain numpy
+    data, _ = NN._prepared(df, ["a", "b"], "y", 0, 42)
+    step = [r[0] for r in data.select(F.pmod(F.xxhash64(F.lit(43), "a", "b", "y"), F.lit(4))).collect()]
+    rows = np.array([tuple(r) for r in data.collect()])
+    one[-1] = rows[:, 2].mean()
+    state = NN._fresh(one)
+    for epoch in range(3):
+        for k in np.random.default_rng([42, epoch]).permutation(4).tolist():
+            part = rows[np.array(step) == k]
+            state = NN.adam(state, NN._grad(NN.unflatten(state[:len(one)], 2, (8,)), part[:, :2], part[:, 2])[1], 0.01)
+    fit = lambda tasks: NN.fit_global(df.repartition(tasks), ["a", "b"], "y", (8,), epochs=3, steps=4, validation=0, lr=0.01)
+    for tasks in (1, 5):
+        model = fit(tasks)
+        assert len(model.history) == 3 and model.history[2]["loss"] < model.history[0]["loss"]
+        assert np.abs(model.weights - state[:len(one)]).max() < 1e-9
+
+
+def test_global_training_of_an_empty_table_and_resuming(spark, tmp_path):
+    empty = spark.createDataFrame([], "a double, y double")
+    assert np.isfinite(NN.fit_global(empty, ["a"], "y", (4,), epochs=1, steps=2, validation=0).weights).all()
+    df = spark.createDataFrame([(i / 50, i / 25 + 1.0) for i in range(200)], "a double, y double")
+    go = lambda epochs, d=None: NN.fit_global(df, ["a"], "y", (4,), epochs=epochs, steps=2, resume_dir=d)
+    go(1, str(tmp_path))
+    assert np.abs(go(3, str(tmp_path)).weights - go(3).weights).max() < 1e-9  # moments went on, too

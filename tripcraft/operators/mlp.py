@@ -1,11 +1,16 @@
 """Neural regressor (inventory J9-J11, J14): data-parallel training on Spark with numpy inside tasks.
 
 Spark ML has no multilayer-perceptron regressor, so training is local SGD with model averaging:
-each epoch is one Spark job. The current weights are broadcast; every partition streams its Arrow
-batches through mini-batch Adam steps in numpy (`mapInPandas`), emitting its updated weights times
+each epoch is one Spark job. The current weights and Adam moments are broadcast; every partition streams its Arrow
+batches through mini-batch Adam steps in numpy (`mapInPandas`), emitting what it has then times
 its row count; the weighted average is a distributed `posexplode` + `groupBy(position)` sum, so the
-driver only ever receives one vector of model size (about 35k numbers), never data. Validation loss
-is a distributed aggregate of squared errors. Inference is an Arrow-batched pandas UDF.
+driver only ever receives three vectors of model size (about 35k numbers each), never data. Partitions grow in
+number with the rows. Validation loss is a distributed aggregate of squared errors. Inference is an Arrow-batched
+pandas UDF.
+
+`fit_global` takes global batches instead: a step is one job that sums the gradient over all rows of its batch, and
+the driver makes one Adam step, so weights equal those of one process up to the rounding of sums, whatever the
+number of tasks.
 """
 
 from __future__ import annotations
@@ -127,22 +132,48 @@ class MLPModel:
         return cls.from_frame(spark.read.parquet(path))
 
 
-def _train_partitions(df: DataFrame, weights: np.ndarray, n_in: int, hidden, features, label, batch, lr, seed,
+B1, B2, EPS = 0.9, 0.999, 1e-7  # Adam
+
+
+def adam(state: np.ndarray, grad: np.ndarray, lr: float) -> np.ndarray:
+    """One step of (weights, first moments, second moments, number of steps), flattened."""
+    p = len(grad)
+    w, m, v, t = state[:p], state[p:2 * p], state[2 * p:3 * p], state[-1] + 1
+    m, v = B1 * m + (1 - B1) * grad, B2 * v + (1 - B2) * grad * grad
+    return np.concatenate([w - lr * (m / (1 - B1 ** t)) / (np.sqrt(v / (1 - B2 ** t)) + EPS), m, v, [t]])
+
+
+def _fresh(weights: np.ndarray) -> np.ndarray:
+    return np.concatenate([weights, np.zeros(2 * len(weights) + 1)])
+
+
+def _summed(parts: DataFrame) -> tuple[np.ndarray, float, int]:
+    """Position-wise sums of `parts(n, loss_sum, w)` (a row per task): vector, loss and rows."""
+    rows = (parts.select("n", "loss_sum", F.posexplode("w").alias("pos", "wv"))
+            .groupBy("pos").agg(F.sum("wv").alias("s"), F.sum(F.when(F.col("pos") == 0, F.col("n"))).alias("n"),
+                                F.sum(F.when(F.col("pos") == 0, F.col("loss_sum"))).alias("loss_sum")).orderBy("pos").collect())
+    if not rows:
+        return np.zeros(0), 0.0, 0
+    return np.array([r["s"] for r in rows], dtype=np.float64), float(rows[0]["loss_sum"]), int(rows[0]["n"])
+
+
+_PARTS = "n long, loss_sum double, w array<double>"
+
+
+def _train_partitions(df: DataFrame, state: np.ndarray, n_in: int, hidden, features, label, batch, lr, seed,
                       epoch) -> tuple[np.ndarray, float]:
-    """One epoch: local Adam on every partition from the same start, then a row-weighted average."""
+    """One epoch: local Adam on every partition from the same start, then a row-weighted average of weights, moments
+    and step numbers."""
     spark = df.sparkSession
     ship_package(spark)
-    bw = spark.sparkContext.broadcast(weights)
-    b1, b2, eps = 0.9, 0.999, 1e-7
+    shared = spark.sparkContext.broadcast(state)
 
     def run(batches):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
         rng = np.random.default_rng([seed, epoch, pid])
-        w = bw.value.copy()
-        m = np.zeros_like(w)
-        v = np.zeros_like(w)
-        t, n_rows, loss_sum = 0, 0, 0.0  # fresh Adam moments per epoch, so bias correction restarts
+        now, n_rows, loss_sum = shared.value.copy(), 0, 0.0
+        size = len(now) // 3
         for pdf in batches:
             if len(pdf) == 0:
                 continue
@@ -151,27 +182,37 @@ def _train_partitions(df: DataFrame, weights: np.ndarray, n_in: int, hidden, fea
             order = rng.permutation(len(y))
             for s in range(0, len(y), batch):
                 idx = order[s:s + batch]
-                loss, g = _grad(unflatten(w, n_in, hidden), x[idx], y[idx])
-                t += 1
-                m = b1 * m + (1 - b1) * g
-                v = b2 * v + (1 - b2) * g * g
-                w = w - lr * (m / (1 - b1 ** t)) / (np.sqrt(v / (1 - b2 ** t)) + eps)
+                loss, g = _grad(unflatten(now[:size], n_in, hidden), x[idx], y[idx])
+                now = adam(now, g, lr)
                 loss_sum += loss * len(idx)
             n_rows += len(y)
         if n_rows:
-            yield pd.DataFrame({"n": [n_rows], "loss_sum": [loss_sum], "w": [(w * n_rows).tolist()]})
+            yield pd.DataFrame({"n": [n_rows], "loss_sum": [loss_sum], "w": [(now * n_rows).tolist()]})
 
-    schema = "n long, loss_sum double, w array<double>"
-    parts = df.mapInPandas(run, schema)
-    # Distributed weighted average: position-wise sums over partitions (bounded by model size).
-    summed = (parts.select("n", "loss_sum", F.posexplode("w").alias("pos", "wv"))
-              .groupBy("pos").agg(F.sum("wv").alias("s"), F.sum(F.when(F.col("pos") == 0, F.col("n"))).alias("n"),
-                                  F.sum(F.when(F.col("pos") == 0, F.col("loss_sum"))).alias("loss_sum")))
-    rows = summed.orderBy("pos").collect()
-    bw.unpersist()
-    n = rows[0]["n"]
-    avg = np.array([r["s"] for r in rows], dtype=np.float64) / n
-    return avg, float(rows[0]["loss_sum"] / n)
+    total, loss, n = _summed(df.mapInPandas(run, _PARTS))
+    shared.unpersist()
+    return (total / n, loss / n) if n else (state, float("nan"))
+
+
+def global_gradient(df: DataFrame, weights: np.ndarray, n_in: int, hidden, features, label) -> tuple[np.ndarray, float, int]:
+    """Gradient of the mean squared error over all rows of `df`, its loss and the rows; a task gives one vector."""
+    spark = df.sparkSession
+    ship_package(spark)
+    shared = spark.sparkContext.broadcast(weights)
+
+    def run(batches):
+        total, n_rows, loss_sum = np.zeros(len(shared.value)), 0, 0.0
+        layers = unflatten(shared.value, n_in, hidden)
+        for pdf in batches:
+            if len(pdf):
+                loss, g = _grad(layers, pdf[list(features)].to_numpy(dtype=np.float64), pdf[label].to_numpy(dtype=np.float64))
+                total, loss_sum, n_rows = total + g * len(pdf), loss_sum + loss * len(pdf), n_rows + len(pdf)
+        if n_rows:
+            yield pd.DataFrame({"n": [n_rows], "loss_sum": [loss_sum], "w": [total.tolist()]})
+
+    total, loss, n = _summed(df.mapInPandas(run, _PARTS))
+    shared.unpersist()
+    return (total / n, loss / n, n) if n else (np.zeros(len(weights)), float("nan"), 0)
 
 
 def mse_frame(df: DataFrame, model: MLPModel, features: Sequence[str], label: str) -> float:
@@ -192,20 +233,26 @@ def _load_state(spark, folder: str, epochs: int):
         at = f"{folder}/epoch-{epoch}"
         if _exists(spark, f"{at}/state/_SUCCESS"):
             row = spark.read.parquet(f"{at}/state").first()
-            return (row["epoch"], row["best_loss"], row["wait"], json.loads(row["history"]),
-                    MLPModel.load(spark, f"{at}/current"), MLPModel.load(spark, f"{at}/best"))
+            first, second = (MLPModel.load(spark, f"{at}/{k}").weights for k in ("first", "second"))
+            current = MLPModel.load(spark, f"{at}/current")
+            adam_state = np.concatenate([current.weights, first, second, [row["steps"]]])
+            return (row["epoch"], row["best_loss"], row["wait"], json.loads(row["history"]), adam_state, current,
+                    MLPModel.load(spark, f"{at}/best"))
     return None
 
 
 def _save_state(spark, folder: str, epoch: int, best_loss: float, wait: int, history: list,
-                current: MLPModel, best: MLPModel) -> None:
+                current: MLPModel, best: MLPModel, adam_state: np.ndarray) -> None:
     """A folder per epoch; its state row comes last, so a half-written epoch does not count."""
     import json
     at = f"{folder}/epoch-{epoch}"
     current.save(spark, f"{at}/current")
     best.save(spark, f"{at}/best")
-    spark.createDataFrame([(epoch, float(best_loss), wait, json.dumps(history))],
-                          "epoch int, best_loss double, wait int, history string") \
+    size = len(current.weights)
+    for k, name in ((1, "first"), (2, "second")):
+        MLPModel(adam_state[k * size:(k + 1) * size], current.n_in, current.hidden).save(spark, f"{at}/{name}")
+    spark.createDataFrame([(epoch, float(best_loss), wait, json.dumps(history), float(adam_state[-1]))],
+                          "epoch int, best_loss double, wait int, history string, steps double") \
         .coalesce(1).write.mode("overwrite").parquet(f"{at}/state")
 
 
@@ -216,60 +263,109 @@ def _fingerprint(data: DataFrame, settings: object) -> str:
     return hashlib.sha256(repr((tuple(row), data.columns, settings)).encode()).hexdigest()[:24]
 
 
+REPLICA_ROWS = 1 << 20  # rows of a local model at most
+
+
+def _prepared(train: DataFrame, features: Sequence[str], label: str, validation: float, seed: int) -> tuple[DataFrame, Column]:
+    """Training columns as doubles, and the hash-chosen validation rows."""
+    data = train.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("double").alias(label))
+    return data, F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in data.columns]), F.lit(100)) < int(round(validation * 100))
+
+
+def _fit(spark, run_epoch, val_loss, start_bias: float | None, n_in: int, hidden: tuple, epochs: int, patience: int, seed: int,
+         folder: str | None) -> MLPModel:
+    """Epochs with early stopping: `run_epoch(state, epoch) -> (state, loss)`, `val_loss(model, loss)`; the state
+    after every epoch goes to `folder`, from where a restarted call goes on."""
+    saved = _load_state(spark, folder, epochs) if folder else None
+    if saved is not None:
+        start, best_loss, wait, history, state, model, best_model = saved
+        model.history = history
+        best = best_model.weights
+    else:
+        w0 = init_weights(n_in, hidden, seed)
+        # Start the output bias at the label mean (one aggregate), so few local steps are not spent
+        # just shifting the output to the label's scale.
+        w0[-1] = float(start_bias) if start_bias is not None else 0.0
+        model, state = MLPModel(w0, n_in, hidden), _fresh(w0)
+        start, best, best_loss, wait = 0, model.weights, float("inf"), 0
+    for epoch in range(start, epochs):
+        if wait >= patience:
+            break
+        state, train_loss = run_epoch(state, epoch)
+        model = MLPModel(state[:len(state) // 3], n_in, hidden, model.history)
+        loss = val_loss(model, train_loss)
+        model.history.append({"epoch": epoch + 1, "loss": train_loss, "val_loss": loss})
+        if loss < best_loss:
+            best, best_loss, wait = model.weights, loss, 0
+        else:
+            wait += 1
+        if folder:
+            _save_state(spark, folder, epoch + 1, best_loss, wait, model.history, model, MLPModel(best, n_in, hidden), state)
+    return MLPModel(best, n_in, hidden, model.history)
+
+
 def fit_mlp(train: DataFrame, features: Sequence[str], label: str, hidden: Sequence[int] = HIDDEN, epochs: int = 5,
             batch: int = 512, validation: float = 0.2, patience: int = 5, lr: float = 1e-3, seed: int = 42,
-            resume_dir: str | None = None, replicas: int = 8) -> MLPModel:
+            resume_dir: str | None = None, replicas: int | None = None) -> MLPModel:
     """Train on `label` (already transformed, e.g. log1p seconds) from standardised `features`.
 
     A hash-chosen `validation` share of rows is held out; after each epoch its MSE is measured and
     the best weights are kept (early stop after `patience` epochs without improvement). Rows are dealt to
-    `replicas` local models by hash and sorted, so the result depends on that number, not on how the input
-    is partitioned. With `resume_dir` (a shared folder), the state after every epoch is written there under
-    a fingerprint of the rows and settings: a restarted call continues from the last finished epoch, and
-    other data or settings train anew."""
+    `replicas` local models (unless given: 8, or as many as hold REPLICA_ROWS rows each) by hash and sorted, so the
+    result depends on that number, not on how the input is partitioned. Moments and step numbers are averaged with
+    the weights and live on in the next epoch. With `resume_dir` (a shared folder), the state after every epoch is
+    written there under a fingerprint of the rows and settings: a restarted call continues from the last finished
+    epoch, and other data or settings train anew."""
     from pyspark import StorageLevel
     spark = train.sparkSession
-    data = train.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("double").alias(label))
-    is_val = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in data.columns]), F.lit(100)) < int(round(validation * 100))
+    data, is_val = _prepared(train, features, label, validation, seed)
+    if replicas is None:
+        replicas = max(8, -(-data.count() // REPLICA_ROWS))
     fit_df = data.filter(~is_val).repartition(replicas, *data.columns).sortWithinPartitions(*data.columns) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     val_df = data.filter(is_val).persist(StorageLevel.MEMORY_AND_DISK)
-    n_in = len(features)
+    n_in, hidden = len(features), tuple(hidden)
     folder = resume_dir and f"{resume_dir}/" + _fingerprint(
-        data, (tuple(features), label, tuple(hidden), batch, validation, patience, lr, seed, replicas))
-    state = _load_state(spark, folder, epochs) if folder else None
-    if state is not None:
-        start, best_loss, wait, history, model, best_model = state
-        model.history = history
-        best = best_model.weights
-    else:
-        w0 = init_weights(n_in, tuple(hidden), seed)
-        # Start the output bias at the label mean (one aggregate), so few local steps are not spent
-        # just shifting the output to the label's scale.
-        mean = fit_df.agg(F.avg(label)).first()[0]
-        w0[-1] = float(mean) if mean is not None else 0.0
-        model = MLPModel(w0, n_in, tuple(hidden))
-        start, best, best_loss, wait = 0, model.weights, float("inf"), 0
+        data, (tuple(features), label, hidden, batch, validation, patience, lr, seed, replicas, "moments"))
     try:
-        for epoch in range(start, epochs):
-            if wait >= patience:
-                break
-            w, train_loss = _train_partitions(fit_df, model.weights, n_in, tuple(hidden), features, label, batch, lr,
-                                              seed, epoch)
-            model = MLPModel(w, n_in, tuple(hidden), model.history)
-            val_loss = mse_frame(val_df, model, features, label) if validation > 0 else train_loss
-            model.history.append({"epoch": epoch + 1, "loss": train_loss, "val_loss": val_loss})
-            if val_loss < best_loss:
-                best, best_loss, wait = model.weights, val_loss, 0
-            else:
-                wait += 1
-            if folder:
-                _save_state(spark, folder, epoch + 1, best_loss, wait, model.history, model,
-                            MLPModel(best, n_in, tuple(hidden)))
+        return _fit(spark, lambda state, epoch: _train_partitions(fit_df, state, n_in, hidden, features, label, batch, lr, seed, epoch),
+                    lambda model, loss: mse_frame(val_df, model, features, label) if validation > 0 else loss,
+                    fit_df.agg(F.avg(label)).first()[0], n_in, hidden, epochs, patience, seed, folder)
     finally:
         fit_df.unpersist()
         val_df.unpersist()
-    return MLPModel(best, n_in, tuple(hidden), model.history)
+
+
+def fit_global(train: DataFrame, features: Sequence[str], label: str, hidden: Sequence[int] = HIDDEN, epochs: int = 5,
+               steps: int = 16, validation: float = 0.2, patience: int = 5, lr: float = 1e-3, seed: int = 42,
+               resume_dir: str | None = None) -> MLPModel:
+    """As `fit_mlp`, with global batches: rows are dealt to `steps` batches by hash, written once to the shared folder
+    with a folder per batch, and a step reads its folder only. Every epoch takes the batches in another seeded order.
+    A batch is rows / steps, spread over as many tasks as it needs; the driver holds weights and moments."""
+    import uuid
+
+    from tripcraft.session import checkpoint_dir
+    spark = train.sparkSession
+    data, is_val = _prepared(train, features, label, validation, seed)
+    step = F.pmod(F.xxhash64(F.lit(seed + 1), *[F.col(c) for c in data.columns]), F.lit(steps)).cast("int")
+    at = f"{checkpoint_dir(spark).rstrip('/')}/batches/{uuid.uuid4().hex[:12]}"
+    data.withColumn("_step", F.when(is_val, F.lit(-1)).otherwise(step)).write.partitionBy("_step").parquet(at)
+    rows = spark.read.schema(", ".join(f"`{c}` double" for c in data.columns) + ", _step int").parquet(at)
+    n_in, hidden = len(features), tuple(hidden)
+    folder = resume_dir and f"{resume_dir}/" + _fingerprint(
+        data, (tuple(features), label, hidden, steps, validation, patience, lr, seed, "global"))
+
+    def run_epoch(state: np.ndarray, epoch: int) -> tuple[np.ndarray, float]:
+        loss_sum, seen = 0.0, 0
+        for k in np.random.default_rng([seed, epoch]).permutation(steps).tolist():
+            g, loss, n = global_gradient(rows.where(F.col("_step") == k), state[:len(state) // 3], n_in, hidden, features, label)
+            if n:
+                state, loss_sum, seen = adam(state, g, lr), loss_sum + loss * n, seen + n
+        return state, loss_sum / seen if seen else float("nan")
+
+    return _fit(spark, run_epoch, lambda model, loss: mse_frame(rows.where("_step = -1"), model, features, label)
+                if validation > 0 else loss, rows.where("_step >= 0").agg(F.avg(label)).first()[0],
+                n_in, hidden, epochs, patience, seed, folder)
 
 
 def quantize_model(model: MLPModel, bits: int = 8) -> MLPModel:
