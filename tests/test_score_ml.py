@@ -190,3 +190,42 @@ def test_global_training_of_an_empty_table_and_resuming(spark, tmp_path):
     go = lambda epochs, d=None: NN.fit_global(df, ["a"], "y", (4,), epochs=epochs, steps=2, resume_dir=d)
     go(1, str(tmp_path))
     assert np.abs(go(3, str(tmp_path)).weights - go(3).weights).max() < 1e-9  # moments went on, too
+
+
+def _integer_loops(model, row):
+    """Plain Python integers, one multiplication at a time."""
+    from tripcraft.operators import int8net as I8
+    q = [max(-127, min(127, round(v / model.input_scales[0]))) for v in row]
+    for k, layer in enumerate(model.layers):
+        acc = [sum(q[i] * int(layer.codes[i, j]) for i in range(len(q))) + int(layer.bias[j]) for j in range(layer.codes.shape[1])]
+        assert all(-(1 << 31) <= a < 1 << 31 for a in acc)
+        if k == len(model.layers) - 1:
+            return acc[0] * layer.scale
+        half = (1 << layer.shift) >> 1
+        q = [min(I8.TOP, (max(a, 0) * layer.multiplier + half) >> layer.shift) for a in acc]
+
+
+def test_integer_network_equals_integer_loops_and_stays_near_the_float_one(spark):
+    from tripcraft.operators import int8net as I8
+    rng = np.random.default_rng(11)
+    model = NN.MLPModel(NN.init_weights(3, (16, 8)), 3, (16, 8))
+    model.weights[:] += rng.normal(scale=0.05, size=len(model.weights))
+    x = rng.normal(size=(400, 3))
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x] + [(None, 1.0, 1.0), (float("nan"), 1.0, 1.0)],
+                               "a double, b double, c double").repartition(5)
+    tops = I8.calibrate(df, model, ["a", "b", "c"])
+    assert np.allclose(tops, [np.abs(h).max() for h in I8._relu_inputs(model, x)[:-1]])
+    integer = I8.quantise(model, tops)
+    out = I8.predict_integer(df, integer, ["a", "b", "c"], "p").collect()
+    assert len(out) == 402 and sum(r.p is None for r in out) == 2
+    for r in out[:150]:
+        assert r.p is None or r.p == _integer_loops(integer, (r.a, r.b, r.c))
+    far = I8.run_integer(integer, x[:20] * 50)[0]  # beyond the calibrated range: saturated, as the loops are
+    assert far.tolist() == [_integer_loops(integer, r) for r in x[:20] * 50]
+    drift = {r.layer: r for r in I8.layer_drift(df, model, integer, ["a", "b", "c"]).collect()}
+    pred = NN.forward(model.layers(), x)
+    assert drift[0].n == 1200 and drift[0].max_drift <= drift[0].step / 2 + 1e-12
+    assert abs(drift[3].mean_drift - np.abs(pred - I8.run_integer(integer, x)[0]).mean()) < 1e-12
+    assert drift[3].mean_drift < 0.03 * np.abs(pred).mean()
+    empty = df.limit(0)
+    assert I8.calibrate(empty, model, ["a", "b", "c"]) == [0.0] * 3 and I8.layer_drift(empty, model, integer, ["a", "b", "c"]).count() == 0

@@ -8,6 +8,7 @@ from tripcraft import schema as S
 from tripcraft.operators import features as FE
 from tripcraft.operators import forest
 from tripcraft.operators import ml as M
+from tripcraft.operators import int8net as I8
 from tripcraft.operators import mlp as NN
 from tripcraft.operators import score as SC
 from tripcraft.operators.explore import with_scalars
@@ -189,6 +190,36 @@ def q_compare_variants(spark, sf):
                                float32={"compressed": True})
 
 
+@query("mlp_global")
+def q_mlp_global(spark, sf):
+    """The network trained with global batches: 12 epochs of 8 Adam steps, a step being a gradient over an eighth of all rows."""
+    train, test = train_test(spark, sf, "reduced")
+    scaler = M.Scaler.fit(train, RED)
+    prep = lambda d: M.log_target(scaler.transform(d))
+    model = NN.fit_global(prep(train), RED, "label_log", epochs=12, steps=8, lr=5e-3)
+    return seconds_metrics(NN.predict(prep(test), model, RED, "p_log"), "mlp_global", "p_log")
+
+
+@query("integer_drift")
+def q_integer_drift(spark, sf):
+    """The integer network, calibrated on all training rows: drift from the float one per layer, over all test rows."""
+    model, integer, test = integer_model(spark, sf)
+    return I8.layer_drift(test, model, integer, RED)
+
+
+@query("integer_inference")
+def q_integer_inference(spark, sf):
+    """Test metrics of the integer network in seconds."""
+    _, integer, test = integer_model(spark, sf)
+    return seconds_metrics(I8.predict_integer(test, integer, RED, "p_log"), "mlp_integer", "p_log")
+
+
+def integer_model(spark, sf):
+    model, scaler, test = train_mlp(spark, sf)
+    train, _ = train_test(spark, sf, "reduced")
+    return model, I8.quantise(model, I8.calibrate(scaler.transform(train), model, RED)), test
+
+
 @query("score_requests_mlp")
 def q_score_requests_mlp(spark, sf):
     model, scaler, _ = train_mlp(spark, sf)
