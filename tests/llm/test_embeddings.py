@@ -51,3 +51,44 @@ def test_bound_is_rigorous():
     approximate = (codes.astype(float) @ codes.astype(float).T) * scale[:, None] * scale[None, :]
     bound = (1 + error)[:, None] * (1 + error)[None, :] - 1
     assert (np.abs(x @ x.T - approximate) <= bound + 1e-12).all()
+
+
+def test_pairs_around_the_threshold_are_decided_by_their_doubles(spark):
+    """A family whose cosines all lie within the quantisation error of 0.9: no pair is sure by the codes."""
+    rng = np.random.default_rng(8)
+    u = embeddings.unit_rows(rng.normal(size=(180, 64)))
+    u[:, 0] = 0
+    x = np.sqrt(0.1) * embeddings.unit_rows(u)
+    x[:, 0] = np.sqrt(0.9)
+    rows = [(k, v.tolist()) for k, v in enumerate(x)] + [(500 + k, (2 * x[k]).tolist()) for k in range(3)] + [(900, x[7].tolist())]
+    codes, scale, error = embeddings.quantise(embeddings.unit_rows(x))
+    part = {"codes": codes, "scale": scale, "error": error}
+    seen = list(embeddings.tile_links(part, part, True, 0.9))
+    assert sum(len(i) for i, _, _ in seen) == 180 * 179 // 2 and not any(sure.any() for _, _, sure in seen)
+    for tile in (50, 4096):
+        got = sorted((r.vec_id, r.n_links, r.component_id) for r in embeddings.near_duplicates(
+            spark.createDataFrame(rows, "vec_id long, embedding array<double>"), tile=tile).collect())
+        assert got == sorted(brute(rows)), tile
+
+
+def test_only_codes_go_to_the_groups(spark):
+    """A copy of a vector in the shuffle holds a byte per component and five numbers."""
+    import io
+    from contextlib import redirect_stdout
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(k, rng.normal(size=8).tolist()) for k in range(20)], "vec_id long, embedding array<double>")
+    kept, plans = embeddings.stored, []
+
+    def spy(frame, name):
+        if name == "vector-pairs":
+            with redirect_stdout(io.StringIO()) as text:
+                frame.explain("formatted")
+            plans.append(text.getvalue())
+        return kept(frame, name)
+
+    embeddings.stored = spy
+    try:
+        embeddings.near_duplicates(df).count()
+    finally:
+        embeddings.stored = kept
+    assert len(plans) == 1 and "codes" in plans[0] and "raw" not in plans[0]

@@ -4,13 +4,16 @@ Each usable vector is normalised, x = v / |v|, and stored as int8 codes q and a
 e = |x - s q| of what was lost. For two vectors x.y = s t (p.q) + (remainder), and by Cauchy-Schwarz
 |x.y - s t (p.q)| <= e + f + e f when |x| = |y| = 1 (plus a margin for rounding). A tile product multiplies
 the codes of two blocks of ``TILE`` vectors; integer sums are exact in 32-bit floats up to 2**24, so the
-product runs at matrix-multiply speed. Only pairs that may reach the threshold by the bound are computed again
-from the original components in double precision, and that value decides.
+product runs at matrix-multiply speed. A pair below the threshold by the bound is no link, one above it by the bound
+is one; only pairs in between (some hundredths of cosine around the threshold) are computed again from the original
+components in double precision, and that value decides.
 
-Every pair of blocks is one group of the shuffle (a block goes to every group it is part of), so all
-rows meet all rows, in blocks of bounded size, and no group depends on labels or on skew. A group returns
-counts per vector and a spanning forest of its links, not the links, so groups of copies with n members
-cost n rows, not n * n.
+Every pair of blocks is one group of the shuffle (a block goes to every group it is part of, as codes, scale, error,
+number and multiplicity: no doubles), so all rows meet all rows, in blocks of bounded size, and no group depends on
+labels or on skew. A group returns counts per vector and a spanning forest of its sure links, not the links, so groups
+of copies with n members cost n rows, not n * n. Its open pairs are one row per vector with the numbers of the
+others; a second pass brings the doubles of just the vectors in open pairs to the group, once each, and returns counts
+and a forest again. At most TILE * TILE pairs are open in a group, in 8 bytes each.
 
 Exact copies (same components) are one vector with a multiplicity before the products.
 
@@ -47,20 +50,20 @@ def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def encode(vectors: DataFrame) -> DataFrame:
-    """``vectors(vid, v)`` -> (vid, n, dim, unit (doubles), codes, scale, error) for the usable ones."""
-    schema = "vid long, dim int, raw binary, codes binary, scale double, error double"
-    arrow = pa.schema([("vid", pa.int64()), ("dim", pa.int32()), ("raw", pa.binary()), ("codes", pa.binary()),
-                       ("scale", pa.float64()), ("error", pa.float64())])
+    """``vectors(vid, v, n)`` -> (vid, n, codes, scale, error, raw (the doubles)); codes have a byte per component."""
+    schema = "vid long, n long, codes binary, scale double, error double, raw binary"
+    arrow = pa.schema([("vid", pa.int64()), ("n", pa.int64()), ("codes", pa.binary()), ("scale", pa.float64()),
+                       ("error", pa.float64()), ("raw", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches, "v", 2000):
             rows = []
-            for vid, v in zip(b.column("vid").to_pylist(), b.column("v"), strict=True):
+            for vid, n, v in zip(b.column("vid").to_pylist(), b.column("n").to_pylist(), b.column("v"), strict=True):
                 x = v.values.to_numpy(zero_copy_only=False).astype(np.float64)
                 unit = (x / np.abs(x).max())[None, :]  # no overflow in the norm
                 unit /= np.linalg.norm(unit)
                 codes, scale, error = quantise(unit)
-                rows.append((vid, len(x), x.tobytes(), codes.tobytes(), float(scale[0]), float(error[0])))
+                rows.append((vid, n, codes.tobytes(), float(scale[0]), float(error[0]), x.tobytes()))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), arrow, strict=True)],
                                                  schema=arrow)
@@ -73,8 +76,9 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def tile_links(a: dict, b: dict, same: bool, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row numbers (in a, in b) of all linked pairs; for a block with itself only pairs above the diagonal."""
+def tile_links(a: dict, b: dict, same: bool, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row numbers (in a, in b) of all pairs that the bound does not rule out, and which of them it makes sure of; for
+    a block with itself only pairs above the diagonal."""
     exact = np.float32 if a["codes"].shape[1] * 127 * 127 < 1 << 24 else np.float64
     ca, cb = a["codes"].astype(exact), b["codes"].astype(exact)
     for at in range(0, len(ca), STRIP):
@@ -88,14 +92,11 @@ def tile_links(a: dict, b: dict, same: bool, threshold: float) -> Iterator[tuple
         s, t, e, f = a["scale"][part], b["scale"][first:], 1 + a["error"][part], 1 + b["error"][first:]
         least = (threshold - MARGIN + 1 - e * f.max()) / (s * t.max())
         i, j = np.nonzero(dots >= (least - 1e-5 * np.abs(least)).astype(exact)[:, None])
-        own = dots[i, j] * s[i] * t[j] >= threshold - MARGIN + 1 - e[i] * f[j]
-        i, j = i[own] + at, j[own] + first
+        likely, lost = dots[i, j] * s[i] * t[j], e[i] * f[j] - 1
+        own = likely + lost >= threshold - MARGIN
         if same:
-            i, j = i[j > i], j[j > i]
-        for k in range(0, len(i), 1 << 18):
-            p, q = i[k:k + (1 << 18)], j[k:k + (1 << 18)]
-            yes = np.einsum("nd,nd->n", a["unit"][p], b["unit"][q]) >= threshold
-            yield p[yes], q[yes]
+            own &= j + first > i + at
+        yield i[own] + at, j[own] + first, (likely - lost)[own] >= threshold + MARGIN
 
 
 def forest(n: int, links: Iterator[tuple[np.ndarray, np.ndarray]], counts: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -122,6 +123,19 @@ def forest(n: int, links: Iterator[tuple[np.ndarray, np.ndarray]], counts: np.nd
     return roots(np.arange(n))
 
 
+# what a group returns: a vector's links so far, or (low, high and others set) its open pairs
+_LINKS = pd.DataFrame({c: pd.Series(dtype=t) for c, t in (("vid", "int64"), ("root", "Int64"), ("links", "Int64"), ("low", "Int32"),
+                                                          ("high", "Int32"), ("others", "object"))})
+
+
+def _rows(ids: np.ndarray, weight: np.ndarray, links: Iterator[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+    """(vid, root, links) of the vectors with a link: a root of their tree and the vectors they are linked with."""
+    counts = np.zeros(len(ids), dtype=np.int64)
+    root = forest(len(ids), links, counts, weight)
+    hit = np.flatnonzero(counts)
+    return pd.DataFrame({"vid": ids[hit], "root": ids[root[hit]], "links": counts[hit]})
+
+
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
                     threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
     """Per row: key, n_links (other vectors linked directly), component_id (smallest key reachable), kept."""
@@ -135,35 +149,72 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     each = stored(distinct.withColumn("vid", F.monotonically_increasing_id()), "vectors")
     total = each.count()
     blocks = max(1, -(-total // tile))
-    coded = encode(each.select("vid", "v")).join(each.select("vid", "n"), "vid")
-    coded = stored(coded.withColumn("block", F.pmod(F.xxhash64("vid"), F.lit(blocks)).cast("int")), "vector-codes")
-    pairs = coded.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    pairs = pairs.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    coded = stored(encode(each.select("vid", "v", "n")).withColumn(
+        "block", F.pmod(F.xxhash64("vid"), F.lit(blocks)).cast("int")), "vector-codes")
+    pairs = coded.drop("raw").withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    pairs = pairs.select("vid", "n", "codes", "scale", "error", "block", F.least("block", "other").alias("low"),
+                         F.greatest("block", "other").alias("high"))
 
     def products(part: pd.DataFrame) -> pd.DataFrame:
         low, high = int(part["low"].iloc[0]), int(part["high"].iloc[0])
         out = []
-        for _, p in part.groupby("dim"):
+        for dim, p in part.groupby(part["codes"].str.len()):
             p = p.sort_values("block", kind="stable")
             n = len(p)
-            dim = int(p["dim"].iloc[0])
-            unit = unit_rows(np.frombuffer(b"".join(p["raw"]), np.float64).reshape(n, dim))
-            codes = np.frombuffer(b"".join(p["codes"]), np.int8).reshape(n, dim)
-            whole = {"unit": unit, "codes": codes, "scale": p["scale"].to_numpy(), "error": p["error"].to_numpy()}
-            cut = int((p["block"] == low).sum())
-            a = {k: x[:cut] for k, x in whole.items()}
-            b = a if low == high else {k: x[cut:] for k, x in whole.items()}
-            shift = 0 if low == high else cut
-            counts, weight = np.zeros(n, dtype=np.int64), p["n"].to_numpy()
-            if len(a["codes"]) and len(b["codes"]):
-                root = forest(n, ((i, j + shift) for i, j in tile_links(a, b, low == high, threshold)), counts, weight)
-                ids = p["vid"].to_numpy()
-                hit = np.flatnonzero(counts)
-                out.append(pd.DataFrame({"vid": ids[hit], "root": ids[root[hit]], "links": counts[hit]}))
-        return pd.concat(out) if out else pd.DataFrame({"vid": [], "root": [], "links": []}).astype("int64")
-
-    found = stored(pairs.drop("other").groupBy("low", "high").applyInPandas(products, "vid long, root long, links long"),
-                   "vector-links")
+            whole = {"codes": np.frombuffer(b"".join(p["codes"]), np.int8).reshape(n, dim), "scale": p["scale"].to_numpy(),
+                     "error": p["error"].to_numpy()}
+            shift = 0 if low == high else int((p["block"] == low).sum())
+            a = whole if low == high else {k: x[:shift] for k, x in whole.items()}
+            b = {k: x[shift:] for k, x in whole.items()}
+            ids, weight, unsure = p["vid"].to_numpy(), p["n"].to_numpy(), []
+
+            def sure() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+                for i, j, yes in tile_links(a, b, low == high, threshold) if len(a["codes"]) and len(b["codes"]) else ():
+                    unsure.append((i[~yes].astype(np.int32), (j[~yes] + shift).astype(np.int32)))
+                    yield i[yes], j[yes] + shift
+
+            out.append(_rows(ids, weight, sure()))
+            i, j = (np.concatenate([u[k] for u in unsure]) if unsure else np.zeros(0, np.int32) for k in (0, 1))
+            order = np.argsort(i, kind="stable")
+            i, j = i[order], j[order]
+            used = np.unique(np.concatenate([i, j]))
+            starts, ends = np.searchsorted(i, used), np.searchsorted(i, used, side="right")
+            out.append(pd.DataFrame({"vid": ids[used], "low": low, "high": high,
+                                     "others": [ids[j[x:y]] for x, y in zip(starts, ends, strict=True)]}))
+        out = [x.reindex(columns=list(_LINKS.columns)) for x in out if len(x)]
+        out = [x.assign(others=x["others"].astype(object).where(x["others"].notna(), None)).astype(_LINKS.dtypes.to_dict()) for x in out]
+        return pd.concat(out) if out else _LINKS
+
+    def again(part: pd.DataFrame) -> pd.DataFrame:
+        """Open pairs of a group by their doubles."""
+        part = part.reset_index(drop=True)
+        ids, weight, out = part["vid"].to_numpy(), part["n"].to_numpy(), []
+        units = np.empty(len(part), dtype=object)
+        for _, at in part.groupby(part["raw"].str.len()).groups.items():
+            rows = unit_rows(np.frombuffer(b"".join(part["raw"][at]), np.float64).reshape(len(at), -1))
+            for k, u in zip(at, rows, strict=True):
+                units[k] = u
+        order = np.argsort(ids)
+
+        def links() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for k, others in enumerate(part["others"]):
+                if len(others):
+                    q = order[np.searchsorted(ids, others, sorter=order)]
+                    q = q[np.stack(units[q].tolist()) @ units[k] >= threshold]
+                    if len(q):
+                        out.append((np.full(len(q), k), q))
+                if sum(len(x[0]) for x in out) > 1 << 18 or (out and k == len(part) - 1):
+                    yield tuple(np.concatenate([x[side] for x in out]) for side in (0, 1))
+                    out.clear()
+
+        return _rows(ids, weight, links())[["vid", "root", "links"]]
+
+    found = stored(pairs.groupBy("low", "high").applyInPandas(
+        products, "vid long, root long, links long, low int, high int, others array<long>"), "vector-pairs")
+    doubles = found.where("others is not null").join(coded.select("vid", "n", "raw"), "vid")
+    found = stored(found.where("others is null").select("vid", "root", "links").union(
+        doubles.select("low", "high", "vid", "n", "others", "raw").groupBy("low", "high").applyInPandas(
+            again, "vid long, root long, links long")), "vector-links")
     rooted = components(found.select(F.col("vid").alias("src"), F.col("root").alias("dst")))
     degree = found.groupBy("vid").agg(F.sum("links").alias("links"))
     nodes = each.select("vid", "v", "k", "n").join(degree, "vid", "left").join(
