@@ -80,6 +80,44 @@ def test_sentence_ends_and_series(spark):
     assert found[157] == [] and sorted(found[158]) == [("ip", "020 7946 0958"), ("ip", "QX-77123")]
 
 
+def _discovered(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.row.doc_id: sorted((s.kind, texts[r.row.doc_id][s.start:s.end]) for s in r.discovered)
+            for r in pii.personal_data(df).collect()}
+
+
+def test_one_word_is_no_pattern(spark):
+    """A preposition before the seeds does not make what follows it elsewhere an identifier."""
+    texts = [f"the server at 10.0.0.{k} is up" for k in range(40)]
+    others = ["we met at 2024-01-02 in town", "stopped at 123456 km", "at 2024-01-02", "at 123456 km", "12 at 123457"]
+    got = _discovered(spark, texts + others)
+    assert all(v == [] for v in got.values())
+
+
+def test_a_common_shape_in_a_trusted_context_is_not_taken(spark):
+    texts = [f"the server at 10.0.0.{k}" for k in range(40)] + ["the server at 2024-01-02", "the server at node-x7734"]
+    texts += [f"{w} met on 2023-04-{k:02d} again" for k, w in enumerate(["we", "they", "you"], 10)]
+    got = _discovered(spark, texts)
+    assert got[40] == [] and got[41] == [("ip", "node-x7734")] and all(got[k] == [] for k in (42, 43, 44))
+
+
+def test_right_context_and_several_kinds(spark):
+    texts = [f"{w} dial +44 20 7946 0{k:03d} today" for k, w in enumerate(["please", "then", "now", "just"] * 10)]
+    texts += [f"{w} mail user{k}@mail.example.com soon" for k, w in enumerate(["please", "then", "now", "just"] * 10)]
+    texts += ["friends dial 020 7946 0958 today", "friends dial 020 7946 0958 times", "colleagues mail USER-0077 soon"]
+    got = _discovered(spark, texts)
+    assert all(got[k] == [] for k in range(80))
+    assert got[80] == [("phone", "020 7946 0958")] and got[82] == [("email", "USER-0077")]
+
+
+def test_ties_between_kinds_go_to_the_last_by_name(spark):
+    texts = [f"first contact here {v}" for k in range(10) for v in (f"10.0.0.{k}",)]
+    texts += [f"other contact there user{k}@mail.example.com" for k in range(10)]
+    texts += ["first contact here KEY-4711", "other contact there KEY-4711"]
+    got = _discovered(spark, texts)
+    assert got[20] == got[21] == [("ip", "KEY-4711")]
+
+
 def test_plan_is_native(spark, sf001):
     plan = pii.op6_pii(spark, sf001)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

@@ -6,14 +6,19 @@ email ``[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+``; ip: four dotted nu
 below say the same with possessive repeats and start anchors, so that no text makes them backtrack or
 overflow the matcher's stack. Positions come from the lengths of the pieces between matches.
 
-Bootstrapping: base values are seeds. The lexical pattern of a mention is the word (with its punctuation)
-that ends right before it, lower-cased. Candidate instances are all tokens of six or more characters with a
+Bootstrapping: base values are seeds. A mention has two lexical patterns, lower-cased and with digits as 9: the two
+tokens that end right before it (the last one a word), and the word before it with the word after it. A mention
+without a second token on its left and a word on its right has none. Candidate instances are all tokens of six or more characters with a
 digit (punctuation that ends them left out), and series: two to ten tokens with a digit and capitals at most,
 single spaces between, the first shorter than six characters (national phone numbers, spaced card and account
-numbers). What overlaps a base span is no candidate. The graph of distinct (pattern, instance) edges is scored in ``ROUNDS`` rounds, by aggregations
-only: a pattern's confidence for a kind is the mean score of its instances, and it is trusted from
-MIN_CONFIDENCE and MIN_SUPPORT instances; an instance's score is the noisy-or of its trusted patterns, and
-seeds stay at 1. Candidates that reach MIN_SCORE in a kind become spans of that kind, unless they lie in
+numbers). What overlaps a base span is no candidate. The graph of distinct (pattern, instance) edges is scored in
+``ROUNDS`` rounds, by aggregations only: a pattern's confidence for a kind is the mean score of its instances, so those
+that are no instances of the kind count against it, and it is trusted from MIN_CONFIDENCE and MIN_SUPPORT instances; an
+instance's score is the noisy-or of its trusted patterns, and seeds stay at 1. An instance's shape (each capital A,
+small letter a, digit 9) has to agree: of all distinct instances of the shape, wherever they stand, SHAPE_SHARE or more
+have to reach MIN_SCORE in the kind, or the instance scores 0. So dates and counts, which stand in many contexts, are
+not taken for identifiers where one of them stands in a trusted one. Candidates that reach MIN_SCORE in a kind become
+spans of that kind (of several: the one of highest score, ties: the last by name), unless they lie in
 a longer one. Found instances support patterns in the next round, so patterns without seeds can be learned.
 
 Defined results: null and empty texts have no spans; repeated rows repeat (an instance counts once per
@@ -32,7 +37,8 @@ ROUNDS = 3
 MIN_CONFIDENCE = 0.9
 MIN_SUPPORT = 5
 MIN_SCORE = 0.9
-CONTEXT = 48  # characters before a mention that may hold its pattern
+SHAPE_SHARE = 0.5
+CONTEXT = 64  # characters on either side of a mention that may hold its patterns
 BLOCK = 64  # positions are summed in blocks of this many matches
 _TOKEN = r"[A-Z]{0,4}+-?+[0-9][A-Z0-9./-]*+(?![A-Za-z0-9_@]|[%+][A-Za-z0-9])"
 PATTERNS = {
@@ -61,11 +67,12 @@ VALID = {
     "series": "length(regexp_replace(s.value, '[^A-Z0-9]', '')) >= 6",
 }
 _TRIMMED = "regexp_replace(m, '(?<![._/+@%-])[._/+@%-]++$', '')"
-_LEFT = r"(\\p{L}[\\p{L}_-]*+[^\\p{L}\\s]*+\\s*+[^\\p{L}\\s]*+)$"
+_LEFT = r"((?:(?<!\\S)\\S++\\s++)?+(?<!\\S)[^\\p{L}\\s]*+\\p{L}[\\p{L}_-]*+[^\\p{L}\\s]*+\\s*+[^\\p{L}\\s]*+)$"
+_RIGHT = r"^[^\\p{L}\\s]*+\\s*+[^\\p{L}\\s]*+(\\p{L}[\\p{L}_-]*+)"
 
 
 def spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` as a column ``row`` plus one array per kind (and ``CANDIDATES``) of (start, end, value, left)."""
+    """``docs`` as a column ``row`` plus one array per kind (and ``CANDIDATES``) of (start, end, value, left, right)."""
     out = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text)).alias("row"),
                       F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     kinds = (*KINDS, *CANDIDATES)
@@ -87,19 +94,28 @@ def spans(docs: DataFrame, text: str = "text") -> DataFrame:
         if(b_{k} is null, array(), transform(m_{k}, (m, i) -> struct(
             b_{k}[cast(i div {BLOCK} as int)] + aggregate(slice(l_{k}, cast(i div {BLOCK} as int) * {BLOCK} + 1, i % {BLOCK}), 0, (a, x) -> a + x)
                 + length(g_{k}[i]) as start, {_TRIMMED if k in CANDIDATES else "m"} as value,
-            regexp_extract(lower(substring(g_{k}[i], -{CONTEXT}, {CONTEXT})), '{_LEFT}', 1) as left)))""").cast(
-        "array<struct<start:int,value:string,left:string>>").alias(k) for k in kinds))
+            regexp_extract(lower(substring(g_{k}[i], -{CONTEXT}, {CONTEXT})), '{_LEFT}', 1) as left,
+            regexp_extract(lower(substring(g_{k}[i + 1], 1, {CONTEXT})), '{_RIGHT}', 1) as right)))""").cast(
+        "array<struct<start:int,value:string,left:string,right:string>>").alias(k) for k in kinds))
     out = out.select("row", *(F.expr(
         f"""transform(filter({k}, s -> {VALID[k]}), s -> struct(s.start as start, s.start + length(s.value) as end,
-        s.value as value, regexp_replace(s.left, '\\\\s+', ' ') as left))""").alias(k) for k in kinds))
+        s.value as value, regexp_replace(regexp_replace(s.left, '\\\\s+', ' '), '[0-9]+', '9') as left, s.right as right))""").alias(k) for k in kinds))
     free = " and ".join(f"not exists({k}, s -> s.start < c.end and c.start < s.end)" for k in KINDS)
     return out.select("row", *KINDS, *(F.expr(f"filter({k}, c -> {free})").alias(k) for k in CANDIDATES))
 
 
 def _edges(found: DataFrame) -> DataFrame:
-    """Distinct (pattern, instance) edges of all mentions."""
-    mentions = found.select(F.explode(F.concat(*KINDS, *CANDIDATES)).alias("s"))
-    return mentions.select(F.col("s.left").alias("pattern"), F.col("s.value").alias("value")).where("pattern <> ''").distinct()
+    """Distinct (pattern, instance) edges of all mentions; a mention without a pattern keeps its instance with a null one."""
+    mentions = found.select(F.explode(F.concat(*KINDS, *CANDIDATES)).alias("s")).select(
+        F.col("s.value").alias("value"), F.col("s.left").alias("left"), F.col("s.right").alias("right"))
+    two = F.when(F.trim("left").contains(" "), F.concat(F.lit("before "), "left"))
+    last = F.regexp_extract("left", r"(\S+\s*)$", 1)
+    around = F.when((last != "") & (F.col("right") != ""), F.concat(F.lit("around "), last, F.lit("|"), "right"))
+    return mentions.select("value", F.explode_outer(F.array_compact(F.array(two, around))).alias("pattern")).distinct()
+
+
+def _shape(value: str) -> Column:
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(value, "[A-Z]", "A"), "[a-z]", "a"), "[0-9]", "9")
 
 
 def _seeds(found: DataFrame) -> DataFrame:
@@ -113,6 +129,8 @@ def _seeds(found: DataFrame) -> DataFrame:
 def bootstrap(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(value, kind, score) of instances that trusted patterns find."""
     edges, seeds = stored(edges, "pii-edges"), stored(seeds.withColumn("score", F.lit(1.0)), "pii-seeds")
+    shapes = edges.select("value").distinct().groupBy(_shape("value").alias("shape")).agg(F.count(F.lit(1)).alias("all"))
+    edges = edges.where("pattern is not null")
     sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
     instances = seeds
     for _ in range(rounds):
@@ -124,7 +142,11 @@ def bootstrap(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataF
         missed = F.log(F.lit(1.0) - F.least(F.col("confidence"), F.lit(1 - 1e-9)))
         grown = edges.join(trusted, "pattern").groupBy("value", "kind").agg(
             (F.lit(1.0) - F.exp(F.sum(missed))).alias("score"))
-        grown = grown.join(seeds.select("value").distinct(), "value", "left_anti")
+        grown = grown.join(seeds.select("value").distinct(), "value", "left_anti").withColumn("shape", _shape("value"))
+        grown = stored(grown, "pii-grown")
+        agreed = grown.where(F.col("score") >= MIN_SCORE).groupBy("shape", "kind").agg(F.count(F.lit(1)).alias("in")).join(
+            shapes, "shape").where(F.col("in") >= SHAPE_SHARE * F.col("all")).select("shape", "kind")
+        grown = grown.join(agreed, ["shape", "kind"], "left_semi")
         instances = stored(seeds.union(grown.select("value", "kind", "score")), "pii-instances")
     best = instances.join(seeds.select("value").distinct(), "value", "left_anti").where(F.col("score") >= MIN_SCORE)
     return best.groupBy("value").agg(F.max(F.struct("score", "kind")).alias("b")).select("value", "b.kind", "b.score")
