@@ -4,6 +4,7 @@ import re
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tripcraft.llm import decontaminate
 from tripcraft.llm.fmindex import FMIndex
@@ -54,7 +55,7 @@ def test_edges_and_removal(spark, monkeypatch):
             (7, "short short item item"), (8, "short item")]
     d = spark.createDataFrame([(*x, "keep", 9) for x in docs], "doc_id long, text string, items string, spans int")
     b = spark.createDataFrame(items, "item_id long, text string")
-    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 40)  # several passes
+    monkeypatch.setattr(decontaminate, "BLOCK", 2)  # several passes
     found = decontaminate.search(d, b).collect()
     got = [(r.row.doc_id, r.n_words, sum(s.end - s.start for s in r.spans), len(r["items"]),
             hashlib.sha256(",".join(r["items"]).encode()).hexdigest(), bool(r.spans)) for r in found]
@@ -67,3 +68,27 @@ def test_edges_and_removal(spark, monkeypatch):
     none = spark.createDataFrame([], b.schema)
     assert not any(r.spans for r in decontaminate.search(d, none).collect())
     assert decontaminate.search(d.limit(0), b).count() == 0
+
+
+def test_blocks_change_nothing(spark, monkeypatch):
+    """A long item over many blocks, a window that many items share, cuts that join words to a window of another block:
+    search equals brute force, and removal gives the same rows as with one block."""
+    rng = np.random.default_rng(3)
+    words = [f"w{k}" for k in range(12)]
+    items = [("long", " ".join(f"t{k}" for k in range(60)))] + [(f"s{k:02d}", "shared passage") for k in range(20)]
+    items += [(f"r{k}", " ".join(rng.choice(words, rng.integers(2, 5)))) for k in range(15)]
+    docs = [(k, " ".join(rng.choice(words, rng.integers(0, 25)))) for k in range(120)]
+    docs += [(200, "a " + " ".join(f"t{k}" for k in range(20, 45)) + " b"), (201, "one shared shared passage passage two"), (202, None)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").withColumn("row", F.col("doc_id")).withColumn("t", F.lit("x"))
+    b = spark.createDataFrame(items, "item_id string, text string")
+    whole = sorted(tuple(r) for r in decontaminate.remove(d, b).collect())
+    monkeypatch.setattr(decontaminate, "BLOCK", 25)
+    assert decontaminate.pairs(b, "item_id", "text", 10).count() > 50
+    got = [(r.row.doc_id, r.n_words, sum(s.end - s.start for s in r.spans), len(r["items"]),
+            hashlib.sha256(",".join(r["items"]).encode()).hexdigest(), bool(r.spans)) for r in decontaminate.search(d, b).collect()]
+    assert sorted(got) == sorted(brute(docs, items))
+    blocks = sorted(tuple(r) for r in decontaminate.remove(d, b).collect())
+    assert not any(x[2] for x in brute([r[:2] for r in blocks], items))
+    assert {r[0] for r in blocks} == {r[0] for r in whole} and (201, "one two") in {(k, " ".join((t or "").split())) for k, t, *_ in blocks}
+    clean = {k for k, *_, hit in brute(docs, items) if not hit}
+    assert [r for r in blocks if r[0] in clean] == [r for r in whole if r[0] in clean]

@@ -9,8 +9,10 @@ part of a match; they end a run, and runs shorter than the shortest window are l
 Backward search through wavelet ranks finds the row range of each window, sampled suffix positions
 locate it, and the spans of a document are merged. No shuffle; a document never leaves its row.
 
-The windows of the benchmark are broadcast in blocks of at most ``BLOCK_CHARS`` characters of item text
-(one pass over the documents per block), so the broadcast has a fixed bound whatever the benchmark's size.
+Spark makes the windows of the benchmark and their different (window, item) pairs, and deals these by hash into
+blocks of about ``BLOCK`` pairs. The driver holds one block at a time and broadcasts it for one pass over the documents;
+the pass is written, and its broadcast released, before the next. So driver and broadcast have a fixed bound whatever the
+benchmark's size, the length of an item or the number of items that share a window.
 
 Defined results: null or empty text has no words and no hits; repeated documents and repeated items give
 the same result per row and name an item once; items with a null id count as hits but are not listed;
@@ -19,12 +21,14 @@ an empty benchmark leaves every document clean.
 
 from __future__ import annotations
 
+import functools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripcraft.llm.common import sliced, stored, table, utf8
@@ -32,7 +36,8 @@ from tripcraft.llm.fmindex import FMIndex
 
 WINDOW = 10
 SHARD = 1 << 20  # words per index
-BLOCK_CHARS = 1 << 24  # item text per broadcast block
+BLOCK = 1 << 18  # windows per broadcast block
+WINDOW_BATCH = 10_000  # windows a task gives out at once
 _KEEP = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
 _TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in _KEEP else 0x20 for b in range(256))
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -113,14 +118,61 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[str | None, bytes | None]]]:
-    """The items in blocks of about BLOCK_CHARS characters, each small enough to broadcast."""
-    items = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).where("t is not null")
-    total = items.agg(F.sum(F.length("t"))).first()[0] or 0
-    n = max(1, -(-2 * total // BLOCK_CHARS)) if total > BLOCK_CHARS else 1
-    for k in range(n):
-        part = items if n == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
-        yield [(r.i, r.t.encode()) for r in part.distinct().toLocalIterator()]
+def pairs(benchmark: DataFrame, item: str, text: str, window: int) -> DataFrame:
+    """The different ``(i, w)``: item ids as strings and their windows, the words joined by a space."""
+    items = benchmark.select(F.col(f"`{item}`").cast("string").alias("i"), F.col(f"`{text}`").alias("t")).where("t is not null")
+    arrow = pa.schema([("i", pa.string()), ("w", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names: list[str | None] = []
+        found: list[bytes] = []
+        for b in sliced(batches, "t", 100):
+            for name, t in zip(b.column("i").to_pylist(), utf8(b.column("t")), strict=True):
+                words = words_of(t)
+                for at in range(max(1, len(words) - window + 1) if words else 0):
+                    names.append(name)
+                    found.append(b" ".join(words[at:at + window]))
+                    if len(found) == WINDOW_BATCH:
+                        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(found, pa.binary())], schema=arrow)
+                        names, found = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(found, pa.binary())], schema=arrow)
+
+    return items.mapInArrow(run, "i string, w binary").distinct()
+
+
+def _blocks(benchmark: DataFrame, item: str, text: str, window: int) -> tuple[int, Callable[[int], Windows]]:
+    """The number of blocks (one at least) and a function that gives the windows of one."""
+    found = stored(pairs(benchmark, item, text, window), "decontaminate-windows")
+    n = max(1, -(-found.count() // BLOCK))
+
+    def block(k: int) -> Windows:
+        part = found if n == 1 else found.where(F.pmod(F.xxhash64("w", "i"), F.lit(n)) == k)
+        return Windows([(r.i, bytes(r.w)) for r in part.toLocalIterator()], window)
+
+    return n, block
+
+
+def _prepared(docs: DataFrame, text: str) -> DataFrame:
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{text}`").alias("t"),
+                       F.lit(0).cast("long").alias("n_words"), F.array().cast(SPANS).alias("spans"), F.array().cast("array<string>").alias("items"))
+
+
+def _search_block(rows: DataFrame, shared: Broadcast) -> DataFrame:
+    """One block's pass: its spans and items are merged into those of the blocks before."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in sliced(batches, "t", 2000):
+            texts = [words_of(t) for t in utf8(b.column("t"))]
+            spans, items = shared.value.search(texts)
+            before, named = b.column("spans").to_pylist(), b.column("items").to_pylist()
+            for d, found in spans.items():
+                before[d] = [dict(zip(("start", "end"), x, strict=True))
+                             for x in merged(found + [(y["start"], y["end"]) for y in before[d]])]
+                named[d] = sorted({*named[d], *items[d]})
+            columns = {"n_words": pa.array([len(t) for t in texts], pa.int64()), "spans": pa.array(before, b.schema.field("spans").type),
+                       "items": pa.array(named, b.schema.field("items").type)}
+            yield pa.RecordBatch.from_arrays([columns.get(c, b.column(k)) for k, c in enumerate(b.schema.names)], names=b.schema.names)
+
+    return rows.mapInArrow(run, rows.schema)
 
 
 def search(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
@@ -128,30 +180,14 @@ def search(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str
     """``docs`` as a column ``row`` plus ``n_words`` (long), ``spans`` (merged word spans that are hit) and ``items``
     (ids found, sorted as strings). Each block of the benchmark is one pass over the documents; its result is
     written, and its broadcast released, before the next."""
-    spark = docs.sparkSession
-    out = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{text}`").alias("t"),
-                      F.lit(0).cast("long").alias("n_words"), F.array().cast(SPANS).alias("spans"), F.array().cast("array<string>").alias("items"))
-    last = None
-    for block in _blocks(benchmark, item, item_text):
-        if last is not None:
+    out = _prepared(docs, text)
+    n, block = _blocks(benchmark, item, item_text, window)
+    for k in range(n):
+        shared = docs.sparkSession.sparkContext.broadcast(block(k))
+        out = _search_block(out, shared)
+        if k < n - 1:
             out = stored(out, "decontaminate-block")
-            last.unpersist()
-        shared = last = spark.sparkContext.broadcast(Windows(block, window))
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for b in sliced(batches, "t", 2000):
-                texts = [words_of(t) for t in utf8(b.column("t"))]
-                spans, items = shared.value.search(texts)
-                before, named = b.column("spans").to_pylist(), b.column("items").to_pylist()
-                for d, found in spans.items():
-                    before[d] = [dict(zip(("start", "end"), x, strict=True))
-                                 for x in merged(found + [(y["start"], y["end"]) for y in before[d]])]
-                    named[d] = sorted({*named[d], *items[d]})
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("row"), b.column("t"), pa.array([len(t) for t in texts], pa.int64()),
-                     pa.array(before, b.schema.field("spans").type), pa.array(named, b.schema.field("items").type)], names=b.schema.names)
-
-        out = out.mapInArrow(run, out.schema)
+            shared.unpersist()
     return out.drop("t")
 
 
@@ -159,11 +195,12 @@ def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str
            item_text: str = "text", window: int = WINDOW, length: str | None = None) -> DataFrame:
     """``docs`` with the hit spans cut out of the text (from the first to the last hit word of each span), again
     until no window occurs; rows of which no word is left are dropped. Clean rows are unchanged. ``length`` names
-    a column with the text's code points that follows the cut, where the table has it."""
-    spark = docs.sparkSession
-    blocks = [spark.sparkContext.broadcast(Windows(b, window)) for b in _blocks(benchmark, item, item_text)]
-    at = docs.columns.index(text)
-    size = docs.columns.index(length) if length in docs.columns else None
+    a column with the text's code points that follows the cut, where the table has it.
+
+    With one block a task repeats search and cut itself. With more, a round is a stored pass per block and a cut of
+    all spans found, and a further round takes only the rows that the last one cut: a cut can join words to a new window."""
+    n, block = _blocks(benchmark, item, item_text, window)
+    rows = _prepared(docs, text).withColumn("ever", F.lit(False))
 
     def cut(body: bytes, spans: list[tuple[int, int]]) -> bytes:
         places = [m.span() for m in _WORD.finditer(body)]
@@ -171,34 +208,51 @@ def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str
             body = body[:places[a][0]] + body[places[b - 1][1]:]
         return body
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches, text, 2000):
-            raw = utf8(b.column(at))
-            changed: set[int] = set()
-            todo = list(range(len(raw)))
-            while todo:  # a cut can join words to a new window, of any block
-                hit: set[int] = set()
-                for shared in blocks:
-                    spans, _ = shared.value.search([words_of(raw[d]) for d in todo])
-                    for k, found in spans.items():
-                        raw[todo[k]] = cut(raw[todo[k]], found)
-                        hit.add(todo[k])
-                changed |= hit
-                todo = sorted(hit)
-            if changed:
-                columns = list(b.columns)
-                bodies = [None if r is None else r.decode() for r in raw]
-                columns[at] = pa.array(bodies, b.schema.field(at).type)
-                if size is not None:
-                    sizes = b.column(size).to_pylist()
-                    columns[size] = pa.array([len(bodies[d]) if d in changed else n for d, n in enumerate(sizes)],
-                                             b.schema.field(size).type)
-                b = pa.RecordBatch.from_arrays(columns, schema=b.schema)
-                gone = {d for d in changed if not words_of(raw[d])}
-                b = b.filter(pa.array([d not in gone for d in range(len(raw))]))
-            yield b
-
-    return docs.mapInArrow(run, docs.schema)
+    def cut_rows(rows: DataFrame, shared: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in sliced(batches, "t", 2000):
+                spans = {d: [(y["start"], y["end"]) for y in x] for d, x in enumerate(b.column("spans").to_pylist()) if x}
+                if spans:
+                    raw = utf8(b.column("t"))
+                    ever = [x or d in spans for d, x in enumerate(b.column("ever").to_pylist())]
+                    while spans:
+                        for d, found in spans.items():
+                            raw[d] = cut(raw[d], found)
+                        todo = sorted(spans)
+                        again = shared.value.search([words_of(raw[d]) for d in todo])[0] if n == 1 else {}
+                        spans = {todo[k]: found for k, found in again.items()}
+                    columns = {"t": pa.array([None if r is None else r.decode() for r in raw], b.schema.field("t").type),
+                               "ever": pa.array(ever, pa.bool_())}
+                    b = pa.RecordBatch.from_arrays([columns.get(c, b.column(k)) for k, c in enumerate(b.schema.names)], names=b.schema.names)
+                yield b
+
+        return rows.mapInArrow(run, rows.schema)
+
+    done: list[DataFrame] = []
+    while True:
+        for k in range(n):
+            shared = docs.sparkSession.sparkContext.broadcast(block(k))
+            rows = _search_block(rows, shared)
+            if n > 1:
+                rows = stored(rows, "decontaminate-cut")
+                shared.unpersist()
+        if n == 1:
+            done.append(cut_rows(rows, shared))
+            break
+        done.append(rows.where(F.size("spans") == 0))
+        rows = cut_rows(rows.where(F.size("spans") > 0), shared).withColumn("spans", F.array().cast(SPANS))
+        if rows.isEmpty():
+            break
+    out = functools.reduce(DataFrame.unionAll, done)
+    left = F.col("t").rlike("[0-9A-Za-z\\x{80}-\\x{10FFFF}]")
+
+    def column(c: str) -> Column:
+        was = F.col(f"row.`{c}`")
+        if c == text:
+            return F.when(F.col("ever"), F.col("t")).otherwise(was)
+        return F.when(F.col("ever"), F.length("t").cast(docs.schema[c].dataType)).otherwise(was) if c == length else was
+
+    return out.where(~F.col("ever") | left).select(*(column(c).alias(c) for c in docs.columns))
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
