@@ -59,3 +59,58 @@ def test_null_keys_are_not_learned_from(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert langid.learn(docs.where(langid.learnable("doc_id"))).langs == ["en"]
     assert docs.where(langid.learnable("doc_id")).count() + docs.where(langid.held_out("doc_id")).count() == 20
+
+
+def test_model_in_blocks_gives_the_same(spark, sf01, monkeypatch):
+    """Counts read in blocks of languages from the shared folder against the array: word scores, labels and shares."""
+    docs = table(spark, sf01, "documents", "doc_id", "text", "lang")
+    dense = langid.learn(docs)
+    monkeypatch.setattr(langid, "DENSE_LANGUAGES", 1)
+    monkeypatch.setattr(langid, "BLOCK_COUNTS", 5000)
+    wide = langid.learn(docs)
+    assert isinstance(dense, langid.Model) and isinstance(wide, langid.WideModel) and wide.langs == dense.langs and len(wide.first) > 1
+    words = sorted({w for r in docs.limit(50).collect() for w in langid._WORD.findall(r.text)} | {"это", "ελλην", "x"})
+    for step in (langid.STEP, 64):
+        monkeypatch.setattr(langid, "STEP", step)
+        assert np.abs(wide.score(words) - dense.score(words)).max() < 1e-3
+    one, two = ({r.row.doc_id: (r.lang_pred, round(r.score, 9)) for r in langid.identify(docs, m).collect()} for m in (dense, wide))
+    assert one == two
+
+
+def test_thousands_of_labels(spark):
+    """Dirty labels beside real ones: no limit, every label takes part, the real languages are still found."""
+    rows = [("the cat and the dog sat with that hat and this", "en"), ("der hund und die katze sind nicht da und ich", "de")] * 300
+    rows += [(f"zq{k:x}vv", f"label {k}") for k in range(3000)]
+    model = langid.learn(spark.createDataFrame(rows, "text string, lang string"))
+    assert len(model.langs) == 3002 and len(model.uses) == 3002
+    docs = spark.createDataFrame([(1, "the dog and the cat"), (2, "die katze und der hund"), (3, "zqabcvv"), (4, None),
+                                  (5, "the dog and the cat " * 20000 + "und die katze ist nicht der hund " * 5000)], "doc_id long, text string")
+    got = {r.row.doc_id: r for r in langid.identify(docs, model, spans=True).collect()}
+    assert (got[1].lang_pred, got[2].lang_pred, got[4].lang_pred) == ("en", "de", "und")
+    assert got[3].lang_pred == f"label {0xabc}"
+    assert got[5].lang_pred == "en" and 0.5 < got[5].score < 1 and {s.lang for s in got[5].spans} == {"en", "de"}
+
+
+def test_memory_and_steps_change_no_path(monkeypatch):
+    """Paths of long documents whatever is held at once, against the plain programme."""
+    rng = np.random.default_rng(5)
+    labeller = langid.Labeller(langid.Model(["a", "b", "c"], np.ones((3, langid.BUCKETS + len(langid.SCRIPTS)))))
+    labeller.scores = rng.normal(0, 6, (50, 3)).astype(np.float32)
+    docs = [rng.integers(0, 50, n) for n in (400, 1, 37, 400, 0)]
+
+    def plain(words):
+        best, back = labeller.scores[words[0]].astype(float), []
+        for w in words[1:]:
+            top = int(best.argmax())
+            moved = best[top] - langid.PENALTY > best
+            back.append([top if m else k for k, m in enumerate(moved)])
+            best = np.maximum(best, best[top] - langid.PENALTY) + labeller.scores[w]
+        path = [int(best.argmax())]
+        for b in reversed(back):
+            path.append(b[path[-1]])
+        return path[::-1]
+
+    for step in (langid.STEP, 7):
+        monkeypatch.setattr(langid, "STEP", step)
+        for d, p in zip(docs[:4], labeller.paths(docs)[:4], strict=True):
+            assert ([p] * len(d) if isinstance(p, int) else p.tolist()) == plain(d)

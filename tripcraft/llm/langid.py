@@ -2,12 +2,15 @@
 
 Learning (``learn``): Spark counts, over all texts of the training rows, the hashed character n-grams
 (1 to 3 characters of the lower-cased word between boundary marks) and the letters per script of each
-language. The model is an array of BUCKETS + number of scripts counts per language, so what goes to the
-driver and back to the workers has a fixed size per language.
+language. Up to DENSE_LANGUAGES languages the model is one array of log probabilities that is broadcast. Beyond that
+(a column of dirty labels) the counts stay in the shared folder as a table in blocks of languages with about BLOCK_COUNTS
+counts each; only totals and scripts per language go through the driver, and a worker reads one block at a time to
+score its new words. All languages take part in every score and path.
 
 Labelling: a word (maximal run of letters) scores the sum of its n-grams' log probabilities per language;
 languages that never used the word's script are out. Viterbi over the words with a switching penalty
-gives spans of one language each. A document's language is the one with most letters in its spans (ties:
+gives spans of one language each; it keeps, per word, the language a switch would come from and where that
+language's span began, so its memory is words plus languages. A document's language is the one with most letters in its spans (ties:
 the first in the order of the language codes), its score their share of all letters.
 
 A constant path is taken at once where it is provably optimal: if no interval of words prefers another
@@ -27,10 +30,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripcraft.llm.common import held, sliced, stored, table
+from tripcraft.llm.common import held, shared_path, sliced, stored, table
+from tripcraft.llm.tokens import open_uri
 
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
@@ -38,8 +43,11 @@ PENALTY = 12.0  # nats per change of language
 UNSEEN = 0.01  # probability mass spread over all buckets
 SCRIPT_SHARE = 1e-4  # a language uses a script if it holds this share of its letters
 MIN_SCORE = 0.5  # the filter rejects below this
-MAX_LANGUAGES = 1024
+DENSE_LANGUAGES = 256  # up to this number the model is one array in memory (64 MB), above it is read in blocks
+BLOCK_COUNTS = 1 << 22  # n-gram counts per block
 WORDS = 300_000  # words a worker remembers
+CELLS = 1 << 25  # scores (words x languages) a worker remembers
+STEP = 1 << 22  # scores held at once while a path is looked for
 COUNTED = 200_000  # distinct words counted, over all languages, before they are turned into n-gram counts
 FOLDS = 5
 _WORD = re.compile(r"[^\W\d_]+")
@@ -158,12 +166,69 @@ class Model:
         return np.where(can | ~can.any(1, keepdims=True), total, -1e4)
 
 
-def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """Fit on all rows of ``docs``; the driver gets at most BUCKETS + number of scripts rows per language."""
+class WideModel:
+    """The same scores for any number of languages, from a table (block, lang, slot, n) of counts in the shared folder.
+
+    A bucket a language never saw has the same log probability in all languages. A block adds what the others have
+    above it, so only counts that are there are touched."""
+
+    def __init__(self, langs: list[str], totals: np.ndarray, letters: np.ndarray, first: list[int], uri: str):
+        self.langs, self.first, self.uri = langs, first, uri  # ``first``: number of each block's first language
+        self.totals = np.maximum(totals, 1).astype(np.float64)
+        self.uses = letters >= SCRIPT_SHARE * np.maximum(letters.sum(1, keepdims=True), 1)
+        self.token = zlib.crc32(uri.encode())
+        self.held: tuple[int, tuple] | None = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "held": None}
+
+    def _block(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of block ``k``, by bucket: where its entries begin, their languages (numbers in the block) and gains."""
+        if self.held is None or self.held[0] != k:
+            fs, path = open_uri(f"{self.uri}/block={k}")
+            t = pq.read_table(path, filesystem=fs, columns=["number", "slot", "n"], partitioning=None)
+            slot, number = t["slot"].to_numpy(), t["number"].to_numpy()
+            order = np.argsort(slot, kind="stable")
+            share = t["n"].to_numpy()[order] / self.totals[number[order]]
+            gain = np.log((1 - UNSEEN) * share + UNSEEN / BUCKETS) - np.log(UNSEEN / BUCKETS)
+            self.held = (k, (np.searchsorted(slot[order], np.arange(BUCKETS + 1)), number[order] - self.first[k], gain))
+        return self.held[1]
+
+    def score(self, words: list[str]) -> np.ndarray:
+        at, starts, script = grams(words)
+        sizes = np.diff(np.append(starts, len(at)))
+        total = np.empty((len(words), len(self.langs)), dtype=np.float32)
+        ends = [*self.first[1:], len(self.langs)]
+        for k, (low, high) in enumerate(zip(self.first, ends, strict=True)):
+            begin, number, gain = self._block(k)
+            count = begin[at + 1] - begin[at]  # entries of each n-gram
+            upto = np.concatenate([[0], np.cumsum(np.add.reduceat(count, starts) + (high - low))])
+            w = 0
+            while w < len(words):  # words with about STEP entries and cells at once
+                v = max(w + 1, int(np.searchsorted(upto, upto[w] + STEP, side="right")) - 1)
+                g = slice(starts[w], starts[v] if v < len(words) else len(at))
+                word, n = np.repeat(np.arange(v - w), sizes[w:v]), count[g]
+                entry = np.arange(n.sum()) + np.repeat(begin[at[g]] - (np.cumsum(n) - n), n)
+                cell = np.repeat(word, n) * (high - low) + number[entry]
+                total[w:v, low:high] = np.bincount(cell, gain[entry], minlength=(v - w) * (high - low)).reshape(v - w, high - low)
+                w = v
+        total += (sizes * np.log(UNSEEN / BUCKETS))[:, None].astype(np.float32)
+        can = self.uses.T[script]
+        total[~can & can.any(1, keepdims=True)] = -1e4
+        return total
+
+
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model | WideModel:
+    """Fit on all rows of ``docs``. The driver gets a row per language and script; the counts only up to DENSE_LANGUAGES."""
     table = stored(counts(docs, text, lang), "language-counts")
-    langs = sorted(r.lang for r in table.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages; the language column holds something else")
+    sums = table.groupBy("lang").agg(F.sum(F.when(F.col("slot") < BUCKETS, F.col("n"))).alias("total"),
+                                     F.count(F.when(F.col("slot") < BUCKETS, 1)).alias("entries"),
+                                     F.map_from_entries(F.collect_list(F.when(F.col("slot") >= BUCKETS, F.struct(
+                                         F.col("slot") - BUCKETS, "n")))).alias("letters"))
+    rows = sorted(sums.toLocalIterator(), key=lambda r: r.lang)
+    langs = [r.lang for r in rows]
+    if len(langs) > DENSE_LANGUAGES:
+        return _wide(table, rows)
     slots = np.zeros((len(langs), BUCKETS + len(SCRIPTS)), dtype=np.int64)
     at = {x: k for k, x in enumerate(langs)}
     for r in table.toLocalIterator():
@@ -171,19 +236,41 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     return Model(langs, slots)
 
 
+def _wide(table: DataFrame, rows: list) -> WideModel:
+    spark = table.sparkSession
+    letters = np.zeros((len(rows), len(SCRIPTS)), dtype=np.float64)
+    first, entries = [], BLOCK_COUNTS
+    names = []
+    for k, r in enumerate(rows):
+        if entries + (r.entries or 0) > BLOCK_COUNTS:
+            first.append(k)
+            entries = 0
+        entries += r.entries or 0
+        names.append((r.lang, k, len(first) - 1))
+        for script, n in r.letters.items():
+            letters[k, script] = n
+    numbers = spark.createDataFrame(names, "lang string, number int, block int")
+    uri = shared_path(spark, "language-model")
+    table.where(F.col("slot") < BUCKETS).join(numbers, "lang").select("block", "number", "slot", "n").repartition(
+        "block").write.partitionBy("block").parquet(uri)
+    return WideModel([r.lang for r in rows], np.array([r.total or 0 for r in rows], dtype=np.float64), letters, first, uri)
+
+
 class Labeller:
     """Word scores of a model with a bounded memory, and the paths through them."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model | WideModel):
         self.model = model
+        self.words = min(WORDS, CELLS // max(len(model.langs), 1))
         self.number: dict[str, int] = {}
         self.scores = np.zeros((1024, len(model.langs)), dtype=np.float32)
         self.letters = np.zeros(1024, dtype=np.int64)
 
     def numbers(self, docs: list[list[str]]) -> list[np.ndarray]:
         new = set().union(*docs).difference(self.number) if docs else set()
-        if len(self.number) + len(new) > WORDS and self.number:
+        if len(self.number) + len(new) > self.words and self.number:
             self.number.clear()
+            self.scores, self.letters = self.scores[:self.words], self.letters[:self.words]
             new = set().union(*docs)
         need = len(self.number) + len(new)
         if need > len(self.letters):
@@ -206,53 +293,79 @@ class Labeller:
         for k, words in enumerate(docs):
             if not len(words) or not self.model.langs:
                 continue
-            s = self.scores[words].astype(np.float64)
-            best = int(s.sum(0).argmax())
-            gain = np.cumsum(s - s[:, best:best + 1], axis=0)
-            low = np.minimum.accumulate(np.concatenate([np.zeros((1, s.shape[1])), gain[:-1]]), axis=0)
-            if (gain - low).max() <= PENALTY / 2:
-                out[k] = best
-            else:
+            best = self._constant(words)
+            if best is None:
                 hard.append(k)
+            else:
+                out[k] = best
         for k, path in zip(hard, self._viterbi([docs[k] for k in hard]), strict=True):
             out[k] = path
         return out
 
+    def _constant(self, words: np.ndarray) -> int | None:
+        """The language of the path without a switch if no switch can pay, else None."""
+        step = max(1, STEP // self.scores.shape[1])
+        parts = range(0, len(words), step)
+        best = int(sum(self.scores[words[a:a + step]].sum(0, dtype=np.float64) for a in parts).argmax())
+        before, lowest = np.zeros(self.scores.shape[1]), np.zeros(self.scores.shape[1])
+        for a in parts:
+            s = self.scores[words[a:a + step]].astype(np.float64)
+            gain = np.cumsum(s - s[:, best:best + 1], axis=0) + before
+            low = np.minimum.accumulate(np.concatenate([np.minimum(lowest, before)[None], gain[:-1]]), axis=0)
+            if (gain - low).max() > PENALTY / 2:
+                return None
+            before, lowest = gain[-1], low[-1]
+        return best
+
     def _viterbi(self, docs: list[np.ndarray]) -> list[np.ndarray]:
+        """All documents step by step, the longest first. A span that begins at word t has the language ``source[t]``
+        before it, whose own span began at ``since[t]``."""
         if not docs:
             return []
         order = np.argsort([-len(d) for d in docs], kind="stable")
         lengths = np.array([len(docs[k]) for k in order])
         starts = np.cumsum(lengths) - lengths
         flat = np.concatenate([docs[k] for k in order])
-        moved = np.zeros((len(flat), self.scores.shape[1]), dtype=bool)
-        source = np.zeros(len(flat), dtype=np.int16)
-        best = np.zeros((len(docs), self.scores.shape[1]))
-        best[:] = self.scores[flat[starts]]
+        source = np.zeros(len(flat), dtype=np.int32)
+        since = np.zeros(len(flat), dtype=np.int64)
+        best = self.scores[flat[starts]].astype(np.float64)
+        began = np.zeros(best.shape, dtype=np.int64)
         for t in range(1, int(lengths[0])):
             live = int(np.searchsorted(-lengths, -t, side="left"))  # documents longer than t
             at = starts[:live] + t
-            now = best[:live]
+            now, rows = best[:live], np.arange(live)
             top = now.argmax(1)
-            jump = now[np.arange(live), top][:, None] - PENALTY
-            moved[at] = jump > now
-            source[at] = top
+            jump = now[rows, top][:, None] - PENALTY
+            source[at], since[at] = top, began[rows, top]
+            began[:live][jump > now] = t
             best[:live] = np.maximum(now, jump) + self.scores[flat[at]]
-        label = np.zeros(len(flat), dtype=np.int16)
         state = best.argmax(1)
-        for t in range(int(lengths[0]) - 1, -1, -1):
-            live = int(np.searchsorted(-lengths, -t, side="left"))
-            at, now = starts[:live] + t, state[:live]
-            label[at] = now
-            state[:live] = np.where(moved[at, now], source[at], now)
-        out: list[np.ndarray] = [np.zeros(0, np.int16)] * len(docs)
-        for k, a, n in zip(order.tolist(), starts.tolist(), lengths.tolist(), strict=True):
-            out[k] = label[a:a + n]
+        out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(docs)
+        for d, (k, a, n) in enumerate(zip(order.tolist(), starts.tolist(), lengths.tolist(), strict=True)):
+            label, now, end = np.empty(n, dtype=np.int32), int(state[d]), n
+            start = int(began[d, now])
+            while True:
+                label[start:end] = now
+                if start == 0:
+                    break
+                now, start, end = int(source[a + start]), int(since[a + start]), start
+            out[k] = label
         return out
 
     def languages(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """(language, share of letters) of each text."""
-        docs = self.numbers([_WORD.findall(t) if t else [] for t in texts])
+        """(language, share of letters) of each text. Texts are taken together as far as their words' scores may be held."""
+        found = [_WORD.findall(t) if t else [] for t in texts]
+        upto = np.cumsum([len(d) for d in found])
+        out, at = [], 0
+        while at < len(found):
+            before = int(upto[at - 1]) if at else 0
+            end = max(at + 1, int(np.searchsorted(upto, before + CELLS // max(len(self.model.langs), 1), side="right")))
+            out += self._languages(found[at:end])
+            at = end
+        return out
+
+    def _languages(self, found: list[list[str]]) -> list[tuple[str, float]]:
+        docs = self.numbers(found)
         out = []
         for words, path in zip(docs, self.paths(docs), strict=True):
             letters = self.letters[words]
@@ -279,7 +392,7 @@ class Labeller:
                 for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text", spans: bool = False) -> DataFrame:
+def identify(docs: DataFrame, model: Model | WideModel, text: str = "text", spans: bool = False) -> DataFrame:
     """``docs`` as a column ``row`` plus ``lang_pred``, ``score`` and, if asked, ``spans`` (start, end, lang)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
