@@ -68,3 +68,20 @@ def test_prefixes_and_edges(spark):
     assert again.columns == docs.columns
     assert again.groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 6  # three rows of one id, two epochs
     assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_narrowing_changes_no_row(spark, monkeypatch):
+    """Many passes of few buckets take the rows that one pass takes, copies of one key included, and a window stays small."""
+    rows = [(k, "w " * (k % 9 + 1), "en" if k % 3 else "de", "src1") for k in range(3000)] + [(None, "same words here", "en", "src1")] * 800
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+
+    def taken():
+        return sorted((str(r.row), r.n_epochs) for r in mixing.mix(docs, total=9000, max_epochs=2).collect())
+
+    whole = taken()
+    monkeypatch.setattr(mixing, "BUCKET_HEX", 1)
+    monkeypatch.setattr(mixing, "CUT_ROWS", 2)
+    sizes = {len(r.cut_bucket) for r in mixing.cuts(docs.selectExpr(
+        "'d1' as domain", "lang", "source", "coalesce(string(doc_id), md5(text)) as key", "3L as tokens"), total=5000, max_epochs=2).collect() if r.cut_bucket}
+    assert sizes and min(sizes) >= 3
+    assert taken() == whole and len(whole) > 500

@@ -8,9 +8,10 @@ all its children are full, and then shows in the capacity its own siblings compe
 siblings before ancestors. Budgets are whole tokens; a remainder of the division stays unspent.
 
 A leaf of budget T = e * avail + r takes e whole epochs and then the longest prefix of at most r tokens
-of epoch e's order, which is by md5 of (seed, epoch, key). The cut of a leaf is found in two steps: token
-sums of 4096 hash buckets give the bucket with the cut, and only that bucket's rows are put in order,
-summed per key first. So no task sees more than a small part of a leaf, however large one source is.
+of epoch e's order, which is by md5 of (seed, epoch, key). The cut of a leaf is found by narrowing: token
+sums of 4096 hash buckets give the bucket with the cut, which is divided by the next digits in the same way while one
+holds more than CUT_ROWS rows of different keys; only the last bucket's rows are put in order, summed per key first. So
+no window sees more than 4096 buckets or CUT_ROWS keys, however large one source is.
 
 Defined results: null labels form a node of their own (label ""); a null key is ordered by the md5 of the
 text; rows with equal keys in a leaf are taken together; a zero weight takes nothing; documents without
@@ -28,7 +29,8 @@ from tripcraft.llm.common import stored, table
 
 SEED = 17
 MAX_EPOCHS = 2
-BUCKET_HEX = 3  # 16**3 hash buckets per leaf
+BUCKET_HEX = 3  # 16**3 hash buckets per leaf and pass
+CUT_ROWS = 4096  # rows of a bucket that are put in order
 LEAVES_BROADCAST = 100_000  # cut table rows; above that the cuts are joined, not broadcast
 LEVELS = ("domain", "lang", "source")
 WEIGHTS: tuple[Mapping[str, int], ...] = (
@@ -103,15 +105,20 @@ def cuts(rows: DataFrame, seed: int = SEED, **options) -> DataFrame:
     plan = stored(plan, "mix-plan")
     ranked = with_leaf(rows, plan.select(*on, "epochs", "rest")).select(
         *on, "rest", "key", "tokens", _rank(F.col("epochs"), F.col("key"), seed).alias("rank"))
-    ranked = ranked.withColumn("bucket", F.substring("rank", 1, BUCKET_HEX))
-    sums = ranked.groupBy(*on, "rest", "bucket").agg(F.sum("tokens").alias("n"))
     order = Window.partitionBy(*on).orderBy("bucket")
-    sums = sums.select(*on, "bucket", "rest", (F.sum("n").over(order) - F.col("n")).alias("before"),
-                       F.sum("n").over(order).alias("upto"))
-    # the bucket of the cut: the first whose sum passes the budget; leaves without one take all (rest = 0 if full)
-    cut = sums.where("upto > rest").groupBy(*on).agg(F.min(F.struct("bucket", "before")).alias("b"))
-    cut = stored(cut.select(*on, "b.bucket", "b.before"), "mix-buckets")
-    inside = with_leaf(ranked, cut.withColumnRenamed("bucket", "at")).where("bucket = at")
+    inside, size = ranked.withColumn("before", F.lit(0).cast("long")), 0
+    while True:
+        size += BUCKET_HEX
+        sums = inside.groupBy(*on, "rest", "before", F.substring("rank", 1, size).alias("bucket")).agg(
+            F.sum("tokens").alias("n"), F.when(F.min("rank") < F.max("rank"), F.count(F.lit(1))).otherwise(0).alias("rows"))
+        sums = sums.select(*on, "bucket", "rest", "rows", (F.col("before") + F.sum("n").over(order) - F.col("n")).alias("before"),
+                           (F.col("before") + F.sum("n").over(order)).alias("upto"))
+        # the bucket of the cut: the first whose sum passes the budget; leaves without one take all (rest = 0 if full)
+        cut = sums.where("upto > rest").groupBy(*on).agg(F.min(F.struct("bucket", "before", "rows")).alias("b"))
+        cut = stored(cut.select(*on, "b.bucket", "b.before", "b.rows"), "mix-buckets")
+        inside = with_leaf(ranked, cut.select(*on, "before", F.col("bucket").alias("at"))).where(F.substring("rank", 1, size) == F.col("at"))
+        if size >= 30 or (cut.agg(F.max("rows")).first()[0] or 0) <= CUT_ROWS:
+            break
     inside = inside.groupBy(*on, "rest", "before", "rank", "key").agg(F.sum("tokens").alias("n"))
     line = Window.partitionBy(*on).orderBy("rank", "key")
     last = inside.select(*on, "rank", "key", (F.col("before") + F.sum("n").over(line)).alias("upto"), "rest").where(
@@ -143,9 +150,9 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     rows = stored(body.select(*LEVELS, "key", "tokens"), "mix-rows")
     found = with_leaf(body, cuts(rows, seed, **options))
     rank = _rank(F.col("epochs"), F.col("key"), seed)
+    head = F.substr(rank, F.lit(1), F.length("cut_bucket"))
     prefix = F.when(F.col("cut_bucket").isNull(), F.lit(True)).otherwise(
-        (F.substring(rank, 1, BUCKET_HEX) < F.col("cut_bucket"))
-        | ((F.substring(rank, 1, BUCKET_HEX) == F.col("cut_bucket")) & F.coalesce(
+        (head < F.col("cut_bucket")) | ((head == F.col("cut_bucket")) & F.coalesce(
             F.struct(rank, F.col("key")) <= F.struct("last_rank", "last_key"), F.lit(False))))
     times = F.col("epochs") + prefix.cast("long")
     return found.withColumn("n_epochs", times).where("n_epochs > 0").select(
