@@ -30,12 +30,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripcraft.llm.common import held, shared_path, sliced, stored, table
-from tripcraft.llm.tokens import open_uri
 
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
@@ -48,6 +46,7 @@ BLOCK_COUNTS = 1 << 22  # n-gram counts per block
 WORDS = 300_000  # words a worker remembers
 CELLS = 1 << 25  # scores (words x languages) a worker remembers
 STEP = 1 << 22  # scores held at once while a path is looked for
+CHARS = 1 << 21  # characters of text cut to words at once
 COUNTED = 200_000  # distinct words counted, over all languages, before they are turned into n-gram counts
 FOLDS = 5
 _WORD = re.compile(r"[^\W\d_]+")
@@ -116,6 +115,7 @@ def counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
     arrow = pa.schema([("lang", pa.string()), ("slot", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("language counts", dict)  # drops what the worker remembers for another operator
         sums: dict[str, np.ndarray] = {}
         words: dict[str, Counter] = {}
 
@@ -185,6 +185,9 @@ class WideModel:
     def _block(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of block ``k``, by bucket: where its entries begin, their languages (numbers in the block) and gains."""
         if self.held is None or self.held[0] != k:
+            import pyarrow.parquet as pq  # only here: not every worker needs the file readers
+
+            from tripcraft.llm.tokens import open_uri
             fs, path = open_uri(f"{self.uri}/block={k}")
             t = pq.read_table(path, filesystem=fs, columns=["number", "slot", "n"], partitioning=None)
             slot, number = t["slot"].to_numpy(), t["number"].to_numpy()
@@ -353,15 +356,16 @@ class Labeller:
         return out
 
     def languages(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """(language, share of letters) of each text. Texts are taken together as far as their words' scores may be held."""
-        found = [_WORD.findall(t) if t else [] for t in texts]
-        upto = np.cumsum([len(d) for d in found])
-        out, at = [], 0
-        while at < len(found):
+        """(language, share of letters) of each text. A long text, or as many as have CHARS characters, are taken at once,
+        fewer where the languages are so many that their words' scores would not fit."""
+        most = min(CHARS, CELLS // max(len(self.model.langs), 1))
+        out: list[tuple[str, float]] = []
+        upto = np.cumsum([len(t or "") for t in texts])
+        while len(out) < len(texts):
+            at = len(out)
             before = int(upto[at - 1]) if at else 0
-            end = max(at + 1, int(np.searchsorted(upto, before + CELLS // max(len(self.model.langs), 1), side="right")))
-            out += self._languages(found[at:end])
-            at = end
+            end = max(at + 1, int(np.searchsorted(upto, before + most, side="right")))
+            out += self._languages([_WORD.findall(t) if t else [] for t in texts[at:end]])
         return out
 
     def _languages(self, found: list[list[str]]) -> list[tuple[str, float]]:
