@@ -229,3 +229,11 @@ def test_integer_network_equals_integer_loops_and_stays_near_the_float_one(spark
     assert drift[3].mean_drift < 0.03 * np.abs(pred).mean()
     empty = df.limit(0)
     assert I8.calibrate(empty, model, ["a", "b", "c"]) == [0.0] * 3 and I8.layer_drift(empty, model, integer, ["a", "b", "c"]).count() == 0
+
+
+def test_parsing_makes_kind_and_text_of_a_field_once(spark):
+    """Seven fields and the body: a schema each; seven texts, seven fields and the model type looked up."""
+    plan = SC.parse_requests(spark.createDataFrame([("{}",)], "body string").repartition(2))._jdf.queryExecution().optimizedPlan().toString()
+    # names as Spark writes them; both forms of a static call are counted
+    assert max(plan.count("schema_of_variant("), plan.lower().count("schemaofvariant(")) <= 8
+    assert plan.count("try_variant_get(") <= 15

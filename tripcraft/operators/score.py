@@ -57,29 +57,38 @@ def parse_requests(bodies: DataFrame, body: str = "body") -> DataFrame:
     fraction. Otherwise the field is null and its reason '<field>_missing' (absent), '<field>_not_a_number' (null, other
     text, list, object, beyond 64 bits) or '<field>_not_whole'. Coerced values are then held against the accepted
     ranges ('<field>_out_of_range'). All reasons of a body are listed, in field order; none means the request is valid."""
+    # step by step: a field is looked up, and its kind and text are made, once per row
+    fields = list(S.REQUEST_RANGES)
     out = bodies.withColumn("_v", F.try_parse_json(F.col(body)))
-    is_object = F.schema_of_variant("_v").startswith("OBJECT")
+    out = out.withColumns({f"_f_{c}": F.try_variant_get("_v", f"$.{c}", "variant") for c in fields})
+    out = out.withColumns({f"_k_{c}": F.schema_of_variant(f"_f_{c}") for c in fields}
+                          | {f"_t_{c}": F.trim(F.try_variant_get(f"_f_{c}", "$", "string")) for c in fields}
+                          | {"model_type": F.try_variant_get("_v", "$.model_type", "string")})
+    numbers = {}
+    for c in fields:
+        kind, text = F.col(f"_k_{c}"), F.col(f"_t_{c}")
+        scalar = kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$") | ((kind == "STRING") & text.rlike(_NUMBER))
+        numbers[f"_n_{c}"] = F.when(kind == "BOOLEAN", F.when(text == "true", 1.0).otherwise(0.0)).when(scalar, text.try_cast("double"))
+    out = out.withColumns(numbers)
     typed, reasons = {}, []
     for c, (lo, hi) in S.REQUEST_RANGES.items():
-        field = F.try_variant_get("_v", f"$.{c}", "variant")
-        kind = F.schema_of_variant(field)
-        text = F.trim(F.try_variant_get("_v", f"$.{c}", "string"))
-        scalar = kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$") | ((kind == "STRING") & text.rlike(_NUMBER))
-        number = F.when(kind == "BOOLEAN", F.when(text == "true", 1.0).otherwise(0.0)).when(scalar, text.try_cast("double"))
-        whole = isinstance(S.REQUEST_SCHEMA[c].dataType, T.LongType)
-        if whole:
+        number = F.col(f"_n_{c}")
+        if isinstance(S.REQUEST_SCHEMA[c].dataType, T.LongType):
             typed[c] = F.when(number == F.floor(number), number).try_cast("bigint")
         else:
             typed[c] = number
         x = F.col(c)
         ok = (x > lo) & (x <= hi) if c == "trip_distance" else x.between(lo, hi)
-        reasons.append(F.when(field.isNull(), F.lit(f"{c}_missing"))
+        reasons.append(F.when(F.col(f"_f_{c}").isNull(), F.lit(f"{c}_missing"))
                        .when(number.isNull(), F.lit(f"{c}_not_a_number"))
                        .when(x.isNull(), F.lit(f"{c}_not_whole"))
                        .when(~ok, F.lit(f"{c}_out_of_range")))
-    out = out.withColumns({**typed, "model_type": F.try_variant_get("_v", "$.model_type", "string")})
-    return out.withColumn("reasons", F.when(F.col("_v").isNull(), F.array(F.lit("invalid_json")))
-                          .when(~is_object, F.array(F.lit("not_an_object"))).otherwise(F.array_compact(F.array(*reasons)))).drop("_v")
+    out = out.withColumns(typed)
+    # only an object has fields; the whole body's schema is asked for where it has none of them
+    is_object = F.coalesce(*(F.col(f"_k_{c}") for c in fields)).isNotNull() | F.schema_of_variant("_v").startswith("OBJECT")
+    out = out.withColumn("reasons", F.when(F.col("_v").isNull(), F.array(F.lit("invalid_json")))
+                         .when(~is_object, F.array(F.lit("not_an_object"))).otherwise(F.array_compact(F.array(*reasons))))
+    return out.select(*bodies.columns, *(c for c in (*fields, "model_type", "reasons") if c not in bodies.columns))
 
 
 def quarantine(parsed: DataFrame, valid_path: str, rejected_path: str, body: str = "body") -> None:
