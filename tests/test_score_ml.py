@@ -237,3 +237,27 @@ def test_parsing_makes_kind_and_text_of_a_field_once(spark):
     # names as Spark writes them; both forms of a static call are counted
     assert max(plan.count("schema_of_variant("), plan.lower().count("schemaofvariant(")) <= 8
     assert plan.count("try_variant_get(") <= 15
+
+
+def test_rows_pass_the_layers_in_chunks(monkeypatch):
+    rng = np.random.default_rng(3)
+    model = NN.MLPModel(NN.init_weights(3, (16, 8)), 3, (16, 8))
+    x, seen, plain = rng.normal(size=(2 * NN.CHUNK + 5, 3)), [], NN.activations
+    want = plain(model.layers(), x)[-1][:, 0]
+    monkeypatch.setattr(NN, "activations", lambda layers, part: seen.append(len(part)) or plain(layers, part))
+    assert np.allclose(NN.forward(model.layers(), x), want, rtol=1e-12) and seen == [NN.CHUNK, NN.CHUNK, 5]
+    assert NN.forward(model.layers(), x[:0]).shape == (0,)
+
+
+def test_sums_of_tasks_are_added_by_slices(spark):
+    """A task's vector is SLICES rows of a shuffle, not one per position."""
+    def run(batches):
+        for b in batches:
+            for k in b.column("id").to_pylist():
+                yield NN._sliced(k, k / 2, np.arange(100.0) * k)
+
+    parts = spark.range(6).repartition(3).mapInArrow(run, NN._PARTS)
+    assert parts.count() == 6 * NN.SLICES
+    total, loss, n = NN._summed(parts)
+    assert np.array_equal(total, np.arange(100.0) * 15) and (loss, n) == (7.5, 15)
+    assert NN._summed(parts.limit(0))[2] == 0

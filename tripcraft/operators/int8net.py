@@ -12,7 +12,7 @@ beyond the calibrated range saturate; null and NaN inputs give null; an empty ca
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripcraft.operators.mlp import MLPModel
+from tripcraft.operators.mlp import CHUNK, MLPModel, activations
 from tripcraft.session import ship_package
 
 TOP = 127
@@ -47,11 +47,11 @@ class IntegerModel:
 
 def _relu_inputs(model: MLPModel, x: np.ndarray) -> list[np.ndarray]:
     """The input of every layer, then the output."""
-    layers, out = model.layers(), [x]
-    for k, (w, b) in enumerate(layers):
-        h = out[-1] @ w + b
-        out.append(np.maximum(h, 0.0) if k < len(layers) - 1 else h)
-    return out
+    return activations(model.layers(), x)
+
+
+def _chunks(x: np.ndarray) -> Iterator[np.ndarray]:
+    return (x[at:at + CHUNK] for at in range(0, len(x), CHUNK))
 
 
 def _inputs(part: pd.DataFrame, features: Sequence[str]) -> np.ndarray:
@@ -67,8 +67,7 @@ def calibrate(df: DataFrame, model: MLPModel, features: Sequence[str]) -> list[f
     def run(batches):
         top = None
         for part in batches:
-            x = _inputs(part, features)
-            if len(x):
+            for x in _chunks(_inputs(part, features)):
                 now = np.array([np.abs(h).max() for h in _relu_inputs(shared.value, x)[:-1]])
                 top = now if top is None else np.maximum(top, now)
         if top is not None:
@@ -136,7 +135,7 @@ def predict_integer(df: DataFrame, model: IntegerModel, features: Sequence[str],
         ok = np.isfinite(x).all(axis=1)
         out = np.full(len(x), np.nan)
         if ok.any():
-            out[ok] = run_integer(shared.value, x[ok])[0]
+            out[ok] = np.concatenate([run_integer(shared.value, c)[0] for c in _chunks(x[ok])])
         return pd.Series(out).where(ok, None)
 
     return df.withColumn(output, score(*(F.col(c).cast("double") for c in features)))
@@ -153,14 +152,12 @@ def layer_drift(df: DataFrame, model: MLPModel, integer: IntegerModel, features:
         n = len(floats.layers()) + 1
         sums, tops, counts = np.zeros(n), np.zeros(n), np.zeros(n, dtype=np.int64)
         for part in batches:
-            x = _inputs(part, features)
-            if not len(x):
-                continue
-            pred, seen = run_integer(ints, x)
-            real = [q * s for q, s in zip(seen, ints.input_scales, strict=True)] + [pred[:, None]]
-            for k, (a, b) in enumerate(zip(_relu_inputs(floats, x), real, strict=True)):
-                gap = np.abs(a - b)
-                sums[k], tops[k], counts[k] = sums[k] + gap.sum(), max(tops[k], gap.max()), counts[k] + gap.size
+            for x in _chunks(_inputs(part, features)):
+                pred, seen = run_integer(ints, x)
+                real = [q * s for q, s in zip(seen, ints.input_scales, strict=True)] + [pred[:, None]]
+                for k, (a, b) in enumerate(zip(_relu_inputs(floats, x), real, strict=True)):
+                    gap = np.abs(a - b)
+                    sums[k], tops[k], counts[k] = sums[k] + gap.sum(), max(tops[k], gap.max()), counts[k] + gap.size
         if counts[0]:
             yield pd.DataFrame({"layer": range(n), "n": counts, "total": sums, "top": tops})
 

@@ -3,9 +3,9 @@
 Spark ML has no multilayer-perceptron regressor, so training is local SGD with model averaging:
 each epoch is one Spark job. The current weights and Adam moments are broadcast; every partition streams its Arrow
 batches through mini-batch Adam steps in numpy (`mapInPandas`), emitting what it has then times
-its row count; the weighted average is a distributed `posexplode` + `groupBy(position)` sum, so the
+its row count, cut into slices; tasks add the slices of a position, in the order of the partitions, so the
 driver only ever receives three vectors of model size (about 35k numbers each), never data. Partitions grow in
-number with the rows. Validation loss is a distributed aggregate of squared errors. Inference is an Arrow-batched
+number with the rows. Rows pass through the layers ``CHUNK`` at a time, whose activations stay in a core's cache. Validation loss is a distributed aggregate of squared errors. Inference is an Arrow-batched
 pandas UDF.
 
 `fit_global` takes global batches instead: a step is one job that sums the gradient over all rows of its batch, and
@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +28,8 @@ from pyspark.sql import types as T
 from tripcraft.session import ship_package
 
 HIDDEN = (32, 64, 128, 128, 64, 32)
+CHUNK = 512  # rows that pass through the layers at once
+SLICES = 8  # parts of a vector that tasks add up
 
 
 def layer_shapes(n_in: int, hidden: Sequence[int] = HIDDEN) -> list[tuple[int, int]]:
@@ -56,24 +59,26 @@ def unflatten(flat: np.ndarray, n_in: int, hidden: Sequence[int] = HIDDEN) -> li
 
 
 def forward(layers: list[tuple[np.ndarray, np.ndarray]], x: np.ndarray) -> np.ndarray:
-    h = x
+    out = np.empty(len(x), dtype=np.result_type(x, layers[0][0]))
+    for at in range(0, len(x), CHUNK):
+        out[at:at + CHUNK] = activations(layers, x[at:at + CHUNK])[-1][:, 0]
+    return out
+
+
+def activations(layers: list[tuple[np.ndarray, np.ndarray]], x: np.ndarray) -> list[np.ndarray]:
+    """The input of every layer, then the output."""
+    out = [x]
     for k, (w, b) in enumerate(layers):
-        h = h @ w + b
-        if k < len(layers) - 1:
-            h = np.maximum(h, 0.0)
-    return h[:, 0]
+        h = out[-1] @ w
+        h += b
+        out.append(np.maximum(h, 0.0, out=h) if k < len(layers) - 1 else h)
+    return out
 
 
 def _grad(layers, x, y):
     """Mean-squared-error loss and gradients by backpropagation."""
-    acts, h = [x], x
-    for k, (w, b) in enumerate(layers):
-        h = h @ w + b
-        if k < len(layers) - 1:
-            h = np.maximum(h, 0.0)
-        acts.append(h)
-    pred = acts[-1][:, 0]
-    err = pred - y
+    acts = activations(layers, x)
+    err = acts[-1][:, 0] - y
     loss = float(np.mean(err ** 2))
     delta = (2.0 / len(y)) * err[:, None]
     grads = []
@@ -82,7 +87,8 @@ def _grad(layers, x, y):
         a_prev = acts[k]
         grads.append((a_prev.T @ delta, delta.sum(axis=0)))
         if k > 0:
-            delta = (delta @ w.T) * (acts[k] > 0)
+            delta = delta @ w.T
+            delta *= acts[k] > 0
     grads.reverse()
     return loss, np.concatenate([np.concatenate([gw.ravel(), gb]) for gw, gb in grads])
 
@@ -147,17 +153,44 @@ def _fresh(weights: np.ndarray) -> np.ndarray:
     return np.concatenate([weights, np.zeros(2 * len(weights) + 1)])
 
 
+_PARTS = "slice int, task int, n long, loss_sum double, w binary"
+_SCHEMA = pa.schema([("slice", pa.int32()), ("task", pa.int32()), ("n", pa.int64()), ("loss_sum", pa.float64()), ("w", pa.binary())])
+
+
+def _sliced(n: int, loss_sum: float, w: np.ndarray) -> pa.RecordBatch:
+    """A task's rows, loss sum and vector, a row per slice of the vector."""
+    from pyspark import TaskContext
+    parts = [x.tobytes() for x in np.array_split(w, SLICES)]
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(
+        (range(SLICES), [TaskContext.get().partitionId()] * SLICES, [n] * SLICES, [loss_sum] * SLICES, parts), _SCHEMA.types,
+        strict=True)], schema=_SCHEMA)
+
+
 def _summed(parts: DataFrame) -> tuple[np.ndarray, float, int]:
-    """Position-wise sums of `parts(n, loss_sum, w)` (a row per task): vector, loss and rows."""
-    rows = (parts.select("n", "loss_sum", F.posexplode("w").alias("pos", "wv"))
-            .groupBy("pos").agg(F.sum("wv").alias("s"), F.sum(F.when(F.col("pos") == 0, F.col("n"))).alias("n"),
-                                F.sum(F.when(F.col("pos") == 0, F.col("loss_sum"))).alias("loss_sum")).orderBy("pos").collect())
+    """Position-wise sums of what tasks give by `_sliced`, added in the order of the tasks: vector, loss and rows."""
+    def add(batches):
+        found: dict[int, list] = {}
+        for b in batches:
+            for r in b.to_pylist():
+                w = np.frombuffer(r["w"])
+                if r["slice"] in found:
+                    total = found[r["slice"]]
+                    total[0], total[1], total[2] = total[0] + r["n"], total[1] + r["loss_sum"], total[2] + w
+                else:
+                    found[r["slice"]] = [r["n"], r["loss_sum"], w.copy()]
+        for k, (n, loss_sum, w) in found.items():
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((k, 0, n, loss_sum, w.tobytes()), _SCHEMA.types, strict=True)],
+                                             schema=_SCHEMA)
+
+    rows = parts.repartition(SLICES, "slice").sortWithinPartitions("task").mapInArrow(add, _PARTS).collect()
     if not rows:
         return np.zeros(0), 0.0, 0
-    return np.array([r["s"] for r in rows], dtype=np.float64), float(rows[0]["loss_sum"]), int(rows[0]["n"])
+    rows.sort(key=lambda r: r["slice"])
+    return np.concatenate([np.frombuffer(r["w"]) for r in rows]), float(rows[0]["loss_sum"]), int(rows[0]["n"])
 
 
-_PARTS = "n long, loss_sum double, w array<double>"
+def _matrix(batch: pa.RecordBatch, names: Sequence[str]) -> np.ndarray:
+    return np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in names])
 
 
 def _train_partitions(df: DataFrame, state: np.ndarray, n_in: int, hidden, features, label, batch, lr, seed,
@@ -174,11 +207,10 @@ def _train_partitions(df: DataFrame, state: np.ndarray, n_in: int, hidden, featu
         rng = np.random.default_rng([seed, epoch, pid])
         now, n_rows, loss_sum = shared.value.copy(), 0, 0.0
         size = len(now) // 3
-        for pdf in batches:
-            if len(pdf) == 0:
+        for b in batches:
+            if b.num_rows == 0:
                 continue
-            x = pdf[list(features)].to_numpy(dtype=np.float64)
-            y = pdf[label].to_numpy(dtype=np.float64)
+            x, y = _matrix(b, features), b.column(label).to_numpy(zero_copy_only=False)
             order = rng.permutation(len(y))
             for s in range(0, len(y), batch):
                 idx = order[s:s + batch]
@@ -187,9 +219,9 @@ def _train_partitions(df: DataFrame, state: np.ndarray, n_in: int, hidden, featu
                 loss_sum += loss * len(idx)
             n_rows += len(y)
         if n_rows:
-            yield pd.DataFrame({"n": [n_rows], "loss_sum": [loss_sum], "w": [(now * n_rows).tolist()]})
+            yield _sliced(n_rows, loss_sum, now * n_rows)
 
-    total, loss, n = _summed(df.mapInPandas(run, _PARTS))
+    total, loss, n = _summed(df.mapInArrow(run, _PARTS))
     shared.unpersist()
     return (total / n, loss / n) if n else (state, float("nan"))
 
@@ -203,14 +235,16 @@ def global_gradient(df: DataFrame, weights: np.ndarray, n_in: int, hidden, featu
     def run(batches):
         total, n_rows, loss_sum = np.zeros(len(shared.value)), 0, 0.0
         layers = unflatten(shared.value, n_in, hidden)
-        for pdf in batches:
-            if len(pdf):
-                loss, g = _grad(layers, pdf[list(features)].to_numpy(dtype=np.float64), pdf[label].to_numpy(dtype=np.float64))
-                total, loss_sum, n_rows = total + g * len(pdf), loss_sum + loss * len(pdf), n_rows + len(pdf)
+        for b in batches:
+            x, y = _matrix(b, features), b.column(label).to_numpy(zero_copy_only=False)
+            for at in range(0, len(y), CHUNK):
+                part = y[at:at + CHUNK]
+                loss, g = _grad(layers, x[at:at + CHUNK], part)
+                total, loss_sum, n_rows = total + g * len(part), loss_sum + loss * len(part), n_rows + len(part)
         if n_rows:
-            yield pd.DataFrame({"n": [n_rows], "loss_sum": [loss_sum], "w": [total.tolist()]})
+            yield _sliced(n_rows, loss_sum, total)
 
-    total, loss, n = _summed(df.mapInPandas(run, _PARTS))
+    total, loss, n = _summed(df.select(*features, label).mapInArrow(run, _PARTS))
     shared.unpersist()
     return (total / n, loss / n, n) if n else (np.zeros(len(weights)), float("nan"), 0)
 
