@@ -178,3 +178,34 @@ def test_boosting_edges(spark):
 def test_registered_sizes():
     from tripcraft.plans import q_models as Q
     assert (Q.FOREST_TREES, Q.FOREST_DEPTH, Q.BOOST_ROUNDS, Q.PRUNING_ROUNDS) == (100, None, 200, 200)
+
+
+@pytest.mark.parametrize("direct", [0, 1 << 22])
+def test_level_sums_are_added_by_the_driver_or_by_tasks(spark, monkeypatch, direct):
+    monkeypatch.setattr(boosting, "CELLS", 16)
+    monkeypatch.setattr(boosting, "DIRECT", direct)
+    rows = sample_rows(6, 120)
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "k int, a double, b double, y double").repartition(4)
+    model = boosting.fit(df, ["a", "b"], "y", rounds=4, depth=3, rate=0.3, keep=2, one_task=0)
+    assert np.allclose([r.prediction for r in model.predict(df).orderBy("k").collect()], plain_boosting(rows, 4, 3, 0.3), atol=1e-6)
+
+
+def test_cells_go_on_from_where_they_stand(spark):
+    """Leaves found from the nodes of an earlier level are those found from the root."""
+    codes = np.random.default_rng(2).integers(0, 5, size=(2, 400)).astype("<u2")
+    n, s = np.ones(400), codes[0] * 3.0 + (codes[1] == 2) * 5 - codes[1]
+    cuts = [np.arange(3) + 0.5] * 2
+    starts = np.array([0, 5, 10])
+    node, trees = np.zeros(400, dtype=np.int32), []
+
+    def sums(tree, open_):
+        nonlocal node
+        node = tree.leaves(codes, node)
+        assert np.array_equal(node, tree.leaves(codes))
+        total = np.zeros((2, len(open_) * 10))
+        boosting.add_sums(total, codes, n, s, np.zeros(400), boosting.places(tree, open_)[node], starts)
+        return total.reshape(2, len(open_), 10)
+
+    trees.append(boosting.grow(sums, cuts, starts, 3, 0.1, 1.0, 1.0))
+    assert (trees[0].feature >= 0).sum() >= 3 and np.array_equal(trees[0].leaves(codes, node), trees[0].leaves(codes))
+    assert boosting.stub().leaves(codes[:, :0]).shape == (0,)

@@ -8,10 +8,11 @@ of bins that occur. Cells are stored once, in blocks.
 A tree grows by levels: gradient and hessian sums per (node, column, bin), then each node's best cut by the regularised
 gain, tried with the missing values on either side. Up to ``ONE_TASK`` cells (counted, about 40 MB) all rounds run in one
 task over the cells: no step of boosting can start before the last one ends, and a Spark job costs more than the
-step. Beyond that a level is a job: tasks add the sums over their blocks, a hash aggregate adds the tasks' sums, and
-the driver gets at most nodes x columns x bins rows, whatever the data are. Predictions of the cells are then written to
-the shared folder every ``keep`` rounds; between, tasks apply the few trees grown since. Tasks hold no state on either
-way, so a lost executor costs its tasks only.
+step. Beyond that a level is a job over the cached blocks, without a shuffle where it can be: tasks add the sums over
+their blocks and give one vector each (nodes x columns x bins at most, whatever the data are), which the driver adds,
+after a tree of adding tasks if they have more than ``DIRECT`` numbers. Predictions of the cells are then written to the
+shared folder every ``keep`` rounds; between, tasks apply the few trees grown since. A lost executor costs its tasks and
+its cached blocks, which are read again from the shared folder.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +33,9 @@ from tripcraft.session import stored
 
 CELLS = 1 << 16  # cells of a block
 ONE_TASK = 1 << 20  # most cells that one task boosts
-KEEP = 10  # rounds between two writes of the predictions
-MERGERS = 4  # tasks that add up the histograms of a level
+KEEP = 5  # rounds between two writes of the predictions
+MERGERS = 4  # shuffle partitions of the small jobs
+DIRECT = 1 << 22  # sums of all tasks of a level that the driver adds itself (64 MB)
 BLOCK = "codes binary, n binary, s binary, p binary"
 _BLOCK = pa.schema([(c, pa.binary()) for c in ("codes", "n", "s", "p")])
 
@@ -49,17 +52,23 @@ class Tree:
     value: np.ndarray  # leaf weight times the rate
     gain: np.ndarray
 
-    def leaves(self, codes: np.ndarray) -> np.ndarray:
-        """Node of each cell (``codes`` is columns x cells; bin 0 is missing)."""
-        node = np.zeros(codes.shape[1], dtype=np.int64)
-        live = np.flatnonzero(self.feature[node] >= 0)
-        while len(live):
-            at = node[live]
-            code = codes[self.feature[at], live]
-            left = np.where(code == 0, self.missing_left[at], code <= self.cut[at])
-            node[live] = self.left[at] + ~left
-            live = live[self.feature[node[live]] >= 0]
-        return node
+    def leaves(self, codes: np.ndarray, node: np.ndarray | None = None) -> np.ndarray:
+        """Node of each cell (``codes`` is columns x cells; bin 0 is missing). Cells start at ``node``, if given: where they
+        stood when the tree had fewer levels."""
+        if node is None:
+            node = np.zeros(codes.shape[1], dtype=np.int32)
+        # codes of cells lie in one array; a step looks up the next node by node and bin
+        flat, cells_, bins = codes.reshape(-1), np.arange(codes.shape[1]), int(codes.max(initial=0)) + 1
+        offset = np.maximum(self.feature, 0) * codes.shape[1]
+        bin_ = np.arange(bins)
+        left = np.where(bin_ == 0, self.missing_left[:, None], bin_ <= self.cut[:, None])
+        goes = np.where(self.feature[:, None] >= 0, self.left[:, None] + ~left, np.arange(len(self.feature))[:, None])
+        goes = goes.astype(np.int32).reshape(-1)
+        while True:
+            then = goes.take(node * np.int32(bins) + flat.take(offset.take(node) + cells_))
+            if np.array_equal(then, node):
+                return then
+            node = then
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         """Values for rows of raw values (rows x columns, NaN is missing)."""
@@ -201,25 +210,39 @@ def places(tree: Tree, open_: np.ndarray) -> np.ndarray:
     return place
 
 
-def level_job(blocks: DataFrame, base: float, since: list[Tree], tree: Tree, open_: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def cached(blocks: DataFrame) -> RDD:
+    """The blocks as cached dictionaries: a level's job is short, and planning and decoding it anew would outlast it."""
+    return blocks.rdd.map(lambda r: r.asDict()).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def level_job(blocks: RDD, base: float, since: list[Tree], tree: Tree, open_: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The sums of a level (2 x open nodes x all bins of all columns) by one Spark job."""
     size, place = len(open_) * int(starts[-1]), places(tree, open_)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(part: Iterator[dict]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         total = np.zeros((2, size))
-        for b in batches:
-            for block in b.to_pylist():
-                codes, n, s, p = unpacked(block)
-                for t in since:
-                    p += t.value[t.leaves(codes)]
-                add_sums(total, codes, n, s, p + base, place[tree.leaves(codes)], starts)
+        for block in part:
+            codes, n, s, p = unpacked(block)
+            for t in since:
+                p += t.value[t.leaves(codes)]
+            add_sums(total, codes, n, s, p + base, place[tree.leaves(codes)], starts)
         hit = np.flatnonzero(total[1])
         if len(hit):
-            yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int32)), pa.array(total[0][hit]), pa.array(total[1][hit])], names=["k", "g", "h"])
+            yield hit, total[:, hit]
 
-    found = blocks.mapInArrow(run, "k int, g double, h double").groupBy("k").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()
     out = np.zeros((2, size))
-    out[:, found.column("k").to_numpy()] = found.column("g").to_numpy(), found.column("h").to_numpy()
+    sums = blocks.mapPartitions(run)
+    if blocks.getNumPartitions() * size > DIRECT:
+        def dense(part: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[np.ndarray]:
+            total = np.zeros((2, size))
+            for hit, values in part:
+                total[:, hit] += values
+            yield total
+
+        out += sums.mapPartitions(dense).treeReduce(np.add)
+    else:
+        for hit, values in sums.collect():
+            out[:, hit] += values
     return out.reshape(2, len(open_), int(starts[-1]))
 
 
@@ -292,13 +315,17 @@ def boosted_in_task(blocks: list[dict], base: float, cuts: list[np.ndarray], sta
     n, s, p = (np.concatenate([x[k] for x in parts]) for k in (1, 2, 3))
     p += base
     for _ in range(rounds):
+        node = np.zeros(len(n), dtype=np.int32)  # where the cells stand in the unfinished tree
+
         def sums(tree: Tree, open_: np.ndarray) -> np.ndarray:
+            nonlocal node
+            node = tree.leaves(codes, node)
             total = np.zeros((2, len(open_) * int(starts[-1])))
-            add_sums(total, codes, n, s, p, places(tree, open_)[tree.leaves(codes)], starts)
+            add_sums(total, codes, n, s, p, places(tree, open_)[node], starts)
             return total.reshape(2, len(open_), -1)
 
         tree = grow(sums, cuts, starts, **settings)
-        p += tree.value[tree.leaves(codes)]
+        p += tree.value[tree.leaves(codes, node)]
         yield tree
 
 
@@ -337,12 +364,16 @@ def fit(train: DataFrame, features: Sequence[str], label: str = S.TARGET, rounds
         trees = [pickle.loads(r["tree"]) for r in sorted(found, key=lambda r: r["k"])]
         return Boosted(float(base), trees, list(features))
     trees = []
+    now = cached(blocks)
     for k in range(rounds):
         done = k - k % keep
         if k and k == done:
+            now.unpersist()
             blocks = applied(blocks, trees[k - keep:k])
-        now, since = blocks, trees[done:]
+            now = cached(blocks)
+        since = trees[done:]
         trees.append(grow(lambda tree, open_: level_job(now, base, since, tree, open_, starts), cuts, starts, **settings))  # noqa: B023
+    now.unpersist()
     return Boosted(float(base), trees, list(features))
 
 
