@@ -92,3 +92,14 @@ def test_blocks_change_nothing(spark, monkeypatch):
     assert {r[0] for r in blocks} == {r[0] for r in whole} and (201, "one two") in {(k, " ".join((t or "").split())) for k, t, *_ in blocks}
     clean = {k for k, *_, hit in brute(docs, items) if not hit}
     assert [r for r in blocks if r[0] in clean] == [r for r in whole if r[0] in clean]
+
+
+def test_one_block_is_one_python_step(spark):
+    """Two chained Python steps are two workers per task. Only what was cut differs from the rows that came in."""
+    docs = [(1, "a shared passage b", "p", 18), (2, "shared shared passage passage", "q", 29), (3, None, None, None), (4, "clean  Text", "r", 11), (4, "", "r", 0)]
+    d = spark.createDataFrame(docs, "t long, text string, row string, ever long").repartition(2)
+    b = spark.createDataFrame([("x", "shared passage")], "item_id string, text string")
+    out = decontaminate.remove(d, b, length="ever")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert out.schema == d.schema
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, "a  b", "p", 4), *docs[2:]], key=str)

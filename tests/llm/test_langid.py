@@ -114,3 +114,10 @@ def test_memory_and_steps_change_no_path(monkeypatch):
         monkeypatch.setattr(langid, "STEP", step)
         for d, p in zip(docs[:4], labeller.paths(docs)[:4], strict=True):
             assert ([p] * len(d) if isinstance(p, int) else p.tolist()) == plain(d)
+
+
+def test_text_goes_to_the_workers_once(spark):
+    docs = spark.createDataFrame([(1, "the cat", "en", "x"), (2, None, None, "y")], "doc_id long, text string, lang string, t string")
+    out = langid.identify(docs, langid.learn(docs))
+    assert " AS t#" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.row.doc_id, r.row.t, r.lang_pred, r.score) for r in out.collect()) == [(1, "x", "en", 1.0), (2, "y", "und", 0.0)]

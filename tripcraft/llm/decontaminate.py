@@ -197,10 +197,10 @@ def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str
     until no window occurs; rows of which no word is left are dropped. Clean rows are unchanged. ``length`` names
     a column with the text's code points that follows the cut, where the table has it.
 
-    With one block a task repeats search and cut itself. With more, a round is a stored pass per block and a cut of
+    With one block a single Python step searches and cuts, again and again, so a task has one worker; only texts that
+    changed come back beside the rows. With more, a round is a stored pass per block and a cut of
     all spans found, and a further round takes only the rows that the last one cut: a cut can join words to a new window."""
     n, block = _blocks(benchmark, item, item_text, window)
-    rows = _prepared(docs, text).withColumn("ever", F.lit(False))
 
     def cut(body: bytes, spans: list[tuple[int, int]]) -> bytes:
         places = [m.span() for m in _WORD.finditer(body)]
@@ -208,42 +208,51 @@ def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str
             body = body[:places[a][0]] + body[places[b - 1][1]:]
         return body
 
-    def cut_rows(rows: DataFrame, shared: Broadcast) -> DataFrame:
+    def cut_all(shared: Broadcast) -> DataFrame:
+        rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+        schema = rows.select("row", F.lit(None).cast("string").alias("t"), F.lit(False).alias("ever")).schema
+        at = docs.columns.index(text)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in sliced(batches, "row", 2000):
+                row = b.column("row")
+                raw = utf8(row.field(at))
+                now: dict[int, bytes] = {}
+                spans = shared.value.search([words_of(r) for r in raw])[0]
+                while spans:
+                    now.update((d, cut(now.get(d, raw[d]), found)) for d, found in spans.items())
+                    todo = sorted(spans)
+                    again = shared.value.search([words_of(now[d]) for d in todo])[0]
+                    spans = {todo[k]: found for k, found in again.items()}
+                new = [now[d].decode() if d in now else None for d in range(len(raw))]
+                yield pa.RecordBatch.from_arrays([row, pa.array(new, pa.string()), pa.array([x is not None for x in new], pa.bool_())],
+                                                 names=["row", "t", "ever"])
+
+        return rows.mapInArrow(run, schema)
+
+    def cut_rows(rows: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in sliced(batches, "t", 2000):
-                spans = {d: [(y["start"], y["end"]) for y in x] for d, x in enumerate(b.column("spans").to_pylist()) if x}
-                if spans:
-                    raw = utf8(b.column("t"))
-                    ever = [x or d in spans for d, x in enumerate(b.column("ever").to_pylist())]
-                    while spans:
-                        for d, found in spans.items():
-                            raw[d] = cut(raw[d], found)
-                        todo = sorted(spans)
-                        again = shared.value.search([words_of(raw[d]) for d in todo])[0] if n == 1 else {}
-                        spans = {todo[k]: found for k, found in again.items()}
-                    columns = {"t": pa.array([None if r is None else r.decode() for r in raw], b.schema.field("t").type),
-                               "ever": pa.array(ever, pa.bool_())}
-                    b = pa.RecordBatch.from_arrays([columns.get(c, b.column(k)) for k, c in enumerate(b.schema.names)], names=b.schema.names)
-                yield b
+                raw = [cut(t, [(y["start"], y["end"]) for y in x])
+                       for t, x in zip(utf8(b.column("t")), b.column("spans").to_pylist(), strict=True)]
+                columns = {"t": pa.array([r.decode() for r in raw], b.schema.field("t").type), "ever": pa.array([True] * len(raw), pa.bool_())}
+                yield pa.RecordBatch.from_arrays([columns.get(c, b.column(k)) for k, c in enumerate(b.schema.names)], names=b.schema.names)
 
         return rows.mapInArrow(run, rows.schema)
 
-    done: list[DataFrame] = []
-    while True:
-        for k in range(n):
-            shared = docs.sparkSession.sparkContext.broadcast(block(k))
-            rows = _search_block(rows, shared)
-            if n > 1:
-                rows = stored(rows, "decontaminate-cut")
+    def rounds() -> DataFrame:
+        rows, done = _prepared(docs, text).withColumn("ever", F.lit(False)), []
+        while True:
+            for k in range(n):
+                shared = docs.sparkSession.sparkContext.broadcast(block(k))
+                rows = stored(_search_block(rows, shared), "decontaminate-cut")
                 shared.unpersist()
-        if n == 1:
-            done.append(cut_rows(rows, shared))
-            break
-        done.append(rows.where(F.size("spans") == 0))
-        rows = cut_rows(rows.where(F.size("spans") > 0), shared).withColumn("spans", F.array().cast(SPANS))
-        if rows.isEmpty():
-            break
-    out = functools.reduce(DataFrame.unionAll, done)
+            done.append(rows.where(F.size("spans") == 0))
+            rows = cut_rows(rows.where(F.size("spans") > 0)).withColumn("spans", F.array().cast(SPANS))
+            if rows.isEmpty():
+                return functools.reduce(DataFrame.unionAll, done)
+
+    out = cut_all(docs.sparkSession.sparkContext.broadcast(block(0))) if n == 1 else rounds()
     left = F.col("t").rlike("[0-9A-Za-z\\x{80}-\\x{10FFFF}]")
 
     def column(c: str) -> Column:

@@ -400,7 +400,7 @@ def identify(docs: DataFrame, model: Model | WideModel, text: str = "text", span
     """``docs`` as a column ``row`` plus ``lang_pred``, ``score`` and, if asked, ``spans`` (start, end, lang)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    rows = rows.select("row", F.col(f"row.`{text}`").alias("t"))
+    at = docs.columns.index(text)  # the text goes to the workers once, inside its row
     kind = "array<struct<start:int,end:int,lang:string>>"
     schema = rows.select("row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"),
                          *([F.array().cast(kind).alias("spans")] if spans else [])).schema
@@ -408,8 +408,8 @@ def identify(docs: DataFrame, model: Model | WideModel, text: str = "text", span
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         labeller = held(("language", model.token, tuple(model.langs)), lambda: Labeller(model))
-        for b in sliced(batches, "t", 1000):
-            texts = b.column("t").to_pylist()
+        for b in sliced(batches, "row", 1000):
+            texts = b.column("row").field(at).to_pylist()
             found = labeller.languages(texts)
             columns = [b.column("row"), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             if spans:
