@@ -47,3 +47,22 @@ def test_files(spark):
     file = tokens.TokenFile(one[-1].path)
     assert file.document(file.n_docs - 1).tolist() == ids["long " * 20000] and file.width == 2
     assert tokens.write_and_read(docs.limit(0)).count() == 0
+
+
+def test_each_different_piece_is_looked_up_once(monkeypatch):
+    class Counting(dict):
+        asked = 0
+
+        def get(self, *key):
+            self.asked += 1
+            return super().get(*key)
+
+    encoder = tokens.Encoder(SPEC)
+    encoder.after = Counting()
+    texts = ["one " + "two three " * 500 + "end", None, "", "alone", "é two\nlines  and runs", "two three", "two"]
+    want = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
+    assert encoder.after.asked == 3
+    monkeypatch.setattr(tokens, "CHARS", 10)  # a text or two at once
+    for _ in range(3):  # unknown, seen once, remembered
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want

@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripcraft.llm.common import held, sliced, stored, table
-from tripcraft.llm.tokens import Encoder, default_vocabulary
+from tripcraft.llm.tokens import ROWS, Encoder, default_vocabulary
 
 LENGTH = 2048
 END_ID = 1
 BUCKETS = 1024
 DIMS, BITS, LIMIT = 6, 10, 4.0  # grid of the curve: 60-bit keys, coordinates from -LIMIT to LIMIT
 SEED = 11
-BATCH = 256  # documents encoded at once
+BATCH = 256  # documents hashed at once
 
 
 def signs(buckets: int = BUCKETS, dims: int = DIMS, seed: int = SEED) -> np.ndarray:
@@ -106,9 +106,9 @@ def encode(docs: DataFrame, key: str, text: str, vocabulary: str | None, end_id:
         encoder = held(("tokens", shared.value), lambda: Encoder(shared.value))
         matrix = signs()
         row = TaskContext.get().partitionId() << 33
-        for b in sliced(batches, "t", BATCH):
+        for b in sliced(batches, "t", ROWS):
             ids = [np.frombuffer(x + end, "<u4") for x in encoder.encode(b.column("t").to_pylist())]
-            curve = hilbert(grid(projected(hashed(ids), matrix)))
+            curve = np.concatenate([hilbert(grid(projected(hashed(ids[k:k + BATCH]), matrix))) for k in range(0, len(ids), BATCH)])
             yield pa.RecordBatch.from_arrays([
                 b.column("k"), pa.array(curve), pa.array(np.arange(row, row + len(ids))), pa.array([len(x) for x in ids], pa.int64()),
                 pa.array([x.astype(f"<u{width}").tobytes() for x in ids], pa.binary())], schema=arrow)

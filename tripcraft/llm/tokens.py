@@ -10,7 +10,8 @@ Order: range partitions of (key, hash of the text), sorted inside; null keys fir
 position of a file's first id is a running sum over the manifest (one row per file).
 
 Encoding: pieces between single spaces repeat a lot, so each worker keeps the ids of pieces it has seen
-twice (at most ``CACHE`` entries) and gives only others to the tokenizer. A space between two non-space
+twice (at most ``CACHE`` entries) and gives only others to the tokenizer; Arrow cuts a batch's texts and numbers
+their different pieces, so that Python looks each of them up once a batch. A space between two non-space
 characters always starts a pre-token of the byte-level pattern, so the pieces' ids concatenate to the whole text's ids; texts with adjacent white space are cut before white-space runs instead, and texts with
 the control characters U+001C to U+001F or with a special token's string, and all texts of a tokenizer of
 another kind, are encoded whole.
@@ -26,10 +27,11 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,6 +44,8 @@ CACHE = 400_000  # pieces a worker remembers
 ONCE = (1 << 22) - 1  # hash slots that note what has been seen once
 JOINED = 256  # new pieces given to the tokenizer as one text
 KEEP_LENGTH = 64  # longest piece that is remembered
+ROWS = 1024  # documents encoded at once,
+CHARS = 1 << 21  # or as many as have this number of characters
 MAGIC = b"EFTOKENS"
 _HEAD = struct.Struct("<8sBQQQQqQ")  # magic, id bytes, ids, documents, null keys, boundary bytes, lowest key, key bytes
 _UNSAFE = re.compile(r"\s\s|[\x1c-\x1f]|^\s|\s$")
@@ -81,80 +85,94 @@ class Encoder:
             self.lengths[i] = len(token)
         self.seen: dict[str, bytes] = {}  # pieces as they are
         self.after: dict[str, bytes] = {}  # pieces that follow a space
-        self.once = bytearray(ONCE + 1)
+        self.once = np.zeros(ONCE + 1, dtype=bool)
 
-    def _cut(self, text: str) -> tuple[list[str], list[str]]:
-        """(pieces as they are, pieces that follow a space)."""
-        if not text:
-            return [], []
+    def _cut(self, text: str) -> list[str] | None:
+        """Pieces as they are, or None if the text may be cut at its spaces."""
         if not self.pieces or any(x in text for x in self.special):
-            return [text], []
+            return [text]
         if "  " in text or "\n\n" in text or "\n " in text or " \n" in text or text[0].isspace() or text[-1].isspace() \
                 or not text.replace("\n", " ").isprintable():
             if _UNSAFE.search(text):
-                return ([text] if _CONTROL.search(text) else _RUNS.findall(text)), []
-        first, *rest = text.split(" ")
-        return [first], rest
+                return [text] if _CONTROL.search(text) else _RUNS.findall(text)
+        return None
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Of each text its ids. A long text, or as many as have CHARS characters, are taken at once."""
+        out: list[bytes] = []
+        upto = np.cumsum([len(t or "") for t in texts])
+        while len(out) < len(texts):
+            at = len(out)
+            before = int(upto[at - 1]) if at else 0
+            out += self._encode(texts[at:max(at + 1, int(np.searchsorted(upto, before + CHARS, side="right")))])
+        return out
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.seen) + len(self.after) > CACHE:
             self.seen.clear()
             self.after.clear()
-            self.once = bytearray(ONCE + 1)
-        cuts = [self._cut(t or "") for t in texts]
-        known = [(list(map(self.seen.get, head)), list(map(self.after.get, rest))) for head, rest in cuts]
-        holes = [(_holes(first), _holes(then)) for first, then in known]
-        alone = {p for (head, _), (gaps, _) in zip(cuts, holes, strict=True) for p in map(head.__getitem__, gaps)}
-        joined = {p for (_, rest), (_, gaps) in zip(cuts, holes, strict=True) for p in map(rest.__getitem__, gaps)}
-        own, later = self._alone(list(alone)), self._joined(list(joined))
-        for (head, rest), (first, then), (a, b) in zip(cuts, known, holes, strict=True):
-            for k in a:
-                first[k] = own[head[k]]
-            for k in b:
-                then[k] = later[rest[k]]
-        self._remember(self.seen, own)
-        self._remember(self.after, later)
-        return [b"".join(first) + b"".join(then) for first, then in known]
-
-    def _remember(self, where: dict[str, bytes], new: dict[str, bytes]) -> None:
+            self.once[:] = False
+        heads: list[str] = []
+        rests: list[str | None] = []  # what follows the first space
+        upto = [0]  # heads of each text and those before
+        for t in texts:
+            pieces = self._cut(t) if t else []
+            rest = None
+            if pieces is None:
+                head, space, then = t.partition(" ")
+                pieces, rest = [head], then if space else None
+            heads += pieces
+            upto.append(len(heads))
+            rests.append(rest)
+        first = self._ids(pa.array(heads, pa.large_string()), np.array(upto), self.seen, self._alone)
+        lists = pc.split_pattern(pa.array(rests, pa.large_string()), " ")
+        counts = pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False)
+        then = self._ids(lists.flatten(), np.concatenate([[0], np.cumsum(counts)]), self.after, self._joined)
+        return [a + b for a, b in zip(first, then, strict=True)]
+
+    def _ids(self, pieces: pa.Array, upto: np.ndarray, known: dict[str, bytes], make: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """Of each text its pieces' ids; ``upto`` says where a text's pieces begin and end. Each different piece is looked up once."""
+        if not len(pieces):
+            return [b""] * (len(upto) - 1)
+        numbered = pieces.dictionary_encode()
+        number = numbered.indices.to_numpy()
+        different = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(known.get, different))
+        gaps = [k for k, x in enumerate(ids) if x is None]
+        if gaps:
+            new = [different[k] for k in gaps]
+            made = make(new)
+            for k, x in zip(gaps, made, strict=True):
+                ids[k] = x
+            self._remember(known, new, made)
+        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        start = np.cumsum(size) - size
+        n = size[number]
+        end = np.cumsum(n)
+        at = np.repeat(start[number] - (end - n), n) + np.arange(end[-1])
+        raw = np.frombuffer(b"".join(ids), "<u4")[at].tobytes()
+        cuts = (4 * np.concatenate([[0], end])[upto]).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _remember(self, where: dict[str, bytes], pieces: list[str], ids: list[bytes]) -> None:
         """A piece is remembered when it comes again; most never do. Long ones are not."""
-        for p, x in new.items():
-            slot = hash(p) & ONCE
-            if not self.once[slot]:
-                self.once[slot] = 1
-            elif len(p) <= KEEP_LENGTH:
-                where[p] = x
-
-    def _alone(self, pieces: list[str]) -> dict[str, bytes]:
-        return {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(
-            pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True)}
-
-    def _joined(self, pieces: list[str]) -> dict[str, bytes]:
+        slots = np.fromiter(map(hash, pieces), dtype=np.int64, count=len(pieces)) & ONCE
+        again = np.flatnonzero(self.once[slots]).tolist()
+        self.once[slots] = True
+        where.update((pieces[k], ids[k]) for k in again if len(pieces[k]) <= KEEP_LENGTH)
+
+    def _alone(self, pieces: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _joined(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces that follow a space. They are given to the tokenizer JOINED at a time, with their spaces:
         they do not change each other's ids, and the byte lengths of the tokens say where one ends."""
-        ids = {}
-        groups = [pieces[k:k + JOINED] for k in range(0, len(pieces), JOINED)]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False),
-                            strict=True):
-            flat = np.array(e.ids, dtype="<u4")
-            sizes = np.cumsum([len(p.encode("utf-8", "surrogatepass")) + 1 for p in group])
-            ends = np.searchsorted(np.cumsum(self.lengths[flat]), sizes) + 1
-            raw, at = flat.tobytes(), 0
-            for p, end in zip(group, (4 * ends).tolist(), strict=True):
-                ids[p] = raw[at:end]
-                at = end
-        return ids
-
-
-def _holes(ids: list[bytes | None]) -> list[int]:
-    """Where the list has None."""
-    out, at = [], -1
-    try:
-        while True:
-            at = ids.index(None, at + 1)
-            out.append(at)
-    except ValueError:
-        return out
+        groups = [" " + " ".join(pieces[k:k + JOINED]) for k in range(0, len(pieces), JOINED)]
+        flat = np.concatenate([np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(groups, add_special_tokens=False)])
+        sizes = np.cumsum(pc.binary_length(pa.array(pieces, pa.large_string())).to_numpy() + 1)
+        cuts = [0, *(4 * (np.searchsorted(np.cumsum(self.lengths[flat]), sizes) + 1)).tolist()]
+        raw = flat.tobytes()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def pack(keys: list[int | None], ids: list[bytes], width: int) -> bytes:
@@ -239,7 +257,7 @@ def write(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text",
             return pa.RecordBatch.from_pylist([{"path": uri, "part": part, "seq": seq, "n_docs": len(keys),
                                                 "n_ids": size}], schema=arrow)
 
-        for b in sliced(batches, "t", 256):
+        for b in sliced(batches, "t", ROWS):
             encoded = encoder.encode(b.column("t").to_pylist())
             for k, x in zip(b.column("k").to_pylist(), encoded, strict=True):
                 keys.append(k)
