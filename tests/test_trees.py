@@ -209,3 +209,83 @@ def test_cells_go_on_from_where_they_stand(spark):
     trees.append(boosting.grow(sums, cuts, starts, 3, 0.1, 1.0, 1.0))
     assert (trees[0].feature >= 0).sum() >= 3 and np.array_equal(trees[0].leaves(codes, node), trees[0].leaves(codes))
     assert boosting.stub().leaves(codes[:, :0]).shape == (0,)
+
+
+@pytest.mark.parametrize("most", [0, 30, 4096])
+def test_packed_columns_give_the_sums_and_steps_of_columns(most):
+    rng = np.random.default_rng(8)
+    sizes = [3, 5, 1, 9, 4, 4]
+    codes = np.stack([rng.integers(0, z, 500) for z in sizes])
+    packs = boosting.Packs(sizes, most)
+    assert len(packs.bins) == {0: 6, 30: 3, 4096: 1}[most] and all(x <= max(most, 9) for x in packs.bins)
+    packed = np.stack(packs.codes(codes)).astype("<u2")
+    n, s, at = rng.integers(1, 4, 500).astype(float), rng.normal(size=500), rng.integers(-1, 3, 500)
+    total = np.zeros((2, 3 * int(packs.starts[-1])))
+    boosting.add_sums(total, packed, n, s, np.ones(500), at, packs.starts)
+    got = packs.by_column(total)
+    for k, x in enumerate((n - s, n)):
+        want = [[x[(at == a) & (codes[f] == v)].sum() for f in range(6) for v in range(sizes[f])] for a in range(3)]
+        assert np.allclose(got[k], want)
+    tree = boosting.Tree(np.array([3, 1, -1, -1, 4, -1, -1]), np.array([6, 2, 0, 0, 1, 0, 0]), np.zeros(7), np.array([0, 1, 0, 0, 1, 0, 0], bool),
+                         np.array([1, 3, -1, -1, 5, -1, -1]), np.zeros(7), np.zeros(7))
+    want = [2 if not 0 < c[3] <= 6 else 3 if c[1] <= 2 else 5 if c[4] <= 1 else 6 for c in codes.T]
+    assert tree.leaves(codes).tolist() == tree.leaves(packed, way=boosting.Way(tree, packs)).tolist() == want
+
+
+def test_one_child_of_two_is_summed():
+    """Below the root cells are added for the child of fewer rows only, and trees are those of sums of all nodes."""
+    rng = np.random.default_rng(9)
+    codes = rng.integers(0, 6, size=(3, 900)).astype("<u2")
+    n, s = rng.integers(1, 4, 900).astype(float), rng.normal(size=900) + codes[0] * codes[1]
+    cuts, starts = [np.arange(4) + 0.5] * 3, np.array([0, 6, 12, 18])
+    asked = []
+
+    def sums(tree, open_):
+        place = boosting.places(tree, open_)[tree.leaves(codes)]
+        total = np.zeros((2, len(open_) * 18))
+        boosting.add_sums(total, codes, n, s, np.zeros(900), place, starts)
+        asked.append(n[place >= 0].sum() / n.sum())
+        return total.reshape(2, len(open_), 18)
+
+    tree = boosting.grow(sums, cuts, starts, 4, 0.1, 1.0, 1.0)
+    assert asked[0] == 1 and len(asked) == 4 and max(asked[1:]) <= 0.5
+    node, value = tree.leaves(codes), tree.value.copy()
+    for k in np.unique(node):
+        assert np.isclose(value[k], 0.1 * s[node == k].sum() / (n[node == k].sum() + 1))
+
+
+def test_learners_of_the_comparison_run_at_the_same_time(spark):
+    from threading import Barrier
+
+    from tripcraft import schema as S
+    from tripcraft.operators import ml as M
+    together = Barrier(4, timeout=60)
+
+    def learner(shift):
+        def run(train, test, features):
+            together.wait()
+            return test.withColumn("prediction", F.lit(10.0 + shift) + F.lit(train.count()))
+        return run
+
+    rows = spark.range(6).select(*(F.when(F.col("id") == k, None).otherwise(F.lit(1.0)).alias(c) for k, c in enumerate(S.FULL_FEATURES)),
+                                 F.col("id").cast("double").alias(S.TARGET))
+    got = M.pruning_comparison(rows, rows.where(f"{S.TARGET} < 5"), {"a": learner(0), "b": learner(1)}).collect()
+    y = [k for k in range(6) if S.FULL_FEATURES[k] not in S.REDUCED_FEATURES]  # rows without nulls in the reduced list
+    assert [r.model for r in got] == ["a_full", "b_full", "a_reduced", "b_reduced"]
+    assert [r.n for r in got] == [0, 0, sum(v < 5 for v in y), sum(v < 5 for v in y)]
+    assert [r.mae for r in got[2:]] == [round(float(np.mean([10 + x + len(y) - v for v in y if v < 5])), 6) for x in (0, 1)]
+
+
+def test_jobs_equal_the_one_task(spark, monkeypatch):
+    """Thirteen columns, packed; blocks of several elements, predictions checkpointed between; the same trees either way."""
+    monkeypatch.setattr(boosting, "CELLS", 32)
+    monkeypatch.setattr(boosting, "HELD", 64)
+    rng = np.random.default_rng(11)
+    names = [f"x{k}" for k in range(13)]
+    x = np.column_stack([rng.integers(0, z, 600) for z in (4, 7, 40, 6, 1, 2, 24, 7, 12, 2, 2, 2, 6)]).astype(float)
+    y = x[:, 2] * 45 + x[:, 6] * (x[:, 0] > 1) + rng.integers(0, 90, 600)
+    rows = [(*(None if rng.random() < 0.05 else float(v) for v in r), float(t)) for r, t in zip(x, y, strict=True)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names) + ", y double").repartition(3)
+    one, jobs = (boosting.fit(df, names, "y", rounds=5, depth=4, keep=2, one_task=t) for t in (1 << 20, 0))
+    for a, b in zip(one.trees, jobs.trees, strict=True):
+        assert a.feature.tolist() == b.feature.tolist() and a.cut.tolist() == b.cut.tolist() and np.allclose(a.value, b.value)

@@ -3,41 +3,83 @@
 Columns are cut into at most ``bins`` bins, null and NaN being a bin of their own, and rows with equal bins become one
 cell (bins, rows, label sum): with the squared error a cell's gradient is rows * prediction - label sum and its
 hessian is rows, so cells lose nothing, and however many rows there are, cells are at most the combinations
-of bins that occur. Cells are stored once, in blocks.
+of bins that occur. Cells are stored once, in blocks. Columns of few bins are packed: a number stands for the bins of
+several columns (`Packs`), so that sums and steps take a pass per pack.
 
 A tree grows by levels: gradient and hessian sums per (node, column, bin), then each node's best cut by the regularised
-gain, tried with the missing values on either side. Up to ``ONE_TASK`` cells (counted, about 40 MB) all rounds run in one
+gain, tried with the missing values on either side. Of two children only the one of fewer rows is summed over cells; the
+other's sums are their parent's without it. Up to ``ONE_TASK`` cells (counted, about 200 MB) all rounds run in one
 task over the cells: no step of boosting can start before the last one ends, and a Spark job costs more than the
 step. Beyond that a level is a job over the cached blocks, without a shuffle where it can be: tasks add the sums over
 their blocks and give one vector each (nodes x columns x bins at most, whatever the data are), which the driver adds,
-after a tree of adding tasks if they have more than ``DIRECT`` numbers. Predictions of the cells are then written to the
-shared folder every ``keep`` rounds; between, tasks apply the few trees grown since. A lost executor costs its tasks and
-its cached blocks, which are read again from the shared folder.
+after a tree of adding tasks if they have more than ``DIRECT`` numbers. A round's blocks are cached with the predictions
+of the trees so far, and written to the shared folder (a checkpoint) every ``keep`` rounds. A lost executor costs its tasks
+and its cached blocks, which are read again from there with the few trees since.
 """
 
 from __future__ import annotations
 
 import pickle
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import RDD, StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripcraft import schema as S
-from tripcraft.session import stored
+from tripcraft.session import checkpoint_dir, stored
 
-CELLS = 1 << 16  # cells of a block
-ONE_TASK = 1 << 20  # most cells that one task boosts
-KEEP = 5  # rounds between two writes of the predictions
+CELLS = 1 << 16  # cells of a stored block
+HELD = 1 << 17  # cells that are worked on at once, about: their sums and steps stay in a core's cache
+PACK = 1 << 12  # most bins of several columns packed together, for trees of up to 6 levels; half as many for each level more
+ONE_TASK = 1 << 22  # most cells that one task boosts: there a level takes what the jobs of a level cost on some 8 cores
+KEEP = 10  # rounds between two writes of the predictions
 MERGERS = 4  # shuffle partitions of the small jobs
 DIRECT = 1 << 22  # sums of all tasks of a level that the driver adds itself (64 MB)
-BLOCK = "codes binary, n binary, s binary, p binary"
-_BLOCK = pa.schema([(c, pa.binary()) for c in ("codes", "n", "s", "p")])
+BLOCK = "codes binary, n binary, s binary"
+_BLOCK = pa.schema([(c, pa.binary()) for c in ("codes", "n", "s")])
+
+
+class Packs:
+    """Which columns share a number, the largest first into the first pack with room. A pack's code has a digit per column
+    (its bin); a column of more than ``most`` bins is a pack alone."""
+
+    def __init__(self, sizes: Sequence[int], most: int):
+        self.sizes, self.inside, self.bins = [int(x) for x in sizes], [], []
+        self.of, self.stride = np.zeros(len(sizes), dtype=int), np.ones(len(sizes), dtype=int)
+        for f in sorted(range(len(self.sizes)), key=lambda f: -self.sizes[f]):
+            b = next((b for b, x in enumerate(self.bins) if x * self.sizes[f] <= most), len(self.bins))
+            if b == len(self.bins):
+                self.inside.append([])
+                self.bins.append(1)
+            self.of[f], self.stride[f] = b, self.bins[b]
+            self.inside[b].append(f)
+            self.bins[b] *= self.sizes[f]
+        self.starts = np.concatenate([[0], np.cumsum(self.bins)])
+        self.column_starts = np.concatenate([[0], np.cumsum(self.sizes)])
+
+    def digits(self, f: int) -> np.ndarray:
+        """Column ``f``'s bin for each code of its pack."""
+        return np.arange(self.bins[self.of[f]]) // self.stride[f] % self.sizes[f]
+
+    def codes(self, columns: Sequence[np.ndarray]) -> list[np.ndarray]:
+        """Codes of the packs for the bins of the columns."""
+        return [sum(columns[f].astype(np.int32) * np.int32(self.stride[f]) for f in some) for some in self.inside]
+
+    def by_column(self, total: np.ndarray) -> np.ndarray:
+        """Sums per bin of the columns (2 x nodes x all bins of all columns) from those per code (2 x (nodes x all codes))."""
+        total = total.reshape(2, -1, int(self.starts[-1]))
+        out = np.empty((2, total.shape[1], int(self.column_starts[-1])))
+        for b, some in enumerate(self.inside):
+            part = total[:, :, self.starts[b]:self.starts[b + 1]].reshape(2, total.shape[1], *(self.sizes[f] for f in reversed(some)))
+            for k, f in enumerate(reversed(some)):
+                others = tuple(2 + j for j in range(len(some)) if j != k)
+                out[:, :, self.column_starts[f]:self.column_starts[f + 1]] = part.sum(axis=others)
+        return out
 
 
 @dataclass
@@ -52,23 +94,19 @@ class Tree:
     value: np.ndarray  # leaf weight times the rate
     gain: np.ndarray
 
-    def leaves(self, codes: np.ndarray, node: np.ndarray | None = None) -> np.ndarray:
-        """Node of each cell (``codes`` is columns x cells; bin 0 is missing). Cells start at ``node``, if given: where they
-        stood when the tree had fewer levels."""
+    def leaves(self, codes: np.ndarray, node: np.ndarray | None = None, way: Way | None = None) -> np.ndarray:
+        """Node of each cell (``codes`` is columns x cells, or packs x cells if ``way`` has packs; bin 0 is missing). Cells start
+        at ``node``, if given: where they stood when the tree had fewer levels."""
+        way = way or Way(self, Packs([int(codes.max(initial=0)) + 1] * len(codes), 0))
         if node is None:
-            node = np.zeros(codes.shape[1], dtype=np.int32)
-        # codes of cells lie in one array; a step looks up the next node by node and bin
-        flat, cells_, bins = codes.reshape(-1), np.arange(codes.shape[1]), int(codes.max(initial=0)) + 1
-        offset = np.maximum(self.feature, 0) * codes.shape[1]
-        bin_ = np.arange(bins)
-        left = np.where(bin_ == 0, self.missing_left[:, None], bin_ <= self.cut[:, None])
-        goes = np.where(self.feature[:, None] >= 0, self.left[:, None] + ~left, np.arange(len(self.feature))[:, None])
-        goes = goes.astype(np.int32).reshape(-1)
-        while True:
-            then = goes.take(node * np.int32(bins) + flat.take(offset.take(node) + cells_))
-            if np.array_equal(then, node):
-                return then
-            node = then
+            node, levels = np.zeros(codes.shape[1], dtype=np.int32), way.height[0]
+        else:
+            levels = way.height[np.bincount(node, minlength=len(way.height)) > 0].max(initial=0)
+        # codes of cells lie in one array; a step looks up the next node by node and code
+        flat, cells_, offset = codes.reshape(-1), np.arange(codes.shape[1]), way.pack * codes.shape[1]
+        for _ in range(levels):
+            node = way.goes.take(node * np.int32(way.bins) + flat.take(offset.take(node) + cells_))
+        return node
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         """Values for rows of raw values (rows x columns, NaN is missing)."""
@@ -83,6 +121,24 @@ class Tree:
         return self.value[node]
 
 
+class Way:
+    """A tree's steps for codes of packs: the next node by node and code (leaves stay), the pack that a node looks at and the
+    levels below it."""
+
+    def __init__(self, tree: Tree, packs: Packs):
+        nodes, self.bins = len(tree.feature), max(packs.bins)
+        goes = np.repeat(np.arange(nodes, dtype=np.int32), self.bins).reshape(nodes, self.bins)
+        self.height, self.pack = np.zeros(nodes, dtype=int), np.zeros(nodes, dtype=int)
+        for k in np.flatnonzero(tree.feature >= 0)[::-1]:
+            f, left = tree.feature[k], tree.left[k]
+            right = np.arange(packs.sizes[f]) > tree.cut[k]
+            right[0] = not tree.missing_left[k]
+            digits = packs.digits(f)
+            goes[k, :len(digits)] = left + right.take(digits)
+            self.height[k], self.pack[k] = 1 + self.height[left:left + 2].max(), packs.of[f]
+        self.goes = goes.reshape(-1)
+
+
 def stub() -> Tree:
     one = np.zeros(1)
     return Tree(np.full(1, -1), np.zeros(1, int), one + np.nan, np.zeros(1, bool), np.full(1, -1), one.copy(), one.copy())
@@ -141,30 +197,29 @@ def cut_points(df: DataFrame, features: Sequence[str], bins: int) -> list[np.nda
     return out
 
 
-def cells(df: DataFrame, features: Sequence[str], label: str, cuts: list[np.ndarray]) -> DataFrame:
-    """Stored blocks of cells: codes (columns x cells, 16 bits, 0 is missing), rows, label sums and predictions."""
-    names = [f"c{k}" for k in range(len(features))]
+def cells(df: DataFrame, features: Sequence[str], label: str, cuts: list[np.ndarray], packs: Packs) -> DataFrame:
+    """Stored blocks of cells: codes (packs x cells, 16 bits), rows and label sums."""
+    columns, names = [f"c{k}" for k in range(len(features))], [f"p{k}" for k in range(len(packs.bins))]
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            columns = []
+            bins = []
             for k, c in enumerate(cuts):
                 x = raw(b.column(k))
-                columns.append(pa.array(np.where(np.isnan(x), 0, np.searchsorted(c, x, side="right") + 1).astype(np.int16)))
-            yield pa.RecordBatch.from_arrays([*columns, b.column(len(cuts))], names=[*names, "y"])
+                bins.append(np.where(np.isnan(x), 0, np.searchsorted(c, x, side="right") + 1) if len(c) else np.zeros(len(x), int))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, packs.codes(bins)), b.column(len(cuts))], names=[*names, "y"])
 
-    rows = df.select(*(F.col(c).cast("double").alias(n) for c, n in zip(features, names, strict=True)), F.col(label).cast("double").alias("y"))
-    each = rows.where("y is not null").mapInArrow(binned, ", ".join(f"{n} smallint" for n in names) + ", y double").groupBy(*names).agg(
+    rows = df.select(*(F.col(c).cast("double").alias(n) for c, n in zip(features, columns, strict=True)), F.col(label).cast("double").alias("y"))
+    each = rows.where("y is not null").mapInArrow(binned, ", ".join(f"{n} int" for n in names) + ", y double").groupBy(*names).agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.sum("y").alias("s"))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, CELLS):
                 part = b.slice(at, CELLS)
-                codes = b"".join(part.column(k).to_numpy().astype("<u2").tobytes() for k in range(len(cuts)))
-                n, s = part.column("n").to_numpy(), part.column("s").to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (codes, n.tobytes(), s.tobytes(), np.zeros(len(n)).tobytes())],
-                                                 schema=_BLOCK)
+                codes = b"".join(part.column(k).to_numpy().astype("<u2").tobytes() for k in range(len(names)))
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (
+                    codes, part.column("n").to_numpy().tobytes(), part.column("s").to_numpy().tobytes())], schema=_BLOCK)
 
     # at least a block per core; one job per level follows, so these read the blocks without adaptive planning
     spread = each.repartition(df.sparkSession.sparkContext.defaultParallelism) if fewer_tasks(each) else each
@@ -186,21 +241,35 @@ def planned_once(table: DataFrame) -> DataFrame:
     return session.read.schema(table.schema).parquet(*table.inputFiles())
 
 
-def unpacked(block: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def unpacked(block: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = np.frombuffer(block["n"])
-    return np.frombuffer(block["codes"], "<u2").reshape(-1, len(n)), n, np.frombuffer(block["s"]), np.frombuffer(block["p"]).copy()
+    return np.frombuffer(block["codes"], "<u2").reshape(-1, len(n)), n, np.frombuffer(block["s"])
+
+
+def gathered(blocks: Iterable[dict]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Codes, rows and label sums of the blocks, joined to about ``HELD`` cells."""
+    some, size = [], 0
+    for block in blocks:
+        some.append(unpacked(block))
+        size += len(some[-1][1])
+        if size >= HELD:
+            yield tuple(np.concatenate(x, axis=-1) for x in zip(*some, strict=True))
+            some, size = [], 0
+    if some:
+        yield tuple(np.concatenate(x, axis=-1) for x in zip(*some, strict=True))
 
 
 def add_sums(total: np.ndarray, codes: np.ndarray, n: np.ndarray, s: np.ndarray, p: np.ndarray, at: np.ndarray, starts: np.ndarray) -> None:
-    """Add the cells' gradients and hessians to ``total`` (2 x (open nodes x all bins)); ``at`` is a cell's open node or -1."""
-    inside = at >= 0
-    if not inside.all():
-        codes, n, s, p, at = codes[:, inside], n[inside], s[inside], p[inside], at[inside]
-    g = n * p - s
-    for f in range(len(codes)):
-        key = at * int(starts[-1]) + int(starts[f]) + codes[f]
-        total[0] += np.bincount(key, g, total.shape[1])
-        total[1] += np.bincount(key, n, total.shape[1])
+    """Add the cells' gradients and hessians to ``total`` (2 x (open nodes x all codes)); ``at`` is a cell's open node or -1."""
+    inside = np.flatnonzero(at >= 0)
+    if len(inside) < len(at):
+        codes, n, s, p, at = [c.take(inside) for c in codes], n.take(inside), s.take(inside), p.take(inside), at.take(inside)
+    g, sums = n * p - s, total.reshape(2, -1, int(starts[-1]))
+    for f in range(len(starts) - 1):
+        bins = int(starts[f + 1] - starts[f])
+        key = at * bins + codes[f]
+        for k, x in enumerate((g, n)):
+            sums[k, :, starts[f]:starts[f + 1]] += np.bincount(key, x, sums.shape[1] * bins).reshape(-1, bins)
 
 
 def places(tree: Tree, open_: np.ndarray) -> np.ndarray:
@@ -210,25 +279,37 @@ def places(tree: Tree, open_: np.ndarray) -> np.ndarray:
     return place
 
 
-def cached(blocks: DataFrame) -> RDD:
-    """The blocks as cached dictionaries: a level's job is short, and planning and decoding it anew would outlast it."""
-    return blocks.rdd.map(lambda r: r.asDict()).persist(StorageLevel.MEMORY_AND_DISK)
+def cached(blocks: DataFrame, base: float) -> RDD:
+    """Cached blocks (codes, rows, label sums, predictions): a level's job is short, and reading them anew would outlast it."""
+    def run(part: Iterator[Row]) -> Iterator[tuple[np.ndarray, ...]]:
+        for codes, n, s in gathered(block.asDict() for block in part):
+            yield codes, n.astype(np.min_scalar_type(int(n.max()))), s, np.full(len(n), base)
+
+    return blocks.rdd.mapPartitions(run).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def level_job(blocks: RDD, base: float, since: list[Tree], tree: Tree, open_: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def applied(blocks: RDD, tree: Tree, packs: Packs) -> RDD:
+    """Cached blocks with the tree's values added to the predictions."""
+    def run(part: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, ...]]:
+        way = Way(tree, packs)
+        for codes, n, s, p in part:
+            yield codes, n, s, p + tree.value.take(tree.leaves(codes, way=way))
+
+    return blocks.mapPartitions(run).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def level_job(blocks: RDD, tree: Tree, open_: np.ndarray, packs: Packs) -> np.ndarray:
     """The sums of a level (2 x open nodes x all bins of all columns) by one Spark job."""
-    size, place = len(open_) * int(starts[-1]), places(tree, open_)
-
-    def run(part: Iterator[dict]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        total = np.zeros((2, size))
-        for block in part:
-            codes, n, s, p = unpacked(block)
-            for t in since:
-                p += t.value[t.leaves(codes)]
-            add_sums(total, codes, n, s, p + base, place[tree.leaves(codes)], starts)
-        hit = np.flatnonzero(total[1])
+    place, size = places(tree, open_), len(open_) * int(packs.column_starts[-1])
+
+    def run(part: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        way, total = Way(tree, packs), np.zeros((2, len(open_) * int(packs.starts[-1])))
+        for codes, n, s, p in part:
+            add_sums(total, codes, n.astype(np.float64), s, p, place.take(tree.leaves(codes, way=way)), packs.starts)
+        found = packs.by_column(total).reshape(2, size)
+        hit = np.flatnonzero(found[1])
         if len(hit):
-            yield hit, total[:, hit]
+            yield hit, found[:, hit]
 
     out = np.zeros((2, size))
     sums = blocks.mapPartitions(run)
@@ -243,7 +324,7 @@ def level_job(blocks: RDD, base: float, since: list[Tree], tree: Tree, open_: np
     else:
         for hit, values in sums.collect():
             out[:, hit] += values
-    return out.reshape(2, len(open_), int(starts[-1]))
+    return out.reshape(2, len(open_), -1)
 
 
 def best_cuts(g: np.ndarray, h: np.ndarray, starts: np.ndarray, penalty: float, least: float) -> dict[str, np.ndarray]:
@@ -281,11 +362,19 @@ def best_cuts(g: np.ndarray, h: np.ndarray, starts: np.ndarray, penalty: float,
 
 def grow(sums: Callable[[Tree, np.ndarray], np.ndarray], cuts: list[np.ndarray], starts: np.ndarray, depth: int, rate: float,
          penalty: float, least: float) -> Tree:
-    """One tree; ``sums`` gives the gradient and hessian sums of the open nodes of an unfinished tree."""
+    """One tree; ``sums`` gives the gradient and hessian sums of the given open nodes of an unfinished tree."""
     tree = stub()
     open_ = np.zeros(1, dtype=int)
     for level in range(depth):
-        g, h = sums(tree, open_)
+        if level == 0:
+            g, h = sums(tree, open_)
+        else:  # a child of every two, and what its parent has besides
+            both = np.empty((2, len(open_), int(starts[-1])))
+            rows = np.arange(0, len(open_), 2)
+            both[:, rows + fewer] = sums(tree, open_[rows + fewer])
+            both[:, rows + 1 - fewer] = np.stack([g, h])[:, split] - both[:, rows + fewer]
+            g, h = both
+            g[h == 0] = 0.0  # without what rounding leaves in bins without rows
         whole_g, whole_h = g[:, :starts[1]].sum(axis=1), h[:, :starts[1]].sum(axis=1)
         if level == 0:  # the root's value, should it stay a leaf
             tree.value[0] = -rate * whole_g[0] / (whole_h[0] + penalty)
@@ -299,6 +388,7 @@ def grow(sums: Callable[[Tree, np.ndarray], np.ndarray], cuts: list[np.ndarray],
         tree.feature[at], tree.cut[at], tree.missing_left[at], tree.gain[at] = feature, cut, best["missing_left"][split], best["gain"][split]
         tree.threshold[at] = [cuts[f][c - 1] for f, c in zip(feature, cut, strict=True)]
         tree.left[at] = len(tree.feature) + np.arange(0, m, 2)
+        fewer = (whole_h[split] < 2 * lh).astype(int)
         weights = np.column_stack([-rate * lg / (lh + penalty), -rate * (whole_g[split] - lg) / (whole_h[split] - lh + penalty)]).reshape(-1)
         open_ = np.arange(len(tree.feature), len(tree.feature) + m)
         blank = np.zeros(m)
@@ -308,47 +398,34 @@ def grow(sums: Callable[[Tree, np.ndarray], np.ndarray], cuts: list[np.ndarray],
     return tree
 
 
-def boosted_in_task(blocks: list[dict], base: float, cuts: list[np.ndarray], starts: np.ndarray, rounds: int, **settings) -> Iterator[Tree]:
+def boosted_in_task(blocks: Iterable[dict], base: float, cuts: list[np.ndarray], packs: Packs, rounds: int, **settings) -> Iterator[Tree]:
     """All rounds over cells in memory."""
-    parts = [unpacked(b) for b in blocks]
-    codes = np.concatenate([c for c, _, _, _ in parts], axis=1)
-    n, s, p = (np.concatenate([x[k] for x in parts]) for k in (1, 2, 3))
-    p += base
+    parts = [(codes, n, s, np.full(len(n), float(base))) for codes, n, s in gathered(blocks)]
     for _ in range(rounds):
-        node = np.zeros(len(n), dtype=np.int32)  # where the cells stand in the unfinished tree
+        nodes = [np.zeros(len(n), dtype=np.int32) for _, n, _, _ in parts]  # where the cells stand in the unfinished tree
 
         def sums(tree: Tree, open_: np.ndarray) -> np.ndarray:
-            nonlocal node
-            node = tree.leaves(codes, node)
-            total = np.zeros((2, len(open_) * int(starts[-1])))
-            add_sums(total, codes, n, s, p, places(tree, open_)[node], starts)
-            return total.reshape(2, len(open_), -1)
-
-        tree = grow(sums, cuts, starts, **settings)
-        p += tree.value[tree.leaves(codes, node)]
+            way, place, total = Way(tree, packs), places(tree, open_), np.zeros((2, len(open_) * int(packs.starts[-1])))
+            for k, (codes, n, s, p) in enumerate(parts):
+                nodes[k] = tree.leaves(codes, nodes[k], way)  # noqa: B023
+                add_sums(total, codes, n, s, p, place.take(nodes[k]), packs.starts)  # noqa: B023
+            return packs.by_column(total)
+
+        tree = grow(sums, cuts, packs.column_starts, **settings)
+        way = Way(tree, packs)
+        for node, (codes, _, _, p) in zip(nodes, parts, strict=True):
+            p += tree.value.take(tree.leaves(codes, node, way))
         yield tree
 
 
-def applied(blocks: DataFrame, since: list[Tree]) -> DataFrame:
-    """Blocks with the trees' values added to the predictions, in the shared folder."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for block in b.to_pylist():
-                codes, _, _, p = unpacked(block)
-                for t in since:
-                    p += t.value[t.leaves(codes)]
-                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (block["codes"], block["n"], block["s"], p.tobytes())], schema=_BLOCK)
-
-    return planned_once(stored(blocks.mapInArrow(run, BLOCK), "boost-cells")[0])
-
-
 def fit(train: DataFrame, features: Sequence[str], label: str = S.TARGET, rounds: int = 200, depth: int = 6, rate: float = 0.1,
         penalty: float = 1.0, least: float = 1.0, bins: int = 256, keep: int = KEEP, one_task: int = ONE_TASK) -> Boosted:
     """``rounds`` trees of at most ``depth`` levels. ``penalty`` is the L2 term of leaf weights, ``least`` the smallest
     hessian sum of a child. Rows without a label are left out; missing features go to the side that gains more."""
     cuts = cut_points(train.where(F.col(label).isNotNull()), features, bins)
-    starts = np.concatenate([[0], np.cumsum([len(c) + 2 for c in cuts])])  # the missing bin, and one more bin than cuts
-    blocks = cells(train, features, label, cuts)
+    sizes = [len(c) + 2 if len(c) else 1 for c in cuts]  # the missing bin, and one more bin than cuts
+    packs = Packs(sizes, PACK >> max(0, depth - 6))
+    blocks = cells(train, features, label, cuts, packs)
     sums = blocks.mapInArrow(_totals, "cells long, n double, s double").agg(*(F.sum(c).alias(c) for c in ("cells", "n", "s"))).first()
     if not sums["n"]:
         raise ValueError("no rows to fit boosted trees on")
@@ -356,23 +433,24 @@ def fit(train: DataFrame, features: Sequence[str], label: str = S.TARGET, rounds
     settings = {"depth": depth, "rate": rate, "penalty": penalty, "least": least}
     if sums["cells"] <= one_task:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held = [block for b in batches for block in b.to_pylist()]
-            for k, tree in enumerate(boosted_in_task(held, base, cuts, starts, rounds, **settings)):
+            held = (block for b in batches for block in b.to_pylist())
+            for k, tree in enumerate(boosted_in_task(held, base, cuts, packs, rounds, **settings)):
                 yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([pickle.dumps(tree)], pa.binary())], names=["k", "tree"])
 
         found = blocks.repartition(1).mapInArrow(run, "k long, tree binary").collect()
         trees = [pickle.loads(r["tree"]) for r in sorted(found, key=lambda r: r["k"])]
         return Boosted(float(base), trees, list(features))
-    trees = []
-    now = cached(blocks)
+    checkpoint_dir(train.sparkSession)
+    trees: list[Tree] = []
+    now, before = cached(blocks, base), None
     for k in range(rounds):
-        done = k - k % keep
-        if k and k == done:
-            now.unpersist()
-            blocks = applied(blocks, trees[k - keep:k])
-            now = cached(blocks)
-        since = trees[done:]
-        trees.append(grow(lambda tree, open_: level_job(now, base, since, tree, open_, starts), cuts, starts, **settings))  # noqa: B023
+        if k:
+            now, before = applied(now, trees[-1], packs), now
+            if k % keep == 0:
+                now.checkpoint()  # written by the job of the first level
+        trees.append(grow(lambda tree, open_: level_job(now, tree, open_, packs), cuts, packs.column_starts, **settings))  # noqa: B023
+        if before is not None:
+            before.unpersist()
     now.unpersist()
     return Boosted(float(base), trees, list(features))
 
@@ -380,5 +458,5 @@ def fit(train: DataFrame, features: Sequence[str], label: str = S.TARGET, rounds
 def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for block in b.to_pylist():
-            _, n, s, _ = unpacked(block)
+            _, n, s = unpacked(block)
             yield pa.RecordBatch.from_arrays([pa.array([len(n)]), pa.array([n.sum()]), pa.array([s.sum()])], names=["cells", "n", "s"])

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
@@ -130,12 +133,15 @@ def linear_coefficients(model, features: str | Sequence[str], spark) -> DataFram
 
 def pruning_comparison(train: DataFrame, test: DataFrame, learners: Mapping[str, Callable], label: str = S.TARGET) -> DataFrame:
     """Each learner on the full (13) and the reduced (7) feature list, every list on its own population (rows
-    without nulls in its columns): one metrics row each. A learner maps (train, test, features) to predictions."""
-    out = None
-    for name in ("full", "reduced"):
+    without nulls in its columns): one metrics row each. A learner maps (train, test, features) to predictions. Learners do
+    not wait for each other: each submits its jobs from a thread of the driver, so one that is in a single task or between
+    two short jobs leaves its cores to the others."""
+    def row(name: str, kind: str) -> DataFrame:
         keep = [*feature_list(name), label]
         a, b = train.select(*keep).dropna("any"), test.select(*keep).dropna("any")
-        for kind, learner in learners.items():
-            row = regression_metrics(learner(a, b, name), label, "prediction").select(F.lit(f"{kind}_{name}").alias("model"), "*")
-            out = row if out is None else out.unionByName(row)
-    return out
+        return regression_metrics(learners[kind](a, b, name), label, "prediction").select(F.lit(f"{kind}_{name}").alias("model"), "*")
+
+    pairs = [(name, kind) for name in ("full", "reduced") for kind in learners]
+    with ThreadPoolExecutor(len(pairs)) as pool:
+        rows = list(pool.map(inheritable_thread_target(train.sparkSession)(row), *zip(*pairs, strict=True)))
+    return reduce(DataFrame.unionByName, rows)

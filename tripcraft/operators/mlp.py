@@ -417,9 +417,10 @@ def quantize_model(model: MLPModel, bits: int = 8) -> MLPModel:
 
 def _udf(models: Mapping[str, MLPModel], float32: Mapping[str, bool] | None = None):
     """Arrow-batched UDF: (variant, *features) -> prediction, each batch split by variant."""
-    ship_package()
     from pyspark.sql import SparkSession
-    shared = SparkSession.getActiveSession().sparkContext.broadcast(
+    spark = SparkSession.active()
+    ship_package(spark)
+    shared = spark.sparkContext.broadcast(
         {k: (m.layers(), (float32 or {}).get(k, False)) for k, m in models.items()})
 
     @F.pandas_udf(T.DoubleType())
